@@ -53,7 +53,7 @@ from aerolake.sources.fixtures import (
     load_table,
     vectors_as_exploded,
 )
-from aerolake.sources.landing import classify_landed, land_documents, latest_object, list_files, payload_json
+from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, land_documents, latest_object, list_files, payload_json
 from aerolake.sources.raw_json import read_raw
 
 # Fixed literals that stand in for per-run values.
@@ -334,8 +334,9 @@ def q_landing_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_latest_landed_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _seeded_landing(spark, sf_dir)
-    listing = list_files(spark, base)
-    latest = classify_landed(spark, base, latest_object(listing))
+    latest = latest_object(list_files(spark, base)).first()
+    one = spark.createDataFrame([latest], LISTING_SCHEMA)
+    latest = classify_landed(spark, base, one, content_path=latest["path"])
     return latest.select(F.regexp_extract("path", r"(year=.*)$", 1).alias("key"), "length", "code")
 
 

@@ -74,16 +74,19 @@ def landing_code(length: Column, content: Column) -> Column:
     )
 
 
-def classify_landed(spark: SparkSession, path: str, listing: DataFrame | None = None) -> DataFrame:
-    """S6 for all files: ``path, length, modification_time, code``.
+def classify_landed(
+    spark: SparkSession, path: str, listing: DataFrame | None = None, content_path: str | None = None
+) -> DataFrame:
+    """S6 for all listed files: ``path, length, modification_time, code``.
 
     File bodies are read by the executors (``binaryFile``), never by the driver.
+    ``content_path`` narrows the body scan (e.g. to the single latest object).
     """
     listing = listing if listing is not None else list_files(spark, path)
     content = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(content_path or path)
         .select("path", "content")
     )
     return listing.join(content, "path", "left").select(
@@ -97,12 +100,17 @@ def latest_object(listing: DataFrame) -> DataFrame:
 
 
 def validate_latest(spark: SparkSession, path: str) -> str:
-    """Return the URI of the latest landed object, or raise with its failure code."""
-    listing = list_files(spark, path)
-    latest = latest_object(listing)
-    row = classify_landed(spark, path, latest).first()
-    if row is None:
+    """Return the URI of the latest landed object, or raise with its failure code.
+
+    Only the latest object's bytes are read.
+    """
+    latest = latest_object(list_files(spark, path)).first()
+    if latest is None:
         raise RuntimeError(f"No raw objects were found under {path}")
+    if latest["length"] <= 0:
+        raise RuntimeError(f"Latest raw object failed landing validation ({CODE_EMPTY}): {latest['path']}")
+    one = spark.createDataFrame([latest], LISTING_SCHEMA)
+    row = classify_landed(spark, path, one, content_path=latest["path"]).first()
     if row["code"] != CODE_OK:
         raise RuntimeError(f"Latest raw object failed landing validation ({row['code']}): {row['path']}")
     return row["path"]
