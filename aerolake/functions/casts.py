@@ -49,7 +49,28 @@ def strip_whitespace(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def cast_slot_sql(state: str, index: int, type_name: str) -> str:
+    """SQL text of :func:`cast_slot` (ANSI-independent)."""
+    raw = f"get(`{state}`, {int(index)})"
+    if type_name == "string":
+        return raw
+    if type_name == "bigint":
+        return f"try_cast(try_cast({raw} as decimal(38,6)) as bigint)"
+    if type_name == "int":
+        return f"try_cast(try_cast({raw} as decimal(38,6)) as int)"
+    if type_name == "double":
+        return f"try_cast({raw} as double)"
+    if type_name == "boolean":
+        return f"try_cast({raw} as boolean)"
+    if type_name == "array<int>":
+        return f"from_json({raw}, 'array<int>')"
+    raise ValueError(f"unsupported slot type {type_name}")
+
+
 def cast_slot(state: Column | str, index: int, type_name: str) -> Column:
+    """Slot ``index`` of ``state`` cast to ``type_name`` without ever raising."""
+    if isinstance(state, str):
+        return F.expr(cast_slot_sql(state, index, type_name))
     raw = slot(state, index)
     if type_name == "string":
         return raw

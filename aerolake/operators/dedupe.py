@@ -22,7 +22,8 @@ def dedupe_by_key(
     cols = df.columns
     rest = [c for c in cols if c != key and c not in order]
     ranked = [c for c in order if c in cols]
-    best = F.min(F.struct(*[F.col(c) for c in ranked + rest])).alias("_best")
-    return df.groupBy(key).agg(best).select(
-        *[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in cols]
+    fields = ", ".join(f"`{c}`" for c in ranked + rest)
+    best = F.expr(f"min(struct({fields}))").alias("_best")
+    return df.groupBy(key).agg(best).selectExpr(
+        *[f"`{key}`" if c == key else f"`_best`.`{c}` AS `{c}`" for c in cols]
     )

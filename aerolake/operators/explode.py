@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from aerolake.schema import STATE_ARRAY_TYPE
+from aerolake.schema import STATE_ARRAY_TYPE, STATES_TEXT_TYPE
 
 
 def parse_state_elements(raw: DataFrame, states_col: str = "states") -> DataFrame:
-    """Turn ``states`` (array of raw JSON element texts) into array<array<string>>.
+    """Turn the raw ``states`` text into array<array<string>>.
 
-    Parsing happens once per document, before the explode: a string, number or
-    object element becomes a NULL vector (and only that element), a good
-    element keeps its values as text. The raw text is kept as ``states_raw``
-    for the rejection audit.
+    ``states`` may be the raw JSON text of the whole array (as read by
+    :func:`aerolake.sources.raw_json.read_raw`) or already an array of element
+    texts. Parsing happens once per document, before the explode: anything
+    that is not a JSON array gives a NULL ``states``; a string, number or
+    object element becomes a NULL vector (and only that element); a good
+    element keeps its values as text. Element texts are kept as
+    ``states_raw`` for the rejection audit.
     """
-    return raw.withColumn("states_raw", F.col(states_col)).withColumn(
-        states_col, F.transform(F.col(states_col), lambda x: F.from_json(x, STATE_ARRAY_TYPE))
+    col = F.col(states_col)
+    if isinstance(raw.schema[states_col].dataType, T.StringType):
+        col = F.from_json(col, STATES_TEXT_TYPE)
+    return raw.withColumn("states_raw", col).withColumn(
+        states_col, F.transform(F.col("states_raw"), lambda x: F.from_json(x, STATE_ARRAY_TYPE))
     )
 
 

@@ -22,7 +22,11 @@ def run_timestamp_literal(run_ts: datetime) -> Column:
     A naive datetime is read as UTC (not as the Python process time zone), so
     the stored instant does not depend on where the driver runs.
     """
+    return F.timestamp_micros(F.lit(to_micros(run_ts)))
+
+
+def to_micros(run_ts: datetime) -> int:
+    """Microseconds since the epoch; a naive datetime is taken as UTC."""
     if run_ts.tzinfo is None:
         run_ts = run_ts.replace(tzinfo=timezone.utc)
-    micros = (run_ts - _EPOCH) // timedelta(microseconds=1)
-    return F.timestamp_micros(F.lit(micros))
+    return (run_ts - _EPOCH) // timedelta(microseconds=1)

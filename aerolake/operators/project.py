@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.functions.casts import cast_slot
+from aerolake.functions.casts import cast_slot_sql
 from aerolake.functions.hashing import sha256_concat
-from aerolake.operators.literals import run_timestamp_literal
+from aerolake.operators.literals import to_micros
 from aerolake.schema import (
     CURATED_COLUMNS,
     M_TO_FT,
@@ -36,42 +36,50 @@ def project_state_vector(
     """
     typed = []
     for index, name, type_name in STATE_SLOTS:
-        c = cast_slot("state", index, type_name)
+        text = cast_slot_sql("state", index, type_name)
         if name == "callsign":
-            c = F.trim(c)
-        typed.append(c.alias(name))
-    run_ts_col = (
-        run_timestamp_literal(run_ts) if run_ts is not None else F.lit(None).cast("timestamp")
+            text = f"trim({text})"
+        typed.append(f"{text} AS `{name}`")
+    carried = [c for c in ("source_response_time", "source_file", "state_position") if c in valid.columns]
+    run_ts_sql = (
+        f"timestamp_micros({to_micros(run_ts)})" if run_ts is not None else "cast(null as timestamp)"
     )
-    carried = [
-        F.col(c) for c in ("source_response_time", "source_file", "state_position") if c in valid.columns
-    ]
-    return valid.select(
+    run_id_sql = "cast(null as string)" if run_id is None else _sql_str(run_id)
+    return valid.selectExpr(
         *typed,
-        *carried,
-        F.lit(source).alias("source"),
-        F.lit(run_id).cast("string").alias("processing_run_id"),
-        run_ts_col.alias("ingestion_timestamp"),
+        *[f"`{c}`" for c in carried],
+        f"{_sql_str(source)} AS source",
+        f"{run_id_sql} AS processing_run_id",
+        f"{run_ts_sql} AS ingestion_timestamp",
     )
 
 
+def _sql_str(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _event_time_columns() -> dict[str, F.Column]:
+    epoch = F.coalesce("time_position", "last_contact", "source_response_time")
+    ts = F.timestamp_seconds(epoch)
+    return {"event_timestamp_epoch": epoch, "event_timestamp": ts, "event_date": F.to_date(ts)}
+
+
+def _unit_columns() -> dict[str, F.Column]:
+    return {
+        "velocity_kmh": F.round(F.col("velocity_m_s") * F.lit(MS_TO_KMH), 2),
+        "barometric_altitude_ft": F.round(F.col("barometric_altitude_m") * F.lit(M_TO_FT), 2),
+        "geometric_altitude_ft": F.round(F.col("geometric_altitude_m") * F.lit(M_TO_FT), 2),
+    }
+
+
 def derive_event_time(df: DataFrame) -> DataFrame:
     """P5: first non-null of (time_position, last_contact, source_response_time)."""
-    epoch = F.coalesce("time_position", "last_contact", "source_response_time")
-    return (
-        df.withColumn("event_timestamp_epoch", epoch)
-        .withColumn("event_timestamp", F.timestamp_seconds("event_timestamp_epoch"))
-        .withColumn("event_date", F.to_date("event_timestamp"))
-    )
+    return df.withColumns(_event_time_columns())
 
 
 def derive_units(df: DataFrame) -> DataFrame:
     """km/h and feet, rounded to 2 decimals (HALF_UP)."""
-    return (
-        df.withColumn("velocity_kmh", F.round(F.col("velocity_m_s") * F.lit(MS_TO_KMH), 2))
-        .withColumn("barometric_altitude_ft", F.round(F.col("barometric_altitude_m") * F.lit(M_TO_FT), 2))
-        .withColumn("geometric_altitude_ft", F.round(F.col("geometric_altitude_m") * F.lit(M_TO_FT), 2))
-    )
+    return df.withColumns(_unit_columns())
 
 
 def with_record_key(df: DataFrame) -> DataFrame:
@@ -92,9 +100,13 @@ def curate(
 ) -> DataFrame:
     """Valid exploded rows -> the 31-column curated schema, in contract order."""
     df = project_state_vector(valid, run_id, run_ts, source)
+    derived = {**_event_time_columns(), **_unit_columns()}
     if "source_file" not in df.columns:
-        df = df.withColumn("source_file", F.lit(None).cast("string"))
-    df = with_payload_hash(with_record_key(derive_units(derive_event_time(df))))
+        derived["source_file"] = F.lit(None).cast("string")
+    df = df.withColumns(derived)
+    df = df.withColumns(
+        {"record_key": sha256_concat(RECORD_KEY_COLUMNS), "payload_hash": sha256_concat(PAYLOAD_HASH_COLUMNS)}
+    )
     return df.select(*CURATED_COLUMNS)
 
 

@@ -336,7 +336,7 @@ def q_latest_landed_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _seeded_landing(spark, sf_dir)
     latest = latest_object(list_files(spark, base)).first()
     one = spark.createDataFrame([latest], LISTING_SCHEMA)
-    latest = classify_landed(spark, base, one, content_path=latest["path"])
+    latest = classify_landed(spark, latest["path"], one)
     return latest.select(F.regexp_extract("path", r"(year=.*)$", 1).alias("key"), "length", "code")
 
 

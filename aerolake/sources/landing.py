@@ -2,14 +2,16 @@
 
 * Landing writes each response document unchanged as its own file under
   ``year=YYYY/month=MM/day=DD/hour=HH/`` of its UTC ingestion time.
-* The listing comes from the Hadoop FileSystem API: Spark file scans drop
-  zero-byte files, which would hide an empty latest object.
+* Spark file scans drop zero-byte files, which would hide an empty latest
+  object; the listing adds them back from the file index.
 * Validation classifies *every* landed file in parallel (one failure code per
   file); "latest object" is a top-1 over the listing.
 """
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,28 +35,60 @@ LISTING_SCHEMA = T.StructType(
 )
 
 
-def _hidden(name: str) -> bool:
-    return name.startswith("_") or name.startswith(".")
+def _binary_scan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Recursive file listing ``(path, length, modification_time ms)`` incl. zero-byte files."""
+def _norm(uri: str) -> tuple[str, str, str]:
+    u = urlparse(uri)
+    return (u.scheme or "file", u.netloc, u.path)
+
+
+def _zero_byte_files(spark: SparkSession, scan: DataFrame) -> list[tuple[str, int, int]]:
+    """Files the file index knows but the scan drops (zero-byte files), with their status.
+
+    The common case (no empty file) costs one metadata-only count; only the
+    missing paths are stat'ed through the Hadoop FileSystem API.
+    """
+    indexed = scan.inputFiles()
+    if len(indexed) == scan.count():
+        return []
+    scanned = {_norm(r[0]) for r in scan.select("path").collect()}
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    rows = []
-    if fs.exists(root):
-        it = fs.listFiles(root, True)
-        while it.hasNext():
-            st = it.next()
-            p = st.getPath()
-            # skip hidden/metadata files anywhere below the root (e.g. _SUCCESS, .crc)
-            rel = p.toString()[len(fs.makeQualified(root).toString()) :]
-            if any(_hidden(part) for part in rel.split("/") if part):
-                continue
-            rows.append((p.toString(), int(st.getLen()), int(st.getModificationTime())))
-    return spark.createDataFrame(rows, LISTING_SCHEMA)
+    out = []
+    for uri in indexed:
+        if _norm(uri) in scanned:
+            continue
+        p = jvm.org.apache.hadoop.fs.Path(uri)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+    return out
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Recursive listing ``(path, length, modification_time ms)`` including zero-byte files.
+
+    Non-empty files come from a ``binaryFile`` scan that reads no bodies
+    (only metadata columns are selected); zero-byte files, which every Spark
+    file scan skips, are added from the file index.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    scan = _binary_scan(spark, path)
+    listed = scan.select(
+        "path", "length", F.unix_millis("modificationTime").alias("modification_time")
+    )
+    zero = _zero_byte_files(spark, scan)
+    if zero:
+        listed = listed.unionByName(spark.createDataFrame(zero, LISTING_SCHEMA))
+    return listed
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def landing_code(length: Column, content: Column) -> Column:
@@ -74,24 +108,31 @@ def landing_code(length: Column, content: Column) -> Column:
     )
 
 
-def classify_landed(
-    spark: SparkSession, path: str, listing: DataFrame | None = None, content_path: str | None = None
-) -> DataFrame:
-    """S6 for all listed files: ``path, length, modification_time, code``.
+def classify_landed(spark: SparkSession, path: str, listing: DataFrame | None = None) -> DataFrame:
+    """S6 for every file below ``path`` (or only the files in ``listing``):
+    ``path, length, modification_time, code``.
 
-    File bodies are read by the executors (``binaryFile``), never by the driver.
-    ``content_path`` narrows the body scan (e.g. to the single latest object).
+    File bodies are read and checked by the executors (``binaryFile``), never
+    by the driver; zero-byte files, which the scan skips, are reported as
+    ``EMPTY_OBJECT``.
     """
-    listing = listing if listing is not None else list_files(spark, path)
-    content = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(content_path or path)
-        .select("path", "content")
-    )
-    return listing.join(content, "path", "left").select(
-        "path", "length", "modification_time", landing_code(F.col("length"), F.col("content")).alias("code")
+    scan = _binary_scan(spark, path)
+    checked = scan.select(
+        "path",
+        "length",
+        F.unix_millis("modificationTime").alias("modification_time"),
+        landing_code(F.col("length"), F.col("content")).alias("code"),
     )
+    zero = _zero_byte_files(spark, scan) if listing is None else []
+    if zero:
+        empty = spark.createDataFrame(zero, LISTING_SCHEMA).withColumn("code", F.lit(CODE_EMPTY))
+        checked = checked.unionByName(empty)
+    if listing is not None:
+        on_list = listing.select("path", "length", "modification_time")
+        checked = on_list.join(checked.select("path", "code"), "path", "left").select(
+            "path", "length", "modification_time", F.coalesce("code", F.lit(CODE_EMPTY)).alias("code")
+        )
+    return checked
 
 
 def latest_object(listing: DataFrame) -> DataFrame:
@@ -110,7 +151,7 @@ def validate_latest(spark: SparkSession, path: str) -> str:
     if latest["length"] <= 0:
         raise RuntimeError(f"Latest raw object failed landing validation ({CODE_EMPTY}): {latest['path']}")
     one = spark.createDataFrame([latest], LISTING_SCHEMA)
-    row = classify_landed(spark, path, one, content_path=latest["path"]).first()
+    row = classify_landed(spark, latest["path"], one).first()
     if row["code"] != CODE_OK:
         raise RuntimeError(f"Latest raw object failed landing validation ({row['code']}): {row['path']}")
     return row["path"]

@@ -1,10 +1,15 @@
 """Schema-safe scan of landed response documents.
 
-The schema is explicit (``time LONG, states ARRAY<STRING>, _corrupt_record``):
-each ``states`` element keeps its raw JSON text, so one odd element cannot
-turn the whole column into another type (what inference does), and a corrupt
-document becomes one row with ``_corrupt_record`` set instead of failing the
-scan. File lineage comes from ``_metadata.file_path``.
+The schema is explicit (``time LONG, states STRING, _corrupt_record``):
+``states`` keeps its raw JSON text and is split into element texts by
+:func:`aerolake.operators.explode.parse_state_elements`, so one odd element
+cannot turn the whole column into another type (what inference does), and a
+corrupt document becomes one row with ``_corrupt_record`` set instead of
+failing the scan. File lineage comes from ``_metadata.file_path``.
+
+Known edge: a ``states`` value that is a JSON *string* holding array text
+(``"states": "[[...]]"``) is read like the array itself, because the text
+capture drops the quotes.
 """
 
 from __future__ import annotations
