@@ -110,12 +110,14 @@ def merge_into_location(
     days = touched_days(target, source, key)
     target_days = target.where(_day_filter(days))
     merged = merge_frames(target_days, source, key, with_action=True).checkpoint(eager=True)
-    counts = {
-        r["merge_action"]: r["n"]
-        for r in merged.groupBy("merge_action").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    # One small aggregate gives both the action counts and the days that still
+    # hold rows (bounded by #actions x #touched days).
+    per_day = merged.groupBy("merge_action", PARTITION_COL).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts: dict[str, int] = {}
+    for r in per_day:
+        counts[r["merge_action"]] = counts.get(r["merge_action"], 0) + r["n"]
+    present = {r[PARTITION_COL] for r in per_day}
     result = merged.drop("merge_action")
-    present = {r[0] for r in result.select(PARTITION_COL).distinct().collect()}
     write_partitioned(result, location, PARTITION_COL, mode="overwrite", compression="zstd")
     _delete_partition_dirs(spark, location, [d for d in days if d not in present])
     return counts
