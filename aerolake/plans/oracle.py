@@ -247,6 +247,8 @@ FROM cur GROUP BY ALL""",
     "pruned_day_projection": CURATED + f"SELECT icao24, callsign, velocity_m_s FROM cur WHERE event_date = {_DAY}",
     "country_counts_for_day": CURATED
     + f"SELECT origin_country, count(*) AS n FROM cur WHERE event_date = {_DAY} GROUP BY origin_country",
+    "country_counts_sql": CURATED
+    + f"SELECT origin_country, count(*) AS n FROM cur WHERE event_date = {_DAY} GROUP BY origin_country",
     "preview_top20": CURATED
     + """SELECT record_key, icao24, callsign, origin_country, longitude, latitude, velocity_kmh,
        CAST(event_timestamp AS VARCHAR) AS event_timestamp, event_date

@@ -286,6 +286,17 @@ def q_country_counts_for_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day.groupBy("origin_country").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_country_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day query as analysts write it - a named view and ``spark.sql``."""
+    path = _write_processed_table(spark, sf_dir)
+    view = "processed_states_" + path.rsplit("-", 1)[-1]
+    spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.sql(
+        f"SELECT origin_country, COUNT(*) AS n FROM {view} "
+        f"WHERE event_date = DATE '{QUERY_DAY.isoformat()}' GROUP BY origin_country"
+    )
+
+
 def q_preview_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = preview(curated_all(spark, sf_dir), 20)
     return p.withColumn("event_timestamp", F.col("event_timestamp").cast("string")).select(
@@ -398,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dynamic_partition_overwrite": q_dynamic_partition_overwrite,
     "pruned_day_projection": q_pruned_day_projection,
     "country_counts_for_day": q_country_counts_for_day,
+    "country_counts_sql": q_country_counts_sql,
     "preview_top20": q_preview_top20,
     "nested_light_transform": q_nested_light_transform,
     "landing_key": q_landing_key,
