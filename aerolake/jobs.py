@@ -88,7 +88,7 @@ def run_curated(
         summary.merge_source_count = source.count()
         if summary.merge_source_count == 0:
             raise RuntimeError("No valid state vectors were available for the curated table")
-        summary.actions = write_curated(spark, source, table, table_path)
+        summary.actions = write_curated(spark, source, table, table_path, count=summary.merge_source_count)
         log.info("curated run %s: %s", run_id, summary)
         return summary
     finally:

@@ -56,9 +56,18 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
+def clustered_for_write(df: DataFrame) -> DataFrame:
+    """Rebalance by day (AQE splits hot days) and sort each task's rows by
+    (day, response time) so Parquet row-group statistics on ``source_response_time``
+    stay tight for later merges; the writer's own partition sort is then a no-op."""
+    out = df.hint("rebalance", PARTITION_COL)
+    order = [PARTITION_COL] + ([RESPONSE_COL] if RESPONSE_COL in df.columns else [])
+    return out.sortWithinPartitions(*order)
+
+
 def create_curated_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """K5: first run - Parquet/zstd, partitioned by ``event_date``."""
-    w = df.hint("rebalance", PARTITION_COL).write.format("parquet").option("compression", "zstd")
+    w = clustered_for_write(df).write.format("parquet").option("compression", "zstd")
     if path:
         w = w.option("path", path)
     w.partitionBy(PARTITION_COL).saveAsTable(name)
@@ -76,10 +85,44 @@ def _day_filter(days: list[date | None]) -> F.Column:
     return cond
 
 
+RESPONSE_COL = "source_response_time"
+
+
+def response_time_filter(source: DataFrame) -> F.Column:
+    """Pre-filter implied by key equality: a target row with a source key has the same
+    ``source_response_time`` (it is part of the key text). The range goes to the
+    Parquet reader as pushed filters, so row groups outside the batch's response-time
+    range are skipped without reading the key column (the curated files are sorted by
+    ``source_response_time`` within each day, which keeps the row-group ranges tight).
+    """
+    b = source.agg(
+        F.min(RESPONSE_COL).alias("lo"),
+        F.max(RESPONSE_COL).alias("hi"),
+        F.count_if(F.col(RESPONSE_COL).isNull()).alias("nulls"),
+    ).first()
+    cond = F.lit(False)
+    if b["lo"] is not None:
+        cond = F.col(RESPONSE_COL).between(int(b["lo"]), int(b["hi"]))
+    if b["nulls"]:
+        cond = cond | F.col(RESPONSE_COL).isNull()
+    return cond
+
+
 def touched_days(target: DataFrame, source: DataFrame, key: str = "record_key") -> list[date | None]:
+    """Days of the source rows plus days of target rows whose key is in the source.
+
+    The returned list is bounded by the calendar, not by the data.
+    """
+    return [r[0] for r in touched_days_frame(target, source, key).collect()]
+
+
+def touched_days_frame(target: DataFrame, source: DataFrame, key: str = "record_key") -> DataFrame:
     src_days = source.select(PARTITION_COL)
-    moved = target.select(key, PARTITION_COL).join(source.select(key), key, "left_semi").select(PARTITION_COL)
-    return [r[0] for r in src_days.union(moved).distinct().collect()]
+    candidates = target
+    if RESPONSE_COL in target.columns and RESPONSE_COL in source.columns:
+        candidates = target.where(response_time_filter(source))
+    moved = candidates.select(key, PARTITION_COL).join(source.select(key), key, "left_semi").select(PARTITION_COL)
+    return src_days.union(moved).distinct()
 
 
 def _delete_partition_dirs(spark: SparkSession, location: str, days: list[date | None]) -> None:
@@ -118,7 +161,9 @@ def merge_into_location(
         counts[r["merge_action"]] = counts.get(r["merge_action"], 0) + r["n"]
     present = {r[PARTITION_COL] for r in per_day}
     result = merged.drop("merge_action")
-    write_partitioned(result, location, PARTITION_COL, mode="overwrite", compression="zstd")
+    write_partitioned(
+        clustered_for_write(result), location, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
+    )
     _delete_partition_dirs(spark, location, [d for d in days if d not in present])
     return counts
 
@@ -131,9 +176,14 @@ def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str
     return counts
 
 
-def write_curated(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> dict:
-    """K7: create on the first run (deduped rows only), merge afterwards."""
+def write_curated(
+    spark: SparkSession, df: DataFrame, name: str, path: str | None = None, count: int | None = None
+) -> dict:
+    """K7: create on the first run (deduped rows only), merge afterwards.
+
+    ``count`` (rows of ``df``, when the caller already knows it) avoids a re-scan.
+    """
     if table_exists(spark, name):
         return merge_into_table(spark, name, df)
     create_curated_table(df, name, path)
-    return {"insert": spark.table(name).count()}
+    return {"insert": count if count is not None else df.count()}

@@ -20,15 +20,21 @@ def write_partitioned(
     partition_col: str,
     mode: str = "overwrite",
     compression: str | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` partitioned by ``partition_col``.
 
+    Unless the caller already arranged the data (e.g. ``clustered_for_write``),
+    rows are rebalanced by the partition value so AQE can split a hot value
+    over several tasks.
+
     With ``mode='overwrite'`` the session's dynamic partition-overwrite mode
     replaces only the partition values present in ``df``.
     """
+    if rebalance:
+        df = _rebalanced(df, partition_col)
     w = (
-        _rebalanced(df, partition_col)
-        .write.mode(mode)
+        df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(partition_col)

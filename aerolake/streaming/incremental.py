@@ -19,7 +19,7 @@ from aerolake.operators.explode import explode_states, parse_state_elements
 from aerolake.operators.project import curate
 from aerolake.operators.validate import split_valid_rejected
 from aerolake.schema import RAW_SCHEMA
-from aerolake.sinks.curated import PARTITION_COL, merge_into_location
+from aerolake.sinks.curated import PARTITION_COL, clustered_for_write, merge_into_location
 from aerolake.sinks.writers import write_partitioned
 
 MAX_FILES_PER_TRIGGER = 1000
@@ -37,7 +37,9 @@ def upsert_batch(spark: SparkSession, raw_batch: DataFrame, out_path: str, run_i
     source = dedupe_by_key(curate(valid, run_id, run_ts))
     if not _path_exists(spark, out_path):
         staged = source.checkpoint(eager=True)
-        write_partitioned(staged, out_path, PARTITION_COL, mode="overwrite", compression="zstd")
+        write_partitioned(
+            clustered_for_write(staged), out_path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
+        )
         return {"insert": staged.count()}
     return merge_into_location(spark, out_path, source)
 

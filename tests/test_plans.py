@@ -44,3 +44,22 @@ def test_dedupe_has_map_side_partial_aggregate(spark):
     df = spark.createDataFrame([("k", "h", "f")], "record_key string, payload_hash string, source_file string")
     text = plan_text(dedupe_by_key(df), "simple")
     assert "partial_min" in text
+
+
+def test_moved_key_probe_is_pruned_by_response_time(spark, tmp_dir):
+    import datetime as dt
+
+    from aerolake.plans.inspect import pushed_filters, read_schemas
+    from aerolake.sinks.curated import create_curated_table, touched_days_frame
+
+    rows = [(f"k{i}", f"h{i}", 1_700_000_000 + i * 3600, dt.date(2023, 11, 14) + dt.timedelta(days=i // 24))
+            for i in range(200)]
+    schema = "record_key string, payload_hash string, source_response_time bigint, event_date date"
+    create_curated_table(spark.createDataFrame(rows, schema), "t_probe", os.path.join(tmp_dir, "t"))
+    source = spark.createDataFrame(rows[100:103], schema)
+    probe = touched_days_frame(spark.table("t_probe"), source)
+    filters = " ".join(pushed_filters(probe))
+    assert "source_response_time" in filters
+    # the probe reads keys and days only, never the payload
+    assert all("payload_hash" not in s for s in read_schemas(probe))
+    assert sorted(r[0] for r in probe.collect()) == [dt.date(2023, 11, 18)]
