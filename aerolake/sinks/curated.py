@@ -20,6 +20,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.operators.dedupe import dedupe_by_key
 from aerolake.operators.merge import merge_frames
 from aerolake.session import ensure_checkpoint_dir
 from aerolake.sinks.writers import write_partitioned
@@ -141,6 +142,7 @@ def merge_into_location(
     source: DataFrame,
     key: str = "record_key",
     target: DataFrame | None = None,
+    heal_duplicates: bool = True,
 ) -> dict:
     """J1 against the Parquet dataset at ``location`` (partitioned by ``event_date``).
 
@@ -152,6 +154,12 @@ def merge_into_location(
     source = source.select(*cols)
     days = touched_days(target, source, key)
     target_days = target.where(_day_filter(days))
+    if heal_duplicates:
+        # A run that died between the day overwrite and the emptied-day cleanup
+        # leaves a moved key in two days. Collapsing target keys first (grouped
+        # on the join key, so the join reuses that partitioning) makes the
+        # rerun converge to one row per key instead of carrying both copies.
+        target_days = dedupe_by_key(target_days, key)
     merged = merge_frames(target_days, source, key, with_action=True).checkpoint(eager=True)
     # One small aggregate gives both the action counts and the days that still
     # hold rows (bounded by #actions x #touched days).

@@ -82,3 +82,17 @@ def test_table_merge_moves_day_and_drops_emptied(spark, tmp_dir):
     # null-day rows survive a merge that touches the null day
     merge_into_table(spark, name, frame(spark, [("k3", "h3", 3, None, "r3")]))
     assert spark.table(name).where(F.col("event_date").isNull()).count() == 1
+
+
+def test_rerun_heals_key_left_in_two_days(spark, tmp_dir):
+    """Simulate a run that died after overwriting the new day but before dropping the old copy."""
+    from aerolake.sinks.curated import merge_into_location
+    from aerolake.sinks.writers import write_partitioned
+
+    path = os.path.join(tmp_dir, "t")
+    crashed = frame(spark, [("k1", "h1", 1, D1, "r1"), ("k1", "h1moved", 1, D3, "r2"), ("k2", "h2", 2, D2, "r1")])
+    write_partitioned(crashed, path, "event_date", mode="overwrite")
+    source = frame(spark, [("k1", "h1moved", 1, D3, "r2")])
+    merge_into_location(spark, path, source)
+    rows = sorted((r.record_key, r.event_date, r.payload_hash) for r in spark.read.parquet(path).collect())
+    assert rows == [("k1", D3, "h1moved"), ("k2", D2, "h2")]
