@@ -143,6 +143,7 @@ def merge_into_location(
     key: str = "record_key",
     target: DataFrame | None = None,
     heal_duplicates: bool = True,
+    source_materialized: bool = False,
 ) -> dict:
     """J1 against the Parquet dataset at ``location`` (partitioned by ``event_date``).
 
@@ -152,6 +153,10 @@ def merge_into_location(
     target = target if target is not None else spark.read.parquet(location)
     cols = target.columns
     source = source.select(*cols)
+    if not source_materialized:
+        # The source is used by three actions (bounds, touched days, merge);
+        # materialise it once so its upstream scan runs once and stays identical.
+        source = source.checkpoint(eager=True)
     days = touched_days(target, source, key)
     target_days = target.where(_day_filter(days))
     if heal_duplicates:
@@ -176,9 +181,13 @@ def merge_into_location(
     return counts
 
 
-def merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str = "record_key") -> dict:
+def merge_into_table(
+    spark: SparkSession, name: str, source: DataFrame, key: str = "record_key", source_materialized: bool = False
+) -> dict:
     """J1 against a catalog Parquet table (partition metadata re-synced afterwards)."""
-    counts = merge_into_location(spark, table_location(spark, name), source, key, spark.table(name))
+    counts = merge_into_location(
+        spark, table_location(spark, name), source, key, spark.table(name), source_materialized=source_materialized
+    )
     spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return counts
@@ -192,6 +201,6 @@ def write_curated(
     ``count`` (rows of ``df``, when the caller already knows it) avoids a re-scan.
     """
     if table_exists(spark, name):
-        return merge_into_table(spark, name, df)
+        return merge_into_table(spark, name, df, source_materialized=count is not None)
     create_curated_table(df, name, path)
     return {"insert": count if count is not None else df.count()}

@@ -34,14 +34,14 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 def upsert_batch(spark: SparkSession, raw_batch: DataFrame, out_path: str, run_id: str, run_ts: datetime) -> dict:
     rows = explode_states(parse_state_elements(raw_batch))
     valid, _ = split_valid_rejected(rows)
-    source = dedupe_by_key(curate(valid, run_id, run_ts))
+    # One reliable materialisation per micro-batch: the batch files are read once.
+    source = dedupe_by_key(curate(valid, run_id, run_ts)).checkpoint(eager=True)
     if not _path_exists(spark, out_path):
-        staged = source.checkpoint(eager=True)
         write_partitioned(
-            clustered_for_write(staged), out_path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
+            clustered_for_write(source), out_path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
         )
-        return {"insert": staged.count()}
-    return merge_into_location(spark, out_path, source)
+        return {"insert": source.count()}
+    return merge_into_location(spark, out_path, source, source_materialized=True)
 
 
 def run_incremental(
