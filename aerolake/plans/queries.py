@@ -62,9 +62,14 @@ RUN_TS = datetime(2024, 2, 1, 0, 0, 0, tzinfo=timezone.utc)
 RERUN_ID = "run-fixed-0002"
 QUERY_DAY = date(2024, 1, 15)
 LANDING_DELAY_S = 45
-EDITED_VALUE_SQL = "case when event_id % 10 = 6 then value + 1 else value end"
-TARGET_SPLIT_SQL = "event_id % 10 < 7"
-SOURCE_SPLIT_SQL = "event_id % 10 >= 5"
+# Merge inputs are two overlapping time windows, like consecutive incremental
+# batches: the existing table holds responses before 2024-01-22, the new batch
+# re-delivers responses from 2024-01-16 on with corrected 'purchase' values.
+# Responses before the overlap are kept, the overlap is no-op or update, later
+# ones are inserts; together the two windows cover every event.
+EDITED_VALUE_SQL = "case when event_type = 'purchase' then value + 1 else value end"
+TARGET_SPLIT_SQL = "source_response_time < 1705881600"
+SOURCE_SPLIT_SQL = "source_response_time >= 1705363200"
 RELANDED_PREFIX = "events/relanded"
 
 
@@ -97,13 +102,13 @@ def _curated_from_vectors(vectors: DataFrame, prefix: str, run_id: str) -> DataF
 
 
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing table: vectors of events with ``event_id % 10 < 7``."""
+    """Existing table: vectors of responses before 2024-01-22."""
     vec = event_vectors(events(spark, sf_dir)).where(F.expr(TARGET_SPLIT_SQL))
     return _curated_from_vectors(vec, "events/payload", RUN_ID)
 
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New batch: vectors of ``event_id % 10 >= 5``; those with ``% 10 = 6`` carry an edited value."""
+    """New batch: responses from 2024-01-16 on; 'purchase' vectors carry a corrected value."""
     vec = event_vectors(events(spark, sf_dir), F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
     return dedupe_by_key(_curated_from_vectors(vec, RELANDED_PREFIX, RERUN_ID))
 
