@@ -332,13 +332,13 @@ def q_landing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Land every payload; a fixed rule truncates some documents (invalid JSON)."""
+    """Land every payload; documents landed in the 00:00 UTC hour are truncated (invalid JSON)."""
     base = scratch_path(spark, "landing")
     docs = payloads(spark, sf_dir)
     text = payload_json()
-    hour = F.expr("time div 3600")
-    body = F.when(hour % 50 == 0, F.expr("substring(to_json(struct(time, states)), 1, 40)")).otherwise(text)
     ingest_ts = F.timestamp_seconds(F.col("time") + F.lit(LANDING_DELAY_S))
+    truncated = F.expr("substring(to_json(struct(time, states)), 1, 40)")
+    body = F.when(F.hour(ingest_ts) == 0, truncated).otherwise(text)
     land_documents(docs, base, ingest_ts, body)
     return base
 
