@@ -193,6 +193,29 @@ def merge_into_table(
     return counts
 
 
+ROW_LEVEL_MERGE_PROVIDERS = ("iceberg", "delta")
+
+
+def table_provider(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Provider").collect()
+    return (rows[0]["data_type"] if rows else "").lower()
+
+
+def merge_into_row_level(source: DataFrame, name: str, key: str = "record_key", hash_col: str = "payload_hash") -> None:
+    """J1 where the catalog supports row-level MERGE (table formats): Spark's own
+    ``DataFrame.mergeInto`` with the same three rules - matched and hash differs ->
+    update all columns, matched and equal -> nothing, not matched -> insert."""
+    s, t = source.alias("s"), name
+    (
+        s.mergeInto(t, F.expr(f"{t}.{key} = s.{key}"))
+        .whenMatched(F.expr(f"NOT ({t}.{hash_col} <=> s.{hash_col})"))
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
 def write_curated(
     spark: SparkSession, df: DataFrame, name: str, path: str | None = None, count: int | None = None
 ) -> dict:
@@ -201,6 +224,9 @@ def write_curated(
     ``count`` (rows of ``df``, when the caller already knows it) avoids a re-scan.
     """
     if table_exists(spark, name):
+        if table_provider(spark, name) in ROW_LEVEL_MERGE_PROVIDERS:
+            merge_into_row_level(df, name)
+            return {"merged": count if count is not None else df.count()}
         return merge_into_table(spark, name, df, source_materialized=count is not None)
     create_curated_table(df, name, path)
     return {"insert": count if count is not None else df.count()}

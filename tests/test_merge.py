@@ -96,3 +96,15 @@ def test_rerun_heals_key_left_in_two_days(spark, tmp_dir):
     merge_into_location(spark, path, source)
     rows = sorted((r.record_key, r.event_date, r.payload_hash) for r in spark.read.parquet(path).collect())
     assert rows == [("k1", D3, "h1moved"), ("k2", D2, "h2")]
+
+
+def test_row_level_merge_routing(spark, tmp_dir):
+    """Parquet tables take the DataFrame merge; the native MERGE path is only for table formats."""
+    import pytest
+
+    from aerolake.sinks.curated import ROW_LEVEL_MERGE_PROVIDERS, merge_into_row_level, table_provider
+
+    create_curated_table(frame(spark, [("k1", "h1", 1, D1, "r1")]), "t_route", os.path.join(tmp_dir, "t"))
+    assert table_provider(spark, "t_route") == "parquet" not in ROW_LEVEL_MERGE_PROVIDERS
+    with pytest.raises(Exception):
+        merge_into_row_level(frame(spark, [("k1", "h2", 2, D1, "r2")]), "t_route")
