@@ -108,3 +108,20 @@ def test_row_level_merge_routing(spark, tmp_dir):
     assert table_provider(spark, "t_route") == "parquet" not in ROW_LEVEL_MERGE_PROVIDERS
     with pytest.raises(Exception):
         merge_into_row_level(frame(spark, [("k1", "h2", 2, D1, "r2")]), "t_route")
+
+
+def test_dedupe_hot_key_third_of_rows(spark):
+    """One key holds a third of all rows (many re-landed copies); exactly one deterministic survivor."""
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("record_key"),
+        F.concat(F.lit("h"), (F.col("id") % 7).cast("string")).alias("payload_hash"),
+        F.concat(F.lit("f"), F.col("id").cast("string")).alias("source_file"),
+    ).repartition(16)
+    out = dedupe_by_key(df)
+    assert out.count() == n - n // 3 + 1
+    hot = out.where("record_key = 'hot'").first()
+    # smallest (payload_hash, source_file) among the hot copies: h0 with the smallest file name
+    assert (hot.payload_hash, hot.source_file) == ("h0", "f0")
