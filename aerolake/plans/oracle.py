@@ -273,6 +273,8 @@ FROM vec GROUP BY ALL""",
        || '/' || strftime({_LANDING_TS}, '%Y%m%dT%H%M%SZ') || '.json' AS landing_key
 FROM vec""",
     "curated_create_or_merge": _MERGE_CTES + "SELECT event_date, count(*) AS n FROM merged GROUP BY event_date",
+    "unpartitioned_table_create": CURATED
+    + "SELECT origin_country, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY origin_country",
     "dq_rules": CURATED + f"SELECT record_key, {_dq_list()} AS violations FROM cur",
     "dq_violation_summary": _dq_summary(),
     "incremental_ingest": CURATED + "SELECT source_response_time, count(*) AS n FROM cur GROUP BY source_response_time",

@@ -45,8 +45,8 @@ from aerolake.operators.validate import (
 )
 from aerolake.schema import PREVIEW_COLUMNS
 from aerolake.session import configure, ensure_checkpoint_dir, scratch_path
-from aerolake.sinks.curated import create_curated_table, merge_into_table
-from aerolake.sinks.writers import write_processed, write_rejected
+from aerolake.sinks.curated import check_table, create_curated_table, merge_into_table, table_exists
+from aerolake.sinks.writers import create_table, write_processed, write_rejected
 from aerolake.sources.fixtures import (
     event_payloads,
     event_vectors,
@@ -55,6 +55,7 @@ from aerolake.sources.fixtures import (
 )
 from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, land_documents, latest_object, list_files, payload_json
 from aerolake.sources.raw_json import read_raw
+from aerolake.sources.tables import read_table
 
 # Fixed literals that stand in for per-run values.
 RUN_ID = "run-fixed-0001"
@@ -364,6 +365,20 @@ def q_curated_create_or_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_unpartitioned_table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 + F12 + F13 + S7: unpartitioned ``writeTo().using("parquet").create()`` of every
+    curated vector's identity columns, post-load check, then a catalog scan."""
+    name = "smoke_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    if table_exists(spark, name):
+        raise RuntimeError(f"table {name} already exists")
+    rows = curated_all(spark, sf_dir).select("record_key", "callsign", "origin_country")
+    create_table(rows, name, path=scratch_path(spark, "smoke"))
+    check_table(spark, name, "parquet")
+    return read_table(spark, name).groupBy("origin_country").agg(
+        F.count(F.lit(1)).alias("n"), F.count("callsign").alias("n_callsign")
+    )
+
+
 def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = with_violations(curated_all(spark, sf_dir))
     return v.select("record_key", F.array_join("violations", ",").alias("violations"))
@@ -421,6 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_validation": q_landing_validation,
     "latest_landed_object": q_latest_landed_object,
     "curated_create_or_merge": q_curated_create_or_merge,
+    "unpartitioned_table_create": q_unpartitioned_table_create,
     "dq_rules": q_dq_rules,
     "dq_violation_summary": q_dq_violation_summary,
     "incremental_ingest": q_incremental_ingest,

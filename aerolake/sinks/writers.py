@@ -64,9 +64,13 @@ def write_rejected(df: DataFrame, path: str, mode: str = "append") -> int:
     return int(obs.get.get("n", 0))
 
 
-def create_table(df: DataFrame, name: str, provider: str = "parquet") -> None:
-    """K6: unpartitioned create; fails if the table exists."""
-    df.writeTo(name).using(provider).create()
+def create_table(df: DataFrame, name: str, provider: str = "parquet", path: str | None = None) -> None:
+    """K6: unpartitioned create; fails if the table exists. With ``path`` the
+    table is external at that (shared) location instead of the warehouse."""
+    w = df.writeTo(name).using(provider)
+    if path:
+        w = w.option("path", path)
+    w.create()
 
 
 def preview_rows(df: DataFrame, columns: list[str], n: int = 20) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from aerolake.operators.dedupe import dedupe_by_key
 from aerolake.operators.merge import classify_merge, merge_frames, merge_inserts, merge_changed
-from aerolake.sinks.curated import create_curated_table, merge_into_table, check_table, table_exists
+from aerolake.sinks.curated import create_curated_table, merge_into_table, check_table, table_exists, table_location
+from aerolake.sinks.writers import create_table
 
 SCHEMA = "record_key string, payload_hash string, v int, event_date date, processing_run_id string"
 
@@ -125,3 +127,16 @@ def test_dedupe_hot_key_third_of_rows(spark):
     hot = out.where("record_key = 'hot'").first()
     # smallest (payload_hash, source_file) among the hot copies: h0 with the smallest file name
     assert (hot.payload_hash, hot.source_file) == ("h0", "f0")
+
+
+def test_unpartitioned_create_is_external_and_refuses_existing(spark, tmp_dir):
+    name = "t_smoke_create"
+    path = os.path.join(tmp_dir, "smoke")
+    rows = spark.createDataFrame([(1, "TEST123", "Germany"), (2, "TEST456", "France")],
+                                 "id int, callsign string, origin_country string")
+    create_table(rows, name, path=path)
+    check_table(spark, name, "parquet")
+    assert table_location(spark, name).endswith(path)
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "TEST123", "Germany"), (2, "TEST456", "France")]
+    with pytest.raises(Exception):
+        create_table(rows, name, path=path)
