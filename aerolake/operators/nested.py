@@ -65,8 +65,9 @@ def light_transform(
         F.lit(SOURCE_NAME).alias("source"),
         rt.alias("source_response_time"),
         ts_text.alias("ingestion_timestamp"),
-        F.size(ok).alias("record_count"),
-        (F.size(states) - F.size(ok)).alias("skipped_count"),
+        # NULL (not size(NULL), which is -1 with ANSI off) when the document has no states.
+        F.when(states.isNotNull(), F.size(ok)).alias("record_count"),
+        F.when(states.isNotNull(), F.size(states) - F.size(ok)).alias("skipped_count"),
         records.alias("states"),
         error.cast("string").alias("error"),
         *[F.col(c) for c in payloads.columns if c in ("base_position", "source_file")],

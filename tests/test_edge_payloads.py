@@ -158,7 +158,8 @@ def test_light_transform_missing_states(spark, ansi, tmp_dir):
     from aerolake.operators.explode import parse_state_elements
 
     docs = parse_state_elements(read_raw(spark, path))
-    assert light_transform(docs).first().error == "MISSING_STATES"
+    r = light_transform(docs).first()
+    assert (r.error, r.record_count, r.skipped_count) == ("MISSING_STATES", None, None)
     empty = parse_state_elements(read_raw(spark, write_file(os.path.join(tmp_dir, "e.json"), '{"time": 9, "states": []}')))
     r = light_transform(empty).first()
     assert (r.record_count, r.error) == (0, None)
