@@ -63,3 +63,43 @@ def test_moved_key_probe_is_pruned_by_response_time(spark, tmp_dir):
     # the probe reads keys and days only, never the payload
     assert all("payload_hash" not in s for s in read_schemas(probe))
     assert sorted(r[0] for r in probe.collect()) == [dt.date(2023, 11, 18)]
+
+
+def _keyed_exchanges(df, col):
+    from aerolake.plans.inspect import exchanges
+
+    return [e for e in exchanges(df) if col in e.split("hashpartitioning(", 1)[-1].split(")", 1)[0]]
+
+
+def test_merge_shuffles_each_side_once(spark):
+    """The deduped source stays partitioned on the key: one exchange per side, none after the dedupe."""
+    from pyspark.sql import functions as F
+
+    from aerolake.operators.merge import merge_frames
+
+    def frame(n, salt):
+        return spark.range(n).select(
+            F.concat(F.lit("k"), F.col("id").cast("string")).alias("record_key"),
+            F.concat(F.lit(salt), (F.col("id") % 3).cast("string")).alias("payload_hash"),
+            F.lit("f").alias("source_file"),
+        )
+
+    merged = merge_frames(frame(1000, "a"), dedupe_by_key(frame(500, "b")))
+    keyed = _keyed_exchanges(merged, "record_key")
+    assert len(keyed) == 2, keyed
+    assert "partial_min" in plan_text(merged, "simple")
+
+
+def test_rank_shuffle_is_bounded_by_sub_buckets(spark):
+    """A hot group is spread over (group, sub-bucket) partitions, not sent to one task."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from aerolake.operators.ranking import rank_within
+
+    df = spark.range(2000).select((F.col("id") % 1).alias("g"), F.col("id").alias("k"))
+    ranked = rank_within(df, "g", "k", "pos", bucket_width=64)
+    big_side = [e for e in _keyed_exchanges(ranked, "_sub") if "g#" in e]
+    assert big_side, plan_text(ranked, "simple")
+    exact = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
+    assert ranked.exceptAll(exact).count() == 0 and exact.exceptAll(ranked).count() == 0
