@@ -275,6 +275,11 @@ FROM vec""",
     "curated_create_or_merge": _MERGE_CTES + "SELECT event_date, count(*) AS n FROM merged GROUP BY event_date",
     "unpartitioned_table_create": CURATED
     + "SELECT origin_country, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY origin_country",
+    "curated_job_two_runs": _MERGE_CTES
+    + f"SELECT event_date, count(*) AS n, count(*) FILTER (WHERE processing_run_id = '{Q.RERUN_ID}') AS n_rerun "
+    "FROM merged GROUP BY event_date",
+    "processed_job": CURATED
+    + "SELECT event_date, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY event_date",
     "dq_rules": CURATED + f"SELECT record_key, {_dq_list()} AS violations FROM cur",
     "dq_violation_summary": _dq_summary(),
     "incremental_ingest": CURATED + "SELECT source_response_time, count(*) AS n FROM cur GROUP BY source_response_time",

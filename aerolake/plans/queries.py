@@ -48,6 +48,7 @@ from aerolake.session import configure, ensure_checkpoint_dir, scratch_path
 from aerolake.sinks.curated import check_table, create_curated_table, merge_into_table, table_exists
 from aerolake.sinks.writers import create_table, write_processed, write_rejected
 from aerolake.sources.fixtures import (
+    build_payloads,
     event_payloads,
     event_vectors,
     load_table,
@@ -123,9 +124,9 @@ def q_explode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _land_payloads(spark: SparkSession, sf_dir: str) -> str:
+def _land_payloads(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> str:
     base = scratch_path(spark, "landing")
-    docs = payloads(spark, sf_dir)
+    docs = payloads(spark, sf_dir) if docs is None else docs
     ingest_ts = F.timestamp_seconds(F.col("time") + F.lit(LANDING_DELAY_S))
     land_documents(docs, base, ingest_ts, payload_json())
     return base
@@ -379,6 +380,38 @@ def q_unpartitioned_table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_curated_job_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated batch job on landed files, twice - the first run creates
+    the table from the earlier response window, the second merges the overlapping,
+    corrected later window (inserts, updates, no-ops)."""
+    from aerolake.jobs import run_curated
+
+    ev = events(spark, sf_dir)
+    first = _land_payloads(spark, sf_dir, build_payloads(event_vectors(ev).where(F.expr(TARGET_SPLIT_SQL))))
+    edited = event_vectors(ev, F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
+    second = _land_payloads(spark, sf_dir, build_payloads(edited, RELANDED_PREFIX))
+    name = "curated_job_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    rejected = scratch_path(spark, "rejected")
+    run_curated(spark, first, name, rejected, scratch_path(spark, "curated"), run_id=RUN_ID, run_ts=RUN_TS)
+    run_curated(spark, second, name, rejected, run_id=RERUN_ID, run_ts=RUN_TS)
+    return spark.table(name).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("processing_run_id") == F.lit(RERUN_ID)).alias("n_rerun"),
+    )
+
+
+def q_processed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed batch job on every landed document, read back by day."""
+    from aerolake.jobs import run_processed
+
+    raw = _land_payloads(spark, sf_dir)
+    out = scratch_path(spark, "processed")
+    run_processed(spark, raw, out, scratch_path(spark, "rejected"), run_ts=RUN_TS)
+    return spark.read.parquet(out).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.count("callsign").alias("n_callsign")
+    )
+
+
 def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = with_violations(curated_all(spark, sf_dir))
     return v.select("record_key", F.array_join("violations", ",").alias("violations"))
@@ -437,6 +470,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_landed_object": q_latest_landed_object,
     "curated_create_or_merge": q_curated_create_or_merge,
     "unpartitioned_table_create": q_unpartitioned_table_create,
+    "curated_job_two_runs": q_curated_job_two_runs,
+    "processed_job": q_processed_job,
     "dq_rules": q_dq_rules,
     "dq_violation_summary": q_dq_violation_summary,
     "incremental_ingest": q_incremental_ingest,
