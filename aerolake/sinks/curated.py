@@ -6,18 +6,21 @@ Upsert algorithm (see ``merge_into_table``):
      the source (a key can move to another day when ``time_position`` changes).
      Found with a narrow semi-join (record_key, event_date only); the result is
      a set of dates, bounded by the calendar, not by the data.
-  3. Full-outer merge of the touched target days with the source, checkpointed
-     to the shared checkpoint folder (lineage cut before the same path is
-     overwritten).
-  4. Dynamic overwrite of the touched days; days left without rows are dropped
-     explicitly (dynamic overwrite cannot clear a day it writes no rows for).
+  3. Full-outer merge of the touched target days with the source, written
+     once into a hidden staging folder inside the table location (the lineage
+     cut before the table's own days are replaced; same file system, so the
+     swap below is a rename). Action counts are observed during that write.
+  4. Day swap: each touched day's old folder is renamed aside, the staged
+     folder renamed into place, then the old folder deleted; a touched day
+     with no staged folder (all its rows moved away) is removed.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators.dedupe import dedupe_by_key
@@ -126,14 +129,55 @@ def touched_days_frame(target: DataFrame, source: DataFrame, key: str = "record_
     return src_days.union(moved).distinct()
 
 
-def _delete_partition_dirs(spark: SparkSession, location: str, days: list[date | None]) -> None:
+STAGING_PREFIX = "_merge_staging_"
+MERGE_ACTIONS = ("insert", "update", "noop", "keep")
+
+
+def _swap_days(spark: SparkSession, location: str, staged: str, days: list[date | None]) -> None:
+    """Put each touched day's staged folder in place of the table's folder.
+
+    The old folder is renamed aside (not deleted) until the new one is in
+    place, so no day is ever absent while the merged copy exists only in
+    staging; a touched day with no staged folder is removed.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(location.rstrip("/"))
+    fs = root.getFileSystem(conf)
+    replaced = Path(f"{staged}-replaced")
+    fs.mkdirs(replaced)
     for d in days:
-        p = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}/{PARTITION_COL}={_day_value(d)}")
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
+        name = f"{PARTITION_COL}={_day_value(d)}"
+        new, cur, old = Path(f"{staged}/{name}"), Path(root, name), Path(replaced, name)
+        if fs.exists(cur) and not fs.rename(cur, old):
+            raise RuntimeError(f"could not move {cur} aside")
+        if fs.exists(new) and not fs.rename(new, cur):
+            raise RuntimeError(f"could not move {new} into place")
+    fs.delete(replaced, True)
+    fs.delete(Path(staged), True)
+
+
+def recover_interrupted_swaps(spark: SparkSession, location: str) -> None:
+    """Undo what a merge that died mid-swap left behind: a day folder that was
+    moved aside but not replaced is moved back (the rerun merges it again;
+    the merge is idempotent and heals duplicate keys), then leftover staging
+    folders are removed. Looks only at the table's top-level folders."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(location.rstrip("/"))
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return
+    leftovers = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith(STAGING_PREFIX)]
+    for aside in (p for p in leftovers if p.getName().endswith("-replaced")):
+        for st in fs.listStatus(aside):
+            cur = Path(root, st.getPath().getName())
+            if not fs.exists(cur) and not fs.rename(st.getPath(), cur):
+                raise RuntimeError(f"could not restore {cur}")
+    for p in leftovers:
+        fs.delete(p, True)
 
 
 def merge_into_location(
@@ -150,12 +194,13 @@ def merge_into_location(
     ``source`` must be unique per key (dedupe first). Returns action counts.
     """
     ensure_checkpoint_dir(spark)
+    recover_interrupted_swaps(spark, location)
     target = target if target is not None else spark.read.parquet(location)
     cols = target.columns
     source = source.select(*cols)
     if not source_materialized:
-        # The source is used by three actions (bounds, touched days, merge);
-        # materialise it once so its upstream scan runs once and stays identical.
+        # The source is used by two actions (touched days, merge); materialise it
+        # once so its upstream scan runs once and both see identical rows.
         source = source.checkpoint(eager=True)
     days = touched_days(target, source, key)
     target_days = target.where(_day_filter(days))
@@ -165,19 +210,23 @@ def merge_into_location(
         # on the join key, so the join reuses that partitioning) makes the
         # rerun converge to one row per key instead of carrying both copies.
         target_days = dedupe_by_key(target_days, key)
-    merged = merge_frames(target_days, source, key, with_action=True).checkpoint(eager=True)
-    # One small aggregate gives both the action counts and the days that still
-    # hold rows (bounded by #actions x #touched days).
-    per_day = merged.groupBy("merge_action", PARTITION_COL).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts: dict[str, int] = {}
-    for r in per_day:
-        counts[r["merge_action"]] = counts.get(r["merge_action"], 0) + r["n"]
-    present = {r[PARTITION_COL] for r in per_day}
-    result = merged.drop("merge_action")
+    merged = merge_frames(target_days, source, key, with_action=True)
+    obs = Observation("merge_actions")
+    action = F.col("merge_action")
+    observed = merged.observe(obs, *[F.count_if(action == F.lit(a)).alias(a) for a in MERGE_ACTIONS])
+    # Hidden folder ("_" prefix: skipped by partition discovery) inside the table
+    # location, so the day swap is a same-file-system rename.
+    staged = f"{location.rstrip('/')}/{STAGING_PREFIX}{uuid.uuid4().hex}"
     write_partitioned(
-        clustered_for_write(result), location, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
+        clustered_for_write(observed.drop("merge_action")),
+        staged,
+        PARTITION_COL,
+        mode="overwrite",
+        compression="zstd",
+        rebalance=False,
     )
-    _delete_partition_dirs(spark, location, [d for d in days if d not in present])
+    counts = {a: int(n) for a, n in obs.get.items() if n}
+    _swap_days(spark, location, staged, days)
     return counts
 
 

@@ -140,3 +140,21 @@ def test_unpartitioned_create_is_external_and_refuses_existing(spark, tmp_dir):
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [(1, "TEST123", "Germany"), (2, "TEST456", "France")]
     with pytest.raises(Exception):
         create_table(rows, name, path=path)
+
+
+def test_merge_recovers_day_left_aside_by_interrupted_swap(spark, tmp_dir):
+    """A merge that died after moving a day aside (before the staged copy was moved in)."""
+    from aerolake.sinks.curated import STAGING_PREFIX, merge_into_location
+    from aerolake.sinks.writers import write_partitioned
+
+    path = os.path.join(tmp_dir, "t")
+    write_partitioned(frame(spark, [("k1", "h1", 1, D1, "r1"), ("k2", "h2", 2, D2, "r1")]), path, "event_date")
+    aside = os.path.join(path, STAGING_PREFIX + "dead-replaced")
+    os.makedirs(aside)
+    os.rename(os.path.join(path, "event_date=2024-01-01"), os.path.join(aside, "event_date=2024-01-01"))
+    os.makedirs(os.path.join(path, STAGING_PREFIX + "dead", "event_date=2024-01-01"))
+    counts = merge_into_location(spark, path, frame(spark, [("k3", "h3", 3, D1, "r2")]))
+    assert counts == {"insert": 1, "keep": 1}
+    rows = sorted((r.record_key, r.event_date) for r in spark.read.parquet(path).collect())
+    assert rows == [("k1", D1), ("k2", D2), ("k3", D1)]
+    assert not [n for n in os.listdir(path) if n.startswith(STAGING_PREFIX)]
