@@ -178,6 +178,9 @@ ORACLE_SQL: dict[str, str] = {
     + str(MAX_STATES_PER_PAYLOAD)
     + """) AS n_files
 FROM vec GROUP BY source_response_time""",
+    "raw_day_partition_read": BASE
+    + f"""SELECT source_response_time, count(*) AS n_states, count(*) FILTER (WHERE field_count = 17) AS n_valid
+FROM vec WHERE CAST({_LANDING_TS} AS DATE) = {_DAY} GROUP BY source_response_time""",
     "validate_split_valid": BASE
     + "SELECT source_response_time, state_position, field_count FROM vec "
     "WHERE state IS NOT NULL AND field_count = 17",
@@ -244,6 +247,7 @@ FROM vec""",
        CASE WHEN event_date <= (SELECT min(event_date) FROM cur) + 1 THEN 'opensky-rerun' ELSE 'opensky' END AS source,
        count(*) AS n
 FROM cur GROUP BY ALL""",
+    "processed_table_discovery": CURATED + "SELECT event_date, count(*) AS n FROM cur GROUP BY event_date",
     "pruned_day_projection": CURATED + f"SELECT icao24, callsign, velocity_m_s FROM cur WHERE event_date = {_DAY}",
     "country_counts_for_day": CURATED
     + f"SELECT origin_country, count(*) AS n FROM cur WHERE event_date = {_DAY} GROUP BY origin_country",

@@ -55,8 +55,8 @@ from aerolake.sources.fixtures import (
     vectors_as_exploded,
 )
 from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, land_documents, latest_object, list_files, payload_json
-from aerolake.sources.raw_json import read_raw
-from aerolake.sources.tables import read_table
+from aerolake.sources.raw_json import read_raw, read_raw_partition
+from aerolake.sources.tables import read_table, register_parquet_table
 
 # Fixed literals that stand in for per-run values.
 RUN_ID = "run-fixed-0001"
@@ -143,6 +143,20 @@ def q_raw_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_raw_day_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental selection - one landing day of the raw prefix, chosen by a
+    ``year/month/day`` partition filter (pruned at planning time, other days' files
+    are never opened)."""
+    base = _land_payloads(spark, sf_dir)
+    d = QUERY_DAY
+    raw = parse_state_elements(read_raw_partition(spark, base, year=d.year, month=d.month, day=d.day))
+    rows = with_field_count(explode_states(raw))
+    return rows.groupBy("source_response_time").agg(
+        F.count(F.lit(1)).alias("n_states"),
+        F.count_if(F.col("field_count") == 17).alias("n_valid"),
+    )
+
+
 def q_validate_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = split_valid_rejected(exploded(spark, sf_dir))
     return valid.select("source_response_time", "state_position", "field_count")
@@ -282,6 +296,14 @@ def q_dynamic_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
     return spark.read.parquet(path).groupBy("event_date", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_processed_table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema and partition discovery over written Parquet (``CREATE TABLE ... LOCATION``
+    + ``MSCK REPAIR``), then the per-day counts through the catalog."""
+    path = _write_processed_table(spark, sf_dir)
+    name = "processed_" + path.rsplit("-", 1)[-1]
+    return register_parquet_table(spark, name, path).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_pruned_day_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _write_processed_table(spark, sf_dir)
     return narrow_projection(spark.read.parquet(path).where(F.col("event_date") == F.lit(QUERY_DAY)))
@@ -442,6 +464,7 @@ def q_end_to_end_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_payloads": q_explode_payloads,
     "raw_json_scan": q_raw_json_scan,
+    "raw_day_partition_read": q_raw_day_partition_read,
     "validate_split_valid": q_validate_split_valid,
     "validate_split_rejected": q_validate_split_rejected,
     "reject_audit": q_reject_audit,
@@ -460,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_counts": q_reconcile_counts,
     "processed_parquet_roundtrip": q_processed_parquet_roundtrip,
     "dynamic_partition_overwrite": q_dynamic_partition_overwrite,
+    "processed_table_discovery": q_processed_table_discovery,
     "pruned_day_projection": q_pruned_day_projection,
     "country_counts_for_day": q_country_counts_for_day,
     "country_counts_sql": q_country_counts_sql,

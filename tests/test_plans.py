@@ -36,7 +36,8 @@ def test_pruned_day_projection_plan(spark, tmp_dir):
 def test_no_python_udf(spark, name):
     if name in {"raw_json_scan", "reject_audit", "processed_parquet_roundtrip", "dynamic_partition_overwrite",
                 "pruned_day_projection", "country_counts_for_day", "curated_create_or_merge", "incremental_ingest",
-                "curated_job_two_runs", "processed_job", "unpartitioned_table_create"}:
+                "curated_job_two_runs", "processed_job", "unpartitioned_table_create",
+                "raw_day_partition_read", "processed_table_discovery"}:
         pytest.skip("writes files before the final plan; covered by the other plans")
     assert_no_python(entry.queries()[name](spark, SF_SMALL))
 
@@ -104,3 +105,12 @@ def test_rank_shuffle_is_bounded_by_sub_buckets(spark):
     assert big_side, plan_text(ranked, "simple")
     exact = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1)
     assert ranked.exceptAll(exact).count() == 0 and exact.exceptAll(ranked).count() == 0
+
+
+def test_raw_day_read_prunes_landing_partitions(spark):
+    from aerolake.plans.inspect import partition_filters
+
+    df = entry.queries()["raw_day_partition_read"](spark, SF_SMALL)
+    filters = " ".join(partition_filters(df))
+    assert all(f"{c}#" in filters for c in ("year", "month", "day")), filters
+    assert_no_python(df)
