@@ -276,6 +276,21 @@ FROM vec GROUP BY ALL""",
        || '/day=' || strftime({_LANDING_TS}, '%d') || '/hour=' || strftime({_LANDING_TS}, '%H')
        || '/' || strftime({_LANDING_TS}, '%Y%m%dT%H%M%SZ') || '.json' AS landing_key
 FROM vec""",
+    "corrupt_document_rejects": BASE.rstrip("\n")
+    + f""",
+docs AS (
+    SELECT DISTINCT source_response_time, state_position // {MAX_STATES_PER_PAYLOAD} AS chunk FROM vec
+), rej AS (
+    SELECT CASE WHEN state IS NULL THEN 'STATE_ARRAY_IS_NULL'
+                ELSE 'INVALID_FIELD_COUNT_EXPECTED_17_ACTUAL_' || CAST(field_count AS VARCHAR) END AS rejection_reason,
+           'OK' AS payload_status, source_response_time
+    FROM vec WHERE hour({_LANDING_TS}) <> 0 AND NOT (state IS NOT NULL AND field_count = 17)
+    UNION ALL
+    SELECT 'STATE_ARRAY_IS_NULL', 'CORRUPT_DOCUMENT', CAST(NULL AS BIGINT) FROM docs WHERE hour({_LANDING_TS}) = 0
+)
+SELECT rejection_reason, payload_status, count(*) AS n,
+       count(*) FILTER (WHERE source_response_time IS NULL) AS n_no_time
+FROM rej GROUP BY rejection_reason, payload_status""",
     "curated_create_or_merge": _MERGE_CTES + "SELECT event_date, count(*) AS n FROM merged GROUP BY event_date",
     "unpartitioned_table_create": CURATED
     + "SELECT origin_country, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY origin_country",

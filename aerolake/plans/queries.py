@@ -55,7 +55,7 @@ from aerolake.sources.fixtures import (
     vectors_as_exploded,
 )
 from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, land_documents, latest_object, list_files, payload_json
-from aerolake.sources.raw_json import read_raw, read_raw_partition
+from aerolake.sources.raw_json import payload_status, read_raw, read_raw_partition
 from aerolake.sources.tables import read_table, register_parquet_table
 
 # Fixed literals that stand in for per-run values.
@@ -372,6 +372,19 @@ def q_landing_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_landed(spark, base).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_corrupt_document_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents, the 00:00-hour ones truncated. A corrupt document flows to the
+    rejects as one ``STATE_ARRAY_IS_NULL`` row without response time; ``payload_status``
+    tells it apart from a NULL vector inside a good document."""
+    base = _seeded_landing(spark, sf_dir)
+    docs = parse_state_elements(read_raw(spark, base)).withColumn("payload_status", payload_status())
+    _, rejected = split_valid_rejected(explode_states(docs, keep=["payload_status"]))
+    return rejected.groupBy("rejection_reason", "payload_status").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("source_response_time").isNull()).alias("n_no_time"),
+    )
+
+
 def q_latest_landed_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _seeded_landing(spark, sf_dir)
     latest = latest_object(list_files(spark, base)).first()
@@ -492,6 +505,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_key": q_landing_key,
     "landing_validation": q_landing_validation,
     "latest_landed_object": q_latest_landed_object,
+    "corrupt_document_rejects": q_corrupt_document_rejects,
     "curated_create_or_merge": q_curated_create_or_merge,
     "unpartitioned_table_create": q_unpartitioned_table_create,
     "curated_job_two_runs": q_curated_job_two_runs,
