@@ -30,3 +30,19 @@ def test_incremental_once_and_upsert(spark, tmp_dir):
     run_incremental(spark, raw, out, ckpt, "r3", None)
     rows = {r.icao24: (r.velocity_m_s, r.processing_run_id) for r in spark.read.parquet(out).collect()}
     assert rows == {"aaa": (99.0, "r3"), "bbb": (10.0, "r3")}
+
+
+def test_replayed_first_batch_after_failed_write_creates(spark, tmp_dir):
+    """A first batch that died mid-write leaves only ``_temporary``; the replay creates the data."""
+    from aerolake.sources.raw_json import read_raw
+    from aerolake.streaming.incremental import upsert_batch
+
+    raw = os.path.join(tmp_dir, "raw")
+    out = os.path.join(tmp_dir, "out")
+    os.makedirs(os.path.join(out, "_temporary", "0"))
+    write_file(os.path.join(raw, "a.json"), json.dumps({"time": 1784188215, "states": [vector("aaa", 1784188214)]}))
+    counts = upsert_batch(spark, read_raw(spark, raw), out, "r1", None)
+    assert counts == {"insert": 1}
+    assert spark.read.parquet(out).count() == 1
+    # the next batch merges into what is now there
+    assert upsert_batch(spark, read_raw(spark, raw), out, "r2", None) == {"noop": 1}
