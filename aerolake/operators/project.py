@@ -28,8 +28,10 @@ def project_state_vector(
     run_id: str | None,
     run_ts: datetime | None,
     source: str = SOURCE_NAME,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """17 typed columns from the positional slots + carried metadata + run literals.
+    """17 typed columns from the positional slots + carried metadata + run literals
+    (+ any ``keep`` columns, e.g. ``cast_failures``, appended at the end).
 
     Casts are ANSI-independent (``get`` + ``try_cast``): junk text gives NULL,
     it never fails the job. ``callsign`` is trimmed of spaces.
@@ -51,6 +53,7 @@ def project_state_vector(
         f"{_sql_str(source)} AS source",
         f"{run_id_sql} AS processing_run_id",
         f"{run_ts_sql} AS ingestion_timestamp",
+        *[f"`{c}`" for c in keep],
     )
 
 
@@ -97,9 +100,11 @@ def curate(
     run_id: str | None,
     run_ts: datetime | None,
     source: str = SOURCE_NAME,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Valid exploded rows -> the 31-column curated schema, in contract order."""
-    df = project_state_vector(valid, run_id, run_ts, source)
+    """Valid exploded rows -> the 31-column curated schema, in contract order
+    (+ ``keep`` columns carried through after them)."""
+    df = project_state_vector(valid, run_id, run_ts, source, keep)
     derived = {**_event_time_columns(), **_unit_columns()}
     if "source_file" not in df.columns:
         derived["source_file"] = F.lit(None).cast("string")
@@ -107,7 +112,7 @@ def curate(
     df = df.withColumns(
         {"record_key": sha256_concat(RECORD_KEY_COLUMNS), "payload_hash": sha256_concat(PAYLOAD_HASH_COLUMNS)}
     )
-    return df.select(*CURATED_COLUMNS)
+    return df.select(*CURATED_COLUMNS, *keep)
 
 
 def processed_projection(curated: DataFrame) -> DataFrame:

@@ -71,16 +71,20 @@ def _hash_sql(cols: list[str]) -> str:
 
 def _curated_ctes(name: str, vec: str, prefix: str, run_id: str) -> str:
     typed = []
+    failures = []
     for index, col, type_name in STATE_SLOTS:
         raw = f"state[{index + 1}]"
         if type_name == "string":
             expr = f"trim({raw})" if col == "callsign" else raw
         else:
             expr = f"try_cast({raw} AS {_DUCK_TYPES[type_name]})"
+            failures.append(f"CASE WHEN {raw} IS NOT NULL AND {expr} IS NULL THEN 1 ELSE 0 END")
         typed.append(f"{expr} AS {col}")
     typed_sql = ",\n        ".join(typed)
+    failures_sql = f"({' + '.join(failures)}) AS n_cast_failures"
     return f"""{name}_typed AS (
     SELECT event_id, {typed_sql},
+        {failures_sql},
         source_response_time, {_source_file_sql(prefix)} AS source_file, state_position,
         'opensky' AS source, '{run_id}' AS processing_run_id
     FROM {vec}
@@ -154,6 +158,7 @@ _DQ_RULES = [
     ("TRUE_TRACK_OUT_OF_RANGE", "NOT (true_track_degrees BETWEEN 0 AND 360)"),
     ("LAST_CONTACT_AFTER_RESPONSE", "last_contact > source_response_time + 0"),
     ("EVENT_TIME_MISSING", "event_timestamp_epoch IS NULL"),
+    ("TYPE_CONVERSION_FAILED", "n_cast_failures > 0"),
 ]
 
 

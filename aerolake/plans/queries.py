@@ -36,7 +36,7 @@ from aerolake.operators.project import (
     with_payload_hash,
     with_record_key,
 )
-from aerolake.operators.quality import violation_summary, with_violations
+from aerolake.operators.quality import CAST_FAILURES_COL, violation_summary, with_cast_failures, with_violations
 from aerolake.operators.validate import (
     reconcile_counts,
     split_valid_rejected,
@@ -447,13 +447,18 @@ def q_processed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _curated_with_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = split_valid_rejected(exploded(spark, sf_dir))
+    return curate(with_cast_failures(valid), RUN_ID, RUN_TS, keep=(CAST_FAILURES_COL,))
+
+
 def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = with_violations(curated_all(spark, sf_dir))
+    v = with_violations(_curated_with_cast_failures(spark, sf_dir))
     return v.select("record_key", F.array_join("violations", ",").alias("violations"))
 
 
 def q_dq_violation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return violation_summary(curated_all(spark, sf_dir))
+    return violation_summary(_curated_with_cast_failures(spark, sf_dir))
 
 
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,3 +165,19 @@ def test_light_transform_missing_states(spark, ansi, tmp_dir):
     assert (r.record_count, r.error) == (0, None)
     with pytest.raises(Exception):
         light_transform(docs, fail_on_missing=True).collect()
+
+
+def test_type_conversion_failures_flagged(spark, ansi, tmp_dir):
+    from aerolake.operators.quality import violation_summary, with_cast_failures, with_violations
+
+    bad = vec(i4='"1784188214.0"', i3='"notanum"', i8='"maybe"', i12='"oops"')
+    _, valid, _ = run(spark, tmp_dir, f'{{"time": 1784188215, "states": [{bad}, {GOOD}]}}')
+    cur = curate(with_cast_failures(valid), "r", None, keep=("cast_failures",))
+    rows = {r.state_position: (r.cast_failures, r.violations) for r in with_violations(cur).collect()}
+    # "1784188214.0" still converts (lenient long); NULL text is not a failure
+    assert rows[0][0] == ["time_position", "on_ground", "sensors"]
+    assert "TYPE_CONVERSION_FAILED" in rows[0][1]
+    assert rows[1] == ([], [])
+    summary = {r.rule: r.n for r in violation_summary(cur).collect()}
+    assert summary["TYPE_CONVERSION_FAILED"] == 1
+    assert cur.columns[-1] == "cast_failures" and "cast_failures" not in curate(valid, "r", None).columns
