@@ -10,7 +10,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from urllib.parse import urlparse
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +37,21 @@ LISTING_SCHEMA = T.StructType(
 )
 
 
-def _binary_scan(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+def _binary_scan(spark: SparkSession, path: str, modified_after: datetime | None = None) -> DataFrame:
+    """Recursive ``binaryFile`` scan. ``modified_after`` filters files by modification
+    time while listing (the ``modifiedAfter`` file-source option), so older files are
+    never opened - an incremental check reads only what landed since the last run."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", _session_local_text(spark, modified_after))
+    return reader.load(path)
+
+
+def _session_local_text(spark: SparkSession, ts: datetime) -> str:
+    """``modifiedAfter`` takes wall-clock text in the session time zone."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))).replace(tzinfo=None)
+    return ts.strftime("%Y-%m-%dT%H:%M:%S")
 
 
 def _norm(uri: str) -> tuple[str, str, str]:
@@ -66,7 +81,7 @@ def _zero_byte_files(spark: SparkSession, scan: DataFrame) -> list[tuple[str, in
     return out
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str, modified_after: datetime | None = None) -> DataFrame:
     """Recursive listing ``(path, length, modification_time ms)`` including zero-byte files.
 
     Non-empty files come from a ``binaryFile`` scan that reads no bodies
@@ -75,7 +90,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], LISTING_SCHEMA)
-    scan = _binary_scan(spark, path)
+    scan = _binary_scan(spark, path, modified_after)
     listed = scan.select(
         "path", "length", F.unix_millis("modificationTime").alias("modification_time")
     )
@@ -108,15 +123,17 @@ def landing_code(length: Column, content: Column) -> Column:
     )
 
 
-def classify_landed(spark: SparkSession, path: str, listing: DataFrame | None = None) -> DataFrame:
-    """S6 for every file below ``path`` (or only the files in ``listing``):
-    ``path, length, modification_time, code``.
+def classify_landed(
+    spark: SparkSession, path: str, listing: DataFrame | None = None, modified_after: datetime | None = None
+) -> DataFrame:
+    """S6 for every file below ``path`` (or only the files in ``listing``, or only
+    files modified after ``modified_after``): ``path, length, modification_time, code``.
 
     File bodies are read and checked by the executors (``binaryFile``), never
     by the driver; zero-byte files, which the scan skips, are reported as
     ``EMPTY_OBJECT``.
     """
-    scan = _binary_scan(spark, path)
+    scan = _binary_scan(spark, path, modified_after)
     checked = scan.select(
         "path",
         "length",

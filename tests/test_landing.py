@@ -71,3 +71,19 @@ def test_latest_tie_goes_to_first_path(spark, tmp_dir):
 def test_no_objects(spark, tmp_dir):
     with pytest.raises(RuntimeError, match="No raw objects"):
         validate_latest(spark, os.path.join(tmp_dir, "nothing"))
+
+
+def test_incremental_check_skips_older_files(spark, tmp_dir):
+    """Only files landed after the cut-off are listed and read (old junk is never opened)."""
+    import datetime as dt
+
+    base = os.path.join(tmp_dir, "raw")
+    now = time.time()
+    os.utime(write_file(os.path.join(base, "old_bad.json"), '{"time": 1, "sta'), (now - 7200, now - 7200))
+    os.utime(write_file(os.path.join(base, "old_empty.json"), b""), (now - 7200, now - 7200))
+    write_file(os.path.join(base, "new.json"), GOOD)
+    cut = dt.datetime.fromtimestamp(now - 3600, tz=dt.timezone.utc)
+    codes = {os.path.basename(r.path): r.code for r in classify_landed(spark, base, modified_after=cut).collect()}
+    assert codes == {"new.json": "OK"}
+    assert [os.path.basename(r.path) for r in list_files(spark, base, modified_after=cut).collect()] == ["new.json"]
+    assert len(classify_landed(spark, base).collect()) == 3
