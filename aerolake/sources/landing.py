@@ -157,12 +157,13 @@ def latest_object(listing: DataFrame) -> DataFrame:
     return listing.orderBy(F.col("modification_time").desc(), F.col("path").asc()).limit(1)
 
 
-def validate_latest(spark: SparkSession, path: str) -> str:
+def validate_latest(spark: SparkSession, path: str, modified_after: datetime | None = None) -> str:
     """Return the URI of the latest landed object, or raise with its failure code.
 
-    Only the latest object's bytes are read.
+    Only the latest object's bytes are read; ``modified_after`` (e.g. the previous
+    run's start) keeps the listing to recently landed files.
     """
-    latest = latest_object(list_files(spark, path)).first()
+    latest = latest_object(list_files(spark, path, modified_after)).first()
     if latest is None:
         raise RuntimeError(f"No raw objects were found under {path}")
     if latest["length"] <= 0:

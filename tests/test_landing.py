@@ -87,3 +87,6 @@ def test_incremental_check_skips_older_files(spark, tmp_dir):
     assert codes == {"new.json": "OK"}
     assert [os.path.basename(r.path) for r in list_files(spark, base, modified_after=cut).collect()] == ["new.json"]
     assert len(classify_landed(spark, base).collect()) == 3
+    assert validate_latest(spark, base, modified_after=cut).endswith("new.json")
+    with pytest.raises(RuntimeError, match="No raw objects"):
+        validate_latest(spark, base, modified_after=dt.datetime.fromtimestamp(now + 3600, tz=dt.timezone.utc))
