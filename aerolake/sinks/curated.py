@@ -133,12 +133,15 @@ STAGING_PREFIX = "_merge_staging_"
 MERGE_ACTIONS = ("insert", "update", "noop", "keep")
 
 
-def _swap_days(spark: SparkSession, location: str, staged: str, days: list[date | None]) -> None:
+def _swap_days(
+    spark: SparkSession, location: str, staged: str, days: list[date | None]
+) -> tuple[list[date | None], list[date | None]]:
     """Put each touched day's staged folder in place of the table's folder.
 
     The old folder is renamed aside (not deleted) until the new one is in
     place, so no day is ever absent while the merged copy exists only in
-    staging; a touched day with no staged folder is removed.
+    staging; a touched day with no staged folder is removed. Returns the
+    touched days that hold rows and the ones left empty.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -147,15 +150,21 @@ def _swap_days(spark: SparkSession, location: str, staged: str, days: list[date
     fs = root.getFileSystem(conf)
     replaced = Path(f"{staged}-replaced")
     fs.mkdirs(replaced)
+    present, emptied = [], []
     for d in days:
         name = f"{PARTITION_COL}={_day_value(d)}"
         new, cur, old = Path(f"{staged}/{name}"), Path(root, name), Path(replaced, name)
         if fs.exists(cur) and not fs.rename(cur, old):
             raise RuntimeError(f"could not move {cur} aside")
-        if fs.exists(new) and not fs.rename(new, cur):
-            raise RuntimeError(f"could not move {new} into place")
+        if fs.exists(new):
+            if not fs.rename(new, cur):
+                raise RuntimeError(f"could not move {new} into place")
+            present.append(d)
+        else:
+            emptied.append(d)
     fs.delete(replaced, True)
     fs.delete(Path(staged), True)
+    return present, emptied
 
 
 def recover_interrupted_swaps(spark: SparkSession, location: str) -> None:
@@ -193,6 +202,20 @@ def merge_into_location(
 
     ``source`` must be unique per key (dedupe first). Returns action counts.
     """
+    counts, _, _ = _merge_location(spark, location, source, key, target, heal_duplicates, source_materialized)
+    return counts
+
+
+def _merge_location(
+    spark: SparkSession,
+    location: str,
+    source: DataFrame,
+    key: str,
+    target: DataFrame | None,
+    heal_duplicates: bool,
+    source_materialized: bool,
+) -> tuple[dict, list[date | None], list[date | None]]:
+    """The merge; also returns the touched days that hold rows and those left empty."""
     ensure_checkpoint_dir(spark)
     recover_interrupted_swaps(spark, location)
     target = target if target is not None else spark.read.parquet(location)
@@ -226,18 +249,37 @@ def merge_into_location(
         rebalance=False,
     )
     counts = {a: int(n) for a, n in obs.get.items() if n}
-    _swap_days(spark, location, staged, days)
-    return counts
+    present, emptied = _swap_days(spark, location, staged, days)
+    return counts, present, emptied
+
+
+def _partition_spec(d: date) -> str:
+    return f"PARTITION ({PARTITION_COL} = '{d.isoformat()}')"
+
+
+def sync_touched_partitions(
+    spark: SparkSession, name: str, present: list[date | None], emptied: list[date | None]
+) -> None:
+    """Register / unregister only the touched days (cost grows with the batch, not
+    with the table's history); the NULL default partition falls back to a full
+    ``MSCK REPAIR``."""
+    if any(d is None for d in present + emptied):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        return
+    if present:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(_partition_spec(d) for d in present))
+    if emptied:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(_partition_spec(d) for d in emptied))
 
 
 def merge_into_table(
     spark: SparkSession, name: str, source: DataFrame, key: str = "record_key", source_materialized: bool = False
 ) -> dict:
-    """J1 against a catalog Parquet table (partition metadata re-synced afterwards)."""
-    counts = merge_into_location(
-        spark, table_location(spark, name), source, key, spark.table(name), source_materialized=source_materialized
+    """J1 against a catalog Parquet table (touched partitions re-synced afterwards)."""
+    counts, present, emptied = _merge_location(
+        spark, table_location(spark, name), source, key, spark.table(name), True, source_materialized
     )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    sync_touched_partitions(spark, name, present, emptied)
     spark.catalog.refreshTable(name)
     return counts
 

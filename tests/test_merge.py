@@ -76,6 +76,9 @@ def test_table_merge_moves_day_and_drops_emptied(spark, tmp_dir):
     rows = {r.record_key: r.event_date for r in spark.table(name).collect()}
     assert rows == {"k1": D3, "k2": D2, "k3": None, "k4": D2}
     assert not os.path.exists(os.path.join(path, "event_date=2024-01-01"))
+    # only the touched days were re-synced: D3 registered, emptied D1 unregistered
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    assert parts == {"event_date=2024-01-02", "event_date=2024-01-03", "event_date=__HIVE_DEFAULT_PARTITION__"}
     # identical rerun is all no-op and leaves the table unchanged
     before = spark.table(name).collect()
     counts = merge_into_table(spark, name, source)
