@@ -27,6 +27,7 @@ from aerolake.operators.dedupe import dedupe_by_key
 from aerolake.operators.merge import merge_frames
 from aerolake.session import ensure_checkpoint_dir
 from aerolake.sinks.writers import write_partitioned
+from aerolake.sources.tables import register_parquet_table
 
 PARTITION_COL = "event_date"
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -167,6 +168,18 @@ def _swap_days(
     return present, emptied
 
 
+def has_committed_days(spark: SparkSession, path: str) -> bool:
+    """True once a write has committed at least one ``event_date=`` folder under ``path``
+    (a write that died mid-way leaves only the committer's ``_temporary`` folder).
+    Lists only the top level (one entry per day)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    return any(st.getPath().getName().startswith(f"{PARTITION_COL}=") for st in fs.listStatus(p))
+
+
 def recover_interrupted_swaps(spark: SparkSession, location: str) -> None:
     """Undo what a merge that died mid-swap left behind: a day folder that was
     moved aside but not replaced is moved back (the rerun merges it again;
@@ -319,5 +332,10 @@ def write_curated(
             merge_into_row_level(df, name)
             return {"merged": count if count is not None else df.count()}
         return merge_into_table(spark, name, df, source_materialized=count is not None)
+    if path and has_committed_days(spark, path):
+        # The catalog entry is gone but the data is not: register the folder
+        # again (schema + partition discovery) and merge instead of re-creating.
+        register_parquet_table(spark, name, path)
+        return merge_into_table(spark, name, df, source_materialized=count is not None)
     create_curated_table(df, name, path)
     return {"insert": count if count is not None else df.count()}

@@ -19,33 +19,18 @@ from aerolake.operators.explode import explode_states, parse_state_elements
 from aerolake.operators.project import curate
 from aerolake.operators.validate import split_valid_rejected
 from aerolake.schema import RAW_SCHEMA
-from aerolake.sinks.curated import PARTITION_COL, clustered_for_write, merge_into_location
+from aerolake.sinks.curated import PARTITION_COL, clustered_for_write, has_committed_days, merge_into_location
 from aerolake.sinks.writers import write_partitioned
 
 MAX_FILES_PER_TRIGGER = 1000
 
 
-def _has_committed_days(spark: SparkSession, path: str) -> bool:
-    """True once a write has committed at least one ``event_date=`` folder under ``path``.
-
-    A first batch that died mid-write leaves only the committer's ``_temporary``
-    folder; its replay must create the data again, not merge into nothing.
-    Lists only the top level (one entry per day).
-    """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
-    return any(st.getPath().getName().startswith(f"{PARTITION_COL}=") for st in fs.listStatus(p))
-
-
 def upsert_batch(spark: SparkSession, raw_batch: DataFrame, out_path: str, run_id: str, run_ts: datetime) -> dict:
     rows = explode_states(parse_state_elements(raw_batch))
     valid, _ = split_valid_rejected(rows)
     # One reliable materialisation per micro-batch: the batch files are read once.
     source = dedupe_by_key(curate(valid, run_id, run_ts)).checkpoint(eager=True)
-    if not _has_committed_days(spark, out_path):
+    if not has_committed_days(spark, out_path):
         write_partitioned(
             clustered_for_write(source), out_path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
         )

@@ -72,3 +72,19 @@ def test_processed_job(spark, tmp_dir):
     days = sorted(str(r.event_date) for r in spark.read.parquet(out).select("event_date").collect())
     assert days == ["2026-07-15", "2026-07-16"]
     assert "record_key" not in spark.read.parquet(out).columns
+
+
+def test_lost_catalog_entry_reregisters_and_merges(spark, tmp_dir):
+    """The table folder outlives its catalog entry: the next run registers it again and merges."""
+    raw1 = os.path.join(tmp_dir, "raw1")
+    raw2 = os.path.join(tmp_dir, "raw2")
+    name = "curated_job_t5"
+    tpath = os.path.join(tmp_dir, "cur")
+    land(raw1, "a.json", 1784188215, [vector("aaa", 1784188214), vector("bbb", 1784188214)])
+    run_curated(spark, raw1, name, os.path.join(tmp_dir, "rej"), tpath, run_id="r1")
+    spark.sql(f"DROP TABLE {name}")  # external table: the files stay
+    land(raw2, "a.json", 1784188215, [vector("aaa", 1784188214, vel=11.0)])
+    s = run_curated(spark, raw2, name, os.path.join(tmp_dir, "rej"), tpath, run_id="r2")
+    assert s.actions == {"update": 1, "keep": 1}
+    rows = {r.icao24: (r.velocity_m_s, r.processing_run_id) for r in spark.table(name).collect()}
+    assert rows == {"aaa": (11.0, "r2"), "bbb": (10.0, "r1")}
