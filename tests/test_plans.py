@@ -44,6 +44,8 @@ def test_no_python_udf(spark, name):
     limits = [n for n in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit")
               if n in plan_text(df, "simple")]
     assert limits == [] or name in LIMIT_IS_THE_FEATURE, limits
+    # no cross joins / all-pairs plans
+    assert not [n for n in ("CartesianProduct", "BroadcastNestedLoopJoin") if n in plan_text(df, "simple")]
 
 
 def test_dedupe_has_map_side_partial_aggregate(spark):
@@ -118,3 +120,16 @@ def test_raw_day_read_prunes_landing_partitions(spark):
     filters = " ".join(partition_filters(df))
     assert all(f"{c}#" in filters for c in ("year", "month", "day")), filters
     assert_no_python(df)
+
+
+def test_package_source_avoids_forbidden_calls():
+    """No local checkpoints, no unchecked broadcast hints, no Python UDFs anywhere in the package."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parent.parent / "aerolake"
+    pattern = re.compile(r"localCheckpoint\(|\bbroadcast\(|\.hint\(\s*[\"']broadcast|@udf\b|F\.udf\(|pandas_udf")
+    hits = [f"{p.name}:{i}" for p in root.rglob("*.py")
+            for i, line in enumerate(p.read_text().splitlines(), 1)
+            if pattern.search(line) and not line.lstrip().startswith("#")]
+    assert hits == []
