@@ -35,10 +35,13 @@ def _vec_ctes(name: str, value_sql: str = "value") -> str:
     SELECT event_id, user_id, event_type, {value_sql} AS value,
            CAST(floor(epoch(ts)) AS BIGINT) AS ep
     FROM events
-), {name}_pos AS (
-    SELECT *, (ep // 3600 + 1) * 3600 AS source_response_time,
-           CAST(row_number() OVER (PARTITION BY ep // 3600 ORDER BY event_id) - 1 AS INTEGER) AS state_position
+), {name}_rn AS (
+    SELECT *, row_number() OVER (PARTITION BY ep // 3600 ORDER BY event_id) - 1 AS rn
     FROM {name}_ev
+), {name}_pos AS (
+    SELECT *, (ep // 3600 + 1) * 3600 + rn // {MAX_STATES_PER_PAYLOAD} AS source_response_time,
+           CAST(rn % {MAX_STATES_PER_PAYLOAD} AS INTEGER) AS state_position
+    FROM {name}_rn
 ), {name}_full AS (
     SELECT event_id, source_response_time, state_position, [
         {slots}

@@ -1,9 +1,9 @@
 """Map the supplied ``events`` table onto OpenSky-style state vectors.
 
-One event becomes one 17-slot string vector; all events of one UTC hour form
-one response payload (``time`` = end of the hour), split into chunks of at
-most ``MAX_STATES_PER_PAYLOAD`` vectors so no payload (and no task) grows with
-the table. A few vectors are deliberately malformed by fixed id rules so the
+One event becomes one 17-slot string vector; the events of one UTC hour form
+the response payloads of that hour (``time`` = end of the hour, + k seconds for
+the k-th response when an hour holds more than ``MAX_STATES_PER_PAYLOAD``
+vectors), so no payload (and no task) grows with the table. A few vectors are deliberately malformed by fixed id rules so the
 validation paths see NULL, short and long vectors.
 
 The slot expressions are SQL text; the same text runs in Spark and in the
@@ -84,14 +84,20 @@ def state_array_expr() -> F.Column:
 def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame:
     """events -> (event_id, source_response_time, state_position, state).
 
-    ``state_position`` = rank of ``event_id`` inside its hour (skew-safe rank).
+    The events of one UTC hour, ranked by ``event_id`` (skew-safe rank), form
+    the responses of that hour: response ``k`` (time = end of the hour + ``k``
+    seconds) holds ranks ``k * MAX_STATES_PER_PAYLOAD`` onwards, and
+    ``state_position`` is the position inside that response - exactly what
+    exploding the landed document gives back. An hour needs a second response
+    only beyond ``MAX_STATES_PER_PAYLOAD`` events.
     """
     base = events_with_epoch(events, value)
-    ranked = rank_within(base, "hour_bucket", "event_id", "state_position")
+    ranked = rank_within(base, "hour_bucket", "event_id", "_rn")
+    per_doc = int(MAX_STATES_PER_PAYLOAD)
     return ranked.select(
         "event_id",
-        ((F.col("hour_bucket") + 1) * 3600).alias("source_response_time"),
-        "state_position",
+        ((F.col("hour_bucket") + 1) * 3600 + F.expr(f"_rn div {per_doc}")).alias("source_response_time"),
+        F.expr(f"_rn % {per_doc}").cast("int").alias("state_position"),
         state_array_expr().alias("state"),
     )
 
