@@ -103,15 +103,24 @@ def _curated_from_vectors(vectors: DataFrame, prefix: str, run_id: str) -> DataF
     return curate(valid, run_id, RUN_TS)
 
 
+def _hour_window(sql: str) -> F.Column:
+    """The response-time window on the events of whole hours (both split points are hour
+    boundaries and a response lies less than an hour after its hour's end), so it can
+    be pushed into the events scan ahead of the rank without changing any position."""
+    return F.expr(sql.replace("source_response_time", "((unix_seconds(cast(ts as timestamp)) div 3600 + 1) * 3600)"))
+
+
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing table: vectors of responses before 2024-01-22."""
-    vec = event_vectors(events(spark, sf_dir)).where(F.expr(TARGET_SPLIT_SQL))
+    ev = events(spark, sf_dir).where(_hour_window(TARGET_SPLIT_SQL))
+    vec = event_vectors(ev).where(F.expr(TARGET_SPLIT_SQL))
     return _curated_from_vectors(vec, "events/payload", RUN_ID)
 
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New batch: responses from 2024-01-16 on; 'purchase' vectors carry a corrected value."""
-    vec = event_vectors(events(spark, sf_dir), F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
+    ev = events(spark, sf_dir).where(_hour_window(SOURCE_SPLIT_SQL))
+    vec = event_vectors(ev, F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
     return dedupe_by_key(_curated_from_vectors(vec, RELANDED_PREFIX, RERUN_ID))
 
 
@@ -422,8 +431,11 @@ def q_curated_job_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolake.jobs import run_curated
 
     ev = events(spark, sf_dir)
-    first = _land_payloads(spark, sf_dir, build_payloads(event_vectors(ev).where(F.expr(TARGET_SPLIT_SQL))))
-    edited = event_vectors(ev, F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
+    target_vec = event_vectors(ev.where(_hour_window(TARGET_SPLIT_SQL))).where(F.expr(TARGET_SPLIT_SQL))
+    first = _land_payloads(spark, sf_dir, build_payloads(target_vec))
+    edited = event_vectors(ev.where(_hour_window(SOURCE_SPLIT_SQL)), F.expr(EDITED_VALUE_SQL)).where(
+        F.expr(SOURCE_SPLIT_SQL)
+    )
     second = _land_payloads(spark, sf_dir, build_payloads(edited, RELANDED_PREFIX))
     name = "curated_job_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     rejected = scratch_path(spark, "rejected")
