@@ -168,12 +168,12 @@ def grow_level(state: np.ndarray, symbol: np.ndarray, n: np.ndarray, totals: np.
     """Smoothed states whose leave-one-out gain over the shorter context (``shorter``: its probability of each
     row's symbol) passes the test; the other states keep the shorter context's distribution."""
     size = len(totals)
-    listed = np.bincount(state, weights=n - DISCOUNT, minlength=size)
+    listed = np.bincount(state, weights=n - DISCOUNT, minlength=size).astype(float)
     alone = totals - np.bincount(state, weights=n, minlength=size)
     whole = np.maximum(totals, 1).astype(float)
     back = np.where(totals > 0, (totals - listed) / whole, 1.0)
     p = (np.maximum(n - 1 - DISCOUNT, 0) / whole[state]) + back[state] * shorter
-    gain = np.bincount(state, weights=n * (np.log(p) - np.log(shorter)), minlength=size)
+    gain = np.bincount(state, weights=n * (np.log(p) - np.log(shorter)), minlength=size).astype(float)
     gain += alone * np.log(np.maximum(back, 1e-12))
     kept = (gain > LEAST_GAIN) & (totals >= LEAST_COUNT)
     rows = kept[state]
