@@ -14,8 +14,11 @@ none, are packed like any other; only id and text columns are read, so other col
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ CAPACITY, END_ID = 4096, 1
 #: Pieces of one length that one task ranks at once.
 RANK_ROWS = 4096
 #: Distinct words whose ids a worker remembers before it starts afresh.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 1_500_000
 
 
 class WordIds:
@@ -44,8 +47,8 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[bytes, int] = {}
-        self.ids, self.starts, self.lens = np.empty(1 << 20, np.uint32), np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
+        self.code: dict[str, int] = {}
+        self.ids, self.starts, self.lens = np.empty(1 << 20, np.uint32), np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int32)
         self.used = 0
 
     @staticmethod
@@ -56,33 +59,35 @@ class WordIds:
         out[:len(a)] = a
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         n = len(self.code)
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         lens = np.fromiter(map(len, found), np.int64, len(found))
         total = int(lens.sum())
         self.ids = self._grown(self.ids, self.used + total)
-        self.ids[self.used:self.used + total] = [i for ids in found for i in ids]
+        self.ids[self.used:self.used + total] = list(chain.from_iterable(found))
         self.starts, self.lens = self._grown(self.starts, n + len(words)), self._grown(self.lens, n + len(words))
         self.starts[n:n + len(words)] = self.used + np.cumsum(lens) - lens
         self.lens[n:n + len(words)] = lens
         self.used += total
         self.code.update(zip(words, range(n, n + len(words))))
 
-    def encode(self, texts: list[bytes | None], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by ``end_id``, and the number of ids of each text."""
+    def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of string ``texts``, each text's followed by ``end_id``, and the number of ids of each text."""
         if len(self.code) > REMEMBERED_WORDS:
             self.forget()
-        split = [(t or b"").split() for t in texts]
-        words = [w for ws in split for w in ws]
-        new = list(set(words).difference(self.code))
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()  # distinct words of the batch, found outside Python
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.code]
         if new:
             self._learn(new)
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        starts, lens = self.starts[codes], self.lens[codes]
+        known = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        codes = known[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
+        lens = self.lens[codes].astype(np.int64)
         ends = np.cumsum(lens)
-        flat = self.ids[np.repeat(starts - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum([len(ws) for ws in split])
+        flat = self.ids[np.repeat(self.starts[codes] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
         ids_before = np.concatenate([[0], ends])[last]
         per_text = np.diff(np.concatenate([[0], ids_before]))
         return np.insert(flat, ids_before, end_id).astype("<u4", copy=False), per_text + 1
@@ -97,7 +102,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     def run(batches):
         coder = WordIds(tokenizer_path)
         for batch in batches:
-            ids, counts = coder.encode(batch.column("text").to_pylist(), end_id)
+            ids, counts = coder.encode(batch.column("text"), end_id)
             pieces = -(-counts // capacity)
             doc = np.repeat(np.arange(len(counts)), pieces)
             piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -109,7 +114,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                                   schema=schema)
 
     small_batches(docs.sparkSession)
-    narrow = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
+    narrow = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 

@@ -96,8 +96,9 @@ def thresholds(measured: DataFrame, groups: tuple[str, ...] = ("lang", "source")
                 c = F.col(k).eqNullSafe(F.col(f"_{k}"))
                 matched = c if matched is None else matched & c
             out = out.join(wider, matched).drop(*[f"_{k}" for k in keys[:width]])
-        else:  # a single row over all groups, joined on a constant key
-            out = out.withColumn("_one", F.lit(1)).join(wider.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        else:  # one row over all groups, a few KB: it becomes literals
+            one = wider.first()
+            out = out.withColumns({f"{r}_0": F.lit(bytes(one[f"{r}_0"])) if one[f"{r}_0"] is not None else F.lit(None).cast("binary") for r in RATIOS})
     fences = []
     for r, least in RATIOS.items():
         sketch, n = F.col(f"{r}_0"), F.kll_sketch_get_n_double(F.col(f"{r}_0"))

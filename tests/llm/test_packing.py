@@ -96,7 +96,9 @@ def test_plan_places_every_piece_once():
                 places.add((first + b, offset + slot * n))
                 fill[first + b] += n
         assert len(places) == c
-    assert max(fill.values()) <= 4096 and len(fill) <= 1.002 * sum(n * c for n, c in hist.items()) / 4096 + 1
+    # no packing needs fewer bins than the tokens fill, nor than there are pieces of over half a bin
+    least = max(sum(n * c for n, c in hist.items()) / 4096, sum(c for n, c in hist.items() if n > 2048))
+    assert max(fill.values()) <= 4096 and len(fill) <= 1.002 * least + 1
     assert P.bin_plan({})["length"].size == 0
 
 
