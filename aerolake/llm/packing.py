@@ -14,6 +14,7 @@ none, are packed like any other; only id and text columns are read, so other col
 
 from __future__ import annotations
 
+import functools
 from itertools import chain
 
 import numpy as np
@@ -93,6 +94,12 @@ class WordIds:
         return np.insert(flat, ids_before, end_id).astype("<u4", copy=False), per_text + 1
 
 
+@functools.cache
+def _word_ids(path: str) -> WordIds:
+    """One memory of words for each worker process: its tasks run one after the other."""
+    return WordIds(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                  capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: ids are little-endian unsigned 32-bit integers."""
@@ -100,7 +107,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                         ("length", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        coder = WordIds(tokenizer_path)
+        coder = _word_ids(tokenizer_path)
         for batch in batches:
             ids, counts = coder.encode(batch.column("text"), end_id)
             pieces = -(-counts // capacity)

@@ -268,12 +268,14 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row = spare_name(docs, "_simhash_row")
     fp = spare_name(docs, "_simhash_fp")
     numbered = staged(with_fingerprint(docs.withColumn(row, F.monotonically_increasing_id()), text_col, fp), "simhash-docs")
-    # The class of a fingerprint keeps its smallest (id, row); components compare those through a shared order.
-    best = numbered.groupBy(quoted(fp).alias("fp")).agg(
-        F.min(F.struct(quoted(id_col).isNull().alias("void"), quoted(id_col).alias("id"), quoted(row).alias("row"))).alias("best"))
-    best = staged(best, "simhash-best")
+    # The class of a fingerprint keeps its smallest (id, row); components compare those.
+    order = F.struct(quoted(id_col).isNull().alias("void"), quoted(id_col).alias("id"), quoted(row).alias("row"))
+    best = staged(numbered.groupBy(quoted(fp).alias("fp")).agg(F.min(order).alias("best")), "simhash-best")
     roots = connected_components(link_fingerprints(best.select("fp"), max_bits))
-    keep = (best.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-            .select(F.col("best.row").alias(row)))
-    return numbered.join(staged(keep, "simhash-keep"), row, "left_semi").select(*[quoted(c) for c in docs.columns])
+    stays = (best.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+             .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("first")).select(F.col("first.row").alias("row")))
+    # Rows leave that are not the best of their fingerprint, or whose fingerprint is not the best of its component.
+    # They are fewer than those that stay; Spark broadcasts them below its own limit and shuffles both sides beyond it.
+    narrow = numbered.select(quoted(row).alias("row"))
+    leaves = staged(narrow.join(staged(stays, "simhash-stays"), "row", "left_anti"), "simhash-leaves")
+    return numbered.join(leaves.withColumnRenamed("row", row), row, "left_anti").select(*[quoted(c) for c in docs.columns])

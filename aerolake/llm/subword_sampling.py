@@ -23,6 +23,7 @@ counts as the text "null". Only the key and text columns are read.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from aerolake.llm.common import quoted, single_threaded, small_batches
 
 SAMPLES, SEED = 2, 17
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 _SPACE = "▁"
 _U = np.uint64
 
@@ -416,13 +417,19 @@ def top_samples(lattices: Lattices, units: np.ndarray, counts: np.ndarray, keys:
     return out
 
 
+@functools.cache
+def _lattices(path: str) -> Lattices:
+    """One memory of lattices for each worker process: its tasks run one after the other."""
+    return Lattices(path)
+
+
 def sample_segmentations(docs: DataFrame, model_path: str, k: int = SAMPLES, seed: int = SEED, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """``(doc_id, sample, ids, log_prob, perturbed, inclusion, decoded)``: up to ``k`` rows for each row."""
     names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion", "decoded"]
 
     def run(batches):
-        lattices = Lattices(model_path)
+        lattices = _lattices(model_path)
         for batch in batches:
             if len(lattices.words) > REMEMBERED:
                 lattices.forget()
