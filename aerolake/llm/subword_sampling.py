@@ -174,16 +174,16 @@ class Lattices:
         total = np.cumsum(p)
         before = np.concatenate([[0.0], total])[(ends - edges)[node]]
         base_node, base_edge = self.node_edges.n - 1, self.to.n
-        cum = node + np.clip(total - before, 0.0, 1.0)
+        cum = np.round(np.clip(total - before, 0.0, 1.0), 12)  # as if no other stretch were there
         closing = ends[edges > 0] - 1
-        cum[closing] = node[closing] + 1.0
+        cum[closing] = 1.0
         nodes = np.cumsum(size + 1)
         self.first.add(base_node + nodes - size - 1)
         self.last.add(base_node + nodes - 1)
         self.node_edges.add(base_edge + ends)
         self.to.add(base_node + to)
         self.log_p.add(log_p)
-        self.cum.add(base_node + cum)
+        self.cum.add(cum)
         self.id.add(ids)
         self.new, self.arrays = [], None
 
@@ -261,7 +261,7 @@ class Lattices:
         while len(live):
             here = at[live]
             u = uniform(stream[live], place[live] * 65536 + step)
-            e, target = a["node_edges"][here], here + u
+            e, target = a["node_edges"][here], u
             wait = np.flatnonzero(a["cum"][e] <= target)
             while len(wait):
                 e[wait] += 1
@@ -326,7 +326,7 @@ class _Walks:
                 rest[j] = np.exp(lat["log_p"][others]).sum()
         noise = -np.log(uniform(np.repeat(stream, size), place))
         with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-            phi = total[:-1] - base + np.log(rest)
+            phi = np.round(total[:-1] - base, 9) + np.log(rest)  # as if no other text were there
             # a Gumbel of location phi, truncated at the walk's own value
             self.open = phi - np.log(np.exp(np.minimum(phi - np.repeat(value, size), 700)) + noise)
         self.open[rest < 1e-15] = -np.inf
