@@ -30,7 +30,7 @@ from aerolake.schema import PREVIEW_COLUMNS
 from aerolake.session import configure, ensure_checkpoint_dir
 from aerolake.sinks.curated import write_curated
 from aerolake.sinks.writers import preview_rows, write_processed, write_rejected
-from aerolake.sources.raw_json import read_raw
+from aerolake.sources.raw_json import payload_status, read_raw
 
 log = logging.getLogger(__name__)
 
@@ -51,8 +51,15 @@ class RunSummary:
 
 def validated_rows(spark: SparkSession, raw_path: str | list[str], multiline: bool = True) -> DataFrame:
     """Scan -> parse elements -> explode (outer) -> field count."""
-    raw = parse_state_elements(read_raw(spark, raw_path, multiline))
-    return with_field_count(explode_states(raw))
+    return validated(read_raw(spark, raw_path, multiline))
+
+
+def validated(raw: DataFrame) -> DataFrame:
+    """Read documents -> one row per vector with its field count, and the document's status and unreadable text
+    (NULL for a readable one) for the audit."""
+    parsed = parse_state_elements(raw).withColumn("payload_status", payload_status()).withColumnRenamed(
+        "_corrupt_record", "document_text")
+    return with_field_count(explode_states(parsed, keep=["payload_status", "document_text"]))
 
 
 def _counts(rows: DataFrame) -> tuple[int, int, int]:

@@ -309,7 +309,15 @@ FROM rej GROUP BY rejection_reason, payload_status""",
     + "SELECT event_date, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY event_date",
     "dq_rules": CURATED + f"SELECT record_key, {_dq_list()} AS violations FROM cur",
     "dq_violation_summary": _dq_summary(),
-    "incremental_ingest": CURATED + "SELECT source_response_time, count(*) AS n FROM cur GROUP BY source_response_time",
+    "incremental_ingest": BASE + """SELECT source_response_time,
+       count(*) FILTER (WHERE state IS NOT NULL AND field_count = 17) AS n,
+       count(*) FILTER (WHERE NOT (state IS NOT NULL AND field_count = 17)) AS n_rejected
+FROM vec GROUP BY source_response_time""",
+    "incremental_rejects": BASE + f"""SELECT source_response_time, state_position, field_count,
+       CASE WHEN state IS NULL THEN 'STATE_ARRAY_IS_NULL'
+            ELSE 'INVALID_FIELD_COUNT_EXPECTED_17_ACTUAL_' || CAST(field_count AS VARCHAR) END AS rejection_reason,
+       'OK' AS payload_status, '{Q.RUN_ID}' AS processing_run_id, CAST({int(Q.RUN_TS.timestamp())} AS BIGINT) AS rejection_epoch
+FROM vec WHERE NOT (state IS NOT NULL AND field_count = 17)""",
     "end_to_end_day_counts": _MERGE_CTES
     + f"SELECT origin_country, count(*) AS n FROM merged WHERE event_date = {_DAY} GROUP BY origin_country",
 }

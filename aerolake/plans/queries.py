@@ -473,15 +473,30 @@ def q_dq_violation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violation_summary(_curated_with_cast_failures(spark, sf_dir))
 
 
-def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _run_incremental(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     from aerolake.streaming.incremental import run_incremental
 
     base = _land_payloads(spark, sf_dir)
-    out = scratch_path(spark, "incremental")
-    ckpt = scratch_path(spark, "incremental-ckpt")
-    run_incremental(spark, base, out, ckpt, RUN_ID, RUN_TS)
-    run_incremental(spark, base, out, ckpt, RUN_ID, RUN_TS)  # nothing new: no batch
-    return spark.read.parquet(out).groupBy("source_response_time").agg(F.count(F.lit(1)).alias("n"))
+    out, rejects, ckpt = (scratch_path(spark, f"incremental{x}") for x in ("", "-rejects", "-ckpt"))
+    for _ in range(2):  # the second run finds nothing new: no batch
+        run_incremental(spark, base, out, ckpt, RUN_ID, RUN_TS, rejects)
+    return out, rejects
+
+
+def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingested and rejected vectors of each response."""
+    out, rejects = _run_incremental(spark, sf_dir)
+    times = [spark.read.parquet(p).select("source_response_time", F.lit(k).alias("k")) for p, k in ((out, 0), (rejects, 1))]
+    return times[0].unionByName(times[1]).groupBy("source_response_time").agg(
+        F.count_if(F.col("k") == 0).alias("n"), F.count_if(F.col("k") == 1).alias("n_rejected"))
+
+
+def q_incremental_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit rows the incremental run leaves for rejected vectors."""
+    _, rejects = _run_incremental(spark, sf_dir)
+    return spark.read.parquet(rejects).select(
+        "source_response_time", "state_position", "field_count", "rejection_reason", "payload_status", "processing_run_id",
+        F.unix_seconds("rejection_timestamp").alias("rejection_epoch"))
 
 
 def q_end_to_end_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -530,5 +545,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_rules": q_dq_rules,
     "dq_violation_summary": q_dq_violation_summary,
     "incremental_ingest": q_incremental_ingest,
+    "incremental_rejects": q_incremental_rejects,
     "end_to_end_day_counts": q_end_to_end_day_counts,
 }

@@ -179,16 +179,3 @@ RAW_SCHEMA = T.StructType(
 STATES_TEXT_TYPE = T.ArrayType(T.StringType(), True)
 
 STATE_ARRAY_TYPE = T.ArrayType(T.StringType(), True)
-
-CURATED_SCHEMA_DDL = (
-    "icao24 string, callsign string, origin_country string, time_position bigint, "
-    "last_contact bigint, longitude double, latitude double, barometric_altitude_m double, "
-    "on_ground boolean, velocity_m_s double, true_track_degrees double, "
-    "vertical_rate_m_s double, sensors array<int>, geometric_altitude_m double, "
-    "squawk string, special_purpose_indicator boolean, position_source int, "
-    "source_response_time bigint, source_file string, state_position int, source string, "
-    "processing_run_id string, ingestion_timestamp timestamp, event_timestamp_epoch bigint, "
-    "event_timestamp timestamp, event_date date, velocity_kmh double, "
-    "barometric_altitude_ft double, geometric_altitude_ft double, record_key string, "
-    "payload_hash string"
-)

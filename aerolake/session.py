@@ -8,7 +8,6 @@ directory created and registered.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,7 +52,7 @@ def build_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created under /tmp only when the session has none."""
+    """The shared checkpoint folder; a local one is made only in local mode, where every task sees it."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
@@ -61,6 +60,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("CHECKPOINT_DIR_UNSET: spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="aerolake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
@@ -80,12 +81,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return f"{root}/aerolake-scratch/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for the few helpers that use Python file APIs in tests)."""
-    if path.startswith("file://"):
-        return path[len("file://") :]
-    if path.startswith("file:"):
-        return path[len("file:") :]
-    return os.path.abspath(path)

@@ -266,19 +266,15 @@ def _merge_location(
     return counts, present, emptied
 
 
-def _partition_spec(d: date) -> str:
-    return f"PARTITION ({PARTITION_COL} = '{d.isoformat()}')"
+def _partition_spec(d: date | None) -> str:
+    return f"PARTITION ({PARTITION_COL} = {'null' if d is None else repr(d.isoformat())})"
 
 
 def sync_touched_partitions(
     spark: SparkSession, name: str, present: list[date | None], emptied: list[date | None]
 ) -> None:
     """Register / unregister only the touched days (cost grows with the batch, not
-    with the table's history); the NULL default partition falls back to a full
-    ``MSCK REPAIR``."""
-    if any(d is None for d in present + emptied):
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-        return
+    with the table's history), the NULL day like any other."""
     if present:
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(_partition_spec(d) for d in present))
     if emptied:

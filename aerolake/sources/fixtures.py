@@ -81,6 +81,12 @@ def state_array_expr() -> F.Column:
     )
 
 
+def _response_of(number: F.Column) -> F.Column:
+    """Responses of an hour are a second apart; more than fit in the next hour raise instead of mixing two hours."""
+    return F.when(number < 3600, number).otherwise(
+        F.raise_error(F.lit(f"FIXTURE_HOUR_OVERFLOW: over {3600 * MAX_STATES_PER_PAYLOAD} events in one hour")).cast("long"))
+
+
 def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame:
     """events -> (event_id, source_response_time, state_position, state).
 
@@ -96,7 +102,7 @@ def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame
     per_doc = int(MAX_STATES_PER_PAYLOAD)
     return ranked.select(
         "event_id",
-        ((F.col("hour_bucket") + 1) * 3600 + F.expr(f"_rn div {per_doc}")).alias("source_response_time"),
+        ((F.col("hour_bucket") + 1) * 3600 + _response_of(F.expr(f"_rn div {per_doc}"))).alias("source_response_time"),
         F.expr(f"_rn % {per_doc}").cast("int").alias("state_position"),
         state_array_expr().alias("state"),
     )

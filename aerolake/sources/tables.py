@@ -1,4 +1,4 @@
-"""Table and in-memory sources."""
+"""Table sources."""
 
 from __future__ import annotations
 
@@ -10,16 +10,6 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def rows_source(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """Small in-memory rows (smoke tables only)."""
-    return spark.createDataFrame(rows, names)
-
-
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Partitioned Parquet (``event_date=`` folders); filters on ``event_date`` prune folders."""
-    return spark.read.parquet(path)
-
-
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Schema + partition discovery over an existing Parquet folder (crawler equivalent)."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")

@@ -4,7 +4,9 @@
 source's checkpoint remembers which files were processed, so a second
 ``availableNow`` run with the same checkpoint yields no batch. Each
 micro-batch runs the batch operators and the keyed upsert - rerunning a batch
-after a failure is a no-op merge, which makes the sink idempotent.
+after a failure is a no-op merge, which makes the sink idempotent. Rejected
+vectors and unreadable documents go to ``rejected_path/batch_id=<id>``, which a
+replay of that batch replaces as a whole, so no reject is lost or doubled.
 """
 
 from __future__ import annotations
@@ -15,19 +17,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators.dedupe import dedupe_by_key
-from aerolake.operators.explode import explode_states, parse_state_elements
 from aerolake.operators.project import curate
-from aerolake.operators.validate import split_valid_rejected
+from aerolake.jobs import validated
+from aerolake.operators.literals import new_run
+from aerolake.operators.validate import split_valid_rejected, with_reject_audit
 from aerolake.schema import RAW_SCHEMA
 from aerolake.sinks.curated import PARTITION_COL, clustered_for_write, has_committed_days, merge_into_location
 from aerolake.sinks.writers import write_partitioned
 
-MAX_FILES_PER_TRIGGER = 1000
 
+def write_batch_rejects(rejected: DataFrame, rejected_path: str, batch_id: int, run_id: str, run_ts: datetime | None) -> None:
+    """The audit rows of one micro-batch; the folder of the batch is replaced, whatever day a replay runs on."""
+    audit = with_reject_audit(rejected.drop("state"), run_id, run_ts or new_run()[1])
+    (audit.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ingestion_date")
+     .parquet(f"{rejected_path.rstrip('/')}/batch_id={int(batch_id)}"))
 
-def upsert_batch(spark: SparkSession, raw_batch: DataFrame, out_path: str, run_id: str, run_ts: datetime) -> dict:
-    rows = explode_states(parse_state_elements(raw_batch))
-    valid, _ = split_valid_rejected(rows)
+
+def upsert_batch(
+    spark: SparkSession,
+    raw_batch: DataFrame,
+    out_path: str,
+    run_id: str,
+    run_ts: datetime | None,
+    rejected_path: str,
+    batch_id: int = 0,
+) -> dict:
+    valid, rejected = split_valid_rejected(validated(raw_batch))
+    # Rejects first: a batch without a valid vector must not lose its audit rows.
+    write_batch_rejects(rejected, rejected_path, batch_id, run_id, run_ts)
     # One reliable materialisation per micro-batch: the batch files are read once.
     source = dedupe_by_key(curate(valid, run_id, run_ts)).checkpoint(eager=True)
     if not has_committed_days(spark, out_path):
@@ -44,21 +61,25 @@ def run_incremental(
     out_path: str,
     checkpoint_location: str,
     run_id: str,
-    run_ts: datetime,
+    run_ts: datetime | None,
+    rejected_path: str,
+    max_files_per_trigger: int | None = None,
 ) -> None:
-    stream = (
+    """One ``availableNow`` run. ``rejected_path`` belongs to this checkpoint alone (batch ids are its own);
+    without ``max_files_per_trigger`` all new files are one batch and one merge."""
+    reader = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
-        .json(raw_path)
-        .withColumn("source_file", F.col("_metadata.file_path"))
     )
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    stream = reader.json(raw_path).withColumn("source_file", F.col("_metadata.file_path"))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch.sparkSession, batch, out_path, run_id, run_ts)
+        upsert_batch(batch.sparkSession, batch, out_path, run_id, run_ts, rejected_path, epoch_id)
 
     q = (
         stream.writeStream.foreachBatch(each)
