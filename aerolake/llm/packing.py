@@ -28,8 +28,10 @@ from aerolake.llm.common import quoted, single_threaded, small_batches, staged
 CAPACITY, END_ID = 4096, 1
 #: Pieces of one length that one task ranks at once.
 RANK_ROWS = 4096
-#: Distinct words whose ids a worker remembers before it starts afresh.
-REMEMBERED_WORDS = 1_500_000
+#: Distinct words whose ids a worker remembers; later ones, which are rare, are tokenized in each batch that has them.
+REMEMBERED_WORDS = 600_000
+#: Words tokenized at once.
+_CALL_WORDS = 4000
 
 
 class WordIds:
@@ -45,9 +47,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
         self.code: dict[str, int] = {}
         self.ids, self.starts, self.lens = np.empty(1 << 20, np.uint32), np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int32)
         self.used = 0
@@ -60,30 +59,36 @@ class WordIds:
         out[:len(a)] = a
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        n = len(self.code)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(lens.sum())
-        self.ids = self._grown(self.ids, self.used + total)
-        self.ids[self.used:self.used + total] = list(chain.from_iterable(found))
-        self.starts, self.lens = self._grown(self.starts, n + len(words)), self._grown(self.lens, n + len(words))
-        self.starts[n:n + len(words)] = self.used + np.cumsum(lens) - lens
-        self.lens[n:n + len(words)] = lens
-        self.used += total
-        self.code.update(zip(words, range(n, n + len(words))))
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and the number of each word's."""
+        ids, lens = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)]
+        for i in range(0, len(words), _CALL_WORDS):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words[i:i + _CALL_WORDS], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            lens.append(np.fromiter(map(len, found), np.int32, len(found)))
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def _add(self, ids: np.ndarray, lens: np.ndarray, n: int, used: int) -> None:
+        """Words ``n`` and on, their ids from place ``used``."""
+        self.ids = self._grown(self.ids, used + len(ids))
+        self.ids[used:used + len(ids)] = ids
+        self.starts, self.lens = self._grown(self.starts, n + len(lens)), self._grown(self.lens, n + len(lens))
+        self.starts[n:n + len(lens)] = used + np.cumsum(lens) - lens
+        self.lens[n:n + len(lens)] = lens
 
     def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids of string ``texts``, each text's followed by ``end_id``, and the number of ids of each text."""
-        if len(self.code) > REMEMBERED_WORDS:
-            self.forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()  # distinct words of the batch, found outside Python
         words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.code]
-        if new:
-            self._learn(new)
-        known = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        new, n = [w for w in words if w not in self.code], len(self.code)
+        fresh = dict(zip(new, range(n, n + len(new))))
+        ids, sizes = self._tokenized(new)
+        self._add(ids, sizes, n, self.used)
+        known = np.fromiter((c if (c := self.code.get(w)) is not None else fresh[w] for w in words), np.int64, len(words))
+        if n + len(new) <= REMEMBERED_WORDS:  # else the next batch overwrites them
+            self.code.update(fresh)
+            self.used += len(ids)
         codes = known[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
         lens = self.lens[codes].astype(np.int64)
         ends = np.cumsum(lens)
@@ -119,6 +124,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             yield pa.record_batch([batch.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
                                    pa.array(length), pa.array([ids[a:a + n].tobytes() for a, n in zip(at, length)], pa.binary())],
                                   schema=schema)
+        pa.default_memory_pool().release_unused()
 
     small_batches(docs.sparkSession)
     narrow = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"))
