@@ -77,6 +77,28 @@ def merge_frames(
     return j.select(*out)
 
 
+def classify_source(
+    target: DataFrame, source: DataFrame, key: str = "record_key", hash_col: str = "payload_hash"
+) -> DataFrame:
+    """``(key, action)`` of every source key; both sides are read at two columns."""
+    t = target.select(F.col(key).alias("t__key"), F.col(hash_col).alias("t__hash"))
+    j = source.select(key, hash_col).join(t, F.col(key) == F.col("t__key"), "left")
+    return j.select(key, merge_action(F.col("t__key"), F.lit(""), F.col("t__hash"), F.col(hash_col)).alias("action"))
+
+
+def merge_by_action(target: DataFrame, source: DataFrame, actions: DataFrame, key: str = "record_key") -> DataFrame:
+    """J1 from ``classify_source``: target rows that are not updated and source rows that are new or changed.
+
+    Both joins carry only keys on one side, so Spark broadcasts a small batch's keys and leaves the
+    target where it is. ``from_target`` tells the two kinds apart.
+    """
+    updated = actions.where(F.col("action") == ACTION_UPDATE).select(key)
+    taken = actions.where(F.col("action").isin(ACTION_INSERT, ACTION_UPDATE)).select(key)
+    stays = target.join(updated, key, "left_anti").select(*target.columns, F.lit(True).alias("from_target"))
+    comes = source.join(taken, key, "left_semi").select(*target.columns, F.lit(False).alias("from_target"))
+    return stays.unionByName(comes)
+
+
 def merge_inserts(target: DataFrame, source: DataFrame, key: str = "record_key") -> DataFrame:
     """Source rows whose key is new."""
     return source.join(target.select(key), key, "left_anti")

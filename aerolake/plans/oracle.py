@@ -299,12 +299,12 @@ docs AS (
 SELECT rejection_reason, payload_status, count(*) AS n,
        count(*) FILTER (WHERE source_response_time IS NULL) AS n_no_time
 FROM rej GROUP BY rejection_reason, payload_status""",
-    "curated_create_or_merge": _MERGE_CTES + "SELECT event_date, count(*) AS n FROM merged GROUP BY event_date",
+    "curated_create_or_merge": _MERGE_CTES
+    + "SELECT record_key, payload_hash, source_file, processing_run_id, velocity_m_s, event_date FROM merged",
     "unpartitioned_table_create": CURATED
     + "SELECT origin_country, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY origin_country",
     "curated_job_two_runs": _MERGE_CTES
-    + f"SELECT event_date, count(*) AS n, count(*) FILTER (WHERE processing_run_id = '{Q.RERUN_ID}') AS n_rerun "
-    "FROM merged GROUP BY event_date",
+    + "SELECT record_key, payload_hash, processing_run_id, velocity_m_s, event_date FROM merged",
     "processed_job": CURATED
     + "SELECT event_date, count(*) AS n, count(callsign) AS n_callsign FROM cur GROUP BY event_date",
     "dq_rules": CURATED + f"SELECT record_key, {_dq_list()} AS violations FROM cur",

@@ -73,6 +73,7 @@ EDITED_VALUE_SQL = "case when event_type = 'purchase' then value + 1 else value
 TARGET_SPLIT_SQL = "source_response_time < 1705881600"
 SOURCE_SPLIT_SQL = "source_response_time >= 1705363200"
 RELANDED_PREFIX = "events/relanded"
+_KEY_HASH = ("record_key", "payload_hash")
 
 
 def _session(spark: SparkSession) -> SparkSession:
@@ -117,11 +118,15 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _curated_from_vectors(vec, "events/payload", RUN_ID)
 
 
-def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New batch: responses from 2024-01-16 on; 'purchase' vectors carry a corrected value."""
+def merge_source(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """New batch: responses from 2024-01-16 on; 'purchase' vectors carry a corrected value.
+
+    ``columns`` (the key and the hash at least) are chosen ahead of the dedupe, whose aggregate would
+    otherwise carry whole rows; the survivor has the smallest hash either way."""
     ev = events(spark, sf_dir).where(_hour_window(SOURCE_SPLIT_SQL))
     vec = event_vectors(ev, F.expr(EDITED_VALUE_SQL)).where(F.expr(SOURCE_SPLIT_SQL))
-    return dedupe_by_key(_curated_from_vectors(vec, RELANDED_PREFIX, RERUN_ID))
+    rows = _curated_from_vectors(vec, RELANDED_PREFIX, RERUN_ID)
+    return dedupe_by_key(rows.select(*columns) if columns else rows)
 
 
 # --------------------------------------------------------------------------- queries
@@ -244,11 +249,11 @@ def q_dedupe_record_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify_merge(merge_target(spark, sf_dir), merge_source(spark, sf_dir))
+    return classify_merge(merge_target(spark, sf_dir), merge_source(spark, sf_dir, _KEY_HASH))
 
 
 def q_merge_action_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_action_counts(merge_target(spark, sf_dir), merge_source(spark, sf_dir))
+    return merge_action_counts(merge_target(spark, sf_dir), merge_source(spark, sf_dir, _KEY_HASH))
 
 
 _UPSERT_COLS = ["record_key", "payload_hash", "source_file", "processing_run_id", "velocity_m_s", "event_date"]
@@ -259,13 +264,13 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_inserts(merge_target(spark, sf_dir), merge_source(spark, sf_dir)).select(
+    return merge_inserts(merge_target(spark, sf_dir), merge_source(spark, sf_dir, _KEY_HASH)).select(
         "record_key", "payload_hash"
     )
 
 
 def q_merge_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_changed(merge_target(spark, sf_dir), merge_source(spark, sf_dir)).select(
+    return merge_changed(merge_target(spark, sf_dir), merge_source(spark, sf_dir, _KEY_HASH)).select(
         "record_key", "target_hash", "payload_hash"
     )
 
@@ -407,7 +412,7 @@ def q_curated_create_or_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "curated")
     create_curated_table(dedupe_by_key(merge_target(spark, sf_dir)), name, path)
     merge_into_table(spark, name, merge_source(spark, sf_dir))
-    return spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+    return spark.table(name).select(*_UPSERT_COLS)
 
 
 def q_unpartitioned_table_create(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,10 +446,7 @@ def q_curated_job_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = scratch_path(spark, "rejected")
     run_curated(spark, first, name, rejected, scratch_path(spark, "curated"), run_id=RUN_ID, run_ts=RUN_TS)
     run_curated(spark, second, name, rejected, run_id=RERUN_ID, run_ts=RUN_TS)
-    return spark.table(name).groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("processing_run_id") == F.lit(RERUN_ID)).alias("n_rerun"),
-    )
+    return spark.table(name).select(*[c for c in _UPSERT_COLS if c != "source_file"])
 
 
 def q_processed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,15 +480,17 @@ def _run_incremental(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     base = _land_payloads(spark, sf_dir)
     out, rejects, ckpt = (scratch_path(spark, f"incremental{x}") for x in ("", "-rejects", "-ckpt"))
+    name = "incremental_" + out.rsplit("-", 1)[-1]
     for _ in range(2):  # the second run finds nothing new: no batch
-        run_incremental(spark, base, out, ckpt, RUN_ID, RUN_TS, rejects)
-    return out, rejects
+        run_incremental(spark, base, name, out, ckpt, RUN_ID, RUN_TS, rejects)
+    return name, rejects
 
 
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingested and rejected vectors of each response."""
-    out, rejects = _run_incremental(spark, sf_dir)
-    times = [spark.read.parquet(p).select("source_response_time", F.lit(k).alias("k")) for p, k in ((out, 0), (rejects, 1))]
+    name, rejects = _run_incremental(spark, sf_dir)
+    times = [rows.select("source_response_time", F.lit(k).alias("k"))
+             for rows, k in ((spark.table(name), 0), (spark.read.parquet(rejects), 1))]
     return times[0].unionByName(times[1]).groupBy("source_response_time").agg(
         F.count_if(F.col("k") == 0).alias("n"), F.count_if(F.col("k") == 1).alias("n_rejected"))
 

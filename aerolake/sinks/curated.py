@@ -6,31 +6,39 @@ Upsert algorithm (see ``merge_into_table``):
      the source (a key can move to another day when ``time_position`` changes).
      Found with a narrow semi-join (record_key, event_date only); the result is
      a set of dates, bounded by the calendar, not by the data.
-  3. Full-outer merge of the touched target days with the source, written
-     once into a hidden staging folder inside the table location (the lineage
-     cut before the table's own days are replaced; same file system, so the
-     swap below is a rename). Action counts are observed during that write.
-  4. Day swap: each touched day's old folder is renamed aside, the staged
-     folder renamed into place, then the old folder deleted; a touched day
-     with no staged folder (all its rows moved away) is removed.
+  3. Source keys are classified against ``(record_key, payload_hash)`` of the
+     touched days; the merged days are the target rows whose key is not updated
+     (left anti) and the source rows that are new or changed (left semi), written
+     once into a fresh folder inside the table location.
+  4. The new place of every touched day is recorded in one small file, then the
+     catalog's partitions are pointed at it. A run that dies in between is rolled
+     forward by the next merge from that file, before it reads the table: the file
+     is the commit, so the outcome of a merge never depends on where it stopped.
+
+The catalog table is what to read; folders of the location that no partition
+points at are leftovers, removed by the merge that replaced them or the next one.
+One merge at a time may run on a table.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from aerolake.operators.dedupe import dedupe_by_key
-from aerolake.operators.merge import merge_frames
+from aerolake.operators.merge import classify_source, merge_by_action
 from aerolake.session import ensure_checkpoint_dir
 from aerolake.sinks.writers import write_partitioned
-from aerolake.sources.tables import register_parquet_table
 
 PARTITION_COL = "event_date"
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+RESPONSE_COL = "source_response_time"
+#: Folders of merged days, and the folder of the pointer file, inside the table location ("_": no partition discovery).
+DATA_PREFIX, POINTERS = "_merge_data_", "_merge_pointers"
 
 
 def namespace_exists(spark: SparkSession, name: str) -> bool:
@@ -46,19 +54,22 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 def check_table(spark: SparkSession, name: str, expected_provider: str = "parquet") -> None:
     """table exists, its name matches and its provider is the expected one."""
     if not spark.catalog.tableExists(name):
-        raise RuntimeError(f"table not found: {name}")
+        raise RuntimeError(f"TABLE_MISSING: {name}")
     table = spark.catalog.getTable(name)
     if table.name.lower() != name.split(".")[-1].lower():
-        raise RuntimeError(f"unexpected table returned: {table.name}")
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Provider").collect()
-    provider = rows[0]["data_type"] if rows else ""
-    if provider.lower() != expected_provider.lower():
+        raise RuntimeError(f"TABLE_NAME_DIFFERS: asked for {name}, catalog has {table.name}")
+    provider = table_provider(spark, name)
+    if provider != expected_provider.lower():
         raise RuntimeError(f"table {name} has provider {provider!r}, expected {expected_provider!r}")
 
 
+def _described(spark: SparkSession, name: str, item: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == item).collect()
+    return rows[0]["data_type"] if rows else ""
+
+
 def table_location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").collect()
-    return rows[0]["data_type"]
+    return _described(spark, name, "Location")
 
 
 def clustered_for_write(df: DataFrame) -> DataFrame:
@@ -78,11 +89,11 @@ def create_curated_table(df: DataFrame, name: str, path: str | None = None) -> N
     w.partitionBy(PARTITION_COL).saveAsTable(name)
 
 
-def _day_value(d: date | None) -> str:
-    return DEFAULT_PARTITION if d is None else d.isoformat()
+def _day_name(d: date | None) -> str:
+    return f"{PARTITION_COL}={DEFAULT_PARTITION if d is None else d.isoformat()}"
 
 
-def _day_filter(days: list[date | None]) -> F.Column:
+def _day_filter(days: list[date | None]) -> Column:
     real = [d for d in days if d is not None]
     cond = F.col(PARTITION_COL).isin(real) if real else F.lit(False)
     if any(d is None for d in days):
@@ -90,10 +101,7 @@ def _day_filter(days: list[date | None]) -> F.Column:
     return cond
 
 
-RESPONSE_COL = "source_response_time"
-
-
-def response_time_filter(source: DataFrame) -> F.Column:
+def response_time_filter(source: DataFrame) -> Column:
     """Pre-filter implied by key equality: a target row with a source key has the same
     ``source_response_time`` (it is part of the key text). The range goes to the
     Parquet reader as pushed filters, so row groups outside the batch's response-time
@@ -130,175 +138,179 @@ def touched_days_frame(target: DataFrame, source: DataFrame, key: str = "record_
     return src_days.union(moved).distinct()
 
 
-STAGING_PREFIX = "_merge_staging_"
-MERGE_ACTIONS = ("insert", "update", "noop", "keep")
-
+class DayPointers:
+    """Where each merged day of a table lives: one small JSON file in the table location.
 
-def _swap_days(
-    spark: SparkSession, location: str, staged: str, days: list[date | None]
-) -> tuple[list[date | None], list[date | None]]:
-    """Put each touched day's staged folder in place of the table's folder.
-
-    The old folder is renamed aside (not deleted) until the new one is in
-    place, so no day is ever absent while the merged copy exists only in
-    staging; a touched day with no staged folder is removed. Returns the
-    touched days that hold rows and the ones left empty.
+    ``days`` maps a day folder name to the data folder that holds it ("" where a merge left the day
+    empty); days never merged are at their usual place. ``switch`` lists the days of the last merge and
+    ``old`` the folders it replaced. The file is ``<n>.pending`` until the catalog follows it, then
+    ``<n>.done``; its size is bounded by the calendar.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    root = Path(location.rstrip("/"))
-    fs = root.getFileSystem(conf)
-    replaced = Path(f"{staged}-replaced")
-    fs.mkdirs(replaced)
-    present, emptied = [], []
-    for d in days:
-        name = f"{PARTITION_COL}={_day_value(d)}"
-        new, cur, old = Path(f"{staged}/{name}"), Path(root, name), Path(replaced, name)
-        if fs.exists(cur) and not fs.rename(cur, old):
-            raise RuntimeError(f"could not move {cur} aside")
-        if fs.exists(new):
-            if not fs.rename(new, cur):
-                raise RuntimeError(f"could not move {new} into place")
-            present.append(d)
+
+    def __init__(self, spark: SparkSession, location: str):
+        self.location = location.rstrip("/")
+        self.path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.read_text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString
+        self.fs = self.path(self.location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = self._names(f"{self.location}/{POINTERS}")
+        files = sorted((int(n.split(".")[0]), n) for n in names if n.endswith((".pending", ".done")))
+        self.number, self.name = files[-1] if files else (0, "")
+        state = json.loads(self._read(self.name)) if self.name else {}
+        self.days: dict[str, str] = state.get("days", {})
+        self.switch: list[str] = state.get("switch", [])
+        self.old: list[str] = state.get("old", [])
+
+    def _names(self, folder: str) -> list[str]:
+        p = self.path(folder)
+        return [s.getPath().getName() for s in self.fs.listStatus(p)] if self.fs.exists(p) else []
+
+    def _file(self, name: str):
+        return self.path(f"{self.location}/{POINTERS}/{name}")
+
+    def _read(self, name: str) -> str:
+        stream = self.fs.open(self._file(name))
+        try:
+            return self.read_text(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    @property
+    def pending(self) -> bool:
+        return self.name.endswith(".pending")
+
+    def place(self, day: str) -> str:
+        """The folder of a day that holds rows."""
+        data = self.days.get(day)
+        return f"{self.location}/{data}/{day}" if data else f"{self.location}/{day}"
+
+    def record(self, days: list[date | None], data: str) -> None:
+        """The commit of a merge: ``days`` are now what the folder ``data`` holds of them."""
+        present = set(self._names(f"{self.location}/{data}"))
+        switch = [_day_name(d) for d in days]
+        old = [self.place(d)[len(self.location) + 1:] for d in switch]
+        self.days = self.days | {d: data if d in present else "" for d in switch}
+        self.switch, self.old, before = switch, old, self.name
+        self.number += 1
+        text = json.dumps({"days": self.days, "switch": switch, "old": old})
+        draft = self._file(f"{self.number}.draft")
+        stream = self.fs.create(draft, True)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+        self._rename(draft, f"{self.number}.pending")
+        if before:
+            self.fs.delete(self._file(before), False)
+
+    def _rename(self, path, name: str) -> None:
+        if not self.fs.rename(path, self._file(name)):
+            raise RuntimeError(f"POINTERS_NOT_WRITTEN: {self.location}/{POINTERS}/{name}")
+        self.name = name
+
+    def finish(self) -> None:
+        """The catalog follows the file: remove what the last merge replaced."""
+        for folder in self.old:
+            self.fs.delete(self.path(f"{self.location}/{folder}"), True)
+        if self.pending:
+            self._rename(self._file(self.name), f"{self.number}.done")
+
+    def drop_leftovers(self) -> None:
+        """Remove data folders no day lives in: of merges that died before their commit, or wholly replaced."""
+        used = set(self.days.values())
+        for name in self._names(self.location):
+            if name.startswith(DATA_PREFIX) and name not in used:
+                self.fs.delete(self.path(f"{self.location}/{name}"), True)
+
+
+def _partition_spec(day: str) -> str:
+    value = day.split("=", 1)[1]
+    return f"PARTITION ({PARTITION_COL} = {'null' if value == DEFAULT_PARTITION else repr(value)})"
+
+
+def point_partitions(spark: SparkSession, name: str, pointers: DayPointers, days: list[str]) -> None:
+    """Point the catalog's partitions at the recorded folders; running it again changes nothing."""
+    for day in days:
+        spec = _partition_spec(day)
+        if pointers.days[day]:
+            place = pointers.place(day).replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{place}'")
         else:
-            emptied.append(d)
-    fs.delete(replaced, True)
-    fs.delete(Path(staged), True)
-    return present, emptied
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+    spark.catalog.refreshTable(name)
 
 
-def has_committed_days(spark: SparkSession, path: str) -> bool:
-    """True once a write has committed at least one ``event_date=`` folder under ``path``
-    (a write that died mid-way leaves only the committer's ``_temporary`` folder).
-    Lists only the top level (one entry per day)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
-    return any(st.getPath().getName().startswith(f"{PARTITION_COL}=") for st in fs.listStatus(p))
-
-
-def recover_interrupted_swaps(spark: SparkSession, location: str) -> None:
-    """Undo what a merge that died mid-swap left behind: a day folder that was
-    moved aside but not replaced is moved back (the rerun merges it again;
-    the merge is idempotent and heals duplicate keys), then leftover staging
-    folders are removed. Looks only at the table's top-level folders."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    root = Path(location.rstrip("/"))
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return
-    leftovers = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith(STAGING_PREFIX)]
-    for aside in (p for p in leftovers if p.getName().endswith("-replaced")):
-        for st in fs.listStatus(aside):
-            cur = Path(root, st.getPath().getName())
-            if not fs.exists(cur) and not fs.rename(st.getPath(), cur):
-                raise RuntimeError(f"could not restore {cur}")
-    for p in leftovers:
-        fs.delete(p, True)
-
-
-def merge_into_location(
-    spark: SparkSession,
-    location: str,
-    source: DataFrame,
-    key: str = "record_key",
-    target: DataFrame | None = None,
-    heal_duplicates: bool = True,
-    source_materialized: bool = False,
+def roll_forward(spark: SparkSession, name: str, location: str | None = None) -> DayPointers:
+    """Finish a merge that was recorded but died before the catalog followed it all the way."""
+    pointers = DayPointers(spark, location or table_location(spark, name))
+    if pointers.pending:
+        point_partitions(spark, name, pointers, pointers.switch)
+        pointers.finish()
+    return pointers
+
+
+def merge_into_table(
+    spark: SparkSession, name: str, source: DataFrame, key: str = "record_key", source_materialized: bool = False
 ) -> dict:
-    """J1 against the Parquet dataset at ``location`` (partitioned by ``event_date``).
+    """J1 against a catalog Parquet table partitioned by ``event_date``; returns action counts.
 
-    ``source`` must be unique per key (dedupe first). Returns action counts.
+    ``source`` must be unique per key (dedupe first).
     """
-    counts, _, _ = _merge_location(spark, location, source, key, target, heal_duplicates, source_materialized)
-    return counts
-
-
-def _merge_location(
-    spark: SparkSession,
-    location: str,
-    source: DataFrame,
-    key: str,
-    target: DataFrame | None,
-    heal_duplicates: bool,
-    source_materialized: bool,
-) -> tuple[dict, list[date | None], list[date | None]]:
-    """The merge; also returns the touched days that hold rows and those left empty."""
     ensure_checkpoint_dir(spark)
-    recover_interrupted_swaps(spark, location)
-    target = target if target is not None else spark.read.parquet(location)
-    cols = target.columns
-    source = source.select(*cols)
+    pointers = roll_forward(spark, name)
+    pointers.drop_leftovers()
+    target = spark.table(name)
+    source = source.select(*target.columns)
     if not source_materialized:
-        # The source is used by two actions (touched days, merge); materialise it
-        # once so its upstream scan runs once and both see identical rows.
+        # Three actions read the source; materialise it so that all see the same rows.
         source = source.checkpoint(eager=True)
     days = touched_days(target, source, key)
+    if not days:
+        return {}
     target_days = target.where(_day_filter(days))
-    if heal_duplicates:
-        # A run that died between the day overwrite and the emptied-day cleanup
-        # leaves a moved key in two days. Collapsing target keys first (grouped
-        # on the join key, so the join reuses that partitioning) makes the
-        # rerun converge to one row per key instead of carrying both copies.
-        target_days = dedupe_by_key(target_days, key)
-    merged = merge_frames(target_days, source, key, with_action=True)
+    actions = classify_source(target_days, source, key).checkpoint(eager=True)
+    counts = {r["action"]: r["n"] for r in actions.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
     obs = Observation("merge_actions")
-    action = F.col("merge_action")
-    observed = merged.observe(obs, *[F.count_if(action == F.lit(a)).alias(a) for a in MERGE_ACTIONS])
-    # Hidden folder ("_" prefix: skipped by partition discovery) inside the table
-    # location, so the day swap is a same-file-system rename.
-    staged = f"{location.rstrip('/')}/{STAGING_PREFIX}{uuid.uuid4().hex}"
+    merged = merge_by_action(target_days, source, actions, key).observe(
+        obs, F.count_if("from_target").alias("stayed"))
+    data = f"{DATA_PREFIX}{uuid.uuid4().hex}"
     write_partitioned(
-        clustered_for_write(observed.drop("merge_action")),
-        staged,
+        clustered_for_write(merged.drop("from_target")),
+        f"{pointers.location}/{data}",
         PARTITION_COL,
         mode="overwrite",
         compression="zstd",
         rebalance=False,
     )
-    counts = {a: int(n) for a, n in obs.get.items() if n}
-    present, emptied = _swap_days(spark, location, staged, days)
-    return counts, present, emptied
+    counts["keep"] = int(obs.get.get("stayed", 0)) - counts.get("noop", 0)
+    pointers.record(days, data)
+    point_partitions(spark, name, pointers, pointers.switch)
+    pointers.finish()
+    return {a: n for a, n in counts.items() if n}
 
 
-def _partition_spec(d: date | None) -> str:
-    return f"PARTITION ({PARTITION_COL} = {'null' if d is None else repr(d.isoformat())})"
+def has_committed_days(spark: SparkSession, path: str) -> bool:
+    """True once a write has committed at least one ``event_date=`` folder under ``path``
+    (a write that died mid-way leaves only the committer's ``_temporary`` folder), or a
+    merge its pointers. Lists only the top level (one entry per day)."""
+    names = DayPointers(spark, path)._names(path)
+    return any(n.startswith(f"{PARTITION_COL}=") or n == POINTERS for n in names)
 
 
-def sync_touched_partitions(
-    spark: SparkSession, name: str, present: list[date | None], emptied: list[date | None]
-) -> None:
-    """Register / unregister only the touched days (cost grows with the batch, not
-    with the table's history), the NULL day like any other."""
-    if present:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(_partition_spec(d) for d in present))
-    if emptied:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(_partition_spec(d) for d in emptied))
-
-
-def merge_into_table(
-    spark: SparkSession, name: str, source: DataFrame, key: str = "record_key", source_materialized: bool = False
-) -> dict:
-    """J1 against a catalog Parquet table (touched partitions re-synced afterwards)."""
-    counts, present, emptied = _merge_location(
-        spark, table_location(spark, name), source, key, spark.table(name), True, source_materialized
-    )
-    sync_touched_partitions(spark, name, present, emptied)
-    spark.catalog.refreshTable(name)
-    return counts
+def register_curated_table(spark: SparkSession, name: str, path: str, schema: StructType) -> None:
+    """A catalog entry for existing curated data: partition discovery, then every day merges have moved."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COL}) "
+              f"LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    pointers = DayPointers(spark, table_location(spark, name))
+    point_partitions(spark, name, pointers, list(pointers.days))
+    pointers.finish()
 
 
 ROW_LEVEL_MERGE_PROVIDERS = ("iceberg", "delta")
 
 
 def table_provider(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Provider").collect()
-    return (rows[0]["data_type"] if rows else "").lower()
+    return _described(spark, name, "Provider").lower()
 
 
 def merge_into_row_level(source: DataFrame, name: str, key: str = "record_key", hash_col: str = "payload_hash") -> None:
@@ -329,9 +341,13 @@ def write_curated(
             return {"merged": count if count is not None else df.count()}
         return merge_into_table(spark, name, df, source_materialized=count is not None)
     if path and has_committed_days(spark, path):
-        # The catalog entry is gone but the data is not: register the folder
-        # again (schema + partition discovery) and merge instead of re-creating.
-        register_parquet_table(spark, name, path)
+        # The catalog entry is gone but the data is not: register the folder again and merge instead of re-creating.
+        register_curated_table(spark, name, path, df.schema)
         return merge_into_table(spark, name, df, source_materialized=count is not None)
-    create_curated_table(df, name, path)
+    if path:
+        # Overwrites what a first write that died has left.
+        write_partitioned(clustered_for_write(df), path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False)
+        register_curated_table(spark, name, path, df.schema)
+    else:
+        create_curated_table(df, name)
     return {"insert": count if count is not None else df.count()}

@@ -22,8 +22,7 @@ from aerolake.jobs import validated
 from aerolake.operators.literals import new_run
 from aerolake.operators.validate import split_valid_rejected, with_reject_audit
 from aerolake.schema import RAW_SCHEMA
-from aerolake.sinks.curated import PARTITION_COL, clustered_for_write, has_committed_days, merge_into_location
-from aerolake.sinks.writers import write_partitioned
+from aerolake.sinks.curated import table_exists, write_curated
 
 
 def write_batch_rejects(rejected: DataFrame, rejected_path: str, batch_id: int, run_id: str, run_ts: datetime | None) -> None:
@@ -36,6 +35,7 @@ def write_batch_rejects(rejected: DataFrame, rejected_path: str, batch_id: int,
 def upsert_batch(
     spark: SparkSession,
     raw_batch: DataFrame,
+    table: str,
     out_path: str,
     run_id: str,
     run_ts: datetime | None,
@@ -47,17 +47,13 @@ def upsert_batch(
     write_batch_rejects(rejected, rejected_path, batch_id, run_id, run_ts)
     # One reliable materialisation per micro-batch: the batch files are read once.
     source = dedupe_by_key(curate(valid, run_id, run_ts)).checkpoint(eager=True)
-    if not has_committed_days(spark, out_path):
-        write_partitioned(
-            clustered_for_write(source), out_path, PARTITION_COL, mode="overwrite", compression="zstd", rebalance=False
-        )
-        return {"insert": source.count()}
-    return merge_into_location(spark, out_path, source, source_materialized=True)
+    return write_curated(spark, source, table, out_path, count=source.count())
 
 
 def run_incremental(
     spark: SparkSession,
     raw_path: str,
+    table: str,
     out_path: str,
     checkpoint_location: str,
     run_id: str,
@@ -65,7 +61,7 @@ def run_incremental(
     rejected_path: str,
     max_files_per_trigger: int | None = None,
 ) -> None:
-    """One ``availableNow`` run. ``rejected_path`` belongs to this checkpoint alone (batch ids are its own);
+    """One ``availableNow`` run into the catalog table ``table`` kept at ``out_path`` (created by the first batch). ``rejected_path`` belongs to this checkpoint alone (batch ids are its own);
     without ``max_files_per_trigger`` all new files are one batch and one merge."""
     reader = (
         spark.readStream.schema(RAW_SCHEMA)
@@ -79,7 +75,7 @@ def run_incremental(
     stream = reader.json(raw_path).withColumn("source_file", F.col("_metadata.file_path"))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch.sparkSession, batch, out_path, run_id, run_ts, rejected_path, epoch_id)
+        upsert_batch(batch.sparkSession, batch, table, out_path, run_id, run_ts, rejected_path, epoch_id)
 
     q = (
         stream.writeStream.foreachBatch(each)
@@ -88,3 +84,5 @@ def run_incremental(
         .start()
     )
     q.awaitTermination()
+    if table_exists(spark, table):
+        spark.catalog.refreshTable(table)  # batches run in a session of their own

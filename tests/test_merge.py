@@ -89,18 +89,84 @@ def test_table_merge_moves_day_and_drops_emptied(spark, tmp_dir):
     assert spark.table(name).where(F.col("event_date").isNull()).count() == 1
 
 
-def test_rerun_heals_key_left_in_two_days(spark, tmp_dir):
-    """Simulate a run that died after overwriting the new day but before dropping the old copy."""
-    from aerolake.sinks.curated import merge_into_location
-    from aerolake.sinks.writers import write_partitioned
+class Stopped(Exception):
+    pass
 
+
+def _stop(*_, **__):
+    raise Stopped
+
+
+def _only(pick):
+    """Partitions are pointed for some of the days, then the run dies."""
+    from aerolake.sinks import curated
+
+    whole = curated.point_partitions
+
+    def partly(spark, name, pointers, days):
+        whole(spark, name, pointers, pick(days))
+        raise Stopped
+
+    return partly
+
+
+STEPS = {
+    "data written, not recorded": ("DayPointers.record", lambda: _stop),
+    "recorded, no partition pointed": ("point_partitions", lambda: _stop),
+    "first day pointed": ("point_partitions", lambda: _only(lambda days: days[:1])),
+    "last day pointed": ("point_partitions", lambda: _only(lambda days: days[-1:])),
+    "all pointed, nothing removed": ("DayPointers.finish", lambda: _stop),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("then", ["same batch", "new day", "old day", "both days", "catalog entry lost"])
+def test_interrupted_merge_rolls_forward(spark, tmp_dir, monkeypatch, step, then):
+    """k1 moves from D1 to D3 and the merge dies after each step: never a doubled key, never a lost update."""
+    from aerolake.sinks import curated
+
+    name = f"t_stop_{os.path.basename(tmp_dir).replace('-', '_')}"
     path = os.path.join(tmp_dir, "t")
-    crashed = frame(spark, [("k1", "h1", 1, D1, "r1"), ("k1", "h1moved", 1, D3, "r2"), ("k2", "h2", 2, D2, "r1")])
-    write_partitioned(crashed, path, "event_date", mode="overwrite")
-    source = frame(spark, [("k1", "h1moved", 1, D3, "r2")])
-    merge_into_location(spark, path, source)
-    rows = sorted((r.record_key, r.event_date, r.payload_hash) for r in spark.read.parquet(path).collect())
-    assert rows == [("k1", D3, "h1moved"), ("k2", D2, "h2")]
+    first = frame(spark, [("k1", "z", 1, D1, "r1"), ("k2", "h2", 2, D1, "r1"), ("k3", "h3", 3, D3, "r1")])
+    curated.write_curated(spark, first, name, path)
+    moved = frame(spark, [("k1", "zz-moved", 10, D3, "r2")])
+    target, make = STEPS[step]
+    with monkeypatch.context() as m:
+        m.setattr(f"aerolake.sinks.curated.{target}", make())
+        with pytest.raises(Stopped):
+            merge_into_table(spark, name, moved)
+    expected = {"k1": ("zz-moved", D3), "k2": ("h2", D1), "k3": ("h3", D3)}
+    if step == "data written, not recorded" and then != "same batch":
+        expected["k1"] = ("z", D1)  # never committed, and this batch does not bring it again
+    rows = {"same batch": [("k1", "zz-moved", 10, D3, "r3")], "new day": [("k4", "h4", 4, D3, "r3")],
+            "old day": [("k5", "h5", 5, D1, "r3")], "both days": [("k4", "h4", 4, D3, "r3"), ("k5", "h5", 5, D1, "r3")],
+            "catalog entry lost": [("k6", "h6", 6, D2, "r3")]}[then]
+    if then == "catalog entry lost":
+        spark.sql(f"DROP TABLE {name}")
+    for _ in range(2 if then == "same batch" else 1):
+        curated.write_curated(spark, frame(spark, rows), name, path)
+        got = sorted((r.record_key, r.payload_hash, r.event_date) for r in spark.table(name).collect())
+        assert got == sorted((k, h, d) for k, (h, d) in (expected | {r[0]: (r[1], r[3]) for r in rows}).items())
+    # what no partition points at is gone
+    used = {r.path.split(path)[1].split("/")[1] for r in spark.table(name).selectExpr("_metadata.file_path path").collect()}
+    left = {n for n in os.listdir(path) if n.startswith(("event_date=", curated.DATA_PREFIX))}
+    assert {n for n in left if n.startswith("event_date=")} <= used
+    assert len(left - used) <= 1
+
+
+def test_table_merge_plan(spark, tmp_dir):
+    """No full outer join of whole rows, no dedupe of the target, and the keys of a small batch are broadcast."""
+    from aerolake.operators.merge import classify_source, merge_by_action
+    from aerolake.plans.inspect import plan_text
+
+    create_curated_table(frame(spark, [(f"k{i}", "h", i, D1, "r1") for i in range(500)]), "t_plan", os.path.join(tmp_dir, "t"))
+    target, source = spark.table("t_plan"), frame(spark, [("k1", "x", 1, D1, "r2"), ("n", "x", 1, D1, "r2")])
+    actions = classify_source(target, source).checkpoint()
+    assert {r.record_key: r.action for r in actions.collect()} == {"k1": "update", "n": "insert"}
+    merged = merge_by_action(target, source, actions)
+    text = plan_text(merged, "simple")
+    assert "FullOuter" not in text and "Aggregate" not in text
+    assert "LeftAnti" in text and merged.count() == 501
 
 
 def test_row_level_merge_routing(spark, tmp_dir):
@@ -145,24 +211,6 @@ def test_unpartitioned_create_is_external_and_refuses_existing(spark, tmp_dir):
         create_table(rows, name, path=path)
 
 
-def test_merge_recovers_day_left_aside_by_interrupted_swap(spark, tmp_dir):
-    """A merge that died after moving a day aside (before the staged copy was moved in)."""
-    from aerolake.sinks.curated import STAGING_PREFIX, merge_into_location
-    from aerolake.sinks.writers import write_partitioned
-
-    path = os.path.join(tmp_dir, "t")
-    write_partitioned(frame(spark, [("k1", "h1", 1, D1, "r1"), ("k2", "h2", 2, D2, "r1")]), path, "event_date")
-    aside = os.path.join(path, STAGING_PREFIX + "dead-replaced")
-    os.makedirs(aside)
-    os.rename(os.path.join(path, "event_date=2024-01-01"), os.path.join(aside, "event_date=2024-01-01"))
-    os.makedirs(os.path.join(path, STAGING_PREFIX + "dead", "event_date=2024-01-01"))
-    counts = merge_into_location(spark, path, frame(spark, [("k3", "h3", 3, D1, "r2")]))
-    assert counts == {"insert": 1, "keep": 1}
-    rows = sorted((r.record_key, r.event_date) for r in spark.read.parquet(path).collect())
-    assert rows == [("k1", D1), ("k2", D2), ("k3", D1)]
-    assert not [n for n in os.listdir(path) if n.startswith(STAGING_PREFIX)]
-
-
 from hypothesis import given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
