@@ -1,16 +1,19 @@
-"""Language-model scores by a probabilistic suffix tree over words.
-
-Counting runs on Spark over every training text: word counts first, then the successors of
-each frequent word, then the successors of the most frequent word pairs. A context becomes a
-state of the tree only if its successor distribution diverges from that of its longest shorter
-context: the test is its leave-one-out log-likelihood gain over the whole training text.
-Next-symbol distributions are smoothed by absolute discounting towards the shorter context,
-down to the smoothed word frequencies. A word is scored by the longest suffix of its history
-that is a state.
-
-The tree has a bounded size (``vocab`` words, ``contexts`` pair contexts, ``entries`` successors
-a level), so it is broadcast. Words outside the vocabulary share one symbol, whose probability is
-divided by their exact frequencies: those are joined through a shuffle, whatever their number.
+"""Language-model scores by a probabilistic suffix tree over words, of no fixed size or depth.
+
+Words, contexts (the words before a place, nearest first) and pairs of a context and its next word are
+64-bit hashes; two different ones are taken for one only where the hashes meet. The tree is grown level
+by level as tables on Spark. Documents are dealt into blocks of about ``BLOCK_TOKENS`` words. Each block
+asks once for every pair at its open places; the questions, added up by pair, are the counts of the level.
+A context seen ``LEAST_COUNT`` times or more in training becomes a state if its successor distribution
+diverges from that of its longest shorter context: the test is its leave-one-out log-likelihood gain over
+the whole training text. Next-word distributions are smoothed by absolute discounting towards the shorter
+context, down to the smoothed word frequencies. The answers go back to the blocks that asked: a word is
+scored by the longest suffix of its history that is a state.
+
+A place is open for a longer context as long as its context is frequent enough and leaves more than
+``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are
+added until no place is open. No number of words, contexts, successors or levels is fixed; nothing that grows with them is collected
+or broadcast. Contexts with many successors are salted in the joins.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
 from; rows that repeat an id count and are scored as rows of their own; without training text
@@ -19,132 +22,222 @@ every probability is that of an unseen word. Only the id and text columns are re
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import quoted, small_batches, staged
+from aerolake.llm.common import drop_staged, quoted, small_batches, staged
 
-VOCAB, CONTEXTS, ENTRIES = 50_000, 100_000, 400_000
+#: Most frequent words of the view ``Fitted.tree``; scores do not depend on it.
+VOCAB = 50_000
 #: Count of a context before it is considered, discount, and the gain in nats a state must bring.
 LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
-_FLUSH_WORDS, _FLUSH_TOKENS = 300_000, 1_500_000
+#: Words of a block, bytes hashed at once, rows of an Arrow batch (its bytes are bounded as well).
+BLOCK_TOKENS, HASH_BYTES, ROWS = 1 << 18, 1 << 20, 10_000
+#: A context with this share of a level's pairs is dealt to this many places in the joins.
+HOT_SHARE, SALTS = 1 / 400, 64
+
+_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
+_PLACE, _BACK, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+#: The symbol after the last word of a text.
+END = np.int64(-1)
+_STATE = ("block long, doc_id long, held_out boolean, learn boolean, n_tokens long, n_known long, base double, closed double, "
+          "words array<long>, at array<int>, p array<double>")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``texts(text binary)`` -> ``(word binary, c)``; each task counts before the shuffle."""
-
-    def run(batches):
-        seen = Counter()
-
-        def out():
-            batch = pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-            seen.clear()
-            return batch
-
-        for batch in batches:
-            for t in batch.column("text").to_pylist():
-                seen.update(words_of(t))
-            if len(seen) > _FLUSH_WORDS:
-                yield out()
-        yield out()
-
-    return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def _encode(docs: DataFrame, vocab: list[tuple[bytes, int]], floor: float) -> DataFrame:
-    """Symbols of each text: 1.. for vocabulary words by frequency, 0 for another word, len(vocab)+1 for the end."""
-    end = len(vocab) + 1
-    shared = docs.sparkSession.sparkContext.broadcast({w: i + 1 for i, (w, _) in enumerate(vocab)})
+def hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of ``words_of`` and the place of its first byte."""
+    a = np.frombuffer(text.lower(), np.uint8)
+    at = np.flatnonzero(~_SPACE[a])
+    if not len(at):
+        return np.zeros(0, np.int64), at
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    size = np.diff(first, append=len(at))
+    place = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size.max(), _PLACE))])
+    h = np.add.reduceat(_BYTE[a[at]] * place[np.arange(len(at)) - np.repeat(first, size)], first) + size.astype(np.uint64)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(31))).view(np.int64), at[first]
+
+
+def hash_texts(texts: list[bytes | None]) -> list[np.ndarray]:
+    """The word hashes of each text and ``END``."""
+    out, i = [], 0
+    while i < len(texts):
+        part, size = [], 0
+        while i < len(texts) and (not part or size + len(texts[i] or b"") < HASH_BYTES):
+            part.append(texts[i] or b"")
+            size += len(part[-1]) + 1
+            i += 1
+        h, at = hash_words(b"\n".join(part))
+        cut = np.searchsorted(at, np.cumsum([len(t) + 1 for t in part])[:-1])
+        out += [np.append(x, END) for x in np.split(h, cut)]
+    return out
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    flat = np.concatenate(parts) if parts else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """Every text as word hashes, in blocks; all of its places are open."""
 
     def run(batches):
-        symbol = shared.value.get
+        block, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            ids, rare = [], []
-            for t in batch.column("text").to_pylist():
-                words = words_of(t)
-                row = [symbol(w, 0) for w in words]
-                rare.append([w for w, i in zip(words, row) if not i])
-                row.append(end)
-                ids.append(np.array(row, np.int32))
-            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            words = hash_texts(batch.column("text").to_pylist())
+            blocks = []
+            for w in words:
+                if size > BLOCK_TOKENS:
+                    block, size = block + 1, 0
+                blocks.append(block)
+                size += len(w)
+            n, zero = pa.array([len(w) for w in words], pa.int64()), np.zeros(len(words))
             yield pa.record_batch(
-                [*(batch.column(c) for c in ("row", "doc_id", "held_out", "learn")),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(rare, pa.list_(pa.binary()))],
-                names=["row", "doc_id", "held_out", "learn", "ids", "rare"])
+                [pa.array(blocks, pa.int64()), *(batch.column(c) for c in ("doc_id", "held_out", "learn")), n, pa.array(zero, pa.int64()),
+                 pa.array(zero), pa.array(zero), _lists(words, pa.int64()), _lists([np.arange(len(w)) for w in words], pa.int32()),
+                 _lists([np.ones(len(w)) for w in words], pa.float64())], names=[c.split()[0] for c in _STATE.split(", ")])
 
-    return docs.mapInArrow(run, "row long, doc_id long, held_out boolean, learn boolean, ids array<int>, rare array<binary>")
+    return docs.mapInArrow(run, _STATE)
 
 
-def _flat(batch) -> tuple[np.ndarray, np.ndarray]:
-    """All symbols of a batch and the start of each text."""
-    col = batch.column("ids")
-    return col.flatten().to_numpy(zero_copy_only=False), np.asarray(col.offsets)[:-1] - col.offsets[0].as_py()
+def _open_places(table, depth: int):
+    """(row, place, p, context, pair) of the open places with ``depth`` words before them, and the mask of those among all open ones."""
 
+    def flat(name):
+        col = table.column(name)
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        return col.flatten().to_numpy(zero_copy_only=False), np.diff(np.asarray(col.offsets))
 
-def _history(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols one and two places back; -1 before the start of a text, 0 (no context) for rare ones."""
-    one = np.empty_like(ids)
-    one[1:] = ids[:-1]
-    one[starts] = -1
-    two = np.empty_like(ids)
-    two[1:] = one[:-1]
-    two[starts] = -1
-    return one, two
+    words, n = flat("words")
+    at, k = flat("at")
+    p, _ = flat("p")
+    row = np.repeat(np.arange(len(k)), k)
+    place, w = (np.cumsum(n) - n)[row] + at, words.view(np.uint64) if words.dtype == np.int64 else words.astype(np.int64).view(np.uint64)
+    far = at >= depth
+    place, context, factor = place[far], np.zeros(int(far.sum()), np.uint64), np.uint64(1)
+    with np.errstate(over="ignore"):
+        for j in range(1, depth + 1):
+            context += w[place - j] * factor
+            factor = factor * _BACK
+        pair = context * _NEXT + w[place]
+    return row, at, p, context.view(np.int64), pair.view(np.int64), far
 
 
-def _successors(encoded: DataFrame, codes_of, schema_names: tuple[str, str]) -> DataFrame:
-    """Counts of (context, next symbol), summed in each task before the shuffle."""
-    names = [*schema_names, "n"]
+def _questions(state: DataFrame, depth: int) -> DataFrame:
+    """``(block, ctx, pair, n, p)``: the pairs at the open places of each block, how often training text has them there, and
+    the probability by the shorter context."""
+    names = ["block", "ctx", "pair", "n", "p"]
 
     def run(batches):
-        held, size = [], 0
+        held, now = [], None
 
         def out():
-            ctx, nxt = (np.concatenate(c) for c in zip(*held))
-            code, n = np.unique((ctx << 32) | nxt, return_counts=True)
+            ctx, pair, learn, p = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            return pa.record_batch([pa.array(code >> 32), pa.array(code & 0xFFFFFFFF), pa.array(n.astype(np.int64))], names=names)
+            pair, first, back = np.unique(pair, return_index=True, return_inverse=True)
+            n = np.bincount(back, weights=learn, minlength=len(pair)).astype(np.int64)
+            for i in range(0, len(pair), ROWS):
+                s = slice(i, i + ROWS)
+                yield pa.record_batch([pa.array(np.full(len(pair[s]), now)), pa.array(ctx[first[s]]), pa.array(pair[s]), pa.array(n[s]),
+                                       pa.array(p[first[s]])], names=names)
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            got = codes_of(*_flat(batch))
-            held.append(got)
-            size += len(got[0])
-            if size > _FLUSH_TOKENS:
-                yield out()
-                size = 0
+            blocks = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)] if len(blocks) else [0]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and blocks[a] != now:
+                    yield from out()
+                now = blocks[a]
+                part = pa.Table.from_batches([batch.slice(a, b - a)])
+                row, _, p, ctx, pair, far = _open_places(part, depth)
+                if len(pair):
+                    learn = part.column("learn").to_numpy().astype(bool)
+                    held.append((ctx, pair, learn[row[far]].astype(np.int64), p[far]))
         if held:
-            yield out()
-
-    return (encoded.select("ids").mapInArrow(run, f"{names[0]} long, {names[1]} long, n long")
-            .groupBy(*schema_names).agg(F.sum("n").alias("n")))
-
-
-def _most_frequent(counted: DataFrame, most: int, least: int) -> DataFrame:
-    """The rows of the largest counts, at most ``most``, none under ``least``; ties stay together."""
-    step = F.floor(F.log2("n") * 16).cast("int")
-    hist = sorted(((r["b"], r["k"]) for r in counted.where(F.col("n") >= least).groupBy(step.alias("b"))
-                   .agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
-    total, floor = 0, None
-    for b, k in hist:
-        if total + k > most:
-            break
-        total, floor = total + k, b
-    if floor is None:
-        return counted.where(F.lit(False))
-    return counted.where((F.col("n") >= least) & (step >= floor))
+            yield from out()
+
+    return (state.select("block", "learn", "words", "at", "p").where(F.size("at") > 0)
+            .mapInArrow(run, "block long, ctx long, pair long, n long, p double"))
+
+
+def _answered(state: DataFrame, answers: DataFrame, depth: int, least_known: float) -> DataFrame:
+    """The state after ``answers(block, pair, p, open)``; a place without an answer is closed with the probability it has."""
+
+    def run(docs: pa.Table, got: pa.Table) -> pa.Table:
+        row, at, p, _, pair, far = _open_places(docs, depth)
+        p, still = p.copy(), np.zeros(len(at), bool)
+        if got.num_rows and len(pair):
+            known, said, more = (got.column(c).to_numpy() for c in ("pair", "p", "open"))
+            order = np.argsort(known)
+            known, said, more = known[order], said[order], more[order].astype(bool)
+            i = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+            hit, where = known[i] == pair, np.flatnonzero(far)
+            p[where[hit]], still[where[hit]] = said[i[hit]], more[i[hit]]
+        rows = docs.num_rows
+        logs = np.log10(p)
+        cols = {c: docs.column(c) for c in docs.column_names}
+        if depth == 0:
+            cols["base"] = pa.array(np.bincount(row, weights=logs, minlength=rows))
+            cols["n_known"] = pa.array(np.bincount(row, weights=p > least_known, minlength=rows).astype(np.int64))
+        cols["closed"] = pa.array(docs.column("closed").to_numpy() + np.bincount(row[~still], weights=logs[~still], minlength=rows))
+        left = np.cumsum(np.bincount(row[still], minlength=rows))[:-1]
+        cols["at"] = _lists(np.split(at[still], left), pa.int32())
+        cols["p"] = _lists(np.split(p[still], left), pa.float64())
+        some = np.bincount(row[still], minlength=rows) > 0
+        words = docs.column("words").combine_chunks()
+        n = np.diff(np.asarray(words.offsets))
+        flat = words.flatten().to_numpy(zero_copy_only=False)[np.repeat(some, n)]
+        cols["words"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.where(some, n, 0)]), pa.int32()), pa.array(flat, pa.int64()))
+        return pa.table(cols)
+
+    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _STATE)
+
+
+def _grow(asked: DataFrame, depth: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """One level from its pairs ``asked(ctx, pair, n, p, blocks)``: the pairs of its frequent contexts, those of the contexts
+    ``(ctx, kept, open)`` that are states or leave enough to gain, and these contexts; None without a frequent context."""
+    listed = F.col("n") >= 2
+    totals = staged(asked.groupBy("ctx").agg(
+        F.sum("n").alias("total"), F.sum(F.when(listed, F.col("n") - DISCOUNT).otherwise(0.0)).alias("listed"),
+        F.sum(F.when(listed, F.col("n")).otherwise(0)).alias("heard"), F.count(F.lit(1)).alias("k")).where(F.col("total") >= LEAST_COUNT),
+        f"lm-totals-{depth}")
+    whole = totals.agg(F.sum("k")).first()[0]
+    if not whole:
+        return None
+    # at most 1 / HOT_SHARE contexts
+    hot = [r["ctx"] for r in totals.where(F.col("k") > max(HOT_SHARE * whole, SALTS)).select("ctx").collect()]
+    salted = F.col("ctx").isin(hot) if hot else F.lit(False)
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+
+    back = (F.col("total") - F.col("listed")) / F.col("total")
+    pairs = staged(asked.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("pair"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+                   .join(spread(totals.select("ctx", "total", "listed", "heard")), ["ctx", "salt"])
+                   .select("ctx", "salt", "pair", "n", "p", "blocks", "total", back.alias("back"), (F.col("total") - F.col("heard")).alias("alone"),
+                           (F.when(listed, (F.col("n") - DISCOUNT) / F.col("total")).otherwise(0.0)).alias("mass")), f"lm-pairs-{depth}")
+    n, p = F.col("n"), F.col("p")
+    left_out = F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("back") * p
+    gain = F.sum(F.when(listed, n * (F.log(left_out) - F.log(p))).otherwise(0.0)) + F.max("alone") * F.log(F.greatest(F.max("back"), F.lit(1e-12)))
+    states = pairs.groupBy("ctx").agg(
+        (gain > LEAST_GAIN).alias("kept"), F.sum(F.when(listed, -n * F.log(F.col("mass") + F.col("back") * p)).otherwise(0.0)).alias("rest_kept"),
+        F.sum(F.when(listed, -n * F.log(p)).otherwise(0.0)).alias("rest"))
+    states = staged(states.select("ctx", "kept", (F.when(F.col("kept"), F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN).alias("open"))
+                    .where("kept OR open"), f"lm-states-{depth}")
+    drop_staged(totals)
+    return pairs, pairs.join(spread(states), ["ctx", "salt"]), states
 
 
 @dataclass
@@ -163,26 +256,6 @@ class Level:
         return np.where(self.codes[at] == code, self.mass[at], 0.0)
 
 
-def grow_level(state: np.ndarray, symbol: np.ndarray, n: np.ndarray, totals: np.ndarray, shorter: np.ndarray,
-               width: int) -> tuple[Level, np.ndarray]:
-    """Smoothed states whose leave-one-out gain over the shorter context (``shorter``: its probability of each
-    row's symbol) passes the test; the other states keep the shorter context's distribution."""
-    size = len(totals)
-    listed = np.bincount(state, weights=n - DISCOUNT, minlength=size).astype(float)
-    alone = totals - np.bincount(state, weights=n, minlength=size)
-    whole = np.maximum(totals, 1).astype(float)
-    back = np.where(totals > 0, (totals - listed) / whole, 1.0)
-    p = (np.maximum(n - 1 - DISCOUNT, 0) / whole[state]) + back[state] * shorter
-    gain = np.bincount(state, weights=n * (np.log(p) - np.log(shorter)), minlength=size).astype(float)
-    gain += alone * np.log(np.maximum(back, 1e-12))
-    kept = (gain > LEAST_GAIN) & (totals >= LEAST_COUNT)
-    rows = kept[state]
-    code = state[rows].astype(np.int64) * width + symbol[rows]
-    order = np.argsort(code)
-    mass = ((n - DISCOUNT) / whole[state])[rows][order]
-    return Level(code[order], mass, np.where(kept, back, 1.0)), kept
-
-
 @dataclass
 class SuffixTree:
     base: np.ndarray
@@ -204,110 +277,102 @@ class SuffixTree:
         return p
 
 
+def _signed(x: int) -> int:
+    return (x + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
 @dataclass
 class Fitted:
-    tree: SuffixTree
-    vocab: list[tuple[bytes, int]]
+    """``counts(pair, n)`` of the words; of each depth from one the successors ``(ctx, pair, n, total, back, mass)`` of its states,
+    and the number of the states."""
+
     counts: DataFrame
+    levels: list[DataFrame]
+    states: list[int]
     tokens: int
     ends: int
     denominator: float
+    vocab: int = VOCAB
+
+    @cached_property
+    def tree(self) -> SuffixTree:
+        """The first two levels over the ``vocab`` most frequent words, collected to look at; scores do not use it."""
+        top = [(r["pair"], r["n"]) for r in self.counts.where((F.col("n") > 0) & (F.col("pair") != int(END)))
+               .orderBy(F.desc("n"), "pair").limit(self.vocab).collect()]
+        width = len(top) + 2
+        symbol = {h: i + 1 for i, (h, _) in enumerate(top)} | {int(END): width - 1}
+        base = np.array([0.0, *((c + 0.5) / self.denominator for _, c in top), (self.ends + 0.5) / self.denominator])
+        base[0] = max(1 - base.sum(), 0.5 / self.denominator)
+
+        def level(rows, number, size):
+            found, back = [], np.ones(size)
+            for r in rows:
+                if r["ctx"] in number:
+                    back[number[r["ctx"]]] = r["back"]
+                    s = symbol.get(_signed(r["pair"] - r["ctx"] * int(_NEXT)))
+                    if s:
+                        found.append((number[r["ctx"]] * width + s, r["mass"]))
+            found.sort()
+            return Level(np.array([c for c, _ in found], np.int64), np.array([m for _, m in found]), back)
+
+        first, second = ([r for d in self.levels[i:i + 1] for r in d.collect()] for i in (0, 1))
+        contexts, unturn = {r["ctx"] for r in second}, pow(int(_BACK), -1, 1 << 64)
+        codes = {c: symbol[two] * width + i for c in contexts for one, i in symbol.items() if (two := _signed((c - one) * unturn)) in symbol}
+        pairs = sorted((code, c) for c, code in codes.items())
+        return SuffixTree(base, level(first, symbol, width), np.array([code for code, _ in pairs], np.int64),
+                          level(second, {c: k for k, (_, c) in enumerate(pairs)}, len(pairs)))
 
 
 def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "doc_id", text_col: str = "text",
-                   vocab: int = VOCAB, contexts: int = CONTEXTS, entries: int = ENTRIES) -> tuple[Fitted, DataFrame]:
-    """The tree learned from the rows ``learn`` marks, and all rows as symbols."""
+                   vocab: int = VOCAB, depth: int | None = 2) -> tuple[Fitted, DataFrame]:
+    """The tree learned from the rows ``learn`` marks, and all rows with the probabilities of their words by it.
+
+    ``depth`` is the most words of a context."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
-                       learn.alias("learn"), held.alias("held_out"))
-    counts = staged(word_counts(rows.where("learn").select("text")), "lm-words")
-    ends = rows.where("learn").count()
-    got = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tokens, distinct = (got["n"] or 0) + ends, got["v"] + (1 if ends else 0)
-    denominator = tokens + 0.5 * (distinct + 1)
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(vocab).collect()]
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    encoded = staged(_encode(numbered, top, denominator), "lm-symbols")
-
-    width = len(top) + 2
-    base = np.array([0.0, *((c + 0.5) / denominator for _, c in top), (ends + 0.5) / denominator])
-    base[0] = max(1 - base.sum(), 0.5 / denominator)
-    training = encoded.where("learn")
-
-    def single(ids, starts):
-        one, _ = _history(ids, starts)
-        at = np.flatnonzero(one > 0)
-        return one[at].astype(np.int64), ids[at].astype(np.int64)
-
-    follow = staged(_successors(training, single, ("ctx", "sym")), "lm-successors")
-
-    def arrays(df: DataFrame, *names: str) -> list[np.ndarray]:
-        t = df.select(*names).toPandas()
-        return [t[c].to_numpy(np.int64) for c in names]
-
-    totals = np.zeros(width, np.int64)
-    ctx, n = arrays(follow.groupBy("ctx").agg(F.sum("n").alias("n")), "ctx", "n")
-    totals[ctx] = n
-    state, symbol, n = arrays(_most_frequent(follow, entries, 2), "ctx", "sym", "n")
-    one, one_kept = grow_level(state, symbol, n, totals, base[symbol], width)
-
-    inner = follow.where((F.col("sym") > 0) & (F.col("sym") < width - 1))
-    a, b = arrays(_most_frequent(inner, contexts, LEAST_COUNT), "ctx", "sym")
-    pairs = np.sort(a * width + b)
-    shared = spark.sparkContext.broadcast(pairs)
-
-    def double(ids, starts):
-        one_back, two_back = _history(ids, starts)
-        known, code = shared.value, two_back.astype(np.int64) * width + one_back
-        at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-        hit = np.flatnonzero((known[at] == code) & (two_back > 0) & (one_back > 0))
-        return at[hit].astype(np.int64), ids[hit].astype(np.int64)
-
-    tree = SuffixTree(base, one, np.zeros(0, np.int64), Level(np.zeros(0, np.int64), np.zeros(0), np.zeros(0)))
-    if len(pairs):
-        follow2 = staged(_successors(training, double, ("ctx", "sym")), "lm-pair-successors")
-        totals2 = np.zeros(len(pairs), np.int64)
-        ctx, n = arrays(follow2.groupBy("ctx").agg(F.sum("n").alias("n")), "ctx", "n")
-        totals2[ctx] = n
-        state, symbol, n = arrays(_most_frequent(follow2, entries, 2), "ctx", "sym", "n")
-        last = pairs[state] % width
-        shorter = one.weights(last, symbol, width) + one.back[last] * base[symbol]
-        two, kept = grow_level(state, symbol, n, totals2, shorter, width)
-        place = np.cumsum(kept) - 1
-        two = Level(place[two.codes // width] * width + two.codes % width, two.mass, two.back[kept])
-        tree = SuffixTree(base, one, pairs[kept], two)
-    return Fitted(tree, top, counts, tokens, ends, denominator), encoded
+                       F.coalesce(learn, F.lit(False)).alias("learn"), held.alias("held_out"))
+    state = staged(_blocks(rows), "lm-blocks")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+
+    def ask(at: int) -> DataFrame:
+        return staged(_questions(state, at).groupBy("ctx", "pair").agg(
+            F.sum("n").alias("n"), F.max("p").alias("p"), F.collect_list("block").alias("blocks")), f"lm-asked-{at}")
+
+    def answer(at: int, answers: DataFrame) -> DataFrame:
+        after = staged(_answered(state, answers, at, 0.75 / denominator), f"lm-state-{at}")
+        drop_staged(state)
+        return after
+
+    counts = ask(0)
+    got = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"),
+                     F.sum(F.when(F.col("pair") == int(END), F.col("n"))).alias("ends")).first()
+    tokens, ends = got["n"] or 0, got["ends"] or 0
+    denominator = tokens + 0.5 * (got["v"] + 1)
+    state = answer(0, counts.select(F.explode("blocks").alias("block"), "pair", ((F.col("n") + 0.5) / denominator).alias("p"), F.lit(True).alias("open")))
+    levels, states = [], []
+    while depth is None or len(levels) < depth:
+        at = len(levels) + 1
+        asked = ask(at)
+        grown = _grow(asked, at)
+        drop_staged(asked)
+        if not grown:
+            break
+        pairs, telling, contexts = grown
+        said = F.when(F.col("kept"), F.col("mass") + F.col("back") * F.col("p")).otherwise(F.col("p"))
+        state = answer(at, telling.select(F.explode("blocks").alias("block"), "pair", said.alias("p"), "open"))
+        levels.append(staged(telling.where("kept AND n >= 2").select("ctx", "pair", "n", "total", "back", "mass"), f"lm-level-{at}"))
+        states.append(contexts.where("kept").count())
+        more = bool(contexts.where("open").take(1))
+        drop_staged(pairs)
+        drop_staged(contexts)
+        if not more:
+            break
+    return Fitted(counts, levels, states, tokens, ends, denominator, vocab), state
 
 
 def scores(fitted: Fitted, encoded: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per text."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(fitted.tree)
-    ends, denominator = fitted.ends, fitted.denominator
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain"]
-
-    def run(batches):
-        tree = shared.value
-        plain = np.log10(tree.base)
-        plain[0] = 0.0  # words outside the vocabulary are added below, by their own counts
-        end = len(tree.base) - 1
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, starts = _flat(batch)
-            gain = np.log10(tree.probability(ids, *_history(ids, starts))) - np.log10(tree.base)[ids]
-            known = (ids > 0) & ((ids < end) | (ends > 0))
-            yield pa.record_batch(
-                [*(batch.column(c) for c in names[:3]), pa.array(np.diff([*starts, len(ids)]).astype(np.int64)),
-                 pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(np.add.reduceat(plain[ids], starts)),
-                 pa.array(np.add.reduceat(gain, starts))], names=names)
-
-    by_state = encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, gain double")
-    rare = encoded.select("row", F.explode("rare").alias("word")).join(fitted.counts, "word", "left").groupBy("row").agg(
-        F.sum(F.log10((F.coalesce("c", F.lit(0)) + 0.5) / denominator)).alias("rare_base"), F.count("c").alias("rare_known"))
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return by_state.join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(fitted.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+    rest = F.aggregate("p", F.lit(0.0), lambda a, x: a + F.log10(x))
+    return encoded.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(fitted.tokens).cast("long").alias("train_tokens"),
+                          F.col("base").alias("base_score"), (F.col("closed") + rest).alias("score"))

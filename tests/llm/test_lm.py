@@ -99,3 +99,53 @@ def test_states_are_the_longest_suffixes():
     assert p(2, 1, -1) == pytest.approx(0.5 + 0.5 * 0.3)
     assert p(3, 1, 2) == pytest.approx(0.6 + 0.4 * 0.5 * 0.4)
     assert p(2, 2, 1) == pytest.approx(0.3) and p(2, -1, -1) == pytest.approx(0.3)
+
+
+def plain_scores(rows, deepest):
+    """Scores by the definition: every frequent context of up to ``deepest`` words is tested, shortest first. ``rows``: (learn, words)."""
+    texts = [(learn, [*w, None]) for learn, w in rows]
+    base = Counter(w for learn, t in texts if learn for w in t)
+    whole = sum(base.values()) + 0.5 * (len(base) + 1)
+    p = [[(base[w] + 0.5) / whole for w in t] for _, t in texts]
+    states = []
+    for d in range(1, deepest + 1):
+        seen, shorter = {}, {}
+        for (learn, t), q in zip(texts, p):
+            for i in range(d, len(t)):
+                if learn:
+                    seen.setdefault(tuple(t[i - d:i]), Counter())[t[i]] += 1
+                    shorter[tuple(t[i - d:i]), t[i]] = q[i]
+        kept = {}
+        for c, after in seen.items():
+            total, many = sum(after.values()), {w: n for w, n in after.items() if n >= 2}
+            back = (total - sum(n - M.DISCOUNT for n in many.values())) / total
+            gain = sum(n * math.log(((max(n - 1 - M.DISCOUNT, 0) / total) + back * shorter[c, w]) / shorter[c, w]) for w, n in many.items())
+            gain += (total - sum(many.values())) * math.log(max(back, 1e-12))
+            if total >= M.LEAST_COUNT and gain > M.LEAST_GAIN:
+                kept[c] = ({w: (n - M.DISCOUNT) / total for w, n in many.items()}, back)
+        for (_, t), q in zip(texts, p):
+            for i in range(d, len(t)):
+                if tuple(t[i - d:i]) in kept:
+                    mass, back = kept[tuple(t[i - d:i])]
+                    q[i] = mass.get(t[i], 0) + back * q[i]
+        states.append(len(kept))
+    return states, [sum(map(math.log10, q)) for q in p]
+
+
+def test_words_beyond_any_rank_are_contexts_and_successors(spark):
+    """The frequent words do not matter: scores are those of the definition whatever ``vocab`` is."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for d in range(150):
+        words = []
+        for _ in range(20):
+            k = int(rng.integers(12))
+            words += [*["the"] * int(rng.integers(1, 4)), f"rare{k}", f"next{k}" if rng.random() < 0.9 else "other"]
+        rows.append((d, words))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    for vocab in (2, 50_000):
+        fitted, encoded = M.fit_and_encode(docs, F.col("doc_id") < 120, F.col("doc_id") >= 120, vocab=vocab, depth=2)
+        got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
+        states, want = plain_scores([(d < 120, w) for d, w in rows], 2)
+        assert fitted.states == states and states[0] >= 12
+        assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
