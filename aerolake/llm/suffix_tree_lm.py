@@ -11,9 +11,10 @@ context, down to the smoothed word frequencies. The answers go back to the block
 scored by the longest suffix of its history that is a state.
 
 A place is open for a longer context as long as its context is frequent enough and leaves more than
-``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are
-added until no place is open. No number of words, contexts, successors or levels is fixed; nothing that grows with them is collected
-or broadcast. Contexts with many successors are salted in the joins.
+``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are added until
+no place is open, or ``idle`` of them in turn had no state. No number of words, contexts, successors or levels
+is fixed by default; nothing that grows with them is collected or broadcast. Contexts with many successors
+are salted in the joins.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
 from; rows that repeat an id count and are scored as rows of their own; without training text
@@ -37,6 +38,8 @@ from aerolake.llm.common import drop_staged, quoted, small_batches, staged
 VOCAB = 50_000
 #: Count of a context before it is considered, discount, and the gain in nats a state must bring.
 LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
+#: Levels without a state, one after the other, that end the growth.
+IDLE = 2
 #: Words of a block, bytes hashed at once, rows of an Arrow batch (its bytes are bounded as well).
 BLOCK_TOKENS, HASH_BYTES, ROWS = 1 << 18, 1 << 20, 10_000
 #: A context with this share of a level's pairs is dealt to this many places in the joins.
@@ -324,10 +327,11 @@ class Fitted:
 
 
 def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "doc_id", text_col: str = "text",
-                   vocab: int = VOCAB, depth: int | None = 2) -> tuple[Fitted, DataFrame]:
+                   vocab: int = VOCAB, depth: int | None = None, idle: int | None = IDLE) -> tuple[Fitted, DataFrame]:
     """The tree learned from the rows ``learn`` marks, and all rows with the probabilities of their words by it.
 
-    ``depth`` is the most words of a context."""
+    ``depth`` is the most words of a context, None for no bound; ``idle`` the levels without a state after which no longer
+    context is tested, None to go on until no place is open."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
@@ -366,7 +370,7 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
         more = bool(contexts.where("open").take(1))
         drop_staged(pairs)
         drop_staged(contexts)
-        if not more:
+        if not more or (idle and at >= idle and not any(states[-idle:])):
             break
     return Fitted(counts, levels, states, tokens, ends, denominator, vocab), state
 

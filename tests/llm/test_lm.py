@@ -149,3 +149,24 @@ def test_words_beyond_any_rank_are_contexts_and_successors(spark):
         states, want = plain_scores([(d < 120, w) for d, w in rows], 2)
         assert fitted.states == states and states[0] >= 12
         assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_contexts_grow_as_long_as_they_tell(spark):
+    """A word set by the four before it, in a text that is random otherwise: states of more than two words, as by the definition."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for d in range(260):
+        words = []
+        for _ in range(12):
+            a, b, c, e = rng.integers(3, size=4)
+            words += [f"a{a}", f"b{b}", f"c{c}", f"d{e}", f"z{(a + b + c + e) % 3}"]
+        rows.append((d, words))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    learn, held = F.col("doc_id") < 200, F.col("doc_id") >= 200
+    fitted, encoded = M.fit_and_encode(docs, learn, held, idle=None)
+    states, want = plain_scores([(d < 200, w) for d, w in rows], len(fitted.states))
+    assert fitted.states == states and len(states) >= 4 and states[3] >= 40
+    got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
+    assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
+    two = M.scores(*M.fit_and_encode(docs, learn, held, depth=2)).where("held_out").agg(F.sum("score")).first()[0]
+    assert sum(got[d] for d in range(200, 260)) > 0.9 * two
