@@ -23,6 +23,7 @@ every probability is that of an unseen word. Only the id and text columns are re
 
 from __future__ import annotations
 
+import gc
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -88,13 +89,19 @@ def hash_texts(texts: list[bytes | None]) -> list[np.ndarray]:
     return out
 
 
+def _clean(spark) -> None:
+    """Let Spark delete the shuffle files of steps that are over."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     flat = np.concatenate(parts) if parts else np.zeros(0)
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """Every text as word hashes, in blocks; all of its places are open."""
+    """Every text as word hashes, in blocks; all of its places are open at depth 0, so they are not listed."""
 
     def run(batches):
         block, size = TaskContext.get().partitionId() << 32, 0
@@ -109,8 +116,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
             n, zero = pa.array([len(w) for w in words], pa.int64()), np.zeros(len(words))
             yield pa.record_batch(
                 [pa.array(blocks, pa.int64()), *(batch.column(c) for c in ("doc_id", "held_out", "learn")), n, pa.array(zero, pa.int64()),
-                 pa.array(zero), pa.array(zero), _lists(words, pa.int64()), _lists([np.arange(len(w)) for w in words], pa.int32()),
-                 _lists([np.ones(len(w)) for w in words], pa.float64())], names=[c.split()[0] for c in _STATE.split(", ")])
+                 pa.array(zero), pa.array(zero), _lists(words, pa.int64()), _lists([zero[:0]] * len(words), pa.int32()),
+                 _lists([zero[:0]] * len(words), pa.float64())], names=[c.split()[0] for c in _STATE.split(", ")])
 
     return docs.mapInArrow(run, _STATE)
 
@@ -126,6 +133,8 @@ def _open_places(table, depth: int):
     words, n = flat("words")
     at, k = flat("at")
     p, _ = flat("p")
+    if depth == 0:
+        at, k, p = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n), n, np.ones(len(words))
     row = np.repeat(np.arange(len(k)), k)
     place, w = (np.cumsum(n) - n)[row] + at, words.view(np.uint64) if words.dtype == np.int64 else words.astype(np.int64).view(np.uint64)
     far = at >= depth
@@ -171,7 +180,7 @@ def _questions(state: DataFrame, depth: int) -> DataFrame:
         if held:
             yield from out()
 
-    return (state.select("block", "learn", "words", "at", "p").where(F.size("at") > 0)
+    return (state.select("block", "learn", "words", "at", "p").where(F.size("words") > 0)
             .mapInArrow(run, "block long, ctx long, pair long, n long, p double"))
 
 
@@ -239,6 +248,7 @@ def _grow(asked: DataFrame, depth: int) -> tuple[DataFrame, DataFrame, DataFrame
         F.sum(F.when(listed, -n * F.log(p)).otherwise(0.0)).alias("rest"))
     states = staged(states.select("ctx", "kept", (F.when(F.col("kept"), F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN).alias("open"))
                     .where("kept OR open"), f"lm-states-{depth}")
+    drop_staged(asked)
     drop_staged(totals)
     return pairs, pairs.join(spread(states), ["ctx", "salt"]), states
 
@@ -346,6 +356,7 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
     def answer(at: int, answers: DataFrame) -> DataFrame:
         after = staged(_answered(state, answers, at, 0.75 / denominator), f"lm-state-{at}")
         drop_staged(state)
+        _clean(spark)
         return after
 
     counts = ask(0)
@@ -358,9 +369,11 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
     while depth is None or len(levels) < depth:
         at = len(levels) + 1
         asked = ask(at)
+        _clean(spark)
         grown = _grow(asked, at)
-        drop_staged(asked)
+        _clean(spark)
         if not grown:
+            drop_staged(asked)
             break
         pairs, telling, contexts = grown
         said = F.when(F.col("kept"), F.col("mass") + F.col("back") * F.col("p")).otherwise(F.col("p"))
