@@ -10,9 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from aerolake.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -35,10 +32,3 @@ def ansi(request, spark):
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="aerolake-test-")
-
-
-def write_file(path: str, body: bytes | str) -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "wb") as f:
-        f.write(body.encode("utf-8") if isinstance(body, str) else body)
-    return path

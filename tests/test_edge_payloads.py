@@ -11,7 +11,7 @@ from aerolake.operators.project import curate
 from aerolake.operators.validate import reconcile_counts, split_valid_rejected
 from aerolake.operators.nested import light_transform
 from aerolake.sources.raw_json import read_raw
-from conftest import write_file
+from support import write_file
 
 GOOD = '["abc123","CALL1  ","Germany","1784188214",1784188214,1.5,2.5,100.0,false,10.0,90.0,0.5,[1,2,30],110.0,"0021",false,0]'
 

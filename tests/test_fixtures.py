@@ -12,7 +12,7 @@ from aerolake.operators.ranking import rank_within
 from aerolake.operators.validate import with_field_count
 from aerolake.plans.queries import curated_all
 from aerolake.sources.fixtures import build_payloads, event_vectors, load_table
-from conftest import SF_CHECK
+from support import SF_CHECK
 
 
 def test_fixture_counts_sf001(spark):
@@ -62,7 +62,7 @@ def test_full_hours_split_into_responses_that_reread_exactly(spark, tmp_dir, mon
     from aerolake.operators.explode import parse_state_elements
     from aerolake.sources.landing import land_documents, payload_json
     from aerolake.sources.raw_json import read_raw
-    from conftest import SF_SMALL
+    from support import SF_SMALL
 
     monkeypatch.setattr(fx, "MAX_STATES_PER_PAYLOAD", 5)
     vec = fx.event_vectors(load_table(spark, SF_SMALL, "events")).drop("event_id").cache()

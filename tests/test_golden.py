@@ -12,7 +12,7 @@ from aerolake.jobs import validated_rows
 from aerolake.operators.project import curate
 from aerolake.operators.validate import split_valid_rejected
 from aerolake.functions.timefmt import landing_key
-from conftest import write_file
+from support import write_file
 
 GOLDEN_DOC = {
     "time": 1784188215,

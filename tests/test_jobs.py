@@ -8,7 +8,7 @@ import os
 import pytest
 
 from aerolake.jobs import run_curated, run_processed
-from conftest import write_file
+from support import write_file
 
 
 def vector(icao, t, vel=10.0):

@@ -13,7 +13,7 @@ from aerolake.sources.landing import (
     list_files,
     validate_latest,
 )
-from conftest import write_file
+from support import write_file
 
 GOOD = '{"time": 1, "states": [["a"]]}'
 

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from aerolake.plans.queries import QUERIES
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check_oracle import duck, table_digest  # noqa: E402

@@ -12,7 +12,7 @@ from aerolake.operators.dedupe import dedupe_by_key
 from aerolake.plans.inspect import assert_no_python, assert_pruned, plan_text
 from aerolake.plans.queries import QUERIES, QUERY_DAY
 from aerolake.operators.project import narrow_projection
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_pruned_day_projection_plan(spark, tmp_dir):

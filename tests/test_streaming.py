@@ -6,7 +6,7 @@ import json
 import os
 
 from aerolake.streaming.incremental import run_incremental
-from conftest import write_file
+from support import write_file
 
 
 def vector(icao, t, vel=10.0):
