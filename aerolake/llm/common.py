@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,24 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS, size: int = ARROW_BYTES):
+    """Arrow batches of at most ``rows`` rows and ``size`` bytes for what runs inside; the caller's settings come back after it."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared scratch folder and read again.
 
