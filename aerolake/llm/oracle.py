@@ -40,4 +40,34 @@ SELECT page_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS fetched_at, n IS NOT NULL AS
 FROM cap LEFT JOIN hits USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_temporal_lists": _ROWS}
+_AUDIT = r"""
+WITH d AS (SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT part, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+label AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN coalesce(doc_id > least, false) THEN 16 ELSE 0 END AS mask,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM w LEFT JOIN label USING (doc_id)),
+n AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (
+  SELECT filter_order, step, 1 << (strpos('ABCDE', filter_order[step]) - 1) AS bit,
+         list_sum([1 << (strpos('ABCDE', x) - 1) FOR x IN string_split(filter_order[1:step - 1], '') IF x != '']) AS done
+  FROM o, (SELECT unnest(range(1, 6)) AS step))
+SELECT part, filter_order, CAST(step AS INT) AS step,
+       CAST(coalesce(sum(n) FILTER (mask & (bit | coalesce(done, 0)) = 0), 0) AS BIGINT) AS kept,
+       CAST(coalesce(sum(n) FILTER (mask & bit != 0 AND mask & coalesce(done, 0) = 0), 0) AS BIGINT) AS removed,
+       CAST(coalesce(sum(n) FILTER (mask & bit != 0 AND mask & coalesce(done, 0) != 0), 0) AS BIGINT) AS redundant,
+       CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(sum(good) FILTER (mask & bit != 0 AND mask & coalesce(done, 0) = 0), 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(sum(toxic) FILTER (mask & bit != 0 AND mask & coalesce(done, 0) = 0), 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit != 0), 0) AS BIGINT) AS shapley
+FROM n, s GROUP BY part, filter_order, step
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_url_temporal_lists": _ROWS, "op11_filter_audit": _AUDIT}

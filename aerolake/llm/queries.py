@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import (conversation_repair, langid, license_scan, lsh_forest, packing, quality_rules, simhash_dedup, subword_sampling,
+from aerolake.llm import (conversation_repair, filter_audit, langid, license_scan, lsh_forest, packing, quality_rules, simhash_dedup, subword_sampling,
                           suffix_tree_lm, toxicity, url_lists)
 from aerolake.llm.common import held_out, learns_from, staged, table
 
@@ -122,6 +122,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], "kept")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.failure_masks(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(masks, table(spark, sf_dir, "labels"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows with a seeded fault each: ``copies`` 0 drops a row, 2 repeats it; emptied, without sentence ends or with another role."""
     blank = F.lit(" ")
@@ -141,5 +146,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_simhash_near_dedup, op3_url_temporal_lists, op4_subword_sampling,
                             op5_best_fit_packing, op6_hash_prefix_forest, op7_suffix_tree_lm, op8_toxicity, op9_language_id,
-                            op10_quality_rules, op13_conversation_repair)
+                            op10_quality_rules, op11_filter_audit, op13_conversation_repair)
 }
