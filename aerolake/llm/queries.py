@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import (conversation_repair, filter_audit, langid, license_scan, lsh_forest, packing, quality_rules, simhash_dedup, subword_sampling,
-                          suffix_tree_lm, toxicity, url_lists)
+from aerolake.llm import (conversation_repair, filter_audit, langid, license_scan, lsh_forest, packing, personal_data,
+                          quality_rules, simhash_dedup, subword_sampling, suffix_tree_lm, toxicity, url_lists)
 from aerolake.llm.common import held_out, learns_from, staged, table
 
 PACKING_TOKENIZER, SUBWORD_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -127,6 +127,20 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(masks, table(spark, sf_dir, "labels"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(docs, personal_data.fit(docs))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in personal_data.KINDS], F.sha2(listed("base"), 256).alias("base_sha256"),
+                        listed("spans").alias("spans"))
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """Rows with a seeded fault each: ``copies`` 0 drops a row, 2 repeats it; emptied, without sentence ends or with another role."""
     blank = F.lit(" ")
@@ -146,5 +160,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_simhash_near_dedup, op3_url_temporal_lists, op4_subword_sampling,
                             op5_best_fit_packing, op6_hash_prefix_forest, op7_suffix_tree_lm, op8_toxicity, op9_language_id,
-                            op10_quality_rules, op11_filter_audit, op13_conversation_repair)
+                            op10_quality_rules, op11_filter_audit, op12_personal_data, op13_conversation_repair)
 }
