@@ -1,13 +1,15 @@
 """The two batch jobs as functions (session, run id, stage order, actions).
 
 Operators stay pure ``DataFrame -> DataFrame``; only these wrappers run actions,
-persist, write and raise. Differences from the job they re-implement:
+write and raise. Differences from the job they re-implement:
 
 * rejects are written *before* the empty-batch error, so audit rows are never lost;
-* the validated rows are persisted once and both branches read that, so the
-  valid and rejected counts always describe the same input;
-* the merge source is cut with a reliable ``checkpoint()`` in the shared
-  checkpoint folder (survives executor loss), not a local checkpoint;
+* the validated rows are written once, apart by validity, and counted by the same pass; both
+  branches read that, so the valid and rejected counts always describe the same input;
+* everything a job stages lies in the shared scratch folder (survives executor loss) and is
+  deleted when the job ends, also by an error;
+* the table is checked before the load and the load after it;
+* data-quality rules can flag or quarantine rows (``dq``);
 * the run timestamp is a UTC-aware literal, identical across actions.
 """
 
@@ -17,23 +19,28 @@ import logging
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.operators.dedupe import dedupe_by_key
+from aerolake.operators.dedupe import dedupe_repeated
 from aerolake.operators.explode import explode_states, parse_state_elements
 from aerolake.operators.literals import new_run
 from aerolake.operators.project import curate, processed_projection
-from aerolake.operators.validate import is_valid, split_valid_rejected, with_field_count, with_reject_audit
-from aerolake.schema import PREVIEW_COLUMNS
-from aerolake.session import configure, ensure_checkpoint_dir
-from aerolake.sinks.curated import write_curated
+from aerolake.operators.quality import CAST_FAILURES_COL, FLAG, QUARANTINE_REASON, check_actions, route, with_cast_failures
+from aerolake.operators.validate import is_valid, rejection_reason, with_field_count, with_reject_audit
+from aerolake.schema import CURATED_COLUMNS, PREVIEW_COLUMNS
+from aerolake.session import configure, ensure_checkpoint_dir, scratch_path, scratch_scope, staged
+from aerolake.sinks.curated import preflight, verify_load, write_curated
 from aerolake.sinks.writers import preview_rows, write_processed, write_rejected
+from aerolake.sources.landing import validate_latest
 from aerolake.sources.raw_json import payload_status, read_raw
 
 log = logging.getLogger(__name__)
 
+CODE_NO_VALID_VECTORS = "NO_VALID_VECTORS"
+#: Columns of an exploded row that its audit row keeps besides the reason.
+AUDIT_COLUMNS = ("payload_status", "document_text", "field_count")
+
 
 @dataclass
 class RunSummary:
@@ -41,12 +48,14 @@ class RunSummary:
     raw_count: int = 0
     valid_count: int = 0
     rejected_count: int = 0
+    quarantined_count: int = 0
     merge_source_count: int = 0
+    flagged: dict = field(default_factory=dict)
     actions: dict = field(default_factory=dict)
 
     @property
     def balanced(self) -> bool:
-        return self.raw_count == self.valid_count + self.rejected_count
+        return self.raw_count == self.valid_count + self.rejected_count + self.quarantined_count
 
 
 def validated_rows(spark: SparkSession, raw_path: str | list[str], multiline: bool = True) -> DataFrame:
@@ -62,10 +71,35 @@ def validated(raw: DataFrame) -> DataFrame:
     return with_field_count(explode_states(parsed, keep=["payload_status", "document_text"]))
 
 
-def _counts(rows: DataFrame) -> tuple[int, int, int]:
-    ok = is_valid()
-    r = rows.agg(F.count(F.lit(1)), F.count_if(ok), F.count_if(~ok)).first()
-    return int(r[0]), int(r[1]), int(r[2])
+def stage_by_validity(rows: DataFrame, summary: RunSummary) -> tuple[DataFrame, DataFrame]:
+    """Write the validated rows once, valid and rejected ones apart, and count them in the same pass."""
+    spark, seen = rows.sparkSession, Observation("validated")
+    path = scratch_path(spark, "validated")
+    marked = rows.withColumn("row_ok", is_valid())
+    (marked.observe(seen, F.count(F.lit(1)).alias("raw"), F.count_if("row_ok").alias("valid"))
+     .write.partitionBy("row_ok").parquet(path))
+    summary.raw_count, summary.valid_count = int(seen.get["raw"]), int(seen.get["valid"])
+    summary.rejected_count = summary.raw_count - summary.valid_count
+    back = spark.read.schema(marked.schema).parquet(path)
+    valid, rejected = (back.where(F.col("row_ok") == F.lit(ok)).drop("row_ok") for ok in (True, False))
+    return valid, rejected.withColumn("rejection_reason", rejection_reason())
+
+
+def route_by_rules(valid: DataFrame, summary: RunSummary, dq: dict[str, str], run_ts: datetime) -> tuple[DataFrame, DataFrame]:
+    """Curated rows that no quarantining rule holds back, and audit rows of the others; counts go to the summary."""
+    keep = (*AUDIT_COLUMNS, "state", CAST_FAILURES_COL)
+    routed = route(curate(with_cast_failures(valid), summary.run_id, run_ts, keep=keep), dq)
+    held = F.size("quarantined_by") > 0
+    flags = [r for r, a in dq.items() if a == FLAG]
+    counts = routed.agg(F.count_if(held).alias("held"),
+                        *[F.count_if(~held & F.array_contains("flags", r)).alias(r) for r in flags]).first()
+    summary.quarantined_count = int(counts["held"])
+    summary.valid_count -= summary.quarantined_count
+    summary.flagged = {r: int(counts[r]) for r in flags}
+    audit = routed.where(held).select(
+        "source_response_time", "source_file", *AUDIT_COLUMNS[:2], "state_position", F.to_json("state").alias("state_raw"), "field_count",
+        F.concat(F.lit(QUARANTINE_REASON), F.array_join("quarantined_by", "+")).alias("rejection_reason"))
+    return routed.where(~held).select(*CURATED_COLUMNS), audit
 
 
 def run_curated(
@@ -76,30 +110,42 @@ def run_curated(
     table_path: str | None = None,
     run_id: str | None = None,
     run_ts: datetime | None = None,
+    dq: dict[str, str] | None = None,
 ) -> RunSummary:
-    """Raw documents -> curated table (create on first run, keyed upsert afterwards) + reject audit."""
+    """Raw documents -> curated table (create on first run, keyed upsert afterwards) + reject audit.
+
+    ``dq``: rule name -> ``flag`` (counted, loaded) or ``quarantine`` (to the audit instead of the table)."""
     configure(spark)
     ensure_checkpoint_dir(spark)
+    check_actions(dq or {})
+    preflight(spark, table)
     rid, rts = new_run()
     run_id, run_ts = run_id or rid, run_ts or rts
     summary = RunSummary(run_id)
-    rows = validated_rows(spark, raw_path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        summary.raw_count, summary.valid_count, summary.rejected_count = _counts(rows)
-        valid, rejected = split_valid_rejected(rows)
+    with scratch_scope(spark):
+        valid, rejected = stage_by_validity(validated_rows(spark, raw_path), summary)
         # Rejects first: an empty valid batch must not lose its audit rows.
-        audit = with_reject_audit(rejected.drop("state"), run_id, run_ts)
         if summary.rejected_count:
-            write_rejected(audit, rejected_path, mode="append")
-        source = dedupe_by_key(curate(valid, run_id, run_ts)).checkpoint(eager=True)
+            write_rejected(with_reject_audit(rejected.drop("state"), run_id, run_ts), rejected_path, mode="append")
+        rows = curate(valid, run_id, run_ts)
+        if dq:
+            rows, held = route_by_rules(valid, summary, dq, run_ts)
+            if summary.quarantined_count:
+                write_rejected(with_reject_audit(held, run_id, run_ts), rejected_path, mode="append")
+        source = staged(dedupe_repeated(rows), "curated-source")
         summary.merge_source_count = source.count()
         if summary.merge_source_count == 0:
-            raise RuntimeError("No valid state vectors were available for the curated table")
+            raise RuntimeError(f"{CODE_NO_VALID_VECTORS}: {raw_path}")
         summary.actions = write_curated(spark, source, table, table_path, count=summary.merge_source_count)
+        verify_load(spark, table, run_id, summary.actions.get("insert", 0) + summary.actions.get("update", 0))
         log.info("curated run %s: %s", run_id, summary)
         return summary
-    finally:
-        rows.unpersist()
+
+
+def run_latest(spark: SparkSession, landing_path: str, table: str, rejected_path: str, table_path: str | None = None,
+               modified_after: datetime | None = None, **options) -> RunSummary:
+    """The hand-over of a scheduled run: check the newest landed object, then load exactly that one."""
+    return run_curated(spark, validate_latest(spark, landing_path, modified_after), table, rejected_path, table_path, **options)
 
 
 def run_processed(
@@ -116,13 +162,12 @@ def run_processed(
     must cover every document of the days it touches (e.g. the whole prefix).
     """
     configure(spark)
+    ensure_checkpoint_dir(spark)
     _, rts = new_run()
     run_ts = run_ts or rts
     summary = RunSummary(run_id="")
-    rows = validated_rows(spark, raw_path).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        summary.raw_count, summary.valid_count, summary.rejected_count = _counts(rows)
-        valid, rejected = split_valid_rejected(rows)
+    with scratch_scope(spark):
+        valid, rejected = stage_by_validity(validated_rows(spark, raw_path), summary)
         processed = processed_projection(curate(valid, None, run_ts))
         if show_preview:
             preview_rows(processed, PREVIEW_COLUMNS).show(20, truncate=False)
@@ -134,5 +179,3 @@ def run_processed(
             audit = with_reject_audit(rejected.drop("state"), "", run_ts).drop("processing_run_id")
             write_rejected(audit, rejected_path, mode="overwrite")
         return summary
-    finally:
-        rows.unpersist()

@@ -19,6 +19,7 @@ def dedupe_by_key(
     key: str = "record_key",
     order: tuple[str, ...] = ("payload_hash", "source_file"),
 ) -> DataFrame:
+    """One pass over ``df``: every row takes part in the aggregate at full width."""
     cols = df.columns
     rest = [c for c in cols if c != key and c not in order]
     ranked = [c for c in order if c in cols]
@@ -27,3 +28,21 @@ def dedupe_by_key(
     return df.groupBy(key).agg(best).selectExpr(
         *[f"`{key}`" if c == key else f"`_best`.`{c}` AS `{c}`" for c in cols]
     )
+
+
+def dedupe_repeated(
+    df: DataFrame,
+    key: str = "record_key",
+    order: tuple[str, ...] = ("payload_hash", "source_file"),
+) -> DataFrame:
+    """The same rows in two phases, for an input that is cheap to read twice (a staged table).
+
+    Eight-byte hashes of the keys are counted by a hash aggregate; rows of a key seen once pass where they lie,
+    and only rows of repeated keys are shuffled and compared at full width. Two keys of one hash only
+    make both take the longer way. A NULL key is one key, as in the aggregate.
+    """
+    marked = df.withColumn("_key_hash", F.xxhash64(key))
+    repeated = marked.groupBy("_key_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key_hash")
+    once = marked.join(repeated, "_key_hash", "left_anti").drop("_key_hash")
+    again = marked.join(repeated, "_key_hash", "left_semi").drop("_key_hash")
+    return once.unionByName(dedupe_by_key(again, key, order))

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.schema import STATE_ARRAY_TYPE, STATES_TEXT_TYPE
+from aerolake.schema import EXPECTED_STATE_FIELDS
 
 
 def parse_state_elements(raw: DataFrame, states_col: str = "states") -> DataFrame:
-    """Turn the raw ``states`` text into array<array<string>>.
+    """Turn the raw ``states`` value into array<array<string>>.
 
-    ``states`` may be the raw JSON text of the whole array (as read by
-    :func:`aerolake.sources.raw_json.read_raw`) or already an array of element
-    texts. Parsing happens once per document, before the explode: anything
-    that is not a JSON array gives a NULL ``states``; a string, number or
+    ``states`` is the VARIANT of :func:`aerolake.sources.raw_json.read_raw`, or JSON text of the whole array.
+    Anything that is not a JSON array gives a NULL ``states``; a string, number or
     object element becomes a NULL vector (and only that element); a good
-    element keeps its values as text. Element texts are kept as
-    ``states_raw`` for the rejection audit.
+    element keeps its values as text. The elements are kept as they are in
+    ``states_raw`` for the explode and the rejection audit.
     """
     col = F.col(states_col)
     if isinstance(raw.schema[states_col].dataType, T.StringType):
-        col = F.from_json(col, STATES_TEXT_TYPE)
-    return raw.withColumn("states_raw", col).withColumn(
-        states_col, F.transform(F.col("states_raw"), lambda x: F.from_json(x, STATE_ARRAY_TYPE))
+        col = F.try_parse_json(col)
+    return raw.withColumn("states_raw", F.try_variant_get(col, "$", "array<variant>")).withColumn(
+        states_col, F.transform(F.col("states_raw"), element_values)
     )
 
 
+def element_values(element: Column) -> Column:
+    """The values of one element as text; NULL unless it is an array."""
+    return F.try_variant_get(element, "$", "array<string>")
+
+
 def explode_states(
     payloads: DataFrame,
     time_col: str = "time",
@@ -40,12 +43,12 @@ def explode_states(
     yields one row with NULL ``state_position`` and NULL ``state``.
 
     Output: ``source_response_time, source_file, state_position, state`` plus
-    ``state_raw`` when the input came from :func:`parse_state_elements` and any
-    ``keep`` columns. ``base_position_col`` offsets positions of chunked documents.
+    ``state_raw`` (the JSON text of an element that is no vector of 17 fields) when the input came from
+    :func:`parse_state_elements` and any ``keep`` columns. ``base_position_col`` offsets positions of chunked documents.
     """
     has_raw = "states_raw" in payloads.columns
     if has_raw:
-        items = F.arrays_zip(F.col(states_col).alias("state"), F.col("states_raw").alias("state_raw"))
+        items = F.col("states_raw")
     else:
         items = F.col(states_col)
     cols = [F.col(time_col).cast("long").alias("source_response_time")]
@@ -59,8 +62,9 @@ def explode_states(
     if base_position_col is not None:
         pos = F.when(pos.isNotNull(), pos + F.col("_base"))
     out = [c for c in exploded.columns if c not in ("_pos", "_item", "_base")]
-    state = F.col("_item.state") if has_raw else F.col("_item")
-    extra = [F.col("_item.state_raw").alias("state_raw")] if has_raw else []
-    return exploded.select(
-        *out, pos.cast("int").alias("state_position"), state.alias("state"), *extra
-    )
+    rows = exploded.select(*out, pos.cast("int").alias("state_position"), "_item")
+    if not has_raw:
+        return rows.withColumnRenamed("_item", "state")
+    vectors = rows.withColumn("state", element_values(F.col("_item")))
+    odd = F.col("state").isNull() | (F.size("state") != EXPECTED_STATE_FIELDS)
+    return vectors.withColumn("state_raw", F.when(odd, F.to_json("_item"))).drop("_item")

@@ -60,7 +60,7 @@ def light_transform(
     records = F.transform(ok, lambda x: _light_struct(x, rt, ts_text))
     error = F.when(states.isNull(), F.lit(MISSING_STATES))
     if fail_on_missing:
-        error = F.when(states.isNull(), F.raise_error(F.lit("payload does not contain a 'states' field")))
+        error = F.when(states.isNull(), F.raise_error(F.lit(MISSING_STATES)))
     return payloads.select(
         F.lit(SOURCE_NAME).alias("source"),
         rt.alias("source_response_time"),

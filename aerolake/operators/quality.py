@@ -1,7 +1,8 @@
 """documented data-quality rules as one array of violated rule names per row.
 
 Off by default in the jobs (the production validity rule is only the field
-count); callers opt in. NULL passes the range rules, as documented.
+count); callers opt in by naming rules, each to flag or to quarantine its rows
+(:func:`route`). NULL passes the range rules, as documented.
 
 "Mandatory type conversion fails" needs the raw slot text, which projection
 drops: :func:`cast_failure_slots` lists, per raw vector, the typed slots whose
@@ -66,6 +67,29 @@ def with_violations(df: DataFrame, tolerance_s: int = LAST_CONTACT_TOLERANCE_S)
     return df.withColumn("violations", F.array_compact(F.array(*flags)))
 
 
+FLAG, QUARANTINE = "flag", "quarantine"
+QUARANTINE_REASON = "DQ_"
+
+
+def check_actions(actions: dict[str, str]) -> None:
+    known = {name for name, _ in rule_predicates()} | {TYPE_CONVERSION_FAILED}
+    odd = {r: a for r, a in actions.items() if r not in known or a not in (FLAG, QUARANTINE)}
+    if odd:
+        raise ValueError(f"DQ_ACTIONS: {odd} are no rules with the action {FLAG} or {QUARANTINE}")
+
+
+def route(df: DataFrame, actions: dict[str, str], tolerance_s: int = LAST_CONTACT_TOLERANCE_S) -> DataFrame:
+    """Rows with the violated rules that flag them (``flags``) and the ones that quarantine them (``quarantined_by``); rules
+    without an action are not looked at."""
+    check_actions(actions)
+
+    def violated(action: str) -> Column:
+        named = [F.when(F.coalesce(p, F.lit(False)), F.lit(name)) for name, p in _rules_for(df, tolerance_s) if actions.get(name) == action]
+        return F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+
+    return df.withColumns({"flags": violated(FLAG), "quarantined_by": violated(QUARANTINE)})
+
+
 def violation_summary(df: DataFrame, tolerance_s: int = LAST_CONTACT_TOLERANCE_S) -> DataFrame:
     """Rows violating each rule (rules with no violation are listed with 0)."""
     rules = _rules_for(df, tolerance_s)

@@ -23,11 +23,13 @@ def rank_within(
     key_col: str,
     out_col: str,
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    most: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = 0-based position of ``key_col`` within ``group_col``.
 
     ``key_col`` must be a unique integer key (e.g. an event id). Work per task
-    is bounded by ``bucket_width`` rows regardless of group skew.
+    is bounded by ``bucket_width`` rows regardless of group skew. A group of more than ``most`` rows raises, which is
+    checked once for each (group, bucket), not for each row.
     """
     sub = F.expr(f"{key_col} div {int(bucket_width)}")
     bucketed = df.withColumn("_sub", sub)
@@ -51,8 +53,11 @@ def rank_within(
                 F.lit(0),
             ),
         )
-        .drop("_n")
     )
+    if most is not None:
+        over = F.raise_error(F.lit(f"GROUP_OVERFLOW: over {most} rows in one {group_col}")).cast("long")
+        offsets = offsets.withColumn("_off", F.when(F.col("_off") + F.col("_n") > most, over).otherwise(F.col("_off")))
+    offsets = offsets.drop("_n")
     # No broadcast hint: the offsets side is small but its size is only known at
     # run time; AQE turns this into a broadcast join when the measured size is
     # under the threshold and keeps the co-partitioned sort-merge join otherwise.

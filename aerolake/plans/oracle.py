@@ -10,7 +10,7 @@ Spark operators beyond the fixed slot text.
 from __future__ import annotations
 
 from aerolake.plans import queries as Q
-from aerolake.schema import PAYLOAD_HASH_COLUMNS, RECORD_KEY_COLUMNS, STATE_SLOTS
+from aerolake.schema import LIGHT_SLOT_NAMES, PAYLOAD_HASH_COLUMNS, RECORD_KEY_COLUMNS, STATE_SLOTS
 from aerolake.sources.fixtures import (
     EXTRA_SLOT_VALUE,
     LONG_VECTOR_MOD,
@@ -177,7 +177,84 @@ def _dq_summary() -> str:
     return CURATED + unions
 
 
+_REASON = """CASE WHEN state IS NULL THEN 'STATE_ARRAY_IS_NULL'
+            ELSE 'INVALID_FIELD_COUNT_EXPECTED_17_ACTUAL_' || CAST(field_count AS VARCHAR) END"""
+_OK = "(state IS NOT NULL AND field_count = 17)"
+_KEY = f"""'raw/opensky/states/year=' || strftime({_LANDING_TS}, '%Y') || '/month=' || strftime({_LANDING_TS}, '%m')
+       || '/day=' || strftime({_LANDING_TS}, '%d') || '/hour=' || strftime({_LANDING_TS}, '%H')
+       || '/' || strftime({_LANDING_TS}, '%Y%m%dT%H%M%SZ') || '.json'"""
+# What the seeded landing makes of a document, by its landing hour.
+_SEEDED = f"""CASE hour({_LANDING_TS}) WHEN 0 THEN 'INVALID_JSON' WHEN 1 THEN 'EMPTY_OBJECT' WHEN 2 THEN 'INVALID_UTF8'
+       WHEN 3 THEN 'STATES_NOT_LIST' WHEN 4 THEN 'NO_STATES' WHEN 5 THEN 'STATES_NOT_LIST' WHEN 6 THEN 'STATES_NOT_LIST' ELSE 'OK' END"""
+_SEEDED_DOCS = BASE.rstrip("\n") + f""",
+docs AS (
+    SELECT source_response_time, {_SEEDED} AS code FROM (SELECT DISTINCT source_response_time FROM vec)
+    UNION ALL SELECT max(source_response_time) + 86400, 'OK' FROM vec
+)
+"""
+_SEEDED_VECTORS = BASE.rstrip("\n") + f""",
+seeded AS (SELECT *, {_SEEDED} AS code FROM vec)
+"""
+
+
+def _held_sql() -> str:
+    held = ["LAST_CONTACT_MISSING", "LATITUDE_OUT_OF_RANGE"]  # in the order of the rules
+    parts = ", ".join(f"CASE WHEN coalesce({dict(_DQ_RULES)[r]}, false) THEN '{r}' END" for r in held)
+    return f"concat_ws('+', {parts})"
+
+
+_LIGHT = ", ".join(
+    f"state[{i + 1}] AS {name}" if name != "callsign" else
+    "CASE WHEN state[2] IS NULL OR state[2] = '' THEN state[2] ELSE regexp_replace(state[2], '^\\s+|\\s+$', '', 'g') END AS callsign"
+    for i, name in enumerate(LIGHT_SLOT_NAMES))
+
 ORACLE_SQL: dict[str, str] = {
+    "landing_validation": _SEEDED_DOCS + f"""SELECT regexp_extract({_KEY}, 'year=[0-9]+/month=[0-9]+/day=[0-9]+') AS landing_day, code, count(*) AS n
+FROM docs GROUP BY ALL""",
+    "landed_object_keys": _SEEDED_DOCS + f"SELECT {_KEY} AS landing_key, code = 'EMPTY_OBJECT' AS is_empty FROM docs",
+    "latest_landed_object": _SEEDED_DOCS + f"""SELECT substr({_KEY}, strpos({_KEY}, 'year=')) AS key, CAST({len(Q.LAST_BODY)} AS BIGINT) AS length, code
+FROM docs ORDER BY source_response_time DESC LIMIT 1""",
+    "json_lines_landing": BASE + f"""SELECT source_response_time, count(*) AS n_states, count(*) FILTER (WHERE {_OK}) AS n_valid
+FROM vec GROUP BY source_response_time""",
+    "string_states_rejected": BASE + f"""SELECT source_response_time,
+       CASE WHEN hour({_LANDING_TS}) = 0 THEN 0 ELSE count(*) FILTER (WHERE {_OK}) END AS n_valid,
+       CASE WHEN hour({_LANDING_TS}) = 0 THEN 1 ELSE count(*) FILTER (WHERE NOT {_OK}) END AS n_rejected
+FROM vec GROUP BY source_response_time""",
+    "nested_missing_states": BASE + f"""SELECT source_response_time,
+       CASE WHEN hour({_LANDING_TS}) = 6 THEN 'MISSING_STATES' END AS error,
+       CAST(CASE WHEN hour({_LANDING_TS}) != 6 THEN count(*) FILTER (WHERE {_OK}) END AS INTEGER) AS record_count,
+       CAST(CASE WHEN hour({_LANDING_TS}) != 6 THEN count(*) FILTER (WHERE NOT {_OK}) END AS INTEGER) AS skipped_count
+FROM vec GROUP BY source_response_time""",
+    "nested_light_fields": BASE + f"""SELECT {_LIGHT}, 'opensky' AS source, source_response_time,
+       '{Q.RUN_TS.strftime("%Y-%m-%dT%H:%M:%S.%f")}Z' AS ingestion_timestamp
+FROM vec WHERE {_OK}""",
+    "processed_job_rejects": BASE + f"""SELECT source_response_time, state_position, field_count, {_REASON} AS rejection_reason,
+       'OK' AS payload_status, DATE '{Q.RUN_TS.date().isoformat()}' AS ingestion_date
+FROM vec WHERE NOT {_OK}""",
+    "empty_batch_guard": BASE + f"""SELECT {_REASON} AS rejection_reason, count(*) AS n, 'NO_VALID_VECTORS' AS outcome
+FROM vec WHERE NOT {_OK} GROUP BY ALL""",
+    "curated_job_dq": CURATED.rstrip("\n") + f""",
+checked AS (SELECT *, {_held_sql()} AS held FROM cur)
+SELECT 'loaded' AS outcome, '' AS reason, count(*) AS n FROM checked WHERE held = ''
+UNION ALL SELECT 'held', 'DQ_' || held, count(*) FROM checked WHERE held != '' GROUP BY held
+UNION ALL SELECT 'held', {_REASON}, count(*) FROM vec WHERE NOT {_OK} GROUP BY ALL
+UNION ALL SELECT 'raw', '', count(*) FROM vec
+UNION ALL SELECT 'balanced', '', 1
+UNION ALL SELECT 'flagged', 'TRUE_TRACK_OUT_OF_RANGE', count(*) FROM checked
+          WHERE held = '' AND coalesce({dict(_DQ_RULES)["TRUE_TRACK_OUT_OF_RANGE"]}, false)""",
+    "latest_object_job": _with(
+        _vec_ctes("all_vec"),
+        """vec AS (
+    SELECT * REPLACE (source_response_time + 86400 AS source_response_time) FROM all_vec
+    WHERE source_response_time = (SELECT max(source_response_time) FROM all_vec)
+)""",
+        _curated_ctes("cur", "vec", "x", Q.RUN_ID),
+    ) + "SELECT record_key, payload_hash, state_position, source_response_time FROM cur",
+    "gated_ingest": _SEEDED_VECTORS + f"""SELECT 'quarantined' AS outcome, code AS reason, count(DISTINCT source_response_time) AS n FROM seeded WHERE code != 'OK' GROUP BY code
+UNION ALL SELECT 'merged', 'opensky', count(*) FROM seeded WHERE code = 'OK' AND {_OK}
+UNION ALL SELECT 'rejected', reason, count(*) FROM (
+    SELECT {_REASON} AS reason FROM seeded WHERE code = 'OK' AND NOT {_OK}
+    UNION ALL SELECT 'INVALID_FIELD_COUNT_EXPECTED_17_ACTUAL_1') GROUP BY reason""",
     "explode_payloads": BASE + "SELECT source_response_time, state_position, field_count FROM vec",
     "raw_json_scan": BASE
     + """SELECT source_response_time, count(*) AS n_states,

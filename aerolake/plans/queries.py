@@ -43,7 +43,7 @@ from aerolake.operators.validate import (
     with_field_count,
     with_reject_audit,
 )
-from aerolake.schema import PREVIEW_COLUMNS
+from aerolake.schema import LIGHT_SLOT_NAMES, PREVIEW_COLUMNS, RAW_PREFIX
 from aerolake.session import configure, ensure_checkpoint_dir, scratch_path
 from aerolake.sinks.curated import check_table, create_curated_table, merge_into_table, table_exists
 from aerolake.sinks.writers import create_table, write_processed, write_rejected
@@ -54,7 +54,8 @@ from aerolake.sources.fixtures import (
     load_table,
     vectors_as_exploded,
 )
-from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, land_documents, latest_object, list_files, payload_json
+from aerolake.sinks.landing import land_documents, land_json_lines
+from aerolake.sources.landing import LISTING_SCHEMA, classify_landed, latest_object, list_files, payload_json
 from aerolake.sources.raw_json import payload_status, read_raw, read_raw_partition
 from aerolake.sources.tables import read_table, register_parquet_table
 
@@ -138,12 +139,16 @@ def q_explode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _land_payloads(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> str:
+def _ingested() -> F.Column:
+    return F.timestamp_seconds(F.col("time") + F.lit(LANDING_DELAY_S))
+
+
+def _land_payloads(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, body: F.Column | None = None) -> str:
+    """Land every document (its own JSON, or ``body``) and return the landing prefix."""
     base = scratch_path(spark, "landing")
     docs = payloads(spark, sf_dir) if docs is None else docs
-    ingest_ts = F.timestamp_seconds(F.col("time") + F.lit(LANDING_DELAY_S))
-    land_documents(docs, base, ingest_ts, payload_json())
-    return base
+    land_documents(docs, base, _ingested(), payload_json() if body is None else body)
+    return f"{base}/{RAW_PREFIX}"
 
 
 def q_raw_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,28 +374,74 @@ def q_landing_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _at_hour(hour: int, body: F.Column) -> F.Column:
+    """``body`` for documents landed in that UTC hour, their own JSON otherwise."""
+    return F.when(F.hour(_ingested()) == hour, body).otherwise(payload_json())
+
+
+TRUNCATED_SQL = "substring(to_json(struct(time, states)), 1, 40)"
+
+
+def seeded_body() -> F.Column:
+    """Every landing failure once a day: the document's hour decides (0 truncated, 1 zero bytes, 2 no UTF-8, 3 states an object,
+    4 states empty, 5 a list, 6 no states)."""
+    odd = [F.expr(TRUNCATED_SQL).cast("binary"), F.lit(b""), F.expr("unhex('7B22737461746573223A5B5B22C32822')")]
+    odd += [F.lit(t).cast("binary") for t in ('{"states":{"a":1}}', '{"states":[]}', "[1,2]", '{"time":1}')]
+    body = payload_json().cast("binary")
+    for hour, text in enumerate(odd):
+        body = F.when(F.hour(_ingested()) == hour, text).otherwise(body)
+    return body
+
+
+#: The document that lands last, a day after every other.
+LAST_BODY = '{"time":1,"states":[["x"]]}'
+
+
 def _seeded_landing(spark: SparkSession, sf_dir: str) -> str:
-    """Land every payload; documents landed in the 00:00 UTC hour are truncated (invalid JSON)."""
-    base = scratch_path(spark, "landing")
+    """Land every payload, some of them broken by their hour, then one last document."""
     docs = payloads(spark, sf_dir)
-    text = payload_json()
-    ingest_ts = F.timestamp_seconds(F.col("time") + F.lit(LANDING_DELAY_S))
-    truncated = F.expr("substring(to_json(struct(time, states)), 1, 40)")
-    body = F.when(F.hour(ingest_ts) == 0, truncated).otherwise(text)
-    land_documents(docs, base, ingest_ts, body)
-    return base
+    prefix = _land_payloads(spark, sf_dir, docs, seeded_body())
+    last = docs.agg((F.max("time") + 86400).alias("time"))
+    land_documents(last, prefix[: -len(RAW_PREFIX) - 1], _ingested(), F.lit(LAST_BODY))
+    return prefix
 
 
 def q_landing_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every landed object, by landing day."""
+    base = _seeded_landing(spark, sf_dir)
+    day = F.regexp_extract("path", r"year=(\d+)/month=(\d+)/day=(\d+)", 0)
+    return classify_landed(spark, base).groupBy(day.alias("landing_day"), "code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_landed_object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the keys found in storage after landing, zero-byte objects included."""
     base = _seeded_landing(spark, sf_dir)
-    return classify_landed(spark, base).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    return list_files(spark, base).select(F.regexp_extract("path", f"({RAW_PREFIX}/.*)$", 1).alias("landing_key"),
+                                          (F.col("length") == 0).alias("is_empty"))
+
+
+def q_json_lines_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 as JSON Lines: many documents a file, read back line by line."""
+    base = scratch_path(spark, "landing-lines")
+    land_json_lines(payloads(spark, sf_dir), base, _ingested(), payload_json())
+    rows = with_field_count(explode_states(parse_state_elements(read_raw(spark, base, multiline=False))))
+    return rows.groupBy("source_response_time").agg(F.count(F.lit(1)).alias("n_states"), F.count_if(F.col("field_count") == 17).alias("n_valid"))
+
+
+def q_string_states_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed in the 00:00 hour hold their ``states`` as a JSON string; they are one rejected row each."""
+    as_text = F.to_json(F.struct("time", F.to_json("states").alias("states")))
+    base = _land_payloads(spark, sf_dir, body=_at_hour(0, as_text))
+    rows = with_field_count(explode_states(parse_state_elements(read_raw(spark, base))))
+    return rows.groupBy("source_response_time").agg(
+        F.count_if(F.col("field_count") == 17).alias("n_valid"), F.count_if(F.col("field_count") != 17).alias("n_rejected"))
 
 
 def q_corrupt_document_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed documents, the 00:00-hour ones truncated. A corrupt document flows to the
     rejects as one ``STATE_ARRAY_IS_NULL`` row without response time; ``payload_status``
     tells it apart from a NULL vector inside a good document."""
-    base = _seeded_landing(spark, sf_dir)
+    base = _land_payloads(spark, sf_dir, body=_at_hour(0, F.expr(TRUNCATED_SQL)))
     docs = parse_state_elements(read_raw(spark, base)).withColumn("payload_status", payload_status())
     _, rejected = split_valid_rejected(explode_states(docs, keep=["payload_status"]))
     return rejected.groupBy("rejection_reason", "payload_status").agg(
@@ -407,6 +458,20 @@ def q_latest_landed_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select(F.regexp_extract("path", r"(year=.*)$", 1).alias("key"), "length", "code")
 
 
+def q_nested_missing_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed in the 06:00 hour have no ``states``."""
+    base = _land_payloads(spark, sf_dir, body=_at_hour(6, F.to_json(F.struct("time"))))
+    light = light_transform(parse_state_elements(read_raw(spark, base)), RUN_TS)
+    return light.select("source_response_time", "error", "record_count", "skipped_count")
+
+
+def q_nested_light_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every field of every vector of the nested transform."""
+    light = light_transform(payloads(spark, sf_dir), RUN_TS)
+    rows = light.select(F.explode("states").alias("s"))
+    return rows.select(*[F.col(f"s.{c}") for c in (*LIGHT_SLOT_NAMES, "source", "source_response_time", "ingestion_timestamp")])
+
+
 def q_curated_create_or_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "curated_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     path = scratch_path(spark, "curated")
@@ -461,6 +526,80 @@ def q_processed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_processed_job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the rejects the processed job leaves when it runs twice on one day, read back."""
+    from aerolake.jobs import run_processed
+
+    raw, rejected = _land_payloads(spark, sf_dir), scratch_path(spark, "rejected")
+    for _ in range(2):
+        run_processed(spark, raw, scratch_path(spark, "processed"), rejected, run_ts=RUN_TS)
+    return spark.read.parquet(rejected).select(
+        "source_response_time", "state_position", "field_count", "rejection_reason", "payload_status", "ingestion_date")
+
+
+def q_empty_batch_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a batch of the malformed vectors alone; the job raises, and its audit rows are there."""
+    from aerolake.jobs import CODE_NO_VALID_VECTORS, run_curated
+
+    vectors = event_vectors(events(spark, sf_dir)).where("state IS NULL OR size(state) != 17")
+    raw, rejected = _land_payloads(spark, sf_dir, build_payloads(vectors)), scratch_path(spark, "rejected")
+    name = "empty_batch_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    try:
+        run_curated(spark, raw, name, rejected, scratch_path(spark, "curated"), run_id=RUN_ID, run_ts=RUN_TS)
+    except RuntimeError as e:
+        if CODE_NO_VALID_VECTORS not in str(e):
+            raise
+        outcome = CODE_NO_VALID_VECTORS
+    else:
+        outcome = "LOADED"
+    return spark.read.parquet(rejected).groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit(outcome))
+
+
+DQ_ACTIONS = {"LATITUDE_OUT_OF_RANGE": "quarantine", "LAST_CONTACT_MISSING": "quarantine", "TRUE_TRACK_OUT_OF_RANGE": "flag"}
+
+
+def q_curated_job_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 in the job: rows by where they went and why; the counts add up to the raw vectors."""
+    from aerolake.jobs import run_curated
+
+    raw, rejected = _land_payloads(spark, sf_dir), scratch_path(spark, "rejected")
+    name = "curated_dq_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    run = run_curated(spark, raw, name, rejected, scratch_path(spark, "curated"), run_id=RUN_ID, run_ts=RUN_TS, dq=DQ_ACTIONS)
+    loaded = spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit("loaded").alias("outcome"), F.lit("").alias("reason"), "n")
+    held = spark.read.parquet(rejected).groupBy(F.lit("held").alias("outcome"), F.col("rejection_reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"))
+    counted = [("raw", "", run.raw_count), ("balanced", "", int(run.balanced))] + [("flagged", r, n) for r, n in run.flagged.items()]
+    return loaded.unionByName(held).unionByName(spark.createDataFrame(counted, "outcome string, reason string, n long"))
+
+
+def q_latest_object_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hand-over: the newest landed object is checked, and the curated job loads exactly that one."""
+    from aerolake.jobs import run_latest
+
+    docs = payloads(spark, sf_dir)
+    prefix = _land_payloads(spark, sf_dir, docs, seeded_body())
+    newest = docs.agg(F.max_by(F.struct("time", "states"), "time").alias("d")).select("d.*")
+    land_documents(newest.withColumn("time", F.col("time") + 86400), prefix[: -len(RAW_PREFIX) - 1], _ingested(), payload_json())
+    name = "latest_job_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    run_latest(spark, prefix, name, scratch_path(spark, "rejected"), scratch_path(spark, "curated"), run_id=RUN_ID, run_ts=RUN_TS)
+    return spark.table(name).select("record_key", "payload_hash", "state_position", "source_response_time")
+
+
+def q_gated_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 + S6: seeded landing through the admission gate: quarantined files by code, merged and rejected vectors."""
+    from aerolake.streaming.incremental import run_incremental
+
+    base = _seeded_landing(spark, sf_dir)
+    out, rejects, held, ckpt = (scratch_path(spark, f"gated{x}") for x in ("", "-rejects", "-quarantine", "-ckpt"))
+    name = "gated_" + out.rsplit("-", 1)[-1]
+    for _ in range(2):  # the second run finds nothing new: no batch
+        run_incremental(spark, base, name, out, ckpt, RUN_ID, RUN_TS, rejects, quarantine_path=held)
+    parts = [(spark.read.parquet(held), "quarantined", "code"), (spark.read.parquet(rejects), "rejected", "rejection_reason"),
+             (spark.table(name), "merged", "source")]
+    counts = [rows.groupBy(F.lit(kind).alias("outcome"), F.col(why).alias("reason")).agg(F.count(F.lit(1)).alias("n")) for rows, kind, why in parts]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 def _curated_with_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = split_valid_rejected(exploded(spark, sf_dir))
     return curate(with_cast_failures(valid), RUN_ID, RUN_TS, keep=(CAST_FAILURES_COL,))
@@ -542,6 +681,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_validation": q_landing_validation,
     "latest_landed_object": q_latest_landed_object,
     "corrupt_document_rejects": q_corrupt_document_rejects,
+    "landed_object_keys": q_landed_object_keys,
+    "json_lines_landing": q_json_lines_landing,
+    "string_states_rejected": q_string_states_rejected,
+    "nested_missing_states": q_nested_missing_states,
+    "nested_light_fields": q_nested_light_fields,
+    "processed_job_rejects": q_processed_job_rejects,
+    "empty_batch_guard": q_empty_batch_guard,
+    "curated_job_dq": q_curated_job_dq,
+    "latest_object_job": q_latest_object_job,
+    "gated_ingest": q_gated_ingest,
     "curated_create_or_merge": q_curated_create_or_merge,
     "unpartitioned_table_create": q_unpartitioned_table_create,
     "curated_job_two_runs": q_curated_job_two_runs,

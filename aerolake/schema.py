@@ -163,19 +163,13 @@ PREVIEW_COLUMNS: list[str] = [
 # Spark schemas
 # ---------------------------------------------------------------------------
 
-# Raw landing document. `states` is captured as its raw JSON text and split
-# into element texts afterwards, so one malformed element cannot change the
-# type of the whole column (explicit schema instead of inference). Capturing
-# the whole value once is ~15x cheaper in the multi-line reader than asking
-# it for the raw text of every element.
+# Raw landing document. `states` is read as a VARIANT: one malformed element cannot change the type of the whole
+# column (explicit schema instead of inference), the value is read once, and a JSON string that holds array
+# text stays a string.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("time", T.LongType(), True),
-        T.StructField("states", T.StringType(), True),
+        T.StructField("states", T.VariantType(), True),
         T.StructField("_corrupt_record", T.StringType(), True),
     ]
 )
-
-STATES_TEXT_TYPE = T.ArrayType(T.StringType(), True)
-
-STATE_ARRAY_TYPE = T.ArrayType(T.StringType(), True)

@@ -8,10 +8,16 @@ directory created and registered.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Scratch folders of the open ``scratch_scope`` of this thread.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("aerolake_scratch", default=None)
 
 # Settings every job relies on: UTC session time, dynamic partition overwrite,
 # AQE (runtime coalescing and skew-join splitting).
@@ -80,4 +86,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root}/aerolake-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/aerolake-scratch/{name}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch folders made inside are deleted when the block ends, also by an error."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared scratch folder and read again: every later pass sees the same rows, and a lost
+    executor costs a reread of them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

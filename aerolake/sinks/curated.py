@@ -15,6 +15,11 @@ Upsert algorithm (see ``merge_into_table``):
      forward by the next merge from that file, before it reads the table: the file
      is the commit, so the outcome of a merge never depends on where it stopped.
 
+The same file keeps the table's zone map: for every day, the response days its rows come from. A target row
+that shares a key with the batch shares its response time (part of the key), so only days whose zones meet the
+batch's response days are searched for moved keys. Days the map does not know (a first merge, a lost file) are
+looked up in the table once. Only merges may write the table.
+
 The catalog table is what to read; folders of the location that no partition
 points at are leftovers, removed by the merge that replaced them or the next one.
 One merge at a time may run on a table.
@@ -23,6 +28,7 @@ One merge at a time may run on a table.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from datetime import date
 
@@ -31,8 +37,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aerolake.operators.merge import classify_source, merge_by_action
-from aerolake.session import ensure_checkpoint_dir
+from aerolake.session import ensure_checkpoint_dir, scratch_scope, staged
 from aerolake.sinks.writers import write_partitioned
+from aerolake.sources.tables import listed_partitions, partition_spec, sync_partitions
 
 PARTITION_COL = "event_date"
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -121,19 +128,49 @@ def response_time_filter(source: DataFrame) -> Column:
     return cond
 
 
-def touched_days(target: DataFrame, source: DataFrame, key: str = "record_key") -> list[date | None]:
+#: The day of a response as a number of days, NULL for a row without response time.
+RESPONSE_DAY = f"cast({RESPONSE_COL} div 86400 as int)"
+
+
+def zones_of(df: DataFrame) -> dict[str, list[int | None]]:
+    """Day name -> response days of its rows; bounded by the calendar."""
+    out: dict[str, list[int | None]] = {}
+    for day, response in df.select(PARTITION_COL, F.expr(RESPONSE_DAY)).distinct().collect():
+        out.setdefault(_day_name(day), []).append(response)
+    return out
+
+
+def zone_map(spark: SparkSession, name: str, pointers: DayPointers) -> dict[str, list[int | None]]:
+    """The zones of every day of the table; days that the pointer file does not know are read once."""
+    listed = listed_partitions(spark, name)
+    unknown = [_day_of(d) for d in listed if d not in pointers.zones]
+    found = zones_of(spark.table(name).where(_day_filter(unknown))) if unknown else {}
+    return {d: z for d, z in (pointers.zones | found).items() if d in listed}
+
+
+def _day_of(name: str) -> date | None:
+    value = name.split("=", 1)[1]
+    return None if value == DEFAULT_PARTITION else date.fromisoformat(value)
+
+
+def touched_days(target: DataFrame, source: DataFrame, key: str = "record_key",
+                 zones: dict[str, list[int | None]] | None = None) -> list[date | None]:
     """Days of the source rows plus days of target rows whose key is in the source.
 
     The returned list is bounded by the calendar, not by the data.
     """
-    return [r[0] for r in touched_days_frame(target, source, key).collect()]
+    return [r[0] for r in touched_days_frame(target, source, key, zones).collect()]
 
 
-def touched_days_frame(target: DataFrame, source: DataFrame, key: str = "record_key") -> DataFrame:
+def touched_days_frame(target: DataFrame, source: DataFrame, key: str = "record_key",
+                       zones: dict[str, list[int | None]] | None = None) -> DataFrame:
     src_days = source.select(PARTITION_COL)
     candidates = target
     if RESPONSE_COL in target.columns and RESPONSE_COL in source.columns:
         candidates = target.where(response_time_filter(source))
+        if zones is not None:
+            batch = {r[0] for r in source.select(F.expr(RESPONSE_DAY)).distinct().collect()}
+            candidates = candidates.where(_day_filter([_day_of(d) for d, z in zones.items() if batch & set(z)]))
     moved = candidates.select(key, PARTITION_COL).join(source.select(key), key, "left_semi").select(PARTITION_COL)
     return src_days.union(moved).distinct()
 
@@ -144,7 +181,7 @@ class DayPointers:
     ``days`` maps a day folder name to the data folder that holds it ("" where a merge left the day
     empty); days never merged are at their usual place. ``switch`` lists the days of the last merge and
     ``old`` the folders it replaced. The file is ``<n>.pending`` until the catalog follows it, then
-    ``<n>.done``; its size is bounded by the calendar.
+    ``<n>.done``; its size is bounded by the calendar. ``zones`` is the zone map of the days merged so far.
     """
 
     def __init__(self, spark: SparkSession, location: str):
@@ -159,6 +196,7 @@ class DayPointers:
         self.days: dict[str, str] = state.get("days", {})
         self.switch: list[str] = state.get("switch", [])
         self.old: list[str] = state.get("old", [])
+        self.zones: dict[str, list[int | None]] = state.get("zones", {})
 
     def _names(self, folder: str) -> list[str]:
         p = self.path(folder)
@@ -183,15 +221,16 @@ class DayPointers:
         data = self.days.get(day)
         return f"{self.location}/{data}/{day}" if data else f"{self.location}/{day}"
 
-    def record(self, days: list[date | None], data: str) -> None:
-        """The commit of a merge: ``days`` are now what the folder ``data`` holds of them."""
+    def record(self, days: list[date | None], data: str, zones: dict[str, list[int | None]] | None = None) -> None:
+        """The commit of a merge: ``days`` are now what the folder ``data`` holds of them; ``zones`` is the table's zone map."""
         present = set(self._names(f"{self.location}/{data}"))
         switch = [_day_name(d) for d in days]
         old = [self.place(d)[len(self.location) + 1:] for d in switch]
         self.days = self.days | {d: data if d in present else "" for d in switch}
         self.switch, self.old, before = switch, old, self.name
         self.number += 1
-        text = json.dumps({"days": self.days, "switch": switch, "old": old})
+        self.zones = zones or {}
+        text = json.dumps({"days": self.days, "switch": switch, "old": old, "zones": self.zones})
         draft = self._file(f"{self.number}.draft")
         stream = self.fs.create(draft, True)
         stream.write(bytearray(text, "utf-8"))
@@ -220,15 +259,10 @@ class DayPointers:
                 self.fs.delete(self.path(f"{self.location}/{name}"), True)
 
 
-def _partition_spec(day: str) -> str:
-    value = day.split("=", 1)[1]
-    return f"PARTITION ({PARTITION_COL} = {'null' if value == DEFAULT_PARTITION else repr(value)})"
-
-
 def point_partitions(spark: SparkSession, name: str, pointers: DayPointers, days: list[str]) -> None:
     """Point the catalog's partitions at the recorded folders; running it again changes nothing."""
     for day in days:
-        spec = _partition_spec(day)
+        spec = partition_spec(day)
         if pointers.days[day]:
             place = pointers.place(day).replace("'", "\\'")
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
@@ -255,18 +289,25 @@ def merge_into_table(
     ``source`` must be unique per key (dedupe first).
     """
     ensure_checkpoint_dir(spark)
+    with scratch_scope(spark):
+        return _merge_into_table(spark, name, source, key, source_materialized)
+
+
+def _merge_into_table(spark: SparkSession, name: str, source: DataFrame, key: str, source_materialized: bool) -> dict:
     pointers = roll_forward(spark, name)
     pointers.drop_leftovers()
     target = spark.table(name)
     source = source.select(*target.columns)
     if not source_materialized:
         # Three actions read the source; materialise it so that all see the same rows.
-        source = source.checkpoint(eager=True)
-    days = touched_days(target, source, key)
+        source = staged(source, "merge-source")
+    zoned = RESPONSE_COL in target.columns
+    zones = zone_map(spark, name, pointers) if zoned else None
+    days = touched_days(target, source, key, zones)
     if not days:
         return {}
     target_days = target.where(_day_filter(days))
-    actions = classify_source(target_days, source, key).checkpoint(eager=True)
+    actions = staged(classify_source(target_days, source, key), "merge-actions")
     counts = {r["action"]: r["n"] for r in actions.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
     obs = Observation("merge_actions")
     merged = merge_by_action(target_days, source, actions, key).observe(
@@ -281,7 +322,11 @@ def merge_into_table(
         rebalance=False,
     )
     counts["keep"] = int(obs.get.get("stayed", 0)) - counts.get("noop", 0)
-    pointers.record(days, data)
+    if zoned:
+        switched = {_day_name(d) for d in days}
+        merged_days = spark.read.schema(target.schema).parquet(f"{pointers.location}/{data}")
+        zones = {d: z for d, z in zones.items() if d not in switched} | zones_of(merged_days)
+    pointers.record(days, data, zones)
     point_partitions(spark, name, pointers, pointers.switch)
     pointers.finish()
     return {a: n for a, n in counts.items() if n}
@@ -300,12 +345,60 @@ def register_curated_table(spark: SparkSession, name: str, path: str, schema: St
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({PARTITION_COL}) "
               f"LOCATION '{path}'")
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    pointers = DayPointers(spark, table_location(spark, name))
+    location = table_location(spark, name)
+    pointers = DayPointers(spark, location)
+    sync_partitions(spark, name, location)
     point_partitions(spark, name, pointers, list(pointers.days))
     pointers.finish()
 
 
+def preflight(spark: SparkSession, name: str) -> None:
+    """F12 before a load: the table's namespace exists, and a table of that name is one that a load can merge into."""
+    namespace = name.rpartition(".")[0]
+    if namespace and not namespace_exists(spark, namespace):
+        raise RuntimeError(f"NAMESPACE_MISSING: {namespace}")
+    if not table_exists(spark, name):
+        return
+    provider = table_provider(spark, name)
+    if provider not in ("parquet", *ROW_LEVEL_MERGE_PROVIDERS):
+        raise RuntimeError(f"TABLE_NOT_MERGEABLE: {name} has provider {provider}")
+    days = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if provider == "parquet" and days != [PARTITION_COL]:
+        raise RuntimeError(f"TABLE_NOT_MERGEABLE: {name} is partitioned by {days}, not by {PARTITION_COL}")
+
+
+def _plain_place(uri: str) -> str:
+    return re.sub(r"^file:/+", "/", uri).rstrip("/")
+
+
+def verify_load(spark: SparkSession, name: str, run_id: str, written: int) -> None:
+    """F13 after a load: the table is there with its provider, the catalog follows the pointer file for every day of the load,
+    and the table holds the rows that the run says it has written."""
+    provider = table_provider(spark, name) if table_exists(spark, name) else "parquet"
+    check_table(spark, name, provider if provider in ROW_LEVEL_MERGE_PROVIDERS else "parquet")
+    loaded = spark.table(name)
+    if provider == "parquet":
+        pointers = DayPointers(spark, table_location(spark, name))
+        if pointers.pending:
+            raise RuntimeError(f"LOAD_NOT_FINISHED: {name} has a merge that the catalog does not follow")
+        listed = listed_partitions(spark, name)
+        for day in pointers.switch:
+            if bool(pointers.days[day]) != (day in listed):
+                raise RuntimeError(f"PARTITIONS_DIFFER: {name} {day} is {'not ' if pointers.days[day] else ''}in the catalog")
+            if day in listed and _plain_place(partition_location(spark, name, day)) != _plain_place(pointers.place(day)):
+                raise RuntimeError(f"PARTITIONS_DIFFER: {name} {day} does not point at {pointers.place(day)}")
+        if pointers.switch:
+            loaded = loaded.where(_day_filter([_day_of(d) for d in pointers.switch]))
+    rows = loaded.where(F.col("processing_run_id") == run_id).count()
+    if rows < written:
+        raise RuntimeError(f"ROWS_MISSING: {name} holds {rows} rows of run {run_id}, which has written {written}")
+
+
+def partition_location(spark: SparkSession, name: str, day: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition_spec(day)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
 ROW_LEVEL_MERGE_PROVIDERS = ("iceberg", "delta")
 
 

@@ -7,7 +7,7 @@ vectors), so no payload (and no task) grows with the table. A few vectors are de
 validation paths see NULL, short and long vectors.
 
 The slot expressions are SQL text; the same text runs in Spark and in the
-DuckDB oracle (see ``aerolake.catalog.oracle``).
+DuckDB oracle (see ``aerolake.plans.oracle``).
 """
 
 from __future__ import annotations
@@ -81,12 +81,6 @@ def state_array_expr() -> F.Column:
     )
 
 
-def _response_of(number: F.Column) -> F.Column:
-    """Responses of an hour are a second apart; more than fit in the next hour raise instead of mixing two hours."""
-    return F.when(number < 3600, number).otherwise(
-        F.raise_error(F.lit(f"FIXTURE_HOUR_OVERFLOW: over {3600 * MAX_STATES_PER_PAYLOAD} events in one hour")).cast("long"))
-
-
 def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame:
     """events -> (event_id, source_response_time, state_position, state).
 
@@ -95,14 +89,14 @@ def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame
     seconds) holds ranks ``k * MAX_STATES_PER_PAYLOAD`` onwards, and
     ``state_position`` is the position inside that response - exactly what
     exploding the landed document gives back. An hour needs a second response
-    only beyond ``MAX_STATES_PER_PAYLOAD`` events.
+    only beyond ``MAX_STATES_PER_PAYLOAD`` events; more responses than fit in the next hour raise instead of mixing two hours.
     """
     base = events_with_epoch(events, value)
-    ranked = rank_within(base, "hour_bucket", "event_id", "_rn")
     per_doc = int(MAX_STATES_PER_PAYLOAD)
+    ranked = rank_within(base, "hour_bucket", "event_id", "_rn", most=3600 * per_doc)
     return ranked.select(
         "event_id",
-        ((F.col("hour_bucket") + 1) * 3600 + _response_of(F.expr(f"_rn div {per_doc}"))).alias("source_response_time"),
+        ((F.col("hour_bucket") + 1) * 3600 + F.expr(f"_rn div {per_doc}")).alias("source_response_time"),
         F.expr(f"_rn % {per_doc}").cast("int").alias("state_position"),
         state_array_expr().alias("state"),
     )

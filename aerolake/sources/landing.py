@@ -1,9 +1,9 @@
-"""Raw landing layout, file listing, landing validation.
+"""File listing and landing validation, as frames.
 
-* Landing writes each response document unchanged as its own file under
-  ``year=YYYY/month=MM/day=DD/hour=HH/`` of its UTC ingestion time.
-* Spark file scans drop zero-byte files, which would hide an empty latest
-  object; the listing adds them back from the file index.
+* Spark file scans drop zero-byte files, which would hide an empty latest object. The streaming
+  file source logs every file it finds, empty or not, with its modification time; one
+  micro-batch that reads nothing leaves that log, and the log is read as a table. What the log has and the
+  ``binaryFile`` scan has not is a zero-byte file: a join, with no list of paths in Python.
 * Validation classifies *every* landed file in parallel (one failure code per
   file); "latest object" is a top-1 over the listing.
 """
@@ -11,14 +11,13 @@
 from __future__ import annotations
 
 from datetime import datetime
-from urllib.parse import urlparse
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerolake.functions.timefmt import landing_key, landing_partitions
+from aerolake.session import scratch_path
 
 # Landing failure codes, in check order.
 CODE_OK = "OK"
@@ -27,6 +26,11 @@ CODE_INVALID_UTF8 = "INVALID_UTF8"
 CODE_INVALID_JSON = "INVALID_JSON"
 CODE_STATES_NOT_LIST = "STATES_NOT_LIST"
 CODE_NO_STATES = "NO_STATES"
+# Errors of the landing check.
+CODE_NOTHING_LANDED = "NOTHING_LANDED"
+CODE_NOT_ADMITTED = "LATEST_NOT_ADMITTED"
+
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -54,53 +58,68 @@ def _session_local_text(spark: SparkSession, ts: datetime) -> str:
     return ts.strftime("%Y-%m-%dT%H:%M:%S")
 
 
-def _norm(uri: str) -> tuple[str, str, str]:
-    u = urlparse(uri)
-    return (u.scheme or "file", u.netloc, u.path)
+def _file_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(uri, modification_time ms)`` of every file below ``path``; None without one. Bodies are not read."""
+    log = scratch_path(spark, "file-log")
+    found = (
+        spark.readStream.schema(BINARY_FILE_SCHEMA)
+        .format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("maxFileAge", "36500d")
+        .load(path)
+    )
+    query = (
+        found.writeStream.foreachBatch(lambda batch, number: None)
+        .option("checkpointLocation", log)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if not path_exists(spark, f"{log}/sources/0"):
+        return None
+    return logged_files(spark, f"{log}/sources/0").drop("batch_id")
 
 
-def _zero_byte_files(spark: SparkSession, scan: DataFrame) -> list[tuple[str, int, int]]:
-    """Files the file index knows but the scan drops (zero-byte files), with their status.
+def logged_files(spark: SparkSession, log: str) -> DataFrame:
+    """``(uri, modification_time ms, batch_id)`` of the files in a log of the streaming file source."""
+    entry = F.from_json("value", "path string, timestamp long, batchId long")
+    return (
+        spark.read.text(log)
+        .where(F.col("value").startswith("{"))
+        .select(entry.alias("e"))
+        .select(F.col("e.path").alias("uri"), F.col("e.timestamp").alias("modification_time"), F.col("e.batchId").alias("batch_id"))
+    )
 
-    The common case (no empty file) costs one metadata-only count; only the
-    missing paths are stat'ed through the Hadoop FileSystem API.
-    """
-    indexed = scan.inputFiles()
-    if len(indexed) == scan.count():
-        return []
-    scanned = {_norm(r[0]) for r in scan.select("path").collect()}
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for uri in indexed:
-        if _norm(uri) in scanned:
-            continue
-        p = jvm.org.apache.hadoop.fs.Path(uri)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
-    return out
 
+def same_uri(uri: Column) -> Column:
+    """One spelling of a URI without authority: ``file:///a`` and ``file:/a``."""
+    return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
-def list_files(spark: SparkSession, path: str, modified_after: datetime | None = None) -> DataFrame:
-    """Recursive listing ``(path, length, modification_time ms)`` including zero-byte files.
 
-    Non-empty files come from a ``binaryFile`` scan that reads no bodies
-    (only metadata columns are selected); zero-byte files, which every Spark
-    file scan skips, are added from the file index.
-    """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    scan = _binary_scan(spark, path, modified_after)
-    listed = scan.select(
-        "path", "length", F.unix_millis("modificationTime").alias("modification_time")
-    )
-    zero = _zero_byte_files(spark, scan)
-    if zero:
-        listed = listed.unionByName(spark.createDataFrame(zero, LISTING_SCHEMA))
-    return listed
+def _plain_path(uri: Column) -> Column:
+    return F.url_decode(F.replace(same_uri(uri), F.lit("+"), F.lit("%2B")))
+
+
+def _scanned(spark: SparkSession, path: str, columns: dict[str, Column], modified_after: datetime | None) -> DataFrame:
+    """Every file below ``path`` with ``columns`` of its scan (NULL for a zero-byte file)."""
+    log = _file_log(spark, path) if path_exists(spark, path) else None
+    if log is None:
+        empty = spark.createDataFrame([], "path string, modification_time long")
+        return empty.select("path", "modification_time", *[F.lit(None).alias(n) for n in columns])
+    if modified_after is not None:
+        log = log.where(F.col("modification_time") > int(modified_after.timestamp() * 1000))
+    scan = _binary_scan(spark, path, modified_after).select(same_uri(F.col("_metadata.file_path")).alias("key"), "path", *[c.alias(n) for n, c in columns.items()])
+    seen = log.withColumn("key", same_uri(F.col("uri"))).join(scan, "key", "left")
+    return seen.select(F.coalesce("path", _plain_path(F.col("uri"))).alias("path"), "modification_time", *columns)
+
+
+def list_files(spark: SparkSession, path: str, modified_after: datetime | None = None) -> DataFrame:
+    """Recursive listing ``(path, length, modification_time ms)`` including zero-byte files; no body is read."""
+    found = _scanned(spark, path, {"length": F.col("length")}, modified_after)
+    return found.select("path", F.coalesce(F.col("length").cast("long"), F.lit(0)).alias("length"), "modification_time")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
@@ -133,23 +152,18 @@ def classify_landed(
     by the driver; zero-byte files, which the scan skips, are reported as
     ``EMPTY_OBJECT``.
     """
-    scan = _binary_scan(spark, path, modified_after)
-    checked = scan.select(
+    code = landing_code(F.col("length"), F.col("content"))
+    if listing is None:
+        found = _scanned(spark, path, {"length": F.col("length"), "code": code}, modified_after)
+    else:
+        checked = _binary_scan(spark, path, modified_after).select("path", code.alias("code"))
+        found = listing.select("path", "length", "modification_time").join(checked, "path", "left")
+    return found.select(
         "path",
-        "length",
-        F.unix_millis("modificationTime").alias("modification_time"),
-        landing_code(F.col("length"), F.col("content")).alias("code"),
+        F.coalesce(F.col("length").cast("long"), F.lit(0)).alias("length"),
+        "modification_time",
+        F.coalesce(F.col("code").cast("string"), F.lit(CODE_EMPTY)).alias("code"),
     )
-    zero = _zero_byte_files(spark, scan) if listing is None else []
-    if zero:
-        empty = spark.createDataFrame(zero, LISTING_SCHEMA).withColumn("code", F.lit(CODE_EMPTY))
-        checked = checked.unionByName(empty)
-    if listing is not None:
-        on_list = listing.select("path", "length", "modification_time")
-        checked = on_list.join(checked.select("path", "code"), "path", "left").select(
-            "path", "length", "modification_time", F.coalesce("code", F.lit(CODE_EMPTY)).alias("code")
-        )
-    return checked
 
 
 def latest_object(listing: DataFrame) -> DataFrame:
@@ -165,39 +179,16 @@ def validate_latest(spark: SparkSession, path: str, modified_after: datetime | N
     """
     latest = latest_object(list_files(spark, path, modified_after)).first()
     if latest is None:
-        raise RuntimeError(f"No raw objects were found under {path}")
+        raise RuntimeError(f"{CODE_NOTHING_LANDED}: {path}")
     if latest["length"] <= 0:
-        raise RuntimeError(f"Latest raw object failed landing validation ({CODE_EMPTY}): {latest['path']}")
+        raise RuntimeError(f"{CODE_NOT_ADMITTED} ({CODE_EMPTY}): {latest['path']}")
     one = spark.createDataFrame([latest], LISTING_SCHEMA)
     row = classify_landed(spark, latest["path"], one).first()
     if row["code"] != CODE_OK:
-        raise RuntimeError(f"Latest raw object failed landing validation ({row['code']}): {row['path']}")
+        raise RuntimeError(f"{CODE_NOT_ADMITTED} ({row['code']}): {row['path']}")
     return row["path"]
 
 
-def land_documents(docs: DataFrame, base_path: str, ingestion_ts: Column, body: Column) -> DataFrame:
-    """K1: write each document as its own file under the ingestion-time partition dirs.
-
-    ``maxRecordsPerFile=1`` guarantees one document per file (a multi-line
-    JSON reader only sees the first document of a file). Returns the frame
-    that was written, with the reference object key in ``landing_key``.
-    """
-    parts = landing_partitions(ingestion_ts)
-    out = docs.select(
-        body.alias("value"),
-        landing_key(ingestion_ts).alias("landing_key"),
-        *[c.alias(n) for n, c in parts.items()],
-    )
-    (
-        out.select("value", *parts.keys())
-        .write.mode("append")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy(*parts.keys())
-        .text(base_path)
-    )
-    return out
-
-
 def payload_json(time_col: str = "time", states_col: str = "states") -> Column:
     """Serialize a payload row back to the response document text."""
     return F.to_json(F.struct(F.col(time_col).alias("time"), F.col(states_col).alias("states")))

@@ -1,15 +1,15 @@
 """Schema-safe scan of landed response documents.
 
-The schema is explicit (``time LONG, states STRING, _corrupt_record``):
-``states`` keeps its raw JSON text and is split into element texts by
+The schema is explicit (``time LONG, states VARIANT, _corrupt_record STRING``):
+``states`` keeps the type of its JSON value and is split into elements by
 :func:`aerolake.operators.explode.parse_state_elements`, so one odd element
-cannot turn the whole column into another type (what inference does), and a
+cannot turn the whole column into another type (what inference does), a string
+that holds array text is not taken for an array, and a
 corrupt document becomes one row with ``_corrupt_record`` set instead of
 failing the scan. File lineage comes from ``_metadata.file_path``.
 
-Known edge: a ``states`` value that is a JSON *string* holding array text
-(``"states": "[[...]]"``) is read like the array itself, because the text
-capture drops the quotes.
+Numbers are kept by value: ``100.0`` reads as ``100``, ``-0.0`` as ``0``. A document whose ``states`` is too large for a
+VARIANT is a corrupt document.
 """
 
 from __future__ import annotations
@@ -56,8 +56,9 @@ def read_raw_partition(spark: SparkSession, base_path: str, **parts: int | None)
     return read_raw(spark, base_path).where(raw_partition_filter(**parts))
 
 
-def payload_status(time_col: str = "time", states_col: str = "states") -> Column:
-    """Tell apart what the explode treats alike (quirk: null / empty / corrupt all give one row)."""
+def payload_status(states_col: str = "states_raw") -> Column:
+    """Tell apart what the explode treats alike (quirk: null / empty / corrupt all give one row); of a frame of
+    :func:`aerolake.operators.explode.parse_state_elements`."""
     s = F.col(states_col)
     return (
         F.when(F.col("_corrupt_record").isNotNull(), F.lit("CORRUPT_DOCUMENT"))

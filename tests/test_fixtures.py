@@ -60,7 +60,8 @@ def test_full_hours_split_into_responses_that_reread_exactly(spark, tmp_dir, mon
     landing them and reading the files back gives exactly the vectors (positions per document)."""
     import aerolake.sources.fixtures as fx
     from aerolake.operators.explode import parse_state_elements
-    from aerolake.sources.landing import land_documents, payload_json
+    from aerolake.sinks.landing import land_documents
+    from aerolake.sources.landing import payload_json
     from aerolake.sources.raw_json import read_raw
     from support import SF_SMALL
 

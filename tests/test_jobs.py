@@ -58,7 +58,7 @@ def test_no_valid_rows_raises_after_writing_rejects(spark, tmp_dir):
     raw = os.path.join(tmp_dir, "raw")
     rej = os.path.join(tmp_dir, "rejected")
     land(raw, "bad.json", 1784188215, [None, ["x"]])
-    with pytest.raises(RuntimeError, match="No valid state vectors"):
+    with pytest.raises(RuntimeError, match="NO_VALID_VECTORS"):
         run_curated(spark, raw, "curated_job_t3", rej, os.path.join(tmp_dir, "cur"))
     assert spark.read.parquet(rej).count() == 2
 

@@ -69,7 +69,7 @@ def test_latest_tie_goes_to_first_path(spark, tmp_dir):
 
 
 def test_no_objects(spark, tmp_dir):
-    with pytest.raises(RuntimeError, match="No raw objects"):
+    with pytest.raises(RuntimeError, match="NOTHING_LANDED"):
         validate_latest(spark, os.path.join(tmp_dir, "nothing"))
 
 
@@ -88,5 +88,5 @@ def test_incremental_check_skips_older_files(spark, tmp_dir):
     assert [os.path.basename(r.path) for r in list_files(spark, base, modified_after=cut).collect()] == ["new.json"]
     assert len(classify_landed(spark, base).collect()) == 3
     assert validate_latest(spark, base, modified_after=cut).endswith("new.json")
-    with pytest.raises(RuntimeError, match="No raw objects"):
+    with pytest.raises(RuntimeError, match="NOTHING_LANDED"):
         validate_latest(spark, base, modified_after=dt.datetime.fromtimestamp(now + 3600, tz=dt.timezone.utc))
