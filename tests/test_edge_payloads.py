@@ -181,3 +181,12 @@ def test_type_conversion_failures_flagged(spark, ansi, tmp_dir):
     summary = {r.rule: r.n for r in violation_summary(cur).collect()}
     assert summary["TYPE_CONVERSION_FAILED"] == 1
     assert cur.columns[-1] == "cast_failures" and "cast_failures" not in curate(valid, "r", None).columns
+
+
+def test_array_text_in_a_string_is_no_array(spark, ansi, tmp_dir):
+    """``states`` as a JSON string that holds the text of a good array: one rejected row."""
+    import json
+
+    _, valid, rejected = run(spark, tmp_dir, json.dumps({"time": 5, "states": f"[{GOOD}]"}))
+    r = rejected.collect()
+    assert valid.count() == 0 and [(x.state_position, x.rejection_reason, x.source_response_time) for x in r] == [(None, "STATE_ARRAY_IS_NULL", 5)]
