@@ -7,15 +7,18 @@ words that end up matched is the coverage.
 
 A notice can stand anywhere in a long text, and more than once, where no word of it would be
 unique. So the whole text is searched for the template's telling words, and each occurrence that no
-earlier notice covers gives a stretch of about the template's length, which is aligned by itself.
+earlier notice covers gives a stretch of about the template's length, which is aligned by itself and
+grows on both sides while that matches more words. Matched words further apart than a quarter of the template are not one notice.
+A template is left out for a text only if more of its words are missing there than the coverage allows.
 
 Defined cases: a NULL or empty text has no notice; a document without a notice gives one row with
-NULL license; the same notice twice gives two rows; overlapping notices of two templates keep the one
+NULL license; texts of any length are searched whole; the same notice twice gives two rows; rows that repeat are rows of their own; overlapping notices of two templates keep the one
 with more matched words (ties: the smaller id). Only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -91,22 +94,36 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _one_notice(words: list[str], lo: int, hi: int, template: tuple[str, ...], slack: int) -> list[tuple[int, int]]:
+    """Matched (text place, template place) pairs of a stretch: the most that follow each other without a hole of over ``slack`` words
+    beyond the template's own."""
+    pairs = [(lo + i, j) for i, j in align(words[lo:hi], list(template))]
+    cuts = [0, *[k for k in range(1, len(pairs)) if pairs[k][0] - pairs[k - 1][0] - (pairs[k][1] - pairs[k - 1][1]) > slack], len(pairs)]
+    return max((pairs[a:b] for a, b in zip(cuts, cuts[1:])), key=len)
+
+
 @dataclass(frozen=True)
 class Template:
     license: str
     words: tuple[str, ...]
 
-    def telling(self) -> dict[str, int]:
-        """Place of each telling word that the template has once."""
+    def telling(self, allowed: int) -> dict[str, int]:
+        """Place of each telling word: one that says something and stands there once, then any that stands there once, then any;
+        more of them than the ``allowed`` missing words, so that every notice has one."""
         n = Counter(self.words)
-        return {w: i for i, w in enumerate(self.words) if n[w] == 1 and w not in COMMON and len(w) > 1}
+        once = {w: i for i, w in enumerate(self.words) if n[w] == 1}
+        for some in ({w: i for w, i in once.items() if w not in COMMON and len(w) > 1}, once):
+            if len(some) > allowed:
+                return some
+        return {w: i for i, w in reversed(list(enumerate(self.words)))}
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float = LEAST_COVERAGE):
         self.least = least
         self.templates = [t for t in (Template(k, tuple(words_of(v))) for k, v in sorted(templates.items())) if t.words]
-        self.telling = [t.telling() or {w: i for i, w in enumerate(t.words)} for t in self.templates]
+        self.allowed = [len(t.words) - math.ceil(least * len(t.words) - 1e-9) for t in self.templates]
+        self.telling = [t.telling(n) for t, n in zip(self.templates, self.allowed)]
         self.vocabulary = {w for t in self.telling for w in t}
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
@@ -121,22 +138,24 @@ class Scanner:
             if w in places:
                 places[w].append(i)
         found = []
-        for t, telling in zip(self.templates, self.telling):
+        for t, telling, allowed in zip(self.templates, self.telling, self.allowed):
             have = [w for w in telling if w in places]
-            if len(have) < self.least * len(telling) * 0.75:
+            if not have or len(telling) - len(have) > allowed:
                 continue
             size, slack, past = len(t.words), max(2, len(t.words) // 4), 0
             for at, w in sorted((i, w) for w in have for i in places[w]):
                 if at < past:
                     continue
-                lo = max(past, at - telling[w] - slack)
-                stretch = words[lo:at - telling[w] + size + slack]
-                pairs = align(stretch, list(t.words))
-                while len(pairs) > 1 and pairs[-1][0] - pairs[0][0] >= size + slack:
-                    # too far apart to be one notice: leave the end with the wider hole
-                    pairs = pairs[1:] if pairs[1][0] - pairs[0][0] >= pairs[-1][0] - pairs[-2][0] else pairs[:-1]
-                if len(pairs) >= self.least * size:
-                    first, past = lo + pairs[0][0], lo + pairs[-1][0] + 1
+                lo, hi = max(past, at - telling[w] - slack), at - telling[w] + size + slack
+                pairs = _one_notice(words, lo, hi, t.words, slack)
+                while len(pairs) < size:
+                    lo, hi = max(past, lo - size), hi + size
+                    wider = _one_notice(words, lo, hi, t.words, slack)
+                    if len(wider) <= len(pairs) or wider[0][0] > pairs[-1][0] or wider[-1][0] < pairs[0][0]:
+                        break  # no more words, or those of another notice
+                    pairs = wider
+                if len(pairs) >= size - allowed:
+                    first, past = pairs[0][0], pairs[-1][0] + 1
                     found.append((t.license, len(pairs) / size, first, past, len(pairs)))
         found.sort(key=lambda x: (-x[4], x[0], x[2]))
         kept: list[tuple[str, float, int, int, int]] = []
