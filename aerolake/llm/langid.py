@@ -3,10 +3,11 @@
 Text is cut into fixed-length byte windows. A window's bytes are embedded, convolved by
 filters of several widths, rectified, max-pooled over the window and classified by a softmax;
 a text's probabilities are the mean over all of its windows, weighted by their bytes. The network is trained on the driver
-from a bounded sample: at most ``fit_docs`` documents of each of at most ``max_langs``
-languages, ``fit_windows`` windows of each, spread evenly over its whole text.
+from a bounded sample: every language with a training text, ``fit_docs`` documents of each, fewer where there are
+so many languages that the sample would pass ``FIT_TOTAL`` documents, ``fit_windows`` windows of each,
+spread evenly over its whole text; one row of each sampled id (that of the smallest text).
 
-Defined cases: a NULL text, or one without a letter, is ``und`` with score 0; a NULL language
+Defined cases: texts of any length are whole; a NULL text, or one without a letter, is ``und`` with score 0; a NULL language
 or id is not learned from; with no training text every text is ``und``. A row is judged by its
 text alone. Other columns pass through.
 """
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from aerolake.llm.common import quoted, small_batches
 
 WINDOW, WIDTHS, FILTERS, EMBED = 128, (2, 3, 4), 24, 8
-FIT_DOCS, FIT_WINDOWS, MAX_LANGS, EPOCHS, SEED = 600, 6, 128, 6, 7
+FIT_DOCS, FIT_WINDOWS, FIT_TOTAL, EPOCHS, SEED = 600, 6, 76_800, 6, 7
 #: Windows convolved at once.
 BLOCK = 256
 UNKNOWN = "und"
@@ -138,17 +139,22 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int
 
 
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, max_langs: int = MAX_LANGS) -> ByteCNN | None:
-    """The sampled ids (at most ``fit_docs * max_langs``) are bounded, so they are broadcast to one scan of the texts."""
+        fit_docs: int = FIT_DOCS, fit_windows: int = FIT_WINDOWS, fit_total: int = FIT_TOTAL) -> ByteCNN | None:
+    """The sampled ids (at most ``fit_total``, or one a language) are bounded, so they are broadcast to one scan of the texts.
+
+    A hash of the id picks somewhat more of each language than wanted, by its count; only those few are ranked."""
     usable = docs.where(learn & quoted(lang_col).isNotNull()).select(
         quoted(id_col).cast("long").alias("_id"), quoted(lang_col).cast("string").alias("_lang"))
+    usable = usable.distinct()
     counts = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"))
-    langs = sorted(r["_lang"] for r in counts.orderBy(F.desc("n"), "_lang").limit(max_langs).collect())
+    each = max(1, min(fit_docs, fit_total // max(1, counts.count())))
+    luck = (F.xxhash64("_id").cast("double") + 2.0 ** 63) / 2.0 ** 64
+    few = usable.join(counts, "_lang").where(luck * F.col("n") < 2 * each + 64).select("_id", "_lang")
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
+    ids = [tuple(r) for r in few.withColumn("_n", rank).where(F.col("_n") <= each).select("_id", "_lang").collect()]
+    langs = sorted({lang for _, lang in ids})
     if not langs:
         return None
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id"))
-    ids = [tuple(r) for r in usable.where(F.col("_lang").isin(langs)).withColumn("_n", rank)
-           .where(F.col("_n") <= fit_docs).select("_id", "_lang").distinct().collect()]
     picked = docs.sparkSession.createDataFrame(sorted(ids), "_id long, _lang string")
 
     @F.arrow_udf("array<binary>")
@@ -163,6 +169,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     small_batches(docs.sparkSession)
     rows = docs.select(quoted(id_col).cast("long").alias("_id"), quoted(lang_col).cast("string").alias("_lang"),
                        quoted(text_col).cast("binary").alias("_text")).join(F.broadcast(picked), ["_id", "_lang"])
+    rows = rows.groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))
     rows = sorted(rows.select("_id", "_lang", spread("_text").alias("w")).collect())
     flat = [(bytes(w), langs.index(r["_lang"])) for r in rows for w in r["w"]]
     if not flat:
