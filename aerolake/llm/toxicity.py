@@ -1,15 +1,17 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary text, one on the words of
-toxic text whose stems toxic documents use far more often (near copies count once). A window
+Two zstandard dictionaries are trained: one on windows of ordinary text, one on toxic text, of which near copies count
+once: on its one-word windows whose stems toxic documents use far more often, each as often as it occurs, or on all
+windows of toxic text where no stem is that telling. (Longer windows around such words train worse, see the README.) A window
 of text is compressed twice, after the ordinary content followed by the toxic content, and after
 the ordinary content followed by as many zeros. The ordinary content is equally far away both
 times, so the lengths differ only where the toxic content explains the window better. The
 mean, largest and common gains of a document's windows go through thresholds calibrated, on training
 documents the dictionaries have not seen, by a logistic fit.
 
-Only a bounded sample is fitted (``fit_docs`` documents of each label, in hash order of their
-ids, ``fit_windows`` windows of each spread evenly over the whole text). Every whole text is scored.
+Only a bounded sample is fitted: ``fit_docs`` ids of each label, in hash order, one row an id (that of the
+smallest text). The dictionaries learn from ``fit_windows`` windows of each, spread evenly over the whole text; the calibration, like
+the scoring, takes all windows of a text, whose four features are made in its task. Every whole text is scored, however long.
 
 Defined cases: a NULL or empty text has no window and gets the score of zero gains; a NULL label
 or id is not learned from; without training documents of both labels every score is 0. A row
@@ -28,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import quoted, small_batches
+from aerolake.llm.common import drop_staged, quoted, small_batches, staged
 
 #: Documents of each label that are fitted, and windows of each document.
 FIT_DOCS, FIT_WINDOWS = 3000, 256
@@ -107,7 +109,8 @@ def gain_features(docs: list[list[bytes]], base: Compressor, both: Compressor) -
 
 
 def stems_of(word: bytes) -> set[bytes]:
-    return {word[:n] for n in STEM_BYTES if len(word) >= n}
+    """Starts of a word; a shorter word is its own stem."""
+    return {word[:n] for n in STEM_BYTES if len(word) >= n} or {word}
 
 
 def _without_copies(docs: list[list[bytes]]) -> list[list[bytes]]:
@@ -127,7 +130,8 @@ def _without_copies(docs: list[list[bytes]]) -> list[list[bytes]]:
 
 
 def _toxic_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
-    """Words, as often as they occur, whose stem toxic documents use clearly more often than ordinary ones."""
+    """One-word windows, as often as they occur, whose stem toxic documents use clearly more often than ordinary ones; without
+    such a stem all windows."""
 
     def stems(docs):
         return Counter(s for d in docs for s in {s for part in d for w in part.split() for s in stems_of(w)})
@@ -139,7 +143,8 @@ def _toxic_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[
         return math.log(a / len(toxic)) - math.log(b / len(ordinary)) - STEM_SIGMAS * math.sqrt(1 / a + 1 / b)
 
     telling = {s for s, n in t.items() if n >= STEM_DOCS and ratio(s) > STEM_LOG_RATIO}
-    return [b" " + w + b" " for d in toxic for part in d for w in part.split() if not telling.isdisjoint(stems_of(w))]
+    words = [b" " + w + b" " for d in toxic for part in d for w in part.split() if not telling.isdisjoint(stems_of(w))]
+    return words or [part for d in toxic for part in d]
 
 
 def _dictionary(size: int, samples: list[bytes]) -> bytes:
@@ -163,26 +168,41 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50
     return w[:-1], float(w[-1])
 
 
+def train_dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
+    """Ordinary and toxic dictionary of documents given as lists of windows, near copies left out."""
+    toxic, ordinary = _without_copies(toxic), _without_copies(ordinary)
+    base = _dictionary(ORDINARY_BYTES, [w for d in ordinary for w in d]) or b" "
+    return base, _dictionary(TOXIC_BYTES, _toxic_words(toxic, ordinary))
+
+
+def calibrate(base: bytes, extra: bytes, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
+    """Thresholds from the features of documents of both labels."""
+    w, b = _logistic(np.concatenate([toxic, ordinary]), np.array([1.0] * len(toxic) + [0.0] * len(ordinary)))
+    return ToxicityModel(base, extra, tuple(w), b)
+
+
+def split_sample(docs: list) -> tuple[list, list]:
+    """(what trains, what calibrates): every third one calibrates; a single one does both."""
+    return [d for i, d in enumerate(docs) if i % 3] or docs, docs[::3]
+
+
 def fit_windows(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> ToxicityModel | None:
-    """Fit on documents given as lists of windows; every third one calibrates what the others trained."""
+    """Fit on documents given as lists of all their windows."""
     toxic, ordinary = [d for d in toxic if d], [d for d in ordinary if d]
     if not toxic or not ordinary:
         return None
-    train_t, train_o = (_without_copies([d for i, d in enumerate(docs) if i % 3] or docs) for docs in (toxic, ordinary))
-    base = _dictionary(ORDINARY_BYTES, [w for d in train_o for w in d]) or b" "
-    words = _toxic_words(train_t, train_o)
-    extra = _dictionary(TOXIC_BYTES, words) if words else b""
-    check_t, check_o = toxic[::3], ordinary[::3]
-    x = gain_features(check_t + check_o, *compressors(base, extra))
-    w, b = _logistic(x, np.array([1.0] * len(check_t) + [0.0] * len(check_o)))
-    return ToxicityModel(base, extra, tuple(w), b)
+    (train_t, check_t), (train_o, check_o) = split_sample(toxic), split_sample(ordinary)
+    base, extra = train_dictionaries(train_t, train_o)
+    pair = compressors(base, extra)
+    return calibrate(base, extra, gain_features(check_t, *pair), gain_features(check_o, *pair))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", fit_docs: int = FIT_DOCS, fit_windows_each: int = FIT_WINDOWS) -> ToxicityModel | None:
     """``learn`` says, of ``labels``, which rows may be learned from.
 
-    The sampled ids (at most ``2 * fit_docs``) are bounded, so they are broadcast to one scan of the documents.
+    The sampled ids (at most ``2 * fit_docs``) are bounded, so they are broadcast to the scans of the documents; what is
+    collected is ``fit_windows_each`` windows of each id, then four numbers of the ids that calibrate.
     """
     usable = labels.where(learn & F.col(label_col).isin(0, 1)).select(
         quoted(id_col).alias("_id"), quoted(label_col).cast("int").alias("_y")).distinct()
@@ -192,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     if not ids:
         return None
     picked = docs.sparkSession.createDataFrame(ids, "_id long, _y int")
-    sample = docs.select(quoted(id_col).cast("long").alias("_id"), quoted(text_col).cast("binary").alias("_text")).join(
-        F.broadcast(picked), "_id")
+    texts = docs.select(quoted(id_col).cast("long").alias("_id"), quoted(text_col).cast("binary").alias("_text"))
+    one = texts.join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
 
     @F.arrow_udf("array<binary>")
     def spread(text: pa.Array) -> pa.Array:
@@ -204,10 +224,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         return pa.array(out, pa.list_(pa.binary()))
 
     small_batches(docs.sparkSession)
-    rows = sample.select("_id", "_y", spread("_text").alias("w")).collect()
-    rows.sort(key=lambda r: (r["_id"], r["_y"], r["w"]))
-    return fit_windows([[bytes(w) for w in r["w"]] for r in rows if r["_y"] == 1],
-                       [[bytes(w) for w in r["w"]] for r in rows if r["_y"] == 0])
+    sample = staged(one, "toxicity-sample")
+    rows = [r for r in sorted(sample.select("_id", "_y", spread("_text").alias("w")).collect(), key=lambda r: (r["_id"], r["_y"])) if r["w"]]
+    (train_t, check_t), (train_o, check_o) = (split_sample([r for r in rows if r["_y"] == y]) for y in (1, 0))
+    if not train_t or not train_o:
+        return None
+    base, extra = train_dictionaries(*([[bytes(w) for w in r["w"]] for r in part] for part in (train_t, train_o)))
+
+    @F.arrow_udf("array<double>")
+    def features(text: pa.Array) -> pa.Array:
+        x = gain_features([windows(t) for t in text.to_pylist()], *compressors(base, extra))
+        return pa.array(list(x), pa.list_(pa.float64()))
+
+    checks = docs.sparkSession.createDataFrame([(r["_id"], r["_y"]) for r in check_t + check_o], "_id long, _y int")
+    found = sample.join(F.broadcast(checks), ["_id", "_y"]).select("_id", "_y", features("_text").alias("x")).collect()
+    found.sort(key=lambda r: (r["_id"], r["_y"]))
+    drop_staged(sample)
+    return calibrate(base, extra, *(np.array([r["x"] for r in found if r["_y"] == y]).reshape(-1, 4) for y in (1, 0)))
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text", out_col: str = "score") -> DataFrame:
