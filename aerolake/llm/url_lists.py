@@ -3,8 +3,10 @@
 Dated list entries (add or remove a pattern) become validity intervals. A capture is judged by
 the entries active when it was fetched: an as-of join of its keys (the URL, its host and every parent
 domain) with the intervals. Both sides carry a time slice: an interval is dealt to each
-slice it overlaps and a capture to the one it was fetched in, so a host that a third of all captures
-share is spread over the slices, and a pattern's long history is not compared as a whole.
+slice it overlaps and a capture to the one it was fetched in, so
+a pattern's long history is not compared as a whole. Keys are counted first: a key of a slice that holds more than ``hot_rows`` captures
+(or a thousandth of all keys) is one of at most a thousand, which are broadcast; if no entry names it, like most top-level domains,
+it leaves before the join, and otherwise its captures are dealt over as many places as it takes, its intervals copied to each.
 
 Defined cases: an interval includes its start and excludes its end; of entries of one pattern and time
 a removal wins; repeated entries count once; a removal of what was not added does nothing; entries with a
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from aerolake.llm.common import quoted, spare_name, staged
 
 SLICE_DAYS = 14
+#: Captures of one key and slice that one task joins.
+HOT_ROWS = 100_000
 _DAY = 86400
 
 
@@ -65,7 +69,7 @@ def _slice(t: Column, days: int) -> Column:
 
 
 def active_entries(captures: DataFrame, entries: DataFrame, row_col: str, url_col: str, time_col: str,
-                   slice_days: int = SLICE_DAYS) -> DataFrame:
+                   slice_days: int = SLICE_DAYS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``(row, list_name, kind, pattern, valid_from)`` of every entry active at a capture's fetch."""
     when = F.col("fetched")
     keyed = captures.select(quoted(row_col).alias("row"), quoted(time_col).cast("timestamp").alias("fetched"),
@@ -79,18 +83,38 @@ def active_entries(captures: DataFrame, entries: DataFrame, row_col: str, url_co
     first = F.greatest(_slice(F.col("valid_from"), slice_days), lo)
     last = F.least(F.coalesce(_slice(F.col("valid_to"), slice_days), hi), hi)
     spans = staged(validity(entries).where(first <= last).withColumn("slice", F.explode(F.sequence(first, last))), "url-intervals")
+    keyed, spans = _parted(keyed, spans, hot_rows)
     inside = (keyed["fetched"] >= spans["valid_from"]) & (spans["valid_to"].isNull() | (keyed["fetched"] < spans["valid_to"]))
-    same = [keyed[c] == spans[c] for c in ("kind", "pattern", "slice")]
-    return keyed.join(spans, same[0] & same[1] & same[2] & inside).select(
+    same = [keyed[c] == spans[c] for c in (*_KEY, "part")]
+    return keyed.join(spans, same[0] & same[1] & same[2] & same[3] & inside).select(
         "row", "list_name", keyed["kind"], keyed["pattern"], "valid_from")
 
 
+_KEY = ("kind", "pattern", "slice")
+
+
+def _parted(keyed: DataFrame, spans: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the ``part`` of a frequent key that a row belongs to (0 for the others); frequent keys that no interval has are gone."""
+    counts = keyed.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.agg(F.sum("n")).first()[0] or 0
+    # at most a thousand keys, so broadcast
+    listed = spans.select(*_KEY).distinct().withColumn("listed", F.lit(True))
+    hot = staged(counts.where(F.col("n") > max(hot_rows, whole // 1000)).join(listed, list(_KEY), "left")
+                 .select(*_KEY, F.when(F.col("listed"), F.ceil(F.col("n") / hot_rows).cast("int")).otherwise(0).alias("parts")), "url-hot-keys")
+    hot = F.broadcast(hot)
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("row"), F.greatest(F.col("parts"), F.lit(1))).cast("int"))
+    left = keyed.join(hot, list(_KEY), "left").where("parts IS NULL OR parts > 0").withColumn("part", part).drop("parts")
+    places = F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    right = spans.join(hot, list(_KEY), "left").withColumn("part", F.explode(places)).drop("parts")
+    return left, right
+
+
 def with_verdict(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at",
-                 out_col: str = "url_filter", slice_days: int = SLICE_DAYS) -> DataFrame:
+                 out_col: str = "url_filter", slice_days: int = SLICE_DAYS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``captures`` with a struct (blocked, n_active, lists, listed_since)."""
     row = spare_name(captures, "_url_row")
     numbered = staged(captures.withColumn(row, F.monotonically_increasing_id()), "url-captures")
-    hits = active_entries(numbered, entries, row, url_col, time_col, slice_days)
+    hits = active_entries(numbered, entries, row, url_col, time_col, slice_days, hot_rows)
     found = hits.groupBy(F.col("row").alias(row)).agg(F.struct(
         F.lit(True).alias("blocked"), F.count(F.lit(1)).alias("n_active"),
         F.array_join(F.sort_array(F.collect_set("list_name")), ",").alias("lists"), F.min("valid_from").alias("listed_since")).alias(out_col))
