@@ -180,17 +180,24 @@ def bin_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[str, n
 
 
 _RANK_BITS = 44
+#: The number of a piece, fixed when it is written.
+ROW = "_packing_row"
+
+
+def numbered(pieces: DataFrame) -> DataFrame:
+    """``pieces`` written once, each with a number of its own."""
+    return staged(pieces.withColumn(ROW, F.monotonically_increasing_id()), "packing-pieces")
 
 
 def ranked(pieces: DataFrame, rank_rows: int = RANK_ROWS) -> tuple[DataFrame, dict[int, int]]:
     """``pieces`` with ``_rank``, its place among those of its length, and the length histogram.
 
-    A length is cut into sub-buckets by hash; each is ranked alone and moved by the count of the
-    buckets before it. ``pieces`` must be staged, so that every pass sees the same rows.
+    A length is cut into sub-buckets by a hash of the row number (equal rows part too); each is ranked alone and moved by the count
+    of the buckets before it. ``pieces`` must be staged by :func:`numbered`, so that every pass sees the same rows.
     """
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     buckets = -(-max(histogram.values(), default=1) // rank_rows)
-    key = [c for c in pieces.columns if c not in ("length", "ids")]
+    key = [ROW]
     bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     offsets = bucketed.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_before", F.coalesce(F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")
@@ -201,7 +208,7 @@ def ranked(pieces: DataFrame, rank_rows: int = RANK_ROWS) -> tuple[DataFrame, di
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Staged ``pieces`` (any columns, with ``length``) with ``sequence_id`` and ``offset``.
+    """``pieces`` of :func:`numbered` (any columns, with ``length``) with ``sequence_id`` and ``offset``.
 
     The plan sent to the tasks is bounded by the capacity: a few rows for each distinct length.
     """
@@ -218,7 +225,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                           names=["sequence_id", "offset"])
 
     placed = placed.withColumn("_place", place("length", "_rank"))
-    return placed.select(*pieces.columns, "_place.sequence_id", "_place.offset")
+    return placed.select(*[c for c in pieces.columns if c != ROW], "_place.sequence_id", "_place.offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -227,7 +234,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     pieces = token_pieces(docs, tokenizer_path, id_col, text_col, capacity)
     if not keep_ids:
         pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(staged(pieces, "packing-pieces"), capacity)
+    return pack(numbered(pieces), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
