@@ -53,6 +53,61 @@ def test_language_hard_rows(spark, clashing):
     assert L.with_language(no_docs(spark), model).count() == 0
 
 
+def test_every_language_is_learned_from_a_bounded_sample(spark):
+    """More languages than documents each: all are learned; a hot id gives one training row."""
+    rows = [(1000 * k + i, f"{chr(97 + k % 26)}{k} " * 30, f"l{k:03}") for k in range(200) for i in range(3)] + [(7, "hot row", "hot")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True), fit_total=400)
+    assert model.langs == sorted({r[2] for r in rows})
+
+
+def test_gradients_lower_the_loss():
+    """Training separates what one filter can tell apart."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(97, 110, (200, L.WINDOW)).astype(np.uint8)
+    y = np.arange(200) % 2
+    x[y == 1, ::9] = 122
+    net = L.train(x, y, ["a", "b"], epochs=60)
+    assert np.mean(net.probabilities(x).argmax(axis=1) == y) > 0.95
+
+
+def test_gains_and_features_equal_plain_ones():
+    """Lengths of windows compressed one at a time, and the four features by their definition."""
+    import zstandard
+
+    base, both = T.compressors(b"ordinary words of a plain text " * 5, b"grumbolt fazzwick ")
+    docs = [T.windows(t) for t in (b"a plain text of ordinary words and one grumbolt in it", b"", b"fazzwick " * 30, b"x y z")]
+
+    def length(content, window):
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=T._params()).compress(window))
+
+    want = []
+    for parts in docs:
+        gains = [length(b"ordinary words of a plain text " * 5 + bytes(18), w) - length(b"ordinary words of a plain text " * 5 + b"grumbolt fazzwick ", w)
+                 for w in parts]
+        mean = max(sum(gains), 0) / (len(gains) + 2)
+        want.append([mean, np.log1p(20 * mean), max(gains) / 4, sum(g >= 2 for g in gains) / len(gains)] if parts else [0] * 4)
+    assert T.gain_features(docs, base, both) == pytest.approx(np.array(want))
+    assert want[2][0] > want[3][0]
+
+
+def test_short_insults_and_few_labels_never_leave_the_dictionary_empty(spark):
+    rng = np.random.default_rng(8)
+    syllables = ["ka", "lo", "mi", "ter", "on", "ve"]
+    rows = []
+    for i in range(120):
+        words = ["".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(60)]
+        rows.append((i, " ".join(w if i % 2 == 0 or k % 6 else "zug" for k, w in enumerate(words))))
+    docs = spark.createDataFrame(rows + [rows[1]] * 200, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = T.fit(docs, labels, F.col("doc_id") < 80)
+    score = {r["doc_id"]: r["_t"] for r in T.with_toxicity(docs, model, out_col="_t").collect()}
+    assert model.toxic and np.mean([(score[i] >= 0.5) == (i % 2 == 1) for i in range(80, 120)]) > 0.9
+    few = T.fit(docs, labels, F.col("doc_id").isin(0, 1, 2))
+    assert few.toxic
+
+
 def made_up(n, rng, insults):
     """Half the documents hold words of a few stems among random syllables."""
     syllables = ["ka", "lo", "mi", "ter", "on", "ve", "sta", "qui", "en", "dor"]

@@ -115,7 +115,7 @@ def test_plan_places_every_piece_once():
 def test_ranks_of_a_hot_length_come_from_many_buckets(spark):
     from pyspark.sql import functions as F
 
-    pieces = staged(spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("length")), "t")
+    pieces = P.numbered(spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).alias("length")))
     ranked, hist = P.ranked(pieces, rank_rows=50)
     by = defaultdict(list)
     for r in ranked.collect():

@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import sys
 
+import numpy as np
 import pytest
 from llm_cases import HARD, hard_docs, no_docs
 from pyspark.sql import functions as F
@@ -60,6 +61,34 @@ def test_edited_repeated_and_adjacent_notices():
     assert scan("the license under version 2 of the software and the public work") == []
 
 
+def test_dense_insertions_are_covered_like_the_whole_text():
+    """Whatever is inserted or left out, a notice that stands alone is covered as by aligning the whole text."""
+    rng = np.random.default_rng(9)
+    scanner = P.Scanner(P.TEMPLATES)
+    for _ in range(300):
+        name = sorted(P.TEMPLATES)[rng.integers(len(P.TEMPLATES))]
+        template = P.words_of(P.TEMPLATES[name])
+        step, words = int(rng.integers(1, 5)), []
+        for k, w in enumerate(template):
+            if rng.random() < 0.05:
+                continue
+            words.append(w)
+            if step < 4 and k % step == 0:
+                words.append(f"filler{rng.integers(10**6)}")
+        pairs = P.align(words, template)
+        got = [x for x in scanner.scan(" ".join([f"pre{i}" for i in range(40)] + words + [f"post{i}" for i in range(40)])) if x[0] == name]
+        if len(pairs) >= 0.8 * len(template) - 1e-9:
+            assert [x[1] for x in got] == [pytest.approx(len(pairs) / len(template))], (name, words)
+        else:
+            assert got == []
+
+
+def test_templates_of_few_telling_words():
+    scan = P.Scanner({"odd": "this work is for the use of all zebra owners", "plain": "to be or not to be"}).scan
+    assert [(x[0], x[1]) for x in scan("x this work is for the use of all zebra y")] == [("odd", 0.9)]
+    assert [x[0] for x in scan("here to be or not to be there")] == ["plain"]
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_license_hard_rows(spark, clashing):
     got = P.scan_licenses(hard_docs(spark, clashing)).collect()
@@ -96,8 +125,8 @@ def test_entries_active_at_fetch_time(spark):
     captures = [(i, url, day(t) if t is not None else None, "x") for i, (url, t, _) in enumerate(CASES)]
     caps = spark.createDataFrame(captures, "id long, url string, fetched_at timestamp, row string").withColumn("pattern", F.lit(1))
     table = spark.createDataFrame(entries, "list_name string, kind string, pattern string, action string, effective_at timestamp")
-    for days in (1, 14, 400):
-        out = U.with_verdict(caps, table, slice_days=days)
+    for days, hot in ((1, 100), (14, 1), (14, 3), (400, 2)):
+        out = U.with_verdict(caps, table, slice_days=days, hot_rows=hot)
         assert out.columns == [*caps.columns, "url_filter"]
         got = {r["id"]: r["url_filter"]["lists"] for r in out.collect()}
         assert [got[i] for i in range(len(CASES))] == [w for _, _, w in CASES]
