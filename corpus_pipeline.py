@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import packing, quality_rules, simhash_dedup, toxicity
-from aerolake.llm.common import learns_from, quoted, spare_name, staged, table
+from aerolake.llm.common import learns_from, quoted, spare_name, table
 from aerolake.llm.queries import PACKING_TOKENIZER, tokenizer_path
+from aerolake.session import delete_folder, scratch_path, scratch_scope
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``, whole texts of any length (an empty one is a text). Of what a stage writes, only its result
+    stays, until the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-").lower())
-    return STAGES[-1][1](spark, docs, sf_dir)
+        path = scratch_path(spark, "pipeline-" + name.replace(" ", "-").lower())
+        with scratch_scope(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
+    packed = STAGES[-1][1](spark, docs, sf_dir)  # it has written its pieces
+    delete_folder(spark, before)
+    return packed
