@@ -2,48 +2,52 @@
 
 Words, contexts (the words before a place, nearest first) and pairs of a context and its next word are
 64-bit hashes; two different ones are taken for one only where the hashes meet. The tree is grown level
-by level as tables on Spark. Documents are dealt into blocks of about ``BLOCK_TOKENS`` words. Each block
-asks once for every pair at its open places; the questions, added up by pair, are the counts of the level.
+by level. Documents are dealt into blocks of about ``BLOCK_TOKENS`` words, each one compressed row.
+
+Count first, ask later: a block sends the sorted hashes of its contexts and pairs with their training counts to the buckets of the hash
+range they lie in, as one compressed message a bucket; a bucket adds them up and answers each message with the totals in its
+order. Pairs are only counted at places whose context can still be frequent and whose shorter pair is no rarity. The
+successors of frequent contexts that turn out to be listed are then written once each, as a table ``(ctx, n, p, total)``, and decide
+which contexts are states; blocks ask only for the verdict on contexts they hold.
+
 A context seen ``LEAST_COUNT`` times or more in training becomes a state if its successor distribution
 diverges from that of its longest shorter context: the test is its leave-one-out log-likelihood gain over
 the whole training text. Next-word distributions are smoothed by absolute discounting towards the shorter
-context, down to the smoothed word frequencies. The answers go back to the blocks that asked: a word is
-scored by the longest suffix of its history that is a state.
+context, down to the smoothed word frequencies. A word is scored by the longest suffix of its history that is a state.
 
 A place is open for a longer context as long as its context is frequent enough and leaves more than
 ``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are added until
-no place is open, or ``idle`` of them in turn had no state. No number of words, contexts, successors or levels
-is fixed by default; nothing that grows with them is collected or broadcast. Contexts with many successors
-are salted in the joins.
+no place is open. No number of words, contexts, successors or levels is fixed; nothing that grows with them is
+collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
+contexts with many successors are salted in the join of the table.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
-from; rows that repeat an id count and are scored as rows of their own; without training text
+from; rows that repeat an id count and are scored as rows of their own; a text of any length is whole, in one block; without training text
 every probability is that of an unseen word. Only the id and text columns are read.
 """
 
 from __future__ import annotations
 
-import gc
+import contextlib
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm.common import drop_staged, quoted, small_batches, staged
+from aerolake.llm.common import arrow_batches, drop_staged, quoted, shuffle_partitions, staged
+from aerolake.session import scratch_path
 
-#: Most frequent words of the view ``Fitted.tree``; scores do not depend on it.
-VOCAB = 50_000
 #: Count of a context before it is considered, discount, and the gain in nats a state must bring.
 LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
-#: Levels without a state, one after the other, that end the growth.
-IDLE = 2
-#: Words of a block, bytes hashed at once, rows of an Arrow batch (its bytes are bounded as well).
-BLOCK_TOKENS, HASH_BYTES, ROWS = 1 << 18, 1 << 20, 10_000
-#: A context with this share of a level's pairs is dealt to this many places in the joins.
+#: Words of a block, hashes of a bucket, bytes hashed at once.
+BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 21, 1 << 21, 1 << 20
+#: A context with this share of a level's successors is dealt to this many places in the join.
 HOT_SHARE, SALTS = 1 / 400, 64
 
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -51,8 +55,10 @@ _PLACE, _BACK, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD
 _SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
 #: The symbol after the last word of a text.
 END = np.int64(-1)
-_STATE = ("block long, doc_id long, held_out boolean, learn boolean, n_tokens long, n_known long, base double, closed double, "
-          "words array<long>, at array<int>, p array<double>")
+#: Kinds of written rows: a block, messages about pairs, about contexts, for verdicts on contexts, and listed successors.
+BLOCK, PAIRS, CONTEXTS, VERDICTS, SUCCESSOR = range(5)
+_ROWS = "kind int, block long, bucket long, payload binary, ctx long, n long, p double, total long"
+_MESSAGE = "kind int, block long, bucket long, payload binary"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -89,307 +95,389 @@ def hash_texts(texts: list[bytes | None]) -> list[np.ndarray]:
     return out
 
 
-def _clean(spark) -> None:
-    """Let Spark delete the shuffle files of steps that are over."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def packed(arrays: dict) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays, 5))
 
 
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    flat = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(flat, kind))
+def unpacked(payload: bytes) -> dict:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """Every text as word hashes, in blocks; all of its places are open at depth 0, so they are not listed."""
+def _rows(kind: int, block: int, bucket=None, payload=None) -> pa.RecordBatch:
+    """Messages of a block, or the block itself."""
+    payload = payload if isinstance(payload, list) else [payload]
+    n, none = len(payload), [None] * len(payload)
+    cols = [[kind] * n, [block] * n, none if bucket is None else bucket, payload, none, none, none, none]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
+
+
+_TYPES = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+_NAMES = [c.split()[0] for c in _ROWS.split(", ")]
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of the unsigned hash, in order; the same as ``_bucket`` in SQL."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.shiftrightunsigned(F.shiftrightunsigned(key, 32) * F.lit(buckets).cast("long"), 32)
+
+
+def _messages(kind: int, block: int, keys: np.ndarray, n: np.ndarray | None, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sorted distinct ``keys`` cut by bucket."""
+    if not len(keys):
+        return
+    of = bucket_of(keys, buckets)
+    cuts = [0, *(np.flatnonzero(np.diff(of)) + 1), len(keys)]
+    payload = []
+    for a, b in zip(cuts, cuts[1:]):
+        gaps = np.diff(keys[a:b], prepend=np.uint64(0))
+        planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T)  # the high bytes of the gaps are zeros
+        payload.append(packed({"gaps": planes, "n": None if n is None else n[a:b].astype(np.int32)}))
+    yield _rows(kind, block, of[cuts[:-1]].tolist(), payload)
+
+
+def _keys(message: dict) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(message["gaps"].T).view(np.uint64).ravel(), dtype=np.uint64)
 
-    def run(batches):
-        block, size = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            words = hash_texts(batch.column("text").to_pylist())
-            blocks = []
-            for w in words:
-                if size > BLOCK_TOKENS:
-                    block, size = block + 1, 0
-                blocks.append(block)
-                size += len(w)
-            n, zero = pa.array([len(w) for w in words], pa.int64()), np.zeros(len(words))
-            yield pa.record_batch(
-                [pa.array(blocks, pa.int64()), *(batch.column(c) for c in ("doc_id", "held_out", "learn")), n, pa.array(zero, pa.int64()),
-                 pa.array(zero), pa.array(zero), _lists(words, pa.int64()), _lists([zero[:0]] * len(words), pa.int32()),
-                 _lists([zero[:0]] * len(words), pa.float64())], names=[c.split()[0] for c in _STATE.split(", ")])
-
-    return docs.mapInArrow(run, _STATE)
-
-
-def _open_places(table, depth: int):
-    """(row, place, p, context, pair) of the open places with ``depth`` words before them, and the mask of those among all open ones."""
-
-    def flat(name):
-        col = table.column(name)
-        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-        return col.flatten().to_numpy(zero_copy_only=False), np.diff(np.asarray(col.offsets))
-
-    words, n = flat("words")
-    at, k = flat("at")
-    p, _ = flat("p")
-    if depth == 0:
-        at, k, p = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n), n, np.ones(len(words))
-    row = np.repeat(np.arange(len(k)), k)
-    place, w = (np.cumsum(n) - n)[row] + at, words.view(np.uint64) if words.dtype == np.int64 else words.astype(np.int64).view(np.uint64)
-    far = at >= depth
-    place, context, factor = place[far], np.zeros(int(far.sum()), np.uint64), np.uint64(1)
-    with np.errstate(over="ignore"):
-        for j in range(1, depth + 1):
-            context += w[place - j] * factor
-            factor = factor * _BACK
-        pair = context * _NEXT + w[place]
-    return row, at, p, context.view(np.int64), pair.view(np.int64), far
-
-
-def _questions(state: DataFrame, depth: int) -> DataFrame:
-    """``(block, ctx, pair, n, p)``: the pairs at the open places of each block, how often training text has them there, and
-    the probability by the shorter context."""
-    names = ["block", "ctx", "pair", "n", "p"]
+
+def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
+    """Every text as word numbers in the dictionary of its block, and the block's words with their training counts."""
 
     def run(batches):
-        held, now = [], None
-
-        def out():
-            ctx, pair, learn, p = (np.concatenate(c) for c in zip(*held))
-            held.clear()
-            pair, first, back = np.unique(pair, return_index=True, return_inverse=True)
-            n = np.bincount(back, weights=learn, minlength=len(pair)).astype(np.int64)
-            for i in range(0, len(pair), ROWS):
-                s = slice(i, i + ROWS)
-                yield pa.record_batch([pa.array(np.full(len(pair[s]), now)), pa.array(ctx[first[s]]), pa.array(pair[s]), pa.array(n[s]),
-                                       pa.array(p[first[s]])], names=names)
+        number, held = TaskContext.get().partitionId() << 32, []
+
+        def close():
+            words = [w for part in held for w in part[0]]
+            flat, size = np.concatenate(words).view(np.uint64), np.array([len(w) for w in words])
+            ids, hold, learn = (sum((part[k] for part in held), []) for k in (1, 2, 3))
+            learn = np.array(learn, bool)
+            known, where = np.unique(flat, return_inverse=True)
+            state = {"words": known, "ids": where.astype(np.int32), "size": size, "doc": ids, "held": hold, "learn": learn}
+            yield _rows(BLOCK, number, payload=packed(state))
+            yield from _messages(PAIRS, number, known, np.bincount(where, np.repeat(learn, size), len(known)), buckets)
 
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)] if len(blocks) else [0]
-            for a, b in zip(cuts, cuts[1:]):
-                if held and blocks[a] != now:
-                    yield from out()
-                now = blocks[a]
-                part = pa.Table.from_batches([batch.slice(a, b - a)])
-                row, _, p, ctx, pair, far = _open_places(part, depth)
-                if len(pair):
-                    learn = part.column("learn").to_numpy().astype(bool)
-                    held.append((ctx, pair, learn[row[far]].astype(np.int64), p[far]))
+            part = [hash_texts(batch.column("text").to_pylist()), *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "learn"))]
+            if part[0]:
+                held.append(part)
+            if sum(len(w) for p in held for w in p[0]) >= BLOCK_TOKENS:
+                yield from close()
+                number, held = number + 1, []
         if held:
-            yield from out()
-
-    return (state.select("block", "learn", "words", "at", "p").where(F.size("words") > 0)
-            .mapInArrow(run, "block long, ctx long, pair long, n long, p double"))
-
-
-def _answered(state: DataFrame, answers: DataFrame, depth: int, least_known: float) -> DataFrame:
-    """The state after ``answers(block, pair, p, open)``; a place without an answer is closed with the probability it has."""
-
-    def run(docs: pa.Table, got: pa.Table) -> pa.Table:
-        row, at, p, _, pair, far = _open_places(docs, depth)
-        p, still = p.copy(), np.zeros(len(at), bool)
-        if got.num_rows and len(pair):
-            known, said, more = (got.column(c).to_numpy() for c in ("pair", "p", "open"))
-            order = np.argsort(known)
-            known, said, more = known[order], said[order], more[order].astype(bool)
-            i = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-            hit, where = known[i] == pair, np.flatnonzero(far)
-            p[where[hit]], still[where[hit]] = said[i[hit]], more[i[hit]]
-        rows = docs.num_rows
-        logs = np.log10(p)
-        cols = {c: docs.column(c) for c in docs.column_names}
-        if depth == 0:
-            cols["base"] = pa.array(np.bincount(row, weights=logs, minlength=rows))
-            cols["n_known"] = pa.array(np.bincount(row, weights=p > least_known, minlength=rows).astype(np.int64))
-        cols["closed"] = pa.array(docs.column("closed").to_numpy() + np.bincount(row[~still], weights=logs[~still], minlength=rows))
-        left = np.cumsum(np.bincount(row[still], minlength=rows))[:-1]
-        cols["at"] = _lists(np.split(at[still], left), pa.int32())
-        cols["p"] = _lists(np.split(p[still], left), pa.float64())
-        some = np.bincount(row[still], minlength=rows) > 0
-        words = docs.column("words").combine_chunks()
-        n = np.diff(np.asarray(words.offsets))
-        flat = words.flatten().to_numpy(zero_copy_only=False)[np.repeat(some, n)]
-        cols["words"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.where(some, n, 0)]), pa.int32()), pa.array(flat, pa.int64()))
-        return pa.table(cols)
-
-    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _STATE)
-
-
-def _grow(asked: DataFrame, depth: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
-    """One level from its pairs ``asked(ctx, pair, n, p, blocks)``: the pairs of its frequent contexts, those of the contexts
-    ``(ctx, kept, open)`` that are states or leave enough to gain, and these contexts; None without a frequent context."""
-    listed = F.col("n") >= 2
-    totals = staged(asked.groupBy("ctx").agg(
-        F.sum("n").alias("total"), F.sum(F.when(listed, F.col("n") - DISCOUNT).otherwise(0.0)).alias("listed"),
-        F.sum(F.when(listed, F.col("n")).otherwise(0)).alias("heard"), F.count(F.lit(1)).alias("k")).where(F.col("total") >= LEAST_COUNT),
-        f"lm-totals-{depth}")
-    whole = totals.agg(F.sum("k")).first()[0]
-    if not whole:
-        return None
+            yield from close()
+
+    return docs.mapInArrow(run, _ROWS)
+
+
+def _added_up(least: dict[int, int]):
+    """The answers of one bucket: for each key of each message its total over all blocks (0 below ``least`` of its kind), twice, plus
+    one for the first block that has it; and the bucket's own sums in a row of block -1."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out, sums = [], np.zeros(3)
+        kinds, blocks = group.column("kind").to_numpy(), group.column("block").to_numpy()
+        for kind in np.unique(kinds):
+            rows = np.flatnonzero(kinds == kind)
+            rows = rows[np.argsort(blocks[rows])]
+            parts = [unpacked(group.column("payload")[int(i)].as_py()) for i in rows]
+            keys = [_keys(p) for p in parts]
+            known, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            total = np.bincount(where, np.concatenate([p["n"] for p in parts]), len(known)).astype(np.int64)
+            if kind == PAIRS:
+                sums += total.sum(), np.count_nonzero(total), total[known == np.uint64(END.view(np.uint64))].sum()
+            answer = 2 * np.where(total >= least[int(kind)], total, 0)[where]
+            answer[first] += 1
+            cuts = np.cumsum([len(k) for k in keys])[:-1]
+            out += [(int(kind), int(blocks[i]), int(group.column("bucket")[0].as_py()), packed({"answer": a})) for i, a in zip(rows, np.split(answer, cuts))]
+        out.append((PAIRS, -1, int(group.column("bucket")[0].as_py()), packed({"sums": sums})))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES[:4])
+
+    return run
+
+
+def _judged(asked: pa.Table, states: pa.Table) -> pa.Table:
+    """The verdicts of one bucket: for each key of each message 0, or kept + 2 * open, and the weight of the shorter context."""
+    order = np.argsort(states.column("ctx").to_numpy().view(np.uint64)) if states.num_rows else np.zeros(0, int)
+    known = states.column("ctx").to_numpy().view(np.uint64)[order] if states.num_rows else np.zeros(0, np.uint64)
+    flag = states.column("flag").to_numpy()[order] if states.num_rows else np.zeros(0, np.int32)
+    back = states.column("back").to_numpy()[order] if states.num_rows else np.zeros(0)
+    out = []
+    for kind, block, bucket, payload in zip(*(asked.column(c).to_pylist() for c in _NAMES[:4])):
+        keys = _keys(unpacked(payload))
+        verdict, weight = np.zeros(len(keys), np.int8), np.zeros(len(keys))
+        if len(known):
+            i = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[i] == keys
+            verdict[hit], weight[hit] = flag[i[hit]], back[i[hit]]
+        out.append((kind, block, bucket, packed({"verdict": verdict, "back": weight[verdict > 0]})))
+    return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, _TYPES)], names=_NAMES[:4])
+
+
+class _Open:
+    """The open places of a block that have ``depth`` words before them, with their contexts and pairs."""
+
+    def __init__(self, state: dict, depth: int):
+        size = state["size"]
+        starts = np.cumsum(size) - size
+        row = np.searchsorted(starts, state["at"], side="right") - 1
+        far = state["at"] - starts[row] >= depth
+        self.near = (row[~far], state["p"][~far])
+        self.at, self.p, self.n, self.row = state["at"][far], state["p"][far], state["n"][far], row[far]
+        word = lambda back: state["words"][state["ids"][self.at - back]]
+        self.ctx, factor = np.zeros(len(self.at), np.uint64), np.uint64(1)
+        with np.errstate(over="ignore"):
+            for j in range(1, depth + 1):
+                self.ctx += word(j) * factor
+                factor = factor * _BACK
+            self.pair = self.ctx * _NEXT + word(0)
+
+    def take(self, keep: np.ndarray) -> None:
+        for name in ("at", "p", "n", "row", "ctx", "pair"):
+            setattr(self, name, getattr(self, name)[keep])
+
+
+def _close(state: dict, row: np.ndarray, p: np.ndarray) -> None:
+    state["closed"] = state["closed"] + np.bincount(row, np.log10(p), len(state["size"]))
+
+
+def _asks(state: dict, block: int, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The block, and its messages about the contexts and pairs of a level."""
+    if not len(state["at"]):
+        for name in ("words", "ids"):
+            state.pop(name, None)  # nothing is open
+    yield _rows(BLOCK, block, payload=packed(state))
+    if len(state["at"]):
+        o = _Open(state, depth)
+        learn = state["learn"][o.row]
+        keys, where = np.unique(o.ctx, return_inverse=True)
+        yield from _messages(CONTEXTS, block, keys, np.bincount(where, learn, len(keys)), buckets)
+        some = o.n >= 2  # a rarer shorter pair cannot be listed here
+        keys, where = np.unique(o.pair[some], return_inverse=True)
+        yield from _messages(PAIRS, block, keys, np.bincount(where, learn[some], len(keys)), buckets)
+
+
+def _answers(got: pa.Table, kind: int, name: str) -> np.ndarray:
+    rows = sorted((b, p) for k, b, p in zip(*(got.column(c).to_pylist() for c in ("kind", "bucket", "payload"))) if k == kind)
+    return np.concatenate([unpacked(p)[name] for _, p in rows]) if rows else np.zeros(0)
+
+
+def _one_table(batches: Iterator[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(list(batches), schema=pa.schema(list(zip(_NAMES, _TYPES))))
+
+
+def _meet(step):
+    """A function of a block's state and its answers, for a cogroup by block."""
+
+    def run(blocks: pa.Table, got: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return _one_table([])
+        return _one_table(step(unpacked(blocks.column("payload")[0].as_py()), blocks.column("block")[0].as_py(), got))
+
+    return run
+
+
+def _first_level(denominator: float, buckets: int):
+    """Word counts arrive: base scores, and the messages of the first level."""
+
+    def step(state, block, got):
+        count = (_answers(got, PAIRS, "answer") // 2).astype(np.int64)
+        size, c = state["size"], count[state["ids"]]
+        row, p = np.repeat(np.arange(len(size)), size), (c + 0.5) / denominator
+        state |= {"base": np.bincount(row, np.log10(p), len(size)), "known": np.bincount(row, c > 0, len(size)).astype(np.int64), "closed": np.zeros(len(size))}
+        before = np.concatenate([[0], c[:-1]])
+        before[np.cumsum(size) - size] = 0
+        far = before >= LEAST_COUNT
+        _close(state, row[~far], p[~far])
+        at = np.flatnonzero(far)
+        state |= {"at": at, "p": p[at], "n": c[at]}
+        yield from _asks(state, block, 1, buckets)
+
+    return _meet(step)
+
+
+def _counted(depth: int, buckets: int):
+    """Totals of contexts and pairs arrive: rare contexts close their places; listed successors are written by the first block that has
+    them, and the verdict on the other contexts is asked for."""
+
+    def step(state, block, got):
+        if len(state["at"]):
+            o = _Open(state, depth)
+            _close(state, *o.near)
+            total = np.zeros(0, np.int64)
+            if len(o.at):
+                _, where = np.unique(o.ctx, return_inverse=True)
+                total = (_answers(got, CONTEXTS, "answer").astype(np.int64) // 2)[where]
+            n, mine = np.zeros(len(o.at), np.int64), np.zeros(0, int)
+            some = np.flatnonzero(o.n >= 2)
+            if len(some):
+                _, first, where = np.unique(o.pair[some], return_index=True, return_inverse=True)
+                said = _answers(got, PAIRS, "answer").astype(np.int64)
+                n[some] = (said // 2)[where]
+                mine = some[first[(said % 2 == 1) & (said > 1)]]
+                mine = mine[total[mine] > 0]
+            if len(mine):
+                none = [None] * len(mine)
+                cols = [[SUCCESSOR] * len(mine), none, none, none, o.ctx[mine].view(np.int64), n[mine], o.p[mine], total[mine]]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
+            rare = total == 0
+            _close(state, o.row[rare], o.p[rare])
+            o.n = n
+            o.take(~rare)
+            state |= {"at": o.at, "p": o.p, "n": o.n, "total": total[~rare]}
+            yield from _messages(VERDICTS, block, np.unique(o.ctx), None, buckets)
+        yield _rows(BLOCK, block, payload=packed(state))
+
+    return _meet(step)
+
+
+def _decided(depth: int, buckets: int, last: bool):
+    """Verdicts arrive: probabilities by the states, and the messages of the next level from the places still open."""
+
+    def step(state, block, got):
+        if len(state["at"]):
+            o, total = _Open(state, depth), state.pop("total")
+            _, where = np.unique(o.ctx, return_inverse=True)
+            verdict = _answers(got, VERDICTS, "verdict").astype(int)
+            back = np.ones(len(verdict))
+            back[verdict > 0] = _answers(got, VERDICTS, "back")
+            verdict, back = verdict[where], back[where]
+            kept = verdict % 2 == 1
+            mass = np.where(o.n >= 2, (o.n - DISCOUNT) / total, 0.0)
+            o.p = np.where(kept, mass + back * o.p, o.p)
+            still = (verdict >= 2) & (not last)
+            _close(state, o.row[~still], o.p[~still])
+            o.take(still)
+            state |= {"at": o.at, "p": o.p, "n": o.n}
+        yield from _asks(state, block, depth + 1, buckets)
+
+    return _meet(step)
+
+
+def _states(listed: DataFrame, depth: int) -> DataFrame:
+    """``(ctx, flag, back)`` of the contexts that are states (flag 1) or leave enough to gain (flag 2), from their listed successors."""
+    n, p, total = F.col("n"), F.col("p"), F.col("total")
+    totals = staged(listed.groupBy("ctx").agg(F.sum(n - DISCOUNT).alias("listed"), F.sum("n").alias("heard"), F.count(F.lit(1)).alias("k")),
+                    f"lm-totals-{depth}")
+    whole = totals.agg(F.sum("k")).first()[0] or 0
     # at most 1 / HOT_SHARE contexts
     hot = [r["ctx"] for r in totals.where(F.col("k") > max(HOT_SHARE * whole, SALTS)).select("ctx").collect()]
     salted = F.col("ctx").isin(hot) if hot else F.lit(False)
-
-    def spread(df: DataFrame) -> DataFrame:
-        return df.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-
-    back = (F.col("total") - F.col("listed")) / F.col("total")
-    pairs = staged(asked.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("pair"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
-                   .join(spread(totals.select("ctx", "total", "listed", "heard")), ["ctx", "salt"])
-                   .select("ctx", "salt", "pair", "n", "p", "blocks", "total", back.alias("back"), (F.col("total") - F.col("heard")).alias("alone"),
-                           (F.when(listed, (F.col("n") - DISCOUNT) / F.col("total")).otherwise(0.0)).alias("mass")), f"lm-pairs-{depth}")
-    n, p = F.col("n"), F.col("p")
-    left_out = F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) / F.col("total") + F.col("back") * p
-    gain = F.sum(F.when(listed, n * (F.log(left_out) - F.log(p))).otherwise(0.0)) + F.max("alone") * F.log(F.greatest(F.max("back"), F.lit(1e-12)))
-    states = pairs.groupBy("ctx").agg(
-        (gain > LEAST_GAIN).alias("kept"), F.sum(F.when(listed, -n * F.log(F.col("mass") + F.col("back") * p)).otherwise(0.0)).alias("rest_kept"),
-        F.sum(F.when(listed, -n * F.log(p)).otherwise(0.0)).alias("rest"))
-    states = staged(states.select("ctx", "kept", (F.when(F.col("kept"), F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN).alias("open"))
-                    .where("kept OR open"), f"lm-states-{depth}")
-    drop_staged(asked)
+    spread = totals.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    dealt = listed.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("n", "p"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    back = (total - F.col("listed")) / total
+    left_out = F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) / total + F.col("back") * p
+    found = (dealt.join(spread, ["ctx", "salt"]).withColumn("back", back).groupBy("ctx").agg(
+        (F.sum(n * (F.log(left_out) - F.log(p))) + F.max(total - F.col("heard")) * F.log(F.greatest(F.max("back"), F.lit(1e-12)))).alias("gain"),
+        F.sum(-n * F.log((n - DISCOUNT) / total + F.col("back") * p)).alias("rest_kept"), F.sum(-n * F.log(p)).alias("rest"), F.max("back").alias("back")))
+    kept = F.col("gain") > LEAST_GAIN
+    still = F.when(kept, F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN
+    out = staged(found.select("ctx", (kept.cast("int") + 2 * still.cast("int")).alias("flag"), "back").where("flag > 0"), f"lm-states-{depth}")
     drop_staged(totals)
-    return pairs, pairs.join(spread(states), ["ctx", "salt"]), states
+    return out
 
 
 @dataclass
-class Level:
-    """States of one depth: ``mass`` of listed successors by code, ``back`` the weight of the shorter context by state."""
+class Fitted:
+    """Training tokens, and the number of states of each depth from one."""
 
-    codes: np.ndarray
-    mass: np.ndarray
-    back: np.ndarray
+    states: list[int]
+    tokens: int
 
-    def weights(self, state: np.ndarray, symbol: np.ndarray, width: int) -> np.ndarray:
-        if not len(self.codes):
-            return np.zeros(len(state))
-        code = state.astype(np.int64) * width + symbol
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, self.mass[at], 0.0)
 
+@contextlib.contextmanager
+def _tidy(spark: SparkSession):
+    """Shuffle files go with the query that wrote them; small Arrow batches. The caller's settings come back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "true")
+        with arrow_batches(spark):
+            yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
-@dataclass
-class SuffixTree:
-    base: np.ndarray
-    one: Level
-    pairs: np.ndarray
-    two: Level
-
-    def probability(self, symbol: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Of each symbol after the symbols one and two back; the longest suffix that is a state decides."""
-        width = len(self.base)
-        state = np.maximum(one, 0)
-        p = self.one.weights(state, symbol, width) + self.one.back[state] * self.base[symbol]
-        if len(self.pairs):
-            pair = two.astype(np.int64) * width + one
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            hit = np.flatnonzero((self.pairs[at] == pair) & (two > 0) & (one > 0))
-            at = at[hit]
-            p[hit] = self.two.weights(at, symbol[hit], width) + self.two.back[at] * p[hit]
-        return p
-
-
-def _signed(x: int) -> int:
-    return (x + (1 << 63)) % (1 << 64) - (1 << 63)
 
+class _Written:
+    """Rows of several kinds written once, a folder for each kind."""
 
-@dataclass
-class Fitted:
-    """``counts(pair, n)`` of the words; of each depth from one the successors ``(ctx, pair, n, total, back, mass)`` of its states,
-    and the number of the states."""
+    def __init__(self, rows: DataFrame, name: str):
+        self.spark, self.path = rows.sparkSession, scratch_path(rows.sparkSession, name)
+        rows.write.partitionBy("kind").parquet(self.path)
+        self.all = self.spark.read.schema(_ROWS).parquet(self.path)
+        self.all._staged_path = self.path
 
-    counts: DataFrame
-    levels: list[DataFrame]
-    states: list[int]
-    tokens: int
-    ends: int
-    denominator: float
-    vocab: int = VOCAB
-
-    @cached_property
-    def tree(self) -> SuffixTree:
-        """The first two levels over the ``vocab`` most frequent words, collected to look at; scores do not use it."""
-        top = [(r["pair"], r["n"]) for r in self.counts.where((F.col("n") > 0) & (F.col("pair") != int(END)))
-               .orderBy(F.desc("n"), "pair").limit(self.vocab).collect()]
-        width = len(top) + 2
-        symbol = {h: i + 1 for i, (h, _) in enumerate(top)} | {int(END): width - 1}
-        base = np.array([0.0, *((c + 0.5) / self.denominator for _, c in top), (self.ends + 0.5) / self.denominator])
-        base[0] = max(1 - base.sum(), 0.5 / self.denominator)
-
-        def level(rows, number, size):
-            found, back = [], np.ones(size)
-            for r in rows:
-                if r["ctx"] in number:
-                    back[number[r["ctx"]]] = r["back"]
-                    s = symbol.get(_signed(r["pair"] - r["ctx"] * int(_NEXT)))
-                    if s:
-                        found.append((number[r["ctx"]] * width + s, r["mass"]))
-            found.sort()
-            return Level(np.array([c for c, _ in found], np.int64), np.array([m for _, m in found]), back)
-
-        first, second = ([r for d in self.levels[i:i + 1] for r in d.collect()] for i in (0, 1))
-        contexts, unturn = {r["ctx"] for r in second}, pow(int(_BACK), -1, 1 << 64)
-        codes = {c: symbol[two] * width + i for c in contexts for one, i in symbol.items() if (two := _signed((c - one) * unturn)) in symbol}
-        pairs = sorted((code, c) for c, code in codes.items())
-        return SuffixTree(base, level(first, symbol, width), np.array([code for code, _ in pairs], np.int64),
-                          level(second, {c: k for k, (_, c) in enumerate(pairs)}, len(pairs)))
+    def of(self, *kinds: int) -> DataFrame:
+        return self.all.where(F.col("kind").isin(*kinds))
+
+    def messages(self, *kinds: int) -> DataFrame:
+        return self.of(*kinds).select(*_NAMES[:4])
+
+    def drop(self) -> None:
+        drop_staged(self.all)
 
 
 def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "doc_id", text_col: str = "text",
-                   vocab: int = VOCAB, depth: int | None = None, idle: int | None = IDLE) -> tuple[Fitted, DataFrame]:
-    """The tree learned from the rows ``learn`` marks, and all rows with the probabilities of their words by it.
+                   depth: int | None = None) -> tuple[Fitted, DataFrame]:
+    """The tree learned from the rows ``learn`` marks, and all rows scored by it, in blocks.
 
-    ``depth`` is the most words of a context, None for no bound; ``idle`` the levels without a state after which no longer
-    context is tested, None to go on until no place is open."""
+    ``depth`` is the most words of a context, None for no bound."""
     spark = docs.sparkSession
-    small_batches(spark)
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
-                       F.coalesce(learn, F.lit(False)).alias("learn"), held.alias("held_out"))
-    state = staged(_blocks(rows), "lm-blocks")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-
-    def ask(at: int) -> DataFrame:
-        return staged(_questions(state, at).groupBy("ctx", "pair").agg(
-            F.sum("n").alias("n"), F.max("p").alias("p"), F.collect_list("block").alias("blocks")), f"lm-asked-{at}")
-
-    def answer(at: int, answers: DataFrame) -> DataFrame:
-        after = staged(_answered(state, answers, at, 0.75 / denominator), f"lm-state-{at}")
-        drop_staged(state)
-        _clean(spark)
-        return after
-
-    counts = ask(0)
-    got = counts.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v"),
-                     F.sum(F.when(F.col("pair") == int(END), F.col("n"))).alias("ends")).first()
-    tokens, ends = got["n"] or 0, got["ends"] or 0
-    denominator = tokens + 0.5 * (got["v"] + 1)
-    state = answer(0, counts.select(F.explode("blocks").alias("block"), "pair", ((F.col("n") + 0.5) / denominator).alias("p"), F.lit(True).alias("open")))
-    levels, states = [], []
-    while depth is None or len(levels) < depth:
-        at = len(levels) + 1
-        asked = ask(at)
-        _clean(spark)
-        grown = _grow(asked, at)
-        _clean(spark)
-        if not grown:
-            drop_staged(asked)
-            break
-        pairs, telling, contexts = grown
-        said = F.when(F.col("kept"), F.col("mass") + F.col("back") * F.col("p")).otherwise(F.col("p"))
-        state = answer(at, telling.select(F.explode("blocks").alias("block"), "pair", said.alias("p"), "open"))
-        levels.append(staged(telling.where("kept AND n >= 2").select("ctx", "pair", "n", "total", "back", "mass"), f"lm-level-{at}"))
-        states.append(contexts.where("kept").count())
-        more = bool(contexts.where("open").take(1))
-        drop_staged(pairs)
-        drop_staged(contexts)
-        if not more or (idle and at >= idle and not any(states[-idle:])):
-            break
-    return Fitted(counts, levels, states, tokens, ends, denominator, vocab), state
+                       F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held, F.lit(False)).alias("held_out"))
+    least = shuffle_partitions(spark)
+    with _tidy(spark):
+        now, buckets = _Written(_blocks(rows, least), "lm-blocks"), least
+
+        def answered(least_of: dict[int, int]) -> DataFrame:
+            asked = now.messages(PAIRS, CONTEXTS)
+            return staged(asked.groupBy("bucket").applyInArrow(_added_up(least_of), _MESSAGE), "lm-answers")
+
+        def met(step, answers: DataFrame, name: str) -> _Written:
+            mine = now.messages(BLOCK).groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
+            after = _Written(mine.applyInArrow(step, _ROWS), name)
+            drop_staged(answers)
+            now.drop()
+            return after
+
+        answers = answered({PAIRS: 0})
+        sums = [unpacked(bytes(r["payload"]))["sums"] for r in answers.where("block < 0").select("payload").collect()]
+        tokens, seen, _ = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0, 0)
+        # a token is asked for at most once a level as a context and once as part of a pair
+        buckets = max(least, -(-2 * tokens // BUCKET_KEYS))
+        now = met(_first_level(tokens + 0.5 * (seen + 1), buckets), answers, "lm-level-0")
+        states: list[int] = []
+        while (depth is None or len(states) < depth) and now.messages(CONTEXTS).take(1):
+            at = len(states) + 1
+            now = met(_counted(at, buckets), answered({PAIRS: 2, CONTEXTS: LEAST_COUNT}), f"lm-counted-{at}")
+            contexts = _states(now.of(SUCCESSOR).select("ctx", "n", "p", "total"), at)
+            asked = now.messages(VERDICTS)
+            verdicts = staged(asked.groupBy("bucket").cogroup(contexts.withColumn("bucket", _bucket(F.col("ctx"), buckets)).groupBy("bucket"))
+                              .applyInArrow(_judged, _MESSAGE), "lm-verdicts")
+            states.append(contexts.where("flag % 2 = 1").count())
+            drop_staged(contexts)
+            now = met(_decided(at, buckets, len(states) == depth), verdicts, f"lm-level-{at}")
+        encoded = staged(now.messages(BLOCK).mapInArrow(_scored, _SCORED), "lm-scores")
+        now.drop()
+    while states and not states[-1]:
+        states.pop()
+    return Fitted(states, tokens), encoded
+
+
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for payload in batch.column("payload").to_pylist():
+            s = unpacked(payload)
+            _close(s, np.searchsorted(np.cumsum(s["size"]) - s["size"], s["at"], side="right") - 1, s["p"])
+            yield pa.record_batch([pa.array(s["doc"], pa.int64()), pa.array(s["held"], pa.bool_()), pa.array(s["size"], pa.int64()),
+                                   pa.array(s["known"]), pa.array(s["base"]), pa.array(s["closed"])], names=[c.split()[0] for c in _SCORED.split(", ")])
 
 
 def scores(fitted: Fitted, encoded: DataFrame) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, one row per text."""
-    rest = F.aggregate("p", F.lit(0.0), lambda a, x: a + F.log10(x))
     return encoded.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(fitted.tokens).cast("long").alias("train_tokens"),
-                          F.col("base").alias("base_score"), (F.col("closed") + rest).alias("score"))
+                          "base_score", "score")

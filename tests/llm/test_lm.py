@@ -49,56 +49,34 @@ def test_query_base_and_gain(spark):
     assert sum(r["score"] for r in train) > sum(r["base_score"] for r in train)
 
 
-def test_rare_words_and_hard_rows(spark):
+def test_hard_rows(spark):
     from aerolake.llm.common import held_out, learns_from
 
     i = F.col("doc_id")
-    for vocab in (3, 50_000):
-        for docs in (hard_docs(spark), hard_docs(spark, True)):
-            fitted = M.fit_and_encode(docs, learns_from(i, 5, 1), held_out(i, 5, 1), vocab=vocab)
-            got = M.scores(*fitted).collect()
-            close([tuple(r[n] for n in NAMES) for r in got], plain_base([(r[0], r[1]) for r in HARD]))
-            assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
+    for docs in (hard_docs(spark), hard_docs(spark, True)):
+        fitted = M.fit_and_encode(docs, learns_from(i, 5, 1), held_out(i, 5, 1))
+        got = M.scores(*fitted).collect()
+        close([tuple(r[n] for n in NAMES) for r in got], plain_base([(r[0], r[1]) for r in HARD]))
+        assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in got)
     none = M.scores(*M.fit_and_encode(no_docs(spark), F.lit(True), F.lit(False)))
     assert none.count() == 0
     unseen = M.scores(*M.fit_and_encode(hard_docs(spark), F.lit(False), F.lit(False))).collect()
     assert len(unseen) == len(HARD) and all(r["train_tokens"] == r["n_known"] == 0 for r in unseen)
 
 
-def test_probabilities_sum_to_one_and_contexts_help(spark):
-    """Sentences of a second-order source: the tree finds pair contexts, and every state's distribution is proper."""
-    rng = np.random.default_rng(8)
-    follow = {(a, b): (a * 3 + b * 5) % 7 for a in range(7) for b in range(7)}
-    texts = []
-    for d in range(300):
-        s = [int(rng.integers(7)), int(rng.integers(7))]
-        for _ in range(60):
-            s.append(follow[s[-2], s[-1]] if rng.random() < 0.8 else int(rng.integers(7)))
-        texts.append((d, " ".join(f"w{x}" for x in s)))
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    fitted, encoded = M.fit_and_encode(docs, F.col("doc_id") < 250, F.col("doc_id") >= 250)
-    tree = fitted.tree
-    width = len(tree.base)
-    assert len(tree.pairs) >= 40
-    every = np.arange(width)
-    assert tree.base.sum() == pytest.approx(1)
-    for one in range(width):
-        for two in (1, 4, 7):
-            p = tree.probability(every, np.full(width, one), np.full(width, two))
-            assert p.sum() == pytest.approx(1) and (p > 0).all()
-    got = M.scores(fitted, encoded).where("held_out").collect()
-    assert sum(r["score"] for r in got) > 0.65 * sum(r["base_score"] for r in got)
-
-
-def test_states_are_the_longest_suffixes():
-    width = 4
-    one = M.Level(np.array([1 * width + 2]), np.array([0.5]), np.array([1.0, 0.5, 1.0, 1.0]))
-    two = M.Level(np.array([0 * width + 3]), np.array([0.6]), np.array([0.4]))
-    tree = M.SuffixTree(np.array([0.1, 0.2, 0.3, 0.4]), one, np.array([2 * width + 1]), two)
-    p = lambda s, a, b: tree.probability(*(np.array([x]) for x in (s, a, b)))[0]
-    assert p(2, 1, -1) == pytest.approx(0.5 + 0.5 * 0.3)
-    assert p(3, 1, 2) == pytest.approx(0.6 + 0.4 * 0.5 * 0.4)
-    assert p(2, 2, 1) == pytest.approx(0.3) and p(2, -1, -1) == pytest.approx(0.3)
+def test_settings_come_back_and_scratch_goes(spark):
+    import pathlib
+
+    from aerolake.session import checkpoint_root
+
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(k) for k in keys]
+    root = pathlib.Path(checkpoint_root(spark).replace("file:", "")) / "aerolake-scratch"
+    there = {p.name for p in root.iterdir()} if root.exists() else set()
+    docs = spark.createDataFrame([(d, "a b c d " * 20) for d in range(40)], "doc_id long, text string")
+    M.scores(*M.fit_and_encode(docs, F.lit(True), F.lit(False))).collect()
+    assert [spark.conf.get(k) for k in keys] == before
+    assert all(n.startswith("lm-scores") for n in {p.name for p in root.iterdir()} - there)
 
 
 def plain_scores(rows, deepest):
@@ -132,8 +110,8 @@ def plain_scores(rows, deepest):
     return states, [sum(map(math.log10, q)) for q in p]
 
 
-def test_words_beyond_any_rank_are_contexts_and_successors(spark):
-    """The frequent words do not matter: scores are those of the definition whatever ``vocab`` is."""
+def test_words_beyond_any_rank_are_contexts_and_successors(spark, monkeypatch):
+    """Rare words are contexts and successors like frequent ones: scores are those of the definition."""
     rng = np.random.default_rng(5)
     rows = []
     for d in range(150):
@@ -143,8 +121,10 @@ def test_words_beyond_any_rank_are_contexts_and_successors(spark):
             words += [*["the"] * int(rng.integers(1, 4)), f"rare{k}", f"next{k}" if rng.random() < 0.9 else "other"]
         rows.append((d, words))
     docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
-    for vocab in (2, 50_000):
-        fitted, encoded = M.fit_and_encode(docs, F.col("doc_id") < 120, F.col("doc_id") >= 120, vocab=vocab, depth=2)
+    for tokens, keys in ((1 << 21, 1 << 21), (2000, 6000)):  # also several blocks and buckets
+        monkeypatch.setattr(M, "BLOCK_TOKENS", tokens)
+        monkeypatch.setattr(M, "BUCKET_KEYS", keys)
+        fitted, encoded = M.fit_and_encode(docs.repartition(3), F.col("doc_id") < 120, F.col("doc_id") >= 120, depth=2)
         got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
         states, want = plain_scores([(d < 120, w) for d, w in rows], 2)
         assert fitted.states == states and states[0] >= 12
@@ -163,10 +143,41 @@ def test_contexts_grow_as_long_as_they_tell(spark):
         rows.append((d, words))
     docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
     learn, held = F.col("doc_id") < 200, F.col("doc_id") >= 200
-    fitted, encoded = M.fit_and_encode(docs, learn, held, idle=None)
+    fitted, encoded = M.fit_and_encode(docs, learn, held)
     states, want = plain_scores([(d < 200, w) for d, w in rows], len(fitted.states))
     assert fitted.states == states and len(states) >= 4 and states[3] >= 40
     got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
     assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
     two = M.scores(*M.fit_and_encode(docs, learn, held, depth=2)).where("held_out").agg(F.sum("score")).first()[0]
     assert sum(got[d] for d in range(200, 260)) > 0.9 * two
+
+
+def test_contexts_behind_levels_without_a_state(spark):
+    """A word set by the three before it and by no one or two of them: the states of three words are found all the same."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for d in range(240):
+        words = []
+        for _ in range(14):
+            a, b, c = rng.integers(2, size=3)
+            words += [f"a{a}", f"b{b}", f"c{c}", f"z{a ^ b ^ c}"]
+        rows.append((d, words))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    fitted, encoded = M.fit_and_encode(docs, F.col("doc_id") < 200, F.lit(False))
+    states, want = plain_scores([(d < 200, w) for d, w in rows], len(fitted.states))
+    assert fitted.states == states and len(states) >= 3 and states[2] >= 8
+    got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
+    assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_copies_of_a_text_are_learned_deep(spark):
+    """A group of copies, with other texts: scores by the definition at every depth."""
+    rng = np.random.default_rng(17)
+    copy = [f"w{x}" for x in rng.integers(400, size=60)]
+    rows = [(d, copy if d % 3 == 0 else [f"w{x}" for x in rng.integers(400, size=40)]) for d in range(90)]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    fitted, encoded = M.fit_and_encode(docs, F.col("doc_id") < 75, F.lit(False))
+    states, want = plain_scores([(d < 75, w) for d, w in rows], len(fitted.states))
+    assert fitted.states == states
+    got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
+    assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
