@@ -6,7 +6,8 @@ by level. Documents are dealt into blocks of about ``BLOCK_TOKENS`` words, each
 
 Count first, ask later: a block sends the sorted hashes of its contexts and pairs with their training counts to the buckets of the hash
 range they lie in, as one compressed message a bucket; a bucket adds them up and answers each message with the totals in its
-order. Pairs are only counted at places whose context can still be frequent and whose shorter pair is no rarity. The
+order. Pairs are only counted at places whose context can still be frequent and whose shorter pair is no rarity; contexts of one
+word have the counts of their words, those of two words the counts of the pairs before. The
 successors of frequent contexts that turn out to be listed are then written once each, as a table ``(ctx, n, p, total)``, and decide
 which contexts are states; blocks ask only for the verdict on contexts they hold.
 
@@ -17,8 +18,9 @@ context, down to the smoothed word frequencies. A word is scored by the longest
 
 A place is open for a longer context as long as its context is frequent enough and leaves more than
 ``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are added until
-no place is open. No number of words, contexts, successors or levels is fixed; nothing that grows with them is
-collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
+no place is open, or ``idle`` levels in turn have no state (None: never; a text that many documents share and go on from in their
+own ways keeps its end open for as many levels as it has words). No number of words, contexts or successors is fixed; nothing that
+grows with them is collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
 contexts with many successors are salted in the join of the table.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
@@ -41,12 +43,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import arrow_batches, drop_staged, quoted, shuffle_partitions, staged
-from aerolake.session import scratch_path
+from aerolake.session import delete_folder, scratch_path
 
 #: Count of a context before it is considered, discount, and the gain in nats a state must bring.
 LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
 #: Words of a block, hashes of a bucket, bytes hashed at once.
-BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 21, 1 << 21, 1 << 20
+BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 20, 1 << 21, 1 << 20
+#: Levels without a state, one after the other, that end the growth.
+IDLE = 2
 #: A context with this share of a level's successors is dealt to this many places in the join.
 HOT_SHARE, SALTS = 1 / 400, 64
 
@@ -215,16 +219,52 @@ def _judged(asked: pa.Table, states: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, _TYPES)], names=_NAMES[:4])
 
 
+def _planes(a: np.ndarray) -> np.ndarray:
+    """The bytes of numbers by their place, which packs better."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T)
+
+
+def _unplanes(a: np.ndarray, dtype) -> np.ndarray:
+    return np.ascontiguousarray(a.T).view(dtype).ravel()
+
+
+def _places(state: dict) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(state["open"], count=int(state["size"].sum())))
+
+
+def _keep(state: dict, at: np.ndarray, p: np.ndarray | None, n: np.ndarray | None, total: np.ndarray | None) -> None:
+    """The open places of the state; without ``p`` (before the first states) what they hold follows from the words' counts."""
+    mask = np.zeros(int(state["size"].sum()), bool)
+    mask[at] = True
+    state |= {"open": np.packbits(mask), "places": len(at), "p": None if p is None else _planes(p),
+              "n": None if n is None else n.astype(np.int32), "total": None if total is None else total.astype(np.int32)}
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the first place of each, and the number of each place's key."""
+    known, where = np.unique(keys, return_inverse=True)
+    first = np.empty(len(known), np.int64)
+    first[where[::-1]] = np.arange(len(keys))[::-1]
+    return known, first, where
+
+
 class _Open:
-    """The open places of a block that have ``depth`` words before them, with their contexts and pairs."""
+    """The open places of a block that have ``depth`` words before them, with their contexts and pairs, probability by the shorter
+    context, count of the shorter pair, and the count of the context where it is known."""
 
     def __init__(self, state: dict, depth: int):
-        size = state["size"]
+        size, at = state["size"], _places(state)
         starts = np.cumsum(size) - size
-        row = np.searchsorted(starts, state["at"], side="right") - 1
-        far = state["at"] - starts[row] >= depth
-        self.near = (row[~far], state["p"][~far])
-        self.at, self.p, self.n, self.row = state["at"][far], state["p"][far], state["n"][far], row[far]
+        row = np.searchsorted(starts, at, side="right") - 1
+        far = at - starts[row] >= depth
+        count = state["count"] if state["p"] is None or state["n"] is None else None
+        c = None if count is None else count[state["ids"][at]]
+        p = (c + 0.5) / state["denominator"] if state["p"] is None else _unplanes(state["p"], np.float64)
+        n = c if state["n"] is None else state["n"].astype(np.int64)
+        total = None if state["total"] is None else state["total"].astype(np.int64)
+        self.near = (row[~far], p[~far])
+        self.at, self.p, self.n, self.row = at[far], p[far], n[far], row[far]
+        self.total = total[far] if total is not None else count[state["ids"][self.at - 1]] if depth == 1 else None
         word = lambda back: state["words"][state["ids"][self.at - back]]
         self.ctx, factor = np.zeros(len(self.at), np.uint64), np.uint64(1)
         with np.errstate(over="ignore"):
@@ -234,8 +274,9 @@ class _Open:
             self.pair = self.ctx * _NEXT + word(0)
 
     def take(self, keep: np.ndarray) -> None:
-        for name in ("at", "p", "n", "row", "ctx", "pair"):
-            setattr(self, name, getattr(self, name)[keep])
+        for name in ("at", "p", "n", "row", "ctx", "pair", "total"):
+            if getattr(self, name) is not None:
+                setattr(self, name, getattr(self, name)[keep])
 
 
 def _close(state: dict, row: np.ndarray, p: np.ndarray) -> None:
@@ -244,15 +285,18 @@ def _close(state: dict, row: np.ndarray, p: np.ndarray) -> None:
 
 def _asks(state: dict, block: int, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The block, and its messages about the contexts and pairs of a level."""
-    if not len(state["at"]):
-        for name in ("words", "ids"):
+    if not state["places"]:
+        for name in ("words", "ids", "count"):
             state.pop(name, None)  # nothing is open
+    elif depth > 1:
+        state.pop("count", None)
     yield _rows(BLOCK, block, payload=packed(state))
-    if len(state["at"]):
+    if state["places"]:
         o = _Open(state, depth)
         learn = state["learn"][o.row]
-        keys, where = np.unique(o.ctx, return_inverse=True)
-        yield from _messages(CONTEXTS, block, keys, np.bincount(where, learn, len(keys)), buckets)
+        if o.total is None:
+            keys, where = np.unique(o.ctx, return_inverse=True)
+            yield from _messages(CONTEXTS, block, keys, np.bincount(where, learn, len(keys)), buckets)
         some = o.n >= 2  # a rarer shorter pair cannot be listed here
         keys, where = np.unique(o.pair[some], return_inverse=True)
         yield from _messages(PAIRS, block, keys, np.bincount(where, learn[some], len(keys)), buckets)
@@ -285,13 +329,13 @@ def _first_level(denominator: float, buckets: int):
         count = (_answers(got, PAIRS, "answer") // 2).astype(np.int64)
         size, c = state["size"], count[state["ids"]]
         row, p = np.repeat(np.arange(len(size)), size), (c + 0.5) / denominator
-        state |= {"base": np.bincount(row, np.log10(p), len(size)), "known": np.bincount(row, c > 0, len(size)).astype(np.int64), "closed": np.zeros(len(size))}
+        state |= {"base": np.bincount(row, np.log10(p), len(size)), "known": np.bincount(row, c > 0, len(size)).astype(np.int64),
+                  "closed": np.zeros(len(size)), "count": count, "denominator": denominator}
         before = np.concatenate([[0], c[:-1]])
         before[np.cumsum(size) - size] = 0
         far = before >= LEAST_COUNT
         _close(state, row[~far], p[~far])
-        at = np.flatnonzero(far)
-        state |= {"at": at, "p": p[at], "n": c[at]}
+        _keep(state, np.flatnonzero(far), None, None, None)
         yield from _asks(state, block, 1, buckets)
 
     return _meet(step)
@@ -302,17 +346,17 @@ def _counted(depth: int, buckets: int):
     them, and the verdict on the other contexts is asked for."""
 
     def step(state, block, got):
-        if len(state["at"]):
+        if state["places"]:
             o = _Open(state, depth)
             _close(state, *o.near)
-            total = np.zeros(0, np.int64)
-            if len(o.at):
+            if o.total is None:
                 _, where = np.unique(o.ctx, return_inverse=True)
-                total = (_answers(got, CONTEXTS, "answer").astype(np.int64) // 2)[where]
+                o.total = (_answers(got, CONTEXTS, "answer").astype(np.int64) // 2)[where]
+            total = o.total
             n, mine = np.zeros(len(o.at), np.int64), np.zeros(0, int)
             some = np.flatnonzero(o.n >= 2)
             if len(some):
-                _, first, where = np.unique(o.pair[some], return_index=True, return_inverse=True)
+                _, first, where = _distinct(o.pair[some])
                 said = _answers(got, PAIRS, "answer").astype(np.int64)
                 n[some] = (said // 2)[where]
                 mine = some[first[(said % 2 == 1) & (said > 1)]]
@@ -325,7 +369,7 @@ def _counted(depth: int, buckets: int):
             _close(state, o.row[rare], o.p[rare])
             o.n = n
             o.take(~rare)
-            state |= {"at": o.at, "p": o.p, "n": o.n, "total": total[~rare]}
+            _keep(state, o.at, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total)
             yield from _messages(VERDICTS, block, np.unique(o.ctx), None, buckets)
         yield _rows(BLOCK, block, payload=packed(state))
 
@@ -336,20 +380,27 @@ def _decided(depth: int, buckets: int, last: bool):
     """Verdicts arrive: probabilities by the states, and the messages of the next level from the places still open."""
 
     def step(state, block, got):
-        if len(state["at"]):
-            o, total = _Open(state, depth), state.pop("total")
+        if state["places"]:
+            o = _Open(state, depth)
             _, where = np.unique(o.ctx, return_inverse=True)
             verdict = _answers(got, VERDICTS, "verdict").astype(int)
             back = np.ones(len(verdict))
             back[verdict > 0] = _answers(got, VERDICTS, "back")
             verdict, back = verdict[where], back[where]
             kept = verdict % 2 == 1
-            mass = np.where(o.n >= 2, (o.n - DISCOUNT) / total, 0.0)
+            mass = np.where(o.n >= 2, (o.n - DISCOUNT) / o.total, 0.0)
             o.p = np.where(kept, mass + back * o.p, o.p)
-            still = (verdict >= 2) & (not last)
+            still, longer = (verdict >= 2) & (not last), None
+            if depth == 1:
+                # a context of two words has the count of that pair, and every pair that can be frequent was asked for
+                pairs = np.zeros(int(state["size"].sum()), np.int64)
+                pairs[o.at] = o.n
+                longer = pairs[o.at - 1]
+                still &= longer >= LEAST_COUNT
+                longer = longer[still]
             _close(state, o.row[~still], o.p[~still])
             o.take(still)
-            state |= {"at": o.at, "p": o.p, "n": o.n}
+            _keep(state, o.at, o.p, o.n, longer)
         yield from _asks(state, block, depth + 1, buckets)
 
     return _meet(step)
@@ -405,24 +456,28 @@ class _Written:
     def __init__(self, rows: DataFrame, name: str):
         self.spark, self.path = rows.sparkSession, scratch_path(rows.sparkSession, name)
         rows.write.partitionBy("kind").parquet(self.path)
-        self.all = self.spark.read.schema(_ROWS).parquet(self.path)
-        self.all._staged_path = self.path
 
     def of(self, *kinds: int) -> DataFrame:
-        return self.all.where(F.col("kind").isin(*kinds))
+        """Rows of some kinds that are there."""
+        return self.spark.read.schema(_ROWS).parquet(self.path).where(F.col("kind").isin(*kinds))
 
     def messages(self, *kinds: int) -> DataFrame:
         return self.of(*kinds).select(*_NAMES[:4])
 
-    def drop(self) -> None:
-        drop_staged(self.all)
+    def drop(self, *kinds: int) -> None:
+        """Delete what is read no more: some kinds, or all."""
+        for kind in kinds:
+            delete_folder(self.spark, f"{self.path}/kind={kind}")
+        if not kinds:
+            delete_folder(self.spark, self.path)
 
 
 def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "doc_id", text_col: str = "text",
-                   depth: int | None = None) -> tuple[Fitted, DataFrame]:
+                   depth: int | None = None, idle: int | None = IDLE) -> tuple[Fitted, DataFrame]:
     """The tree learned from the rows ``learn`` marks, and all rows scored by it, in blocks.
 
-    ``depth`` is the most words of a context, None for no bound."""
+    ``depth`` is the most words of a context, None for no bound; ``idle`` the levels without a state after which no longer
+    context is tested, None to go on until no place is open."""
     spark = docs.sparkSession
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held, F.lit(False)).alias("held_out"))
@@ -432,7 +487,9 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
 
         def answered(least_of: dict[int, int]) -> DataFrame:
             asked = now.messages(PAIRS, CONTEXTS)
-            return staged(asked.groupBy("bucket").applyInArrow(_added_up(least_of), _MESSAGE), "lm-answers")
+            answers = staged(asked.groupBy("bucket").applyInArrow(_added_up(least_of), _MESSAGE), "lm-answers")
+            now.drop(PAIRS, CONTEXTS)
+            return answers
 
         def met(step, answers: DataFrame, name: str) -> _Written:
             mine = now.messages(BLOCK).groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
@@ -448,16 +505,20 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
         buckets = max(least, -(-2 * tokens // BUCKET_KEYS))
         now = met(_first_level(tokens + 0.5 * (seen + 1), buckets), answers, "lm-level-0")
         states: list[int] = []
-        while (depth is None or len(states) < depth) and now.messages(CONTEXTS).take(1):
+        while (depth is None or len(states) < depth) and now.messages(PAIRS, CONTEXTS).take(1):
             at = len(states) + 1
             now = met(_counted(at, buckets), answered({PAIRS: 2, CONTEXTS: LEAST_COUNT}), f"lm-counted-{at}")
             contexts = _states(now.of(SUCCESSOR).select("ctx", "n", "p", "total"), at)
             asked = now.messages(VERDICTS)
             verdicts = staged(asked.groupBy("bucket").cogroup(contexts.withColumn("bucket", _bucket(F.col("ctx"), buckets)).groupBy("bucket"))
                               .applyInArrow(_judged, _MESSAGE), "lm-verdicts")
+            now.drop(VERDICTS, SUCCESSOR)
             states.append(contexts.where("flag % 2 = 1").count())
             drop_staged(contexts)
-            now = met(_decided(at, buckets, len(states) == depth), verdicts, f"lm-level-{at}")
+            last = at == depth or bool(idle) and at >= idle and not any(states[-idle:])
+            now = met(_decided(at, buckets, last), verdicts, f"lm-level-{at}")
+            if last:
+                break
         encoded = staged(now.messages(BLOCK).mapInArrow(_scored, _SCORED), "lm-scores")
         now.drop()
     while states and not states[-1]:
@@ -472,7 +533,9 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for payload in batch.column("payload").to_pylist():
             s = unpacked(payload)
-            _close(s, np.searchsorted(np.cumsum(s["size"]) - s["size"], s["at"], side="right") - 1, s["p"])
+            if s["places"]:  # open where the depth is bounded
+                o = _Open(s, 0)
+                _close(s, o.row, o.p)
             yield pa.record_batch([pa.array(s["doc"], pa.int64()), pa.array(s["held"], pa.bool_()), pa.array(s["size"], pa.int64()),
                                    pa.array(s["known"]), pa.array(s["base"]), pa.array(s["closed"])], names=[c.split()[0] for c in _SCORED.split(", ")])
 
