@@ -16,11 +16,12 @@ diverges from that of its longest shorter context: the test is its leave-one-out
 the whole training text. Next-word distributions are smoothed by absolute discounting towards the shorter
 context, down to the smoothed word frequencies. A word is scored by the longest suffix of its history that is a state.
 
-A place is open for a longer context as long as its context is frequent enough and leaves more than
-``LEAST_GAIN`` nats to gain in all, since no longer context can gain more than that. Levels are added until
-no place is open, or ``idle`` levels in turn have no state (None: never; a text that many documents share and go on from in their
-own ways keeps its end open for as many levels as it has words). No number of words, contexts or successors is fixed; nothing that
-grows with them is collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
+A place is open for a longer context as long as its context is frequent enough and a longer one may still gain
+``LEAST_GAIN`` nats: a successor seen ``n`` times cannot gain more than in a context that it follows every time. A place
+closes too once its last ``idle`` contexts in turn, each a word longer, were no states (None: never; a text that many documents share
+and go on from in their own ways keeps its end open for as many levels as it has words). That depends on the place's own contexts
+alone, never on other texts. Levels are added until no place is open. A block keeps the words of texts that have open places, up to
+the last one. No number of words, contexts or successors is fixed; nothing that grows with them is collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
 contexts with many successors are salted in the join of the table.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
@@ -49,7 +50,7 @@ from aerolake.session import delete_folder, scratch_path
 LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
 #: Words of a block, hashes of a bucket, bytes hashed at once.
 BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 20, 1 << 21, 1 << 20
-#: Levels without a state, one after the other, that end the growth.
+#: Contexts of a place without a state, one after the other, that close it.
 IDLE = 2
 #: A context with this share of a level's successors is dealt to this many places in the join.
 HOT_SHARE, SALTS = 1 / 400, 64
@@ -229,17 +230,48 @@ def _unplanes(a: np.ndarray, dtype) -> np.ndarray:
 
 
 def _places(state: dict) -> np.ndarray:
-    return np.flatnonzero(np.unpackbits(state["open"], count=int(state["size"].sum())))
+    return np.flatnonzero(np.unpackbits(state["open"], count=len(state["ids"])))
 
 
-def _keep(state: dict, at: np.ndarray, p: np.ndarray | None, n: np.ndarray | None, total: np.ndarray | None) -> None:
-    """The open places of the state; without ``p`` (before the first states) what they hold follows from the words' counts."""
-    mask = np.zeros(int(state["size"].sum()), bool)
+def _keep(state: dict, at: np.ndarray, p: np.ndarray | None, n: np.ndarray | None, total: np.ndarray | None,
+          without: np.ndarray | None = None) -> None:
+    """The open places of the state; without ``p`` (before the first states) what they hold follows from the words' counts.
+    ``without``: how many contexts in turn were no states (None: none yet)."""
+    mask = np.zeros(len(state["ids"]), bool)
     mask[at] = True
-    state |= {"open": np.packbits(mask), "places": len(at), "p": None if p is None else _planes(p),
+    state |= {"open": np.packbits(mask), "places": len(at), "p": None if p is None else _planes(p), "without": without,
               "n": None if n is None else n.astype(np.int32), "total": None if total is None else total.astype(np.int32)}
 
 
+def _trim(state: dict) -> None:
+    """Forget the words after a text's last open place, and the dictionary's words that are left without a place."""
+    if not state["places"]:
+        for name in ("words", "ids", "rows", "long", "open"):
+            state.pop(name, None)
+        return
+    at, long = _places(state), state["long"]
+    starts = np.cumsum(long) - long
+    text = np.searchsorted(starts, at, side="right") - 1
+    need = np.zeros(len(long), np.int64)
+    need[text] = at - starts[text] + 1  # places ascend: the last one stays
+    if 4 * need.sum() > 3 * len(state["ids"]):
+        return
+    mine = np.arange(len(state["ids"])) - np.repeat(starts, long) < np.repeat(need, long)
+    is_open = np.zeros(len(mine), bool)
+    is_open[at] = True
+    ids = state["ids"][mine]
+    used = np.zeros(len(state["words"]), bool)
+    used[ids] = True
+    state |= {"words": state["words"][used], "ids": (np.cumsum(used) - 1).astype(np.int32)[ids], "open": np.packbits(is_open[mine]),
+              "rows": state["rows"][need > 0], "long": need[need > 0]}
+
+
+def _sorted_once(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys, by a sort: ``np.unique`` alone hashes, which takes ten times as long here."""
+    keys = np.sort(keys)
+    return keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))] if len(keys) else keys
+
+
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, the first place of each, and the number of each place's key."""
     known, where = np.unique(keys, return_inverse=True)
@@ -253,10 +285,10 @@ class _Open:
     context, count of the shorter pair, and the count of the context where it is known."""
 
     def __init__(self, state: dict, depth: int):
-        size, at = state["size"], _places(state)
-        starts = np.cumsum(size) - size
-        row = np.searchsorted(starts, at, side="right") - 1
-        far = at - starts[row] >= depth
+        long, at = state["long"], _places(state)
+        starts = np.cumsum(long) - long
+        text = np.searchsorted(starts, at, side="right") - 1
+        far, row = at - starts[text] >= depth, state["rows"][text]
         count = state["count"] if state["p"] is None or state["n"] is None else None
         c = None if count is None else count[state["ids"][at]]
         p = (c + 0.5) / state["denominator"] if state["p"] is None else _unplanes(state["p"], np.float64)
@@ -264,6 +296,7 @@ class _Open:
         total = None if state["total"] is None else state["total"].astype(np.int64)
         self.near = (row[~far], p[~far])
         self.at, self.p, self.n, self.row = at[far], p[far], n[far], row[far]
+        self.without = np.zeros(len(self.at), np.int8) if state["without"] is None else state["without"][far]
         self.total = total[far] if total is not None else count[state["ids"][self.at - 1]] if depth == 1 else None
         word = lambda back: state["words"][state["ids"][self.at - back]]
         self.ctx, factor = np.zeros(len(self.at), np.uint64), np.uint64(1)
@@ -274,7 +307,7 @@ class _Open:
             self.pair = self.ctx * _NEXT + word(0)
 
     def take(self, keep: np.ndarray) -> None:
-        for name in ("at", "p", "n", "row", "ctx", "pair", "total"):
+        for name in ("at", "p", "n", "row", "ctx", "pair", "total", "without"):
             if getattr(self, name) is not None:
                 setattr(self, name, getattr(self, name)[keep])
 
@@ -285,11 +318,9 @@ def _close(state: dict, row: np.ndarray, p: np.ndarray) -> None:
 
 def _asks(state: dict, block: int, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The block, and its messages about the contexts and pairs of a level."""
-    if not state["places"]:
-        for name in ("words", "ids", "count"):
-            state.pop(name, None)  # nothing is open
-    elif depth > 1:
+    if depth > 1:
         state.pop("count", None)
+        _trim(state)
     yield _rows(BLOCK, block, payload=packed(state))
     if state["places"]:
         o = _Open(state, depth)
@@ -330,7 +361,7 @@ def _first_level(denominator: float, buckets: int):
         size, c = state["size"], count[state["ids"]]
         row, p = np.repeat(np.arange(len(size)), size), (c + 0.5) / denominator
         state |= {"base": np.bincount(row, np.log10(p), len(size)), "known": np.bincount(row, c > 0, len(size)).astype(np.int64),
-                  "closed": np.zeros(len(size)), "count": count, "denominator": denominator}
+                  "closed": np.zeros(len(size)), "count": count, "denominator": denominator, "rows": np.arange(len(size)), "long": size}
         before = np.concatenate([[0], c[:-1]])
         before[np.cumsum(size) - size] = 0
         far = before >= LEAST_COUNT
@@ -369,14 +400,16 @@ def _counted(depth: int, buckets: int):
             _close(state, o.row[rare], o.p[rare])
             o.n = n
             o.take(~rare)
-            _keep(state, o.at, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total)
-            yield from _messages(VERDICTS, block, np.unique(o.ctx), None, buckets)
+            _keep(state, o.at, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total, o.without)
+            yield from _messages(VERDICTS, block, _sorted_once(o.ctx), None, buckets)
+            if depth > 1:
+                _trim(state)
         yield _rows(BLOCK, block, payload=packed(state))
 
     return _meet(step)
 
 
-def _decided(depth: int, buckets: int, last: bool):
+def _decided(depth: int, buckets: int, last: bool, idle: int | None):
     """Verdicts arrive: probabilities by the states, and the messages of the next level from the places still open."""
 
     def step(state, block, got):
@@ -390,17 +423,20 @@ def _decided(depth: int, buckets: int, last: bool):
             kept = verdict % 2 == 1
             mass = np.where(o.n >= 2, (o.n - DISCOUNT) / o.total, 0.0)
             o.p = np.where(kept, mass + back * o.p, o.p)
+            o.without = np.where(kept, 0, np.minimum(o.without, 100) + 1).astype(np.int8)
             still, longer = (verdict >= 2) & (not last), None
+            if idle:
+                still &= o.without < idle
             if depth == 1:
                 # a context of two words has the count of that pair, and every pair that can be frequent was asked for
-                pairs = np.zeros(int(state["size"].sum()), np.int64)
+                pairs = np.zeros(len(state["ids"]), np.int64)
                 pairs[o.at] = o.n
                 longer = pairs[o.at - 1]
                 still &= longer >= LEAST_COUNT
                 longer = longer[still]
             _close(state, o.row[~still], o.p[~still])
             o.take(still)
-            _keep(state, o.at, o.p, o.n, longer)
+            _keep(state, o.at, o.p, o.n, longer, o.without)
         yield from _asks(state, block, depth + 1, buckets)
 
     return _meet(step)
@@ -418,10 +454,12 @@ def _states(listed: DataFrame, depth: int) -> DataFrame:
     spread = totals.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     dealt = listed.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("n", "p"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
     back = (total - F.col("listed")) / total
+    # no longer context gains more by a successor than one that it follows every time
+    most = lambda q: F.greatest(n * F.log((n - 1 - DISCOUNT) / (n * q) + DISCOUNT / n), F.lit(0.0))
     left_out = F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) / total + F.col("back") * p
     found = (dealt.join(spread, ["ctx", "salt"]).withColumn("back", back).groupBy("ctx").agg(
         (F.sum(n * (F.log(left_out) - F.log(p))) + F.max(total - F.col("heard")) * F.log(F.greatest(F.max("back"), F.lit(1e-12)))).alias("gain"),
-        F.sum(-n * F.log((n - DISCOUNT) / total + F.col("back") * p)).alias("rest_kept"), F.sum(-n * F.log(p)).alias("rest"), F.max("back").alias("back")))
+        F.sum(most((n - DISCOUNT) / total + F.col("back") * p)).alias("rest_kept"), F.sum(most(p)).alias("rest"), F.max("back").alias("back")))
     kept = F.col("gain") > LEAST_GAIN
     still = F.when(kept, F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN
     out = staged(found.select("ctx", (kept.cast("int") + 2 * still.cast("int")).alias("flag"), "back").where("flag > 0"), f"lm-states-{depth}")
@@ -476,8 +514,8 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
                    depth: int | None = None, idle: int | None = IDLE) -> tuple[Fitted, DataFrame]:
     """The tree learned from the rows ``learn`` marks, and all rows scored by it, in blocks.
 
-    ``depth`` is the most words of a context, None for no bound; ``idle`` the levels without a state after which no longer
-    context is tested, None to go on until no place is open."""
+    ``depth`` is the most words of a context, None for no bound; ``idle`` the contexts of a place that in turn are no states
+    after which no longer one is tested there, None for no such end."""
     spark = docs.sparkSession
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held, F.lit(False)).alias("held_out"))
@@ -515,10 +553,7 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
             now.drop(VERDICTS, SUCCESSOR)
             states.append(contexts.where("flag % 2 = 1").count())
             drop_staged(contexts)
-            last = at == depth or bool(idle) and at >= idle and not any(states[-idle:])
-            now = met(_decided(at, buckets, last), verdicts, f"lm-level-{at}")
-            if last:
-                break
+            now = met(_decided(at, buckets, at == depth, idle), verdicts, f"lm-level-{at}")
         encoded = staged(now.messages(BLOCK).mapInArrow(_scored, _SCORED), "lm-scores")
         now.drop()
     while states and not states[-1]:
