@@ -21,8 +21,10 @@ A place is open for a longer context as long as its context is frequent enough a
 closes too once its last ``idle`` contexts in turn, each a word longer, were no states (None: never; a text that many documents share
 and go on from in their own ways keeps its end open for as many levels as it has words). That depends on the place's own contexts
 alone, never on other texts. Levels are added until no place is open. A block keeps the words of texts that have open places, up to
-the last one. No number of words, contexts or successors is fixed; nothing that grows with them is collected or broadcast. A bucket holds at most about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block;
-contexts with many successors are salted in the join of the table.
+the last one, its frequent words under small numbers, and what belongs to a pair once for each pair.
+No number of words, contexts or successors is fixed; nothing that grows with them is collected or broadcast. A bucket holds at most
+about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block; contexts with many successors are salted in the join
+of the table.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
 from; rows that repeat an id count and are scored as rows of their own; a text of any length is whole, in one block; without training text
@@ -58,6 +60,10 @@ HOT_SHARE, SALTS = 1 / 400, 64
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACE, _BACK, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+#: What stands for words that training has not or once: no context has them, and no successor is one.
+FEW = np.array([0, 1], np.uint64)
+#: The bits of a probability that blocks keep between levels: 36 of the mantissa, an error under 2e-11.
+_PRECISE = ~np.uint64(0xFFFF)
 #: The symbol after the last word of a text.
 END = np.int64(-1)
 #: Kinds of written rows: a block, messages about pairs, about contexts, for verdicts on contexts, and listed successors.
@@ -108,6 +114,15 @@ def unpacked(payload: bytes) -> dict:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
 
 
+def _block(state: dict) -> bytes:
+    return packed(state | ({"ids": _planes(state["ids"])} if "ids" in state else {}))
+
+
+def _state(payload: bytes) -> dict:
+    state = unpacked(payload)
+    return state | ({"ids": _unplanes(state["ids"], np.int32)} if "ids" in state else {})
+
+
 def _rows(kind: int, block: int, bucket=None, payload=None) -> pa.RecordBatch:
     """Messages of a block, or the block itself."""
     payload = payload if isinstance(payload, list) else [payload]
@@ -159,8 +174,11 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
             ids, hold, learn = (sum((part[k] for part in held), []) for k in (1, 2, 3))
             learn = np.array(learn, bool)
             known, where = np.unique(flat, return_inverse=True)
-            state = {"words": known, "ids": where.astype(np.int32), "size": size, "doc": ids, "held": hold, "learn": learn}
-            yield _rows(BLOCK, number, payload=packed(state))
+            often = np.argsort(-np.bincount(where, minlength=len(known)), kind="stable")
+            rank = np.empty(len(known), np.int32)
+            rank[often] = np.arange(len(known))
+            state = {"words": known[often], "ids": rank[where], "size": size, "doc": ids, "held": hold, "learn": learn}
+            yield _rows(BLOCK, number, payload=_block(state))
             yield from _messages(PAIRS, number, known, np.bincount(where, np.repeat(learn, size), len(known)), buckets)
 
         for batch in batches:
@@ -233,14 +251,19 @@ def _places(state: dict) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(state["open"], count=len(state["ids"])))
 
 
-def _keep(state: dict, at: np.ndarray, p: np.ndarray | None, n: np.ndarray | None, total: np.ndarray | None,
-          without: np.ndarray | None = None) -> None:
-    """The open places of the state; without ``p`` (before the first states) what they hold follows from the words' counts.
-    ``without``: how many contexts in turn were no states (None: none yet)."""
+def _keep(state: dict, at: np.ndarray, depth: int, pair: np.ndarray | None = None, p: np.ndarray | None = None,
+          n: np.ndarray | None = None, total: np.ndarray | None = None, without: np.ndarray | None = None,
+          longer: np.ndarray | None = None) -> None:
+    """The open places of the state. What follows from the ``depth`` words before a place and its own word is kept once for each pair,
+    in the order of the pairs' hashes; without ``p`` (before the first states) it follows from the words' counts.
+    ``without``: how many contexts in turn were no states; ``longer``, by place: the count of the next longer context where known."""
     mask = np.zeros(len(state["ids"]), bool)
     mask[at] = True
-    state |= {"open": np.packbits(mask), "places": len(at), "p": None if p is None else _planes(p), "without": without,
-              "n": None if n is None else n.astype(np.int32), "total": None if total is None else total.astype(np.int32)}
+    first = None if pair is None else _distinct(pair)[1]
+    state |= {"open": np.packbits(mask), "places": len(at), "by": depth, "p": None if p is None else _planes((p[first].view(np.uint64) & _PRECISE).view(np.float64)),
+              "without": None if without is None else without[first], "n": None if n is None else _planes(n[first].astype(np.int32)),
+              "total": None if total is None else _planes(total[first].astype(np.int32)),
+              "longer": None if longer is None else _planes(longer.astype(np.int32))}
 
 
 def _trim(state: dict) -> None:
@@ -261,7 +284,7 @@ def _trim(state: dict) -> None:
     is_open[at] = True
     ids = state["ids"][mine]
     used = np.zeros(len(state["words"]), bool)
-    used[ids] = True
+    used[ids] = used[: len(FEW)] = True
     state |= {"words": state["words"][used], "ids": (np.cumsum(used) - 1).astype(np.int32)[ids], "open": np.packbits(is_open[mine]),
               "rows": state["rows"][need > 0], "long": need[need > 0]}
 
@@ -289,22 +312,31 @@ class _Open:
         starts = np.cumsum(long) - long
         text = np.searchsorted(starts, at, side="right") - 1
         far, row = at - starts[text] >= depth, state["rows"][text]
+        if depth:
+            far[far] = state["ids"][at[far] - depth] >= len(FEW)  # no frequent context begins with such a word
         count = state["count"] if state["p"] is None or state["n"] is None else None
         c = None if count is None else count[state["ids"][at]]
-        p = (c + 0.5) / state["denominator"] if state["p"] is None else _unplanes(state["p"], np.float64)
-        n = c if state["n"] is None else state["n"].astype(np.int64)
-        total = None if state["total"] is None else state["total"].astype(np.int64)
+        of = None if state["n"] is None else np.unique(self._hashes(state, at, state["by"])[1], return_inverse=True)[1]
+        p = (c + 0.5) / state["denominator"] if state["p"] is None else _unplanes(state["p"], np.float64)[of]
+        n = c if state["n"] is None else _unplanes(state["n"], np.int32).astype(np.int64)[of]
+        total = next((_unplanes(state[k], np.int32).astype(np.int64) for k in ("total", "longer") if state[k] is not None), None)
+        total = total[of] if state["total"] is not None else total
         self.near = (row[~far], p[~far])
         self.at, self.p, self.n, self.row = at[far], p[far], n[far], row[far]
-        self.without = np.zeros(len(self.at), np.int8) if state["without"] is None else state["without"][far]
+        self.without = np.zeros(len(self.at), np.int8) if state["without"] is None else state["without"][of][far]
         self.total = total[far] if total is not None else count[state["ids"][self.at - 1]] if depth == 1 else None
-        word = lambda back: state["words"][state["ids"][self.at - back]]
-        self.ctx, factor = np.zeros(len(self.at), np.uint64), np.uint64(1)
+        self.ctx, self.pair = self._hashes(state, self.at, depth)
+
+    @staticmethod
+    def _hashes(state: dict, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts of ``depth`` words, and pairs, of places that have as many words before them."""
+        word = lambda back: state["words"][state["ids"][at - back]]
+        ctx, factor = np.zeros(len(at), np.uint64), np.uint64(1)
         with np.errstate(over="ignore"):
             for j in range(1, depth + 1):
-                self.ctx += word(j) * factor
+                ctx += word(j) * factor
                 factor = factor * _BACK
-            self.pair = self.ctx * _NEXT + word(0)
+            return ctx, ctx * _NEXT + word(0)
 
     def take(self, keep: np.ndarray) -> None:
         for name in ("at", "p", "n", "row", "ctx", "pair", "total", "without"):
@@ -321,7 +353,7 @@ def _asks(state: dict, block: int, depth: int, buckets: int) -> Iterator[pa.Reco
     if depth > 1:
         state.pop("count", None)
         _trim(state)
-    yield _rows(BLOCK, block, payload=packed(state))
+    yield _rows(BLOCK, block, payload=_block(state))
     if state["places"]:
         o = _Open(state, depth)
         learn = state["learn"][o.row]
@@ -348,7 +380,7 @@ def _meet(step):
     def run(blocks: pa.Table, got: pa.Table) -> pa.Table:
         if not blocks.num_rows:
             return _one_table([])
-        return _one_table(step(unpacked(blocks.column("payload")[0].as_py()), blocks.column("block")[0].as_py(), got))
+        return _one_table(step(_state(blocks.column("payload")[0].as_py()), blocks.column("block")[0].as_py(), got))
 
     return run
 
@@ -357,16 +389,20 @@ def _first_level(denominator: float, buckets: int):
     """Word counts arrive: base scores, and the messages of the first level."""
 
     def step(state, block, got):
-        count = (_answers(got, PAIRS, "answer") // 2).astype(np.int64)
+        count = np.empty(len(state["words"]), np.int64)
+        count[np.argsort(state["words"])] = _answers(got, PAIRS, "answer") // 2  # the answers are sorted by hash
         size, c = state["size"], count[state["ids"]]
         row, p = np.repeat(np.arange(len(size)), size), (c + 0.5) / denominator
         state |= {"base": np.bincount(row, np.log10(p), len(size)), "known": np.bincount(row, c > 0, len(size)).astype(np.int64),
                   "closed": np.zeros(len(size)), "count": count, "denominator": denominator, "rows": np.arange(len(size)), "long": size}
+        few = count < len(FEW)
+        state["ids"] = np.where(few, count, np.cumsum(~few) - 1 + len(FEW)).astype(np.int32)[state["ids"]]
+        state |= {"words": np.concatenate([FEW, state["words"][~few]]), "count": np.concatenate([np.arange(len(FEW)), count[~few]])}
         before = np.concatenate([[0], c[:-1]])
         before[np.cumsum(size) - size] = 0
         far = before >= LEAST_COUNT
         _close(state, row[~far], p[~far])
-        _keep(state, np.flatnonzero(far), None, None, None)
+        _keep(state, np.flatnonzero(far), 0)
         yield from _asks(state, block, 1, buckets)
 
     return _meet(step)
@@ -400,11 +436,11 @@ def _counted(depth: int, buckets: int):
             _close(state, o.row[rare], o.p[rare])
             o.n = n
             o.take(~rare)
-            _keep(state, o.at, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total, o.without)
+            _keep(state, o.at, depth, o.pair, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total, o.without)
             yield from _messages(VERDICTS, block, _sorted_once(o.ctx), None, buckets)
             if depth > 1:
                 _trim(state)
-        yield _rows(BLOCK, block, payload=packed(state))
+        yield _rows(BLOCK, block, payload=_block(state))
 
     return _meet(step)
 
@@ -436,7 +472,7 @@ def _decided(depth: int, buckets: int, last: bool, idle: int | None):
                 longer = longer[still]
             _close(state, o.row[~still], o.p[~still])
             o.take(still)
-            _keep(state, o.at, o.p, o.n, longer, o.without)
+            _keep(state, o.at, depth, o.pair, o.p, o.n, without=o.without, longer=longer)
         yield from _asks(state, block, depth + 1, buckets)
 
     return _meet(step)
@@ -567,7 +603,7 @@ _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_scor
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for payload in batch.column("payload").to_pylist():
-            s = unpacked(payload)
+            s = _state(payload)
             if s["places"]:  # open where the depth is bounded
                 o = _Open(s, 0)
                 _close(s, o.row, o.p)
