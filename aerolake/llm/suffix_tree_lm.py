@@ -277,7 +277,7 @@ def _trim(state: dict) -> None:
     text = np.searchsorted(starts, at, side="right") - 1
     need = np.zeros(len(long), np.int64)
     need[text] = at - starts[text] + 1  # places ascend: the last one stays
-    if 4 * need.sum() > 3 * len(state["ids"]):
+    if 4 * need.sum() > 3 * len(state["ids"]) and not state.pop("blanked", False):
         return
     mine = np.arange(len(state["ids"])) - np.repeat(starts, long) < np.repeat(need, long)
     is_open = np.zeros(len(mine), bool)
@@ -472,7 +472,14 @@ def _decided(depth: int, buckets: int, last: bool, idle: int | None):
                 longer = longer[still]
             _close(state, o.row[~still], o.p[~still])
             o.take(still)
-            _keep(state, o.at, depth, o.pair, o.p, o.n, without=o.without, longer=longer)
+            if depth == 1:
+                # a word that starts a rare pair is in no longer frequent context; it stays beside the open places alone
+                needed = np.append(pairs[1:] >= LEAST_COUNT, False)
+                needed[o.at] = needed[o.at - 1] = True
+                state["ids"] = np.where(needed, state["ids"], np.int32(0))
+                state["blanked"] = True
+            # of a shorter pair's count only matters whether it is a rarity
+            _keep(state, o.at, depth, o.pair, o.p, np.minimum(o.n, 2), without=o.without, longer=longer)
         yield from _asks(state, block, depth + 1, buckets)
 
     return _meet(step)
