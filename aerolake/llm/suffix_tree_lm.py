@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import contextlib
 import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -54,6 +55,8 @@ LEAST_COUNT, DISCOUNT, LEAST_GAIN = 8, 0.75, 12.0
 BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 20, 1 << 21, 1 << 20
 #: Contexts of a place without a state, one after the other, that close it.
 IDLE = 2
+#: Spark's own bound on the buckets of a table.
+MOST_PARTS = 100_000
 #: A context with this share of a level's successors is dealt to this many places in the join.
 HOT_SHARE, SALTS = 1 / 400, 64
 
@@ -316,7 +319,8 @@ class _Open:
             far[far] = state["ids"][at[far] - depth] >= len(FEW)  # no frequent context begins with such a word
         count = state["count"] if state["p"] is None or state["n"] is None else None
         c = None if count is None else count[state["ids"][at]]
-        of = None if state["n"] is None else np.unique(self._hashes(state, at, state["by"])[1], return_inverse=True)[1]
+        kept = None if state["n"] is None else self._hashes(state, at, state["by"])
+        of = None if kept is None else np.unique(kept[1], return_inverse=True)[1]
         p = (c + 0.5) / state["denominator"] if state["p"] is None else _unplanes(state["p"], np.float64)[of]
         n = c if state["n"] is None else _unplanes(state["n"], np.int32).astype(np.int64)[of]
         total = next((_unplanes(state[k], np.int32).astype(np.int64) for k in ("total", "longer") if state[k] is not None), None)
@@ -325,7 +329,8 @@ class _Open:
         self.at, self.p, self.n, self.row = at[far], p[far], n[far], row[far]
         self.without = np.zeros(len(self.at), np.int8) if state["without"] is None else state["without"][of][far]
         self.total = total[far] if total is not None else count[state["ids"][self.at - 1]] if depth == 1 else None
-        self.ctx, self.pair = self._hashes(state, self.at, depth)
+        same = kept is not None and state["by"] == depth
+        self.ctx, self.pair = (x[far] for x in kept) if same else self._hashes(state, self.at, depth)
 
     @staticmethod
     def _hashes(state: dict, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -520,27 +525,37 @@ class Fitted:
 
 @contextlib.contextmanager
 def _tidy(spark: SparkSession):
-    """Shuffle files go with the query that wrote them; small Arrow batches. The caller's settings come back."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    """A writer of tables, none of which outlive this; shuffle files go with the query that wrote them; small Arrow batches. The
+    caller's settings come back."""
+    key, parts, tables = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", min(shuffle_partitions(spark), MOST_PARTS), []
     before = spark.conf.get(key, None)
+
+    def written(rows: DataFrame, name: str) -> _Written:
+        tables.append(_Written(rows, name, parts))
+        return tables[-1]
+
     try:
         spark.conf.set(key, "true")
         with arrow_batches(spark):
-            yield
+            yield written
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for table in tables:
+            table.drop()
 
 
 class _Written:
-    """Rows of several kinds written once, a folder for each kind."""
+    """Rows of several kinds written once as a table of the shared folder, a folder for each kind, bucketed by block: answers are
+    dealt to the buckets that their blocks already lie in, and the blocks, much the larger side, are never shuffled."""
 
-    def __init__(self, rows: DataFrame, name: str):
+    def __init__(self, rows: DataFrame, name: str, parts: int):
         self.spark, self.path = rows.sparkSession, scratch_path(rows.sparkSession, name)
-        rows.write.partitionBy("kind").parquet(self.path)
+        self.table = f"lm_{uuid.uuid4().hex}"
+        rows.write.partitionBy("kind").bucketBy(parts, "block").option("path", self.path).saveAsTable(self.table)
 
     def of(self, *kinds: int) -> DataFrame:
         """Rows of some kinds that are there."""
-        return self.spark.read.schema(_ROWS).parquet(self.path).where(F.col("kind").isin(*kinds))
+        return self.spark.table(self.table).where(F.col("kind").isin(*kinds))
 
     def messages(self, *kinds: int) -> DataFrame:
         return self.of(*kinds).select(*_NAMES[:4])
@@ -550,6 +565,7 @@ class _Written:
         for kind in kinds:
             delete_folder(self.spark, f"{self.path}/kind={kind}")
         if not kinds:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
             delete_folder(self.spark, self.path)
 
 
@@ -563,8 +579,8 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
     rows = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(held, F.lit(False)).alias("held_out"))
     least = shuffle_partitions(spark)
-    with _tidy(spark):
-        now, buckets = _Written(_blocks(rows, least), "lm-blocks"), least
+    with _tidy(spark) as written:
+        now, buckets = written(_blocks(rows, least), "lm-blocks"), least
 
         def answered(least_of: dict[int, int]) -> DataFrame:
             asked = now.messages(PAIRS, CONTEXTS)
@@ -574,7 +590,7 @@ def fit_and_encode(docs: DataFrame, learn: Column, held: Column, id_col: str = "
 
         def met(step, answers: DataFrame, name: str) -> _Written:
             mine = now.messages(BLOCK).groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
-            after = _Written(mine.applyInArrow(step, _ROWS), name)
+            after = written(mine.applyInArrow(step, _ROWS), name)
             drop_staged(answers)
             now.drop()
             return after
