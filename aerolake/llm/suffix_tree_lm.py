@@ -254,15 +254,15 @@ def _places(state: dict) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(state["open"], count=len(state["ids"])))
 
 
-def _keep(state: dict, at: np.ndarray, depth: int, pair: np.ndarray | None = None, p: np.ndarray | None = None,
+def _keep(state: dict, at: np.ndarray, depth: int, of: np.ndarray | None = None, p: np.ndarray | None = None,
           n: np.ndarray | None = None, total: np.ndarray | None = None, without: np.ndarray | None = None,
           longer: np.ndarray | None = None) -> None:
     """The open places of the state. What follows from the ``depth`` words before a place and its own word is kept once for each pair,
-    in the order of the pairs' hashes; without ``p`` (before the first states) it follows from the words' counts.
+    in the order of the pairs' hashes (``of``: the number of each place's pair in that order, gaps allowed); without ``p`` (before the first states) it follows from the words' counts.
     ``without``: how many contexts in turn were no states; ``longer``, by place: the count of the next longer context where known."""
     mask = np.zeros(len(state["ids"]), bool)
     mask[at] = True
-    first = None if pair is None else _distinct(pair)[1]
+    first = None if of is None else _firsts(of)
     state |= {"open": np.packbits(mask), "places": len(at), "by": depth, "p": None if p is None else _planes((p[first].view(np.uint64) & _PRECISE).view(np.float64)),
               "without": None if without is None else without[first], "n": None if n is None else _planes(n[first].astype(np.int32)),
               "total": None if total is None else _planes(total[first].astype(np.int32)),
@@ -298,12 +298,11 @@ def _sorted_once(keys: np.ndarray) -> np.ndarray:
     return keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))] if len(keys) else keys
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys, the first place of each, and the number of each place's key."""
-    known, where = np.unique(keys, return_inverse=True)
-    first = np.empty(len(known), np.int64)
-    first[where[::-1]] = np.arange(len(keys))[::-1]
-    return known, first, where
+def _firsts(of: np.ndarray) -> np.ndarray:
+    """The first place of each number that is there, by the numbers."""
+    first = np.full(of.max() + 1 if len(of) else 0, -1)
+    first[of[::-1]] = np.arange(len(of))[::-1]
+    return first[first >= 0]
 
 
 class _Open:
@@ -314,7 +313,8 @@ class _Open:
         long, at = state["long"], _places(state)
         starts = np.cumsum(long) - long
         text = np.searchsorted(starts, at, side="right") - 1
-        far, row = at - starts[text] >= depth, state["rows"][text]
+        since, row = at - starts[text], state["rows"][text]
+        far = since >= depth
         if depth:
             far[far] = state["ids"][at[far] - depth] >= len(FEW)  # no frequent context begins with such a word
         count = state["count"] if state["p"] is None or state["n"] is None else None
@@ -326,11 +326,32 @@ class _Open:
         total = next((_unplanes(state[k], np.int32).astype(np.int64) for k in ("total", "longer") if state[k] is not None), None)
         total = total[of] if state["total"] is not None else total
         self.near = (row[~far], p[~far])
-        self.at, self.p, self.n, self.row = at[far], p[far], n[far], row[far]
+        self.at, self.p, self.n, self.row, self.since = at[far], p[far], n[far], row[far], since[far]
         self.without = np.zeros(len(self.at), np.int8) if state["without"] is None else state["without"][of][far]
         self.total = total[far] if total is not None else count[state["ids"][self.at - 1]] if depth == 1 else None
-        same = kept is not None and state["by"] == depth
-        self.ctx, self.pair = (x[far] for x in kept) if same else self._hashes(state, self.at, depth)
+        self.of = None
+        if kept is not None and state["by"] == depth:
+            self.ctx, self.pair, self.of = kept[0][far], kept[1][far], of[far]
+        elif kept is not None and state["by"] == depth - 1:
+            self.ctx = kept[0][far]
+            self._lengthen(state, depth)
+        else:
+            self.ctx, self.pair = self._hashes(state, self.at, depth)
+
+    def _lengthen(self, state: dict, depth: int) -> None:
+        """Contexts of ``depth`` words from those of one word less."""
+        with np.errstate(over="ignore"):
+            self.ctx = self.ctx + state["words"][state["ids"][self.at - depth]] * np.uint64(pow(int(_BACK), depth - 1, 1 << 64))
+            self.pair = self.ctx * _NEXT + state["words"][state["ids"][self.at]]
+
+    def deeper(self, state: dict, depth: int, total: np.ndarray | None) -> None:
+        """Go over to the places that have ``depth`` words before them, one more than now; ``total``: the counts of those contexts."""
+        far = self.since >= depth
+        far[far] = state["ids"][self.at[far] - depth] >= len(FEW)
+        self.p = self.without = self.pair = self.of = None
+        self.total = total
+        self.take(far)
+        self._lengthen(state, depth)
 
     @staticmethod
     def _hashes(state: dict, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -344,7 +365,7 @@ class _Open:
             return ctx, ctx * _NEXT + word(0)
 
     def take(self, keep: np.ndarray) -> None:
-        for name in ("at", "p", "n", "row", "ctx", "pair", "total", "without"):
+        for name in ("at", "p", "n", "row", "since", "ctx", "pair", "of", "total", "without"):
             if getattr(self, name) is not None:
                 setattr(self, name, getattr(self, name)[keep])
 
@@ -353,14 +374,10 @@ def _close(state: dict, row: np.ndarray, p: np.ndarray) -> None:
     state["closed"] = state["closed"] + np.bincount(row, np.log10(p), len(state["size"]))
 
 
-def _asks(state: dict, block: int, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The block, and its messages about the contexts and pairs of a level."""
-    if depth > 1:
-        state.pop("count", None)
-        _trim(state)
+def _asks(state: dict, block: int, o: _Open | None, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The block, and its messages about the contexts and pairs of the open places."""
     yield _rows(BLOCK, block, payload=_block(state))
-    if state["places"]:
-        o = _Open(state, depth)
+    if o:
         learn = state["learn"][o.row]
         if o.total is None:
             keys, where = np.unique(o.ctx, return_inverse=True)
@@ -408,7 +425,7 @@ def _first_level(denominator: float, buckets: int):
         far = before >= LEAST_COUNT
         _close(state, row[~far], p[~far])
         _keep(state, np.flatnonzero(far), 0)
-        yield from _asks(state, block, 1, buckets)
+        yield from _asks(state, block, _Open(state, 1) if state["places"] else None, buckets)
 
     return _meet(step)
 
@@ -421,17 +438,22 @@ def _counted(depth: int, buckets: int):
         if state["places"]:
             o = _Open(state, depth)
             _close(state, *o.near)
+            contexts = None
             if o.total is None:
-                _, where = np.unique(o.ctx, return_inverse=True)
-                o.total = (_answers(got, CONTEXTS, "answer").astype(np.int64) // 2)[where]
+                known, where = np.unique(o.ctx, return_inverse=True)
+                counts = _answers(got, CONTEXTS, "answer").astype(np.int64) // 2
+                o.total, contexts = counts[where], known[counts > 0]
             total = o.total
             n, mine = np.zeros(len(o.at), np.int64), np.zeros(0, int)
+            o.of = np.unique(o.pair, return_inverse=True)[1]
             some = np.flatnonzero(o.n >= 2)
             if len(some):
-                _, first, where = _distinct(o.pair[some])
+                of = o.of[some]
+                asked = np.zeros(o.of.max() + 1, bool)
+                asked[of] = True
                 said = _answers(got, PAIRS, "answer").astype(np.int64)
-                n[some] = (said // 2)[where]
-                mine = some[first[(said % 2 == 1) & (said > 1)]]
+                n[some] = (said // 2)[(np.cumsum(asked) - 1)[of]]
+                mine = some[_firsts(of)[(said % 2 == 1) & (said > 1)]]
                 mine = mine[total[mine] > 0]
             if len(mine):
                 none = [None] * len(mine)
@@ -441,8 +463,8 @@ def _counted(depth: int, buckets: int):
             _close(state, o.row[rare], o.p[rare])
             o.n = n
             o.take(~rare)
-            _keep(state, o.at, depth, o.pair, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total, o.without)
-            yield from _messages(VERDICTS, block, _sorted_once(o.ctx), None, buckets)
+            _keep(state, o.at, depth, o.of, None if depth == 1 else o.p, o.n, None if depth == 1 else o.total, o.without)
+            yield from _messages(VERDICTS, block, _sorted_once(o.ctx) if contexts is None else contexts, None, buckets)
             if depth > 1:
                 _trim(state)
         yield _rows(BLOCK, block, payload=_block(state))
@@ -454,8 +476,8 @@ def _decided(depth: int, buckets: int, last: bool, idle: int | None):
     """Verdicts arrive: probabilities by the states, and the messages of the next level from the places still open."""
 
     def step(state, block, got):
-        if state["places"]:
-            o = _Open(state, depth)
+        o = _Open(state, depth) if state["places"] else None
+        if o:
             _, where = np.unique(o.ctx, return_inverse=True)
             verdict = _answers(got, VERDICTS, "verdict").astype(int)
             back = np.ones(len(verdict))
@@ -484,8 +506,11 @@ def _decided(depth: int, buckets: int, last: bool, idle: int | None):
                 state["ids"] = np.where(needed, state["ids"], np.int32(0))
                 state["blanked"] = True
             # of a shorter pair's count only matters whether it is a rarity
-            _keep(state, o.at, depth, o.pair, o.p, np.minimum(o.n, 2), without=o.without, longer=longer)
-        yield from _asks(state, block, depth + 1, buckets)
+            _keep(state, o.at, depth, o.of, o.p, np.minimum(o.n, 2), without=o.without, longer=longer)
+            o.deeper(state, depth + 1, longer)
+        state.pop("count", None)
+        _trim(state)
+        yield from _asks(state, block, o, buckets)
 
     return _meet(step)
 
