@@ -151,7 +151,8 @@ class Scanner:
                 while len(pairs) < size:
                     lo, hi = max(past, lo - size), hi + size
                     wider = _one_notice(words, lo, hi, t.words, slack)
-                    if len(wider) <= len(pairs) or wider[0][0] > pairs[-1][0] or wider[-1][0] < pairs[0][0]:
+                    begin, end = (pairs[0][0], pairs[-1][0]) if pairs else (at, at)  # none: each word stands there twice
+                    if len(wider) <= len(pairs) or wider[0][0] > end or wider[-1][0] < begin:
                         break  # no more words, or those of another notice
                     pairs = wider
                 if len(pairs) >= size - allowed:

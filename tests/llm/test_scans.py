@@ -83,6 +83,22 @@ def test_dense_insertions_are_covered_like_the_whole_text():
             assert got == []
 
 
+def test_a_stretch_without_any_match_grows_like_the_others():
+    """Words that stand twice in a stretch, and at neither end of it, match nothing there; a wider one may match other words."""
+    scan = P.Scanner({"mit": P.TEMPLATES["mit"]}).scan
+    assert scan("mit x mit x x x x x x license") == []
+    assert scan("mit x mit x x x released under the mit license") == [("mit", 1.0, 6, 11, 5)]
+    rng = np.random.default_rng(4)
+    scanner, words = P.Scanner(P.TEMPLATES), sorted({w for t in P.TEMPLATES.values() for w in P.words_of(t)}) + ["x"] * 20
+    for _ in range(400):
+        text = [words[k] for k in rng.integers(len(words), size=60)]
+        found = scanner.scan(" ".join(text))
+        assert all(lo < hi and n >= 0.8 * len(P.words_of(P.TEMPLATES[k])) - 1e-9 for k, _, lo, hi, n in found)
+        size = len(P.words_of(P.TEMPLATES["mit-text"]))
+        got = scanner.scan(" ".join([*text, P.TEMPLATES["mit-text"], *text]))
+        assert any(k == "mit-text" and lo < 60 + size and hi > 60 for k, _, lo, hi, _ in got)
+
+
 def test_templates_of_few_telling_words():
     scan = P.Scanner({"odd": "this work is for the use of all zebra owners", "plain": "to be or not to be"}).scan
     assert [(x[0], x[1]) for x in scan("x this work is for the use of all zebra y")] == [("odd", 0.9)]
