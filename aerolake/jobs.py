@@ -77,7 +77,7 @@ def stage_by_validity(rows: DataFrame, summary: RunSummary) -> tuple[DataFrame,
     path = scratch_path(spark, "validated")
     marked = rows.withColumn("row_ok", is_valid())
     (marked.observe(seen, F.count(F.lit(1)).alias("raw"), F.count_if("row_ok").alias("valid"))
-     .write.partitionBy("row_ok").parquet(path))
+     .write.partitionBy("row_ok").option("compression", "zstd").parquet(path))
     summary.raw_count, summary.valid_count = int(seen.get["raw"]), int(seen.get["valid"])
     summary.rejected_count = summary.raw_count - summary.valid_count
     back = spark.read.schema(marked.schema).parquet(path)
@@ -132,7 +132,7 @@ def run_curated(
             rows, held = route_by_rules(valid, summary, dq, run_ts)
             if summary.quarantined_count:
                 write_rejected(with_reject_audit(held, run_id, run_ts), rejected_path, mode="append")
-        source = staged(dedupe_repeated(rows), "curated-source")
+        source = staged(dedupe_repeated(rows, written=lambda keys: staged(keys, "repeated-keys")), "curated-source")
         summary.merge_source_count = source.count()
         if summary.merge_source_count == 0:
             raise RuntimeError(f"{CODE_NO_VALID_VECTORS}: {raw_path}")

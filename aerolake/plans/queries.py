@@ -501,9 +501,9 @@ def q_curated_job_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolake.jobs import run_curated
 
     ev = events(spark, sf_dir)
-    target_vec = event_vectors(ev.where(_hour_window(TARGET_SPLIT_SQL))).where(F.expr(TARGET_SPLIT_SQL))
+    target_vec = event_vectors(ev.where(_hour_window(TARGET_SPLIT_SQL)), by_response=True).where(F.expr(TARGET_SPLIT_SQL))
     first = _land_payloads(spark, sf_dir, build_payloads(target_vec))
-    edited = event_vectors(ev.where(_hour_window(SOURCE_SPLIT_SQL)), F.expr(EDITED_VALUE_SQL)).where(
+    edited = event_vectors(ev.where(_hour_window(SOURCE_SPLIT_SQL)), F.expr(EDITED_VALUE_SQL), by_response=True).where(
         F.expr(SOURCE_SPLIT_SQL)
     )
     second = _land_payloads(spark, sf_dir, build_payloads(edited, RELANDED_PREFIX))

@@ -81,7 +81,7 @@ def state_array_expr() -> F.Column:
     )
 
 
-def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame:
+def event_vectors(events: DataFrame, value: F.Column | None = None, by_response: bool = False) -> DataFrame:
     """events -> (event_id, source_response_time, state_position, state).
 
     The events of one UTC hour, ranked by ``event_id`` (skew-safe rank), form
@@ -90,16 +90,21 @@ def event_vectors(events: DataFrame, value: F.Column | None = None) -> DataFrame
     ``state_position`` is the position inside that response - exactly what
     exploding the landed document gives back. An hour needs a second response
     only beyond ``MAX_STATES_PER_PAYLOAD`` events; more responses than fit in the next hour raise instead of mixing two hours.
+
+    ``by_response`` deals the events to tasks by response before their vectors are made, an eighth of the width:
+    :func:`build_payloads` then gathers documents where the vectors lie. A response has a bounded number of them.
     """
     base = events_with_epoch(events, value)
     per_doc = int(MAX_STATES_PER_PAYLOAD)
     ranked = rank_within(base, "hour_bucket", "event_id", "_rn", most=3600 * per_doc)
-    return ranked.select(
-        "event_id",
-        ((F.col("hour_bucket") + 1) * 3600 + F.expr(f"_rn div {per_doc}")).alias("source_response_time"),
-        F.expr(f"_rn % {per_doc}").cast("int").alias("state_position"),
-        state_array_expr().alias("state"),
-    )
+    placed = ranked.withColumns({
+        "source_response_time": (F.col("hour_bucket") + 1) * 3600 + F.expr(f"_rn div {per_doc}"),
+        "state_position": F.expr(f"_rn % {per_doc}").cast("int"),
+    })
+    if by_response:
+        parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = placed.repartition(parts, "source_response_time")
+    return placed.select("event_id", "source_response_time", "state_position", state_array_expr().alias("state"))
 
 
 def build_payloads(
@@ -134,7 +139,7 @@ def build_payloads(
 def event_payloads(
     events: DataFrame, value: F.Column | None = None, source_prefix: str = "events/payload"
 ) -> DataFrame:
-    return build_payloads(event_vectors(events, value), source_prefix)
+    return build_payloads(event_vectors(events, value, by_response=True), source_prefix)
 
 
 def payload_source_file(source_prefix: str = "events/payload", max_states: int = MAX_STATES_PER_PAYLOAD) -> F.Column:

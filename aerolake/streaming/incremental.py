@@ -52,7 +52,7 @@ def upsert_batch(
         valid, rejected = stage_by_validity(validated(raw_batch), RunSummary(run_id))
         # Rejects first: a batch without a valid vector must not lose its audit rows.
         write_batch_rejects(rejected, rejected_path, batch_id, run_id, run_ts)
-        source = staged(dedupe_repeated(curate(valid, run_id, run_ts)), "batch-source")
+        source = staged(dedupe_repeated(curate(valid, run_id, run_ts), written=lambda keys: staged(keys, "repeated-keys")), "batch-source")
         return write_curated(spark, source, table, out_path, count=source.count())
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aerolake.operators.explode import explode_states
 from aerolake.operators.ranking import rank_within
 from aerolake.operators.validate import with_field_count
+from aerolake.plans.inspect import plan_text
 from aerolake.plans.queries import curated_all
 from aerolake.sources.fixtures import build_payloads, event_vectors, load_table
 from support import SF_CHECK
@@ -32,6 +33,16 @@ def test_fixture_counts_sf001(spark):
     vec.unpersist()
 
 
+def test_documents_are_gathered_where_their_vectors_are_made(spark):
+    events = load_table(spark, SF_CHECK, "events")
+    want, vec = event_vectors(events), event_vectors(events, by_response=True)
+    assert vec.columns == want.columns and vec.exceptAll(want).count() == 0 and want.exceptAll(vec).count() == 0
+    docs, plain = build_payloads(vec), build_payloads(want)
+    assert docs.exceptAll(plain).count() == 0 and docs.count() == plain.count() == 720
+    shuffles = lambda df: plan_text(df, "simple").count("Exchange hashpartitioning")
+    assert shuffles(docs) == shuffles(plain) == shuffles(vec)  # the one by response, and none of whole vectors after it
+
+
 def test_payload_chunks_bounded(spark):
     vec = event_vectors(load_table(spark, SF_CHECK, "events")).drop("event_id")
     docs = build_payloads(vec, max_states=7)

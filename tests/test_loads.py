@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from aerolake.jobs import run_curated, run_latest, run_processed
 from aerolake.operators.dedupe import dedupe_by_key, dedupe_repeated
 from aerolake.plans.inspect import partition_filters, plan_text
-from aerolake.session import checkpoint_root, scratch_path, scratch_scope
+from aerolake.session import checkpoint_root, scratch_path, scratch_scope, staged
 from aerolake.sinks import curated
 from aerolake.sinks.landing import land_documents
 from aerolake.sources.landing import list_files
@@ -168,6 +168,22 @@ def test_dedupe_in_two_phases(spark):
     assert "LeftAnti" in once and "HashAggregate" in once
 
 
+def test_dedupe_shuffles_whole_rows_of_repeated_keys_alone(spark):
+    """However many keys there are: the joins go by the repeated ones, once those are written."""
+    rows = [(f"k{i % 29990}", f"h{i % 7}", f"f{i}", f"wide{i}") for i in range(30000)]
+    df = staged(spark.createDataFrame(rows, "record_key string, payload_hash string, source_file string, wide string"), "wide-rows")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4kb")  # 30000 keys are too many to broadcast, 10 are not
+    try:
+        want, got = dedupe_by_key(df), dedupe_repeated(df, written=lambda keys: staged(keys, "repeated-keys"))
+        assert got.count() == 29990 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        plan = plan_text(got, "simple")
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+        assert "SortMergeJoin" in plan_text(dedupe_repeated(df), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_gate_quarantines_and_merges_once(spark, tmp_dir):
     raw, held, ck = (os.path.join(tmp_dir, x) for x in ("raw", "held", "ck"))
     land(raw, "ok.json", T0, [vector("aaa", T0), None])
