@@ -23,8 +23,8 @@ and go on from in their own ways keeps its end open for as many levels as it has
 alone, never on other texts. Levels are added until no place is open. A block keeps the words of texts that have open places, up to
 the last one, its frequent words under small numbers, and what belongs to a pair once for each pair.
 No number of words, contexts or successors is fixed; nothing that grows with them is collected or broadcast. A bucket holds at most
-about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block; contexts with many successors are salted in the join
-of the table.
+about ``BUCKET_KEYS`` hashes and a pair or context comes once from each block; successors of contexts with many are never
+dealt by context.
 
 Defined cases: a NULL or empty text is the end symbol alone; a NULL doc_id is never learned
 from; rows that repeat an id count and are scored as rows of their own; a text of any length is whole, in one block; without training text
@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import arrow_batches, drop_staged, quoted, shuffle_partitions, staged
@@ -57,8 +57,8 @@ BLOCK_TOKENS, BUCKET_KEYS, HASH_BYTES = 1 << 20, 1 << 21, 1 << 20
 IDLE = 2
 #: Spark's own bound on the buckets of a table.
 MOST_PARTS = 100_000
-#: A context with this share of a level's successors is dealt to this many places in the join.
-HOT_SHARE, SALTS = 1 / 400, 64
+#: A context with this share of a level's successors, and more than so many, is summed where they lie.
+HOT_SHARE, LEAST_HOT = 1 / 400, 64
 
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACE, _BACK, _NEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -515,27 +515,39 @@ def _decided(depth: int, buckets: int, last: bool, idle: int | None):
     return _meet(step)
 
 
-def _states(listed: DataFrame, depth: int) -> DataFrame:
-    """``(ctx, flag, back)`` of the contexts that are states (flag 1) or leave enough to gain (flag 2), from their listed successors."""
+def _gains(successors: DataFrame) -> DataFrame:
+    """``(ctx, gain, rest_kept, rest, back)`` from successors that know what their context lists and hears in all."""
     n, p, total = F.col("n"), F.col("p"), F.col("total")
-    totals = staged(listed.groupBy("ctx").agg(F.sum(n - DISCOUNT).alias("listed"), F.sum("n").alias("heard"), F.count(F.lit(1)).alias("k")),
-                    f"lm-totals-{depth}")
-    whole = totals.agg(F.sum("k")).first()[0] or 0
-    # at most 1 / HOT_SHARE contexts
-    hot = [r["ctx"] for r in totals.where(F.col("k") > max(HOT_SHARE * whole, SALTS)).select("ctx").collect()]
-    salted = F.col("ctx").isin(hot) if hot else F.lit(False)
-    spread = totals.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    dealt = listed.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("n", "p"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
-    back = (total - F.col("listed")) / total
     # no longer context gains more by a successor than one that it follows every time
     most = lambda q: F.greatest(n * F.log((n - 1 - DISCOUNT) / (n * q) + DISCOUNT / n), F.lit(0.0))
     left_out = F.greatest(n - 1 - DISCOUNT, F.lit(0.0)) / total + F.col("back") * p
-    found = (dealt.join(spread, ["ctx", "salt"]).withColumn("back", back).groupBy("ctx").agg(
+    return successors.withColumn("back", (total - F.col("listed")) / total).groupBy("ctx").agg(
         (F.sum(n * (F.log(left_out) - F.log(p))) + F.max(total - F.col("heard")) * F.log(F.greatest(F.max("back"), F.lit(1e-12)))).alias("gain"),
-        F.sum(most((n - DISCOUNT) / total + F.col("back") * p)).alias("rest_kept"), F.sum(most(p)).alias("rest"), F.max("back").alias("back")))
+        F.sum(most((n - DISCOUNT) / total + F.col("back") * p)).alias("rest_kept"), F.sum(most(p)).alias("rest"), F.max("back").alias("back"))
+
+
+def _states(listed: DataFrame, depth: int) -> DataFrame:
+    """``(ctx, flag, back)`` of the contexts that are states (flag 1) or leave enough to gain (flag 2), from their listed successors.
+
+    Successors are dealt once, by context, and summed there twice; those of the few hot contexts stay where they lie and get their
+    context's sums by a broadcast."""
+    n = F.col("n")
+    totals = staged(listed.groupBy("ctx").agg(F.sum(n - DISCOUNT).alias("listed"), F.sum("n").alias("heard"), F.count(F.lit(1)).alias("k")),
+                    f"lm-totals-{depth}")
+    whole = totals.agg(F.sum("k")).first()[0] or 0
+    # at most 1 / HOT_SHARE contexts
+    hot = [r["ctx"] for r in totals.where(F.col("k") > max(HOT_SHARE * whole, LEAST_HOT)).select("ctx").collect()]
+    is_hot = F.col("ctx").isin(hot) if hot else F.lit(False)
+    rows, mine = listed.select("ctx", "n", "p", "total"), Window.partitionBy("ctx")
+    summed = rows.where(~is_hot).withColumns({"listed": F.sum(n - DISCOUNT).over(mine), "heard": F.sum("n").over(mine)})
+    if hot:
+        few = F.broadcast(totals.where(is_hot).select("ctx", "listed", "heard"))
+        summed = _gains(summed).unionByName(_gains(rows.where(is_hot).join(few, "ctx")))
+    else:
+        summed = _gains(summed)
     kept = F.col("gain") > LEAST_GAIN
     still = F.when(kept, F.col("rest_kept")).otherwise(F.col("rest")) > LEAST_GAIN
-    out = staged(found.select("ctx", (kept.cast("int") + 2 * still.cast("int")).alias("flag"), "back").where("flag > 0"), f"lm-states-{depth}")
+    out = staged(summed.select("ctx", (kept.cast("int") + 2 * still.cast("int")).alias("flag"), "back").where("flag > 0"), f"lm-states-{depth}")
     drop_staged(totals)
     return out
 

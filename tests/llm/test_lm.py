@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import suffix_tree_lm as M
 from aerolake.llm.queries import op7_suffix_tree_lm
+from aerolake.plans.inspect import plan_text
 
 
 def ascii_lower(t):
@@ -181,3 +182,32 @@ def test_copies_of_a_text_are_learned_deep(spark):
     assert fitted.states == states
     got = {r["doc_id"]: r["score"] for r in M.scores(fitted, encoded).collect()}
     assert [got[d] for d, _ in rows] == pytest.approx(want, rel=1e-9)
+
+
+def test_successors_are_dealt_once_and_hot_contexts_stay(spark, monkeypatch):
+    """One shuffle of whole successors whatever their number; contexts summed where they lie give the same verdicts."""
+    plans = []
+
+    def staged(df, name):
+        plans.append((name, plan_text(df, "simple")))
+        return df
+
+    monkeypatch.setattr(M, "staged", staged)
+    monkeypatch.setattr(M, "drop_staged", lambda df: None)
+    listed = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("long").alias("ctx"), (2 + F.col("id") % 5).alias("n"),
+        (1 / (10 + F.col("id") % 97)).alias("p"), F.when(F.col("id") % 3 == 0, 30_000).when(F.col("id") % 500 == 0, 30_000).otherwise(90).cast("long").alias("total"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were too many contexts to broadcast
+    try:
+        got = []
+        for share, least in ((1 / 400, 64), (1, 10**9), (0, 0)):  # some are hot, none, all
+            monkeypatch.setattr(M, "HOT_SHARE", share)
+            monkeypatch.setattr(M, "LEAST_HOT", least)
+            got.append({r["ctx"]: (r["flag"], pytest.approx(r["back"])) for r in M._states(listed, 1).collect()})
+        assert got[0] == got[1] == got[2] and 0 in got[0] and len(got[0]) > 100
+        found = [p for name, p in plans if name.startswith("lm-states")]
+        assert all("SortMergeJoin" not in p for p in found)
+        assert found[1].count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
